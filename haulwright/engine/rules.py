@@ -65,7 +65,7 @@ def _finished(step: Step, empty: float | None) -> dict:
     return dict(
         cycle_status=COMPLETE if whole else INVALID,
         empty_travel_seconds=empty,
-        total_cycle_seconds=sum(parts) if whole else last["total_cycle_seconds"],
+        total_cycle_seconds=sum(parts) if whole else None,
         cycle_end_utc=last["current_process_date"],
         **NOTHING_PENDING,
     )
@@ -443,10 +443,7 @@ def _cycle_ended_unseen(step: Step) -> Outcome:
     last, at = step.last, step.at
     since = last["current_process_date"]
     empty = seconds(last["dump_end_utc"], since)
-    ending = _finished(step, empty)
-    if ending["cycle_status"] == INVALID:
-        ending["total_cycle_seconds"] = None
-    closed = step.keep(**ending)
+    closed = step.keep(**_finished(step, empty))
     before = last["current_work_state_id"]
     if last["current_area"] == AREA_TRAVEL:
         following = step.next_without_loader(since, previous_work_state_id=before)
