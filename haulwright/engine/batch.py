@@ -25,6 +25,7 @@ from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
 from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
 from haulwright.functions.timing import from_micros
+from haulwright.session import use_checkpoint_dir
 from haulwright.schemas import (
     CHANGE_COLS,
     CHANGE_WIRE,
@@ -212,6 +213,7 @@ def _counted(ends: DataFrame) -> DataFrame:
 
 def _kept(df: DataFrame) -> DataFrame:
     """Cut the lineage in the checkpoint folder the session names."""
+    use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -249,7 +251,9 @@ def _sliced(moments: DataFrame, cfg: CycleConfig) -> tuple[DataFrame, bool]:
     later = F.filter("cuts", lambda c: c <= _cell(cfg))
     return (
         moments.join(cuts, "asset_guid", "left")
-        .withColumn("slice", F.coalesce(F.size(later), F.lit(0)))
+        .withColumn(
+            "slice", F.when(F.col("cuts").isNull(), 0).otherwise(F.size(later))
+        )
         .drop("cuts"),
         True,
     )
