@@ -237,14 +237,15 @@ def _settle(sliced: DataFrame, cfg: CycleConfig, rules) -> DataFrame:
     return starts.join(_counted(ends), _SLICE, "left")
 
 
-def _sliced(moments: DataFrame, cfg: CycleConfig) -> tuple[DataFrame, bool]:
+def rows_per_asset(telemetry: DataFrame) -> DataFrame:
+    return telemetry.groupBy("asset_guid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sliced(
+    moments: DataFrame, counts: DataFrame, cfg: CycleConfig
+) -> tuple[DataFrame, bool]:
     """Add `slice`: 0 for most trucks, rising with time for those with many rows."""
-    hot = (
-        moments.groupBy("asset_guid")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > cfg.max_rows_per_slice)
-        .select("asset_guid")
-    )
+    hot = counts.where(F.col("n") > cfg.max_rows_per_slice).select("asset_guid")
     if hot.isEmpty():
         return moments.withColumn("slice", F.lit(0)), False
     cuts = _kept(_cuts(moments, hot, cfg))
@@ -264,12 +265,17 @@ def cycle_changes(
     cfg: CycleConfig = DEFAULT,
     rules=None,
     closed_only: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Every cycle change caused by the enriched telemetry, and the lost records.
 
     `closed_only` leaves the rows that do not finish a cycle inside the task.
+    `counts` gives rows per asset (asset_guid, n) or an upper bound of them, to
+    find the trucks to slice without working out `moments` for it.
     """
-    rows, cut = _sliced(moments, cfg)
+    if counts is None:
+        counts = rows_per_asset(moments)
+    rows, cut = _sliced(moments, counts, cfg)
     starts = None
     if cut:
         many = rows.where("slice > 0").select("asset_guid").distinct()

@@ -9,11 +9,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import pi
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.config import CycleConfig
 
+_ROW_KEY = 1 << 26
+BOX = ["min_lon", "max_lon", "min_lat", "max_lat"]
 _NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -36,46 +38,54 @@ def has_place(lat: Column, lon: Column) -> Column:
 # --- rings --------------------------------------------------------------------
 
 
-def _pairs(points: Column) -> Column:
-    stripped = F.transform(
-        F.split(points, ","), lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")
-    )
-    return F.filter(stripped, lambda p: p != "")
-
-
-def ring_error(points: Column) -> Column:
-    """Why the text is no ring, or null: the first bad pair decides."""
-
-    def pair_error(pair: Column) -> Column:
-        parts = F.split(pair, " ", -1)
-        numeric = F.forall(parts, lambda v: v.rlike(_NUMBER))
-        return F.when(F.size(parts) != 2, "malformed").when(~numeric, "non_numeric")
+def with_ring(regions: DataFrame) -> DataFrame:
+    """Parse `points`: add `parse_error` (null if usable), `n_points`, `ring`, its box.
 
-    pairs = _pairs(points)
-    first_bad = F.get(F.filter(F.transform(pairs, pair_error), F.isnotnull), F.lit(0))
-    return (
-        F.when(points.isNull() | points.rlike(r"^\s*$"), "null_or_empty")
-        .when(first_bad.isNotNull(), first_bad)
-        .when(F.size(pairs) == 0, "no_points")
-        .when(F.size(pairs) < 3, "too_few_points")
+    Pairs become rows and are gathered again per region. The first bad pair
+    gives the reason; blank pairs are passed over.
+    """
+    columns = regions.columns
+    pair, parts, blank = F.col("pair"), F.col("parts"), F.col("pair") == ""
+    numeric = F.forall("parts", lambda v: v.rlike(_NUMBER))
+    bad = F.when(blank, None).when(F.size(parts) != 2, "malformed").when(~numeric, "non_numeric")
+    pairs = (
+        regions.select(*columns, F.posexplode_outer(F.split("points", ",")).alias("nth", "pair"))
+        .withColumn("pair", F.regexp_replace(pair, r"^\s+|\s+$", ""))
+        .withColumn("parts", F.split(pair, " ", -1))
+        .select(
+            *columns,
+            "nth",
+            blank.alias("blank"),
+            bad.alias("bad"),
+            F.get(parts, F.lit(0)).try_cast("double").alias("lon"),
+            F.get(parts, F.lit(1)).try_cast("double").alias("lat"),
+        )
     )
-
-
-def ring_points(points: Column) -> Column:
-    return F.transform(
-        _pairs(points),
-        lambda pair: F.struct(
-            F.split(pair, " ")[0].try_cast("double").alias("lon"),
-            F.split(pair, " ")[1].try_cast("double").alias("lat"),
-        ),
+    vertex = F.struct("nth", "lon", "lat")
+    gathered = pairs.groupBy(*columns).agg(
+        F.min(F.when(F.col("bad").isNotNull(), F.struct("nth", "bad"))).alias("first_bad"),
+        F.count_if(~F.col("blank")).alias("n_points"),
+        F.sort_array(F.collect_list(F.when(~F.col("blank"), vertex))).alias("ring"),
+        F.min("lon").alias("min_lon"),
+        F.max("lon").alias("max_lon"),
+        F.min("lat").alias("min_lat"),
+        F.max("lat").alias("max_lat"),
+    )
+    error = (
+        F.when(F.col("points").isNull() | F.col("points").rlike(r"^\s*$"), "null_or_empty")
+        .when(F.col("first_bad").isNotNull(), F.col("first_bad.bad"))
+        .when(F.col("n_points") == 0, "no_points")
+        .when(F.col("n_points") < 3, "too_few_points")
     )
+    return gathered.withColumn("parse_error", error).drop("first_bad")
 
 
-def ring_edges(ring: Column) -> Column:
+def ring_edges(ring: str) -> Column:
+    """Edges of the ring column, the last one back to the first point."""
     n = F.size(ring)
 
     def edge(point: Column, i: Column) -> Column:
-        following = F.get(ring, F.pmod(i + 1, n))
+        following = F.get(F.col(ring), F.pmod(i + 1, n))
         return F.struct(
             point["lon"].alias("x1"),
             point["lat"].alias("y1"),
@@ -156,43 +166,57 @@ class NearGrid:
         fitting = F.floor(F.cos(F.radians(steepest)) * (360.0 / self.step_deg))
         return F.greatest(fitting, F.lit(1))
 
-    @staticmethod
-    def _key(row: Column, column: Column) -> Column:
-        return row * F.lit(1 << 26) + column
+    def with_cell(self, points: DataFrame, usable: Column) -> DataFrame:
+        """Add `cell`, the key of the cell around each usable point."""
+        row, n = F.col("grid_row"), F.col("grid_columns")
+        column = F.least(F.floor((F.col("longitude") + 180.0) / 360.0 * n), n - 1)
+        return (
+            points.withColumn("grid_row", F.when(usable, self._row(F.col("latitude"))))
+            .withColumn("grid_columns", self._columns(row))
+            .withColumn("cell", row * F.lit(_ROW_KEY) + column)
+            .drop("grid_row", "grid_columns")
+        )
 
-    def key(self, lat: Column, lon: Column) -> Column:
-        row = self._row(lat)
-        n = self._columns(row)
-        column = F.least(F.floor((lon + 180.0) / 360.0 * n), n - 1)
-        return self._key(row, column)
+    def with_cells_in_reach(self, points: DataFrame) -> DataFrame:
+        """One row per point and cell that holds a spot within the radius of it.
 
-    def keys_in_reach(self, lat: Column, lon: Column) -> Column:
-        """Keys of all cells that hold a point within the radius."""
+        Adds `cell` and its centre as `cell_lat`, `cell_lon`, `cell_half` (half
+        diagonal in degrees).
+        """
         reach = F.lit(self.reach_deg)
+        lat, lon = F.col("latitude"), F.col("longitude")
         ratio = F.sin(F.radians(reach)) / F.cos(F.radians(lat))
-        # Half a degree of slack is never needed: the widest row has one column.
+        # Near a pole a circle may span all longitudes.
         half = F.when(ratio < 1, F.degrees(F.asin(ratio)) * (1 + 1e-6) + 1e-9).otherwise(180.0)
-        rows = F.sequence(self._row(lat - reach), self._row(lat + reach))
-
-        def columns(row: Column) -> Column:
-            n = self._columns(row)
-            first = F.floor((lon - half + 180.0) / 360.0 * n)
-            last = F.least(F.floor((lon + half + 180.0) / 360.0 * n), first + n - 1)
-            return F.transform(
-                F.sequence(first, last), lambda c: self._key(row, F.pmod(c, n))
+        row, n, width = F.col("grid_row"), F.col("grid_columns"), F.col("grid_width")
+        first = F.floor((lon - F.col("grid_half") + 180.0) / width)
+        last = F.floor((lon + F.col("grid_half") + 180.0) / width)
+        column = F.pmod(F.col("grid_column"), n)
+        diagonal = F.sqrt(width * width + self.step_deg**2) / 2 * (1 + 1e-6) + 1e-9
+        return (
+            points.withColumn("grid_half", half)
+            .withColumn(
+                "grid_row", F.explode(F.sequence(self._row(lat - reach), self._row(lat + reach)))
             )
-
-        return F.array_distinct(F.flatten(F.transform(rows, columns)))
-
-    def centre(self, key: Column) -> tuple[Column, Column, Column]:
-        """Latitude, longitude and half diagonal in degrees of a cell."""
-        row = F.floor(key / F.lit(1 << 26))
-        column = F.pmod(key, F.lit(1 << 26))
-        width = F.lit(360.0) / self._columns(row)
-        lat = (row + 0.5) * F.lit(self.step_deg) - 90.0
-        lon = (column + 0.5) * width - 180.0
-        half = F.sqrt(width * width + self.step_deg**2) / 2 * (1 + 1e-6) + 1e-9
-        return lat, lon, half
+            .withColumn("grid_columns", self._columns(row))
+            .withColumn("grid_width", F.lit(360.0) / n)
+            .withColumn("grid_first", first)
+            .withColumn("grid_last", F.least(last, F.col("grid_first") + n - 1))
+            .withColumn("grid_column", F.explode(F.sequence("grid_first", "grid_last")))
+            .withColumn("grid_column", column)
+            .withColumns(
+                {
+                    "cell": row * F.lit(_ROW_KEY) + F.col("grid_column"),
+                    "cell_lat": (row + 0.5) * F.lit(self.step_deg) - 90.0,
+                    "cell_lon": (F.col("grid_column") + 0.5) * width - 180.0,
+                    "cell_half": diagonal,
+                }
+            )
+            .drop(
+                "grid_half", "grid_row", "grid_columns", "grid_width",
+                "grid_first", "grid_last", "grid_column",
+            )
+        )
 
 
 @dataclass(frozen=True)
@@ -212,35 +236,37 @@ class BoxGrid:
 
     @staticmethod
     def _key(row: Column, column: Column) -> Column:
-        return row * F.lit(1 << 26) + column
+        return row * F.lit(_ROW_KEY) + column
 
-    def is_fine(self, box: Column) -> Column:
-        tall = F.floor((box["max_lat"] - box["min_lat"]) / self.fine_deg) + 2
-        wide = F.floor((box["max_lon"] - box["min_lon"]) / self.fine_deg) + 2
-        return tall * wide <= self.most
+    def with_cells(self, boxes: DataFrame) -> DataFrame:
+        """One row per box and cell it meets, as `fine` and `region_cell`."""
 
-    def keys(self, box: Column, step: float) -> Column:
         # Points outside the valid range meet no region, so boxes are cut to it.
-        def cells(low: Column, high: Column, limit: float) -> Column:
-            start = F.floor((F.greatest(low, F.lit(-limit)) + limit) / step)
-            stop = F.floor((F.least(high, F.lit(limit)) + limit) / step)
-            return F.when(start <= stop, F.sequence(start, stop)).otherwise(
-                F.array().cast("array<bigint>")
-            )
+        def first(low: str, limit: float) -> Column:
+            return F.floor((F.greatest(F.col(low), F.lit(-limit)) + limit) / F.col("grid_step"))
 
-        rows = cells(box["min_lat"], box["max_lat"], 90.0)
-        columns = cells(box["min_lon"], box["max_lon"], 180.0)
-        return F.flatten(
-            F.transform(rows, lambda r: F.transform(columns, lambda c: self._key(r, c)))
-        )
+        def last(high: str, limit: float) -> Column:
+            return F.floor((F.least(F.col(high), F.lit(limit)) + limit) / F.col("grid_step"))
 
-
-def ring_box(ring: Column) -> Column:
-    lons = F.transform(ring, lambda p: p["lon"])
-    lats = F.transform(ring, lambda p: p["lat"])
-    return F.struct(
-        F.array_min(lons).alias("min_lon"),
-        F.array_max(lons).alias("max_lon"),
-        F.array_min(lats).alias("min_lat"),
-        F.array_max(lats).alias("max_lat"),
-    )
+        tall = F.floor((F.col("max_lat") - F.col("min_lat")) / self.fine_deg) + 2
+        wide = F.floor((F.col("max_lon") - F.col("min_lon")) / self.fine_deg) + 2
+        return (
+            boxes.withColumn("fine", tall * wide <= self.most)
+            .withColumn("grid_step", F.when(F.col("fine"), self.fine_deg).otherwise(self.coarse_deg))
+            .withColumns(
+                {
+                    "grid_south": first("min_lat", 90.0),
+                    "grid_north": last("max_lat", 90.0),
+                    "grid_west": first("min_lon", 180.0),
+                    "grid_east": last("max_lon", 180.0),
+                }
+            )
+            .where("grid_south <= grid_north AND grid_west <= grid_east")
+            .withColumn("grid_row", F.explode(F.sequence("grid_south", "grid_north")))
+            .withColumn("grid_column", F.explode(F.sequence("grid_west", "grid_east")))
+            .withColumn("region_cell", self._key(F.col("grid_row"), F.col("grid_column")))
+            .drop(
+                "grid_step", "grid_south", "grid_north", "grid_west", "grid_east",
+                "grid_row", "grid_column",
+            )
+        )

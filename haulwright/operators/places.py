@@ -27,6 +27,8 @@ from haulwright.functions.timing import micros
 from haulwright.operators.timeline import neighbour
 
 _REGIONS_PER_CHUNK = 256
+_CENTRE = ["cell_lat", "cell_lon", "cell_half"]
+_CELL = ["cell", *_CENTRE]
 
 
 # --- loaders --------------------------------------------------------------------
@@ -110,13 +112,12 @@ def loader_cells(loaders: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
     the list of a cell holds distinct spots within some 60 m of each other.
     """
     grid = NearGrid.of(cfg)
+    spots = loaders.groupBy("site_guid", "latitude", "longitude").agg(
+        F.min("asset_guid").alias("asset_guid")
+    )
     return (
-        loaders.groupBy("site_guid", "latitude", "longitude")
-        .agg(F.min("asset_guid").alias("asset_guid"))
-        .withColumn(
-            "cell", F.explode(grid.keys_in_reach(F.col("latitude"), F.col("longitude")))
-        )
-        .groupBy("site_guid", "cell")
+        grid.with_cells_in_reach(spots)
+        .groupBy("site_guid", *_CELL)
         .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude")).alias("loaders"))
     )
 
@@ -133,11 +134,8 @@ def loader_cells_asof(
     last = F.least(F.coalesce("valid_to", "last_seen"), "last_seen")
     days = F.sequence(F.to_date("valid_from"), F.to_date(last))
     return (
-        spans.withColumn("day", F.explode(days))
-        .withColumn(
-            "cell", F.explode(grid.keys_in_reach(F.col("latitude"), F.col("longitude")))
-        )
-        .groupBy("site_guid", "cell", "day")
+        grid.with_cells_in_reach(spans.withColumn("day", F.explode(days)))
+        .groupBy("site_guid", *_CELL, "day")
         .agg(
             F.collect_list(
                 F.struct("asset_guid", "latitude", "longitude", "valid_from", "valid_to")
@@ -149,12 +147,14 @@ def loader_cells_asof(
 def with_nearest_loader(
     telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig = DEFAULT
 ) -> DataFrame:
-    """Add the cell of each row and `loader`, the nearest one within the radius."""
+    """Add `loader`, the nearest one within the radius, and what else the cell holds."""
     grid = NearGrid.of(cfg)
     lat, lon = F.col("latitude"), F.col("longitude")
-    rows = telemetry.withColumn("cell", F.when(~F.col("bad_position"), grid.key(lat, lon)))
-    found = rows.join(cells, ["site_guid", "cell"], "left")
-    return found.withColumn("loader", _nearest(F.col("loaders"), lat, lon, cfg)).drop("loaders")
+    rows = grid.with_cell(telemetry, ~F.col("bad_position"))
+    found = rows.join(cells.drop(*_CENTRE), ["site_guid", "cell"], "left")
+    return found.withColumn("loader", _nearest(F.col("loaders"), lat, lon, cfg)).drop(
+        "loaders", "cell"
+    )
 
 
 def with_nearest_loader_asof(
@@ -164,12 +164,8 @@ def with_nearest_loader_asof(
     grid = NearGrid.of(cfg)
     lat, lon = F.col("latitude"), F.col("longitude")
     second = F.date_trunc("second", "timestamp").cast("timestamp_ntz")
-    rows = telemetry.withColumns(
-        {
-            "cell": F.when(~F.col("bad_position"), grid.key(lat, lon)),
-            "day": F.to_date("timestamp"),
-            "second": second,
-        }
+    rows = grid.with_cell(telemetry, ~F.col("bad_position")).withColumns(
+        {"day": F.to_date("timestamp"), "second": second}
     )
     holds = F.filter(
         "loaders",
@@ -177,26 +173,23 @@ def with_nearest_loader_asof(
         & (p["valid_to"].isNull() | (F.col("second") < p["valid_to"])),
     )
     return (
-        rows.join(cells, ["site_guid", "cell", "day"], "left")
+        rows.join(cells.drop(*_CENTRE), ["site_guid", "cell", "day"], "left")
         .withColumn("loader", _nearest(holds, lat, lon, cfg))
-        .drop("loaders", "day", "second")
+        .drop("loaders", "cell", "day", "second")
     )
 
 
 # --- load regions ---------------------------------------------------------------
 
 
-def load_region_cells(
-    cells: DataFrame, shapes: DataFrame, cfg: CycleConfig = DEFAULT
-) -> DataFrame:
-    """For each loader cell, the load regions that can be nearest to a point in it.
+def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Add to each loader cell the load regions that can be nearest to a point in it.
 
     Distances to a ring differ by at most the half diagonal between the centre
     and any point of the cell, so only regions within twice that of the best one
     can win. A site's regions are held in chunks of bounded size; each cell
     meets each chunk of its site once and keeps the few regions near the best.
     """
-    grid = NearGrid.of(cfg)
     sizes = shapes.groupBy("site_guid").agg(
         F.ceil(F.count(F.lit(1)) / _REGIONS_PER_CHUNK).alias("n_chunks")
     )
@@ -207,7 +200,7 @@ def load_region_cells(
         .agg(F.collect_list(F.struct("region_guid", "edges")).alias("regions"))
         .drop("chunk")
     )
-    lat, lon, half = grid.centre(F.col("cell"))
+    lat, lon, half = F.col("cell_lat"), F.col("cell_lon"), F.col("cell_half")
     measured = F.transform(
         "regions",
         lambda r: F.struct(
@@ -223,17 +216,17 @@ def load_region_cells(
         return F.filter(regions, lambda r: r["distance"] <= best + half * 2)
 
     per_chunk = (
-        cells.select("site_guid", "cell")
+        cells.select("site_guid", *_CELL)
         .distinct()
         .join(chunks, "site_guid")
-        .select("site_guid", "cell", measured.alias("regions"))
+        .select("site_guid", "cell", "cell_half", measured.alias("regions"))
         .withColumn("best", F.array_min(F.transform("regions", lambda r: r["distance"])))
         .withColumn("regions", close(F.col("regions"), F.col("best")))
     )
-    merged = per_chunk.groupBy("site_guid", "cell").agg(
+    merged = per_chunk.groupBy("site_guid", "cell", "cell_half").agg(
         F.min("best").alias("best"), F.flatten(F.collect_list("regions")).alias("regions")
     )
-    return merged.select(
+    kept = merged.select(
         "site_guid",
         "cell",
         F.transform(
@@ -241,14 +234,12 @@ def load_region_cells(
             lambda r: F.struct(r["region_guid"], r["edges"]),
         ).alias("load_regions"),
     )
+    return cells.join(kept, ["site_guid", "cell"], "left")
 
 
-def with_load_region(telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
+def with_load_region(telemetry: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
     """Add `load_region` for rows near a loader: the one around, else the nearest."""
     lat, lon = F.col("latitude"), F.col("longitude")
-    lookup = F.when(
-        F.col("loader").isNotNull() & has_place(lat, lon), F.col("cell")
-    )
 
     def measured(r: Column) -> Column:
         within = inside(r["edges"], lon, lat)
@@ -260,13 +251,9 @@ def with_load_region(telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig =
             (~within).alias("outside"), metres.alias("distance"), r["region_guid"].alias("guid")
         )
 
-    nearest = F.array_min(F.transform("load_regions", measured))
-    return (
-        telemetry.withColumn("load_cell", lookup)
-        .join(cells.withColumnRenamed("cell", "load_cell"), ["site_guid", "load_cell"], "left")
-        .withColumn("load_region", nearest)
-        .drop("load_cell", "load_regions")
-    )
+    asked = F.col("loader").isNotNull() & has_place(lat, lon)
+    nearest = F.when(asked, F.array_min(F.transform("load_regions", measured)))
+    return telemetry.withColumn("load_region", nearest).drop("load_regions")
 
 
 # --- dump regions ---------------------------------------------------------------
@@ -274,55 +261,41 @@ def with_load_region(telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig =
 
 def region_cells(shapes: DataFrame, grid: BoxGrid = BoxGrid()) -> DataFrame:
     """Regions by (site, step, cell): all whose box meets the cell, in guid order."""
-    fine = grid.is_fine(F.col("box"))
-    keys = F.when(fine, grid.keys(F.col("box"), grid.fine_deg)).otherwise(
-        grid.keys(F.col("box"), grid.coarse_deg)
-    )
     return (
-        shapes.withColumns({"fine": fine, "region_cell": F.explode(keys)})
+        grid.with_cells(shapes)
         .groupBy("site_guid", "fine", "region_cell")
-        .agg(F.array_sort(F.collect_list(F.struct("region_guid", "edges"))).alias("regions"))
+        .agg(F.sort_array(F.collect_list(F.struct("region_guid", "edges"))).alias("regions"))
     )
 
 
 def with_dump_region(
-    telemetry: DataFrame, cells: DataFrame, grid: BoxGrid = BoxGrid()
+    telemetry: DataFrame,
+    cells: DataFrame,
+    grid: BoxGrid = BoxGrid(),
+    steps: tuple[str, ...] = ("fine", "coarse"),
 ) -> DataFrame:
-    """Add `dump_region`, the first region around the row, with its edges."""
+    """Add `dump_region`, the first region around the row, with its edges.
+
+    `steps` may leave out a cell size known to hold no region.
+    """
     lat, lon = F.col("latitude"), F.col("longitude")
     placed = has_place(lat, lon)
-    rows = telemetry.withColumns(
-        {
-            "fine_cell": F.when(placed, grid.key(lat, lon, grid.fine_deg)),
-            "coarse_cell": F.when(placed, grid.key(lat, lon, grid.coarse_deg)),
-        }
-    )
-    for step, wanted in (("fine", True), ("coarse", False)):
-        level = cells.where(F.col("fine") == wanted).select(
-            "site_guid",
-            F.col("region_cell").alias(f"{step}_cell"),
-            F.col("regions").alias(f"{step}_regions"),
+    rows, hits = telemetry, []
+    for step in steps:
+        level = cells.where("fine" if step == "fine" else "NOT fine").select(
+            "site_guid", "region_cell", "regions"
         )
-        rows = rows.join(level, ["site_guid", f"{step}_cell"], "left")
-
-    def first_around(column: str) -> Column:
-        return F.get(
-            F.filter(column, lambda r: inside(r["edges"], lon, lat)), F.lit(0)
+        size = grid.fine_deg if step == "fine" else grid.coarse_deg
+        around = F.filter("regions", lambda r: inside(r["edges"], lon, lat))
+        rows = (
+            rows.withColumn("region_cell", F.when(placed, grid.key(lat, lon, size)))
+            .join(level, ["site_guid", "region_cell"], "left")
+            .withColumn(f"{step}_hit", F.get(around, F.lit(0)))
+            .drop("region_cell", "regions")
         )
-
-    fine, coarse = F.col("fine_hit"), F.col("coarse_hit")
-    hit = F.when(
-        coarse.isNull() | (fine["region_guid"] < coarse["region_guid"]), fine
-    ).otherwise(coarse)
-    return (
-        rows.withColumns(
-            {"fine_hit": first_around("fine_regions"), "coarse_hit": first_around("coarse_regions")}
-        )
-        .withColumn("dump_region", hit)
-        .drop(
-            "fine_cell", "coarse_cell", "fine_regions", "coarse_regions", "fine_hit", "coarse_hit"
-        )
-    )
+        hits.append(f"{step}_hit")
+    first = F.least(*hits) if len(hits) > 1 else F.col(hits[0])
+    return rows.withColumn("dump_region", first).drop(*hits)
 
 
 # --- area ------------------------------------------------------------------------

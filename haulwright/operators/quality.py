@@ -9,30 +9,43 @@ from haulwright.config import CycleConfig
 from haulwright.functions.geo import position_ok
 
 
-def resolve_site(
-    telemetry: DataFrame, latest_site: DataFrame, assets: DataFrame
-) -> DataFrame:
-    """Payload site, else the newest region's, else the asset table's; none drops the row."""
+def fallback_sites(latest_site: DataFrame, assets: DataFrame) -> DataFrame:
+    """Site of each asset for payloads without one: its newest region's, else its own."""
     by_asset = assets.groupBy(F.col("guid").alias("asset_guid")).agg(
         F.min("site_guid").alias("home_site")
     )
     by_region = latest_site.select("asset_guid", F.col("site_guid").alias("region_site"))
+    return (
+        by_asset.join(by_region, "asset_guid", "full")
+        .withColumn("fallback_site", F.coalesce("region_site", "home_site"))
+        .where("fallback_site IS NOT NULL")
+        .select("asset_guid", "fallback_site")
+    )
+
+
+def resolve_site(telemetry: DataFrame, fallback: DataFrame) -> DataFrame:
+    """Payload site, else the fallback; a row without either is dropped."""
     given = F.nullif(F.col("site_guid"), F.lit(""))
     return (
-        telemetry.join(by_region, "asset_guid", "left")
-        .join(by_asset, "asset_guid", "left")
-        .withColumn("site_guid", F.coalesce(given, "region_site", "home_site"))
+        telemetry.join(fallback, "asset_guid", "left")
+        .withColumn("site_guid", F.coalesce(given, "fallback_site"))
         .where("site_guid IS NOT NULL")
-        .drop("region_site", "home_site")
+        .drop("fallback_site")
+    )
+
+
+def trucks(assets: DataFrame, cfg: CycleConfig) -> DataFrame:
+    """Haul trucks with their site."""
+    return (
+        assets.where(F.col("asset_type_guid") == cfg.truck_type)
+        .select(F.col("guid").alias("asset_guid"), "site_guid")
+        .distinct()
     )
 
 
 def truck_telemetry(telemetry: DataFrame, assets: DataFrame, cfg: CycleConfig) -> DataFrame:
     """Rows of assets listed as haul trucks at the row's site."""
-    trucks = assets.where(F.col("asset_type_guid") == cfg.truck_type).select(
-        F.col("guid").alias("asset_guid"), "site_guid"
-    )
-    return telemetry.join(trucks, ["asset_guid", "site_guid"], "left_semi")
+    return telemetry.join(trucks(assets, cfg), ["asset_guid", "site_guid"], "left_semi")
 
 
 def latest_process_info(process_info: DataFrame, process_name: str) -> DataFrame:
@@ -67,12 +80,13 @@ def loader_sites(loaders: DataFrame) -> DataFrame:
 
 def with_position_check(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:
     """Add `bad_position`; positions are only checked at sites that have loaders."""
+    return checked(telemetry.join(loader_sites(loaders), "site_guid", "left"))
+
+
+def checked(rows: DataFrame) -> DataFrame:
     ok = position_ok(F.col("latitude"), F.col("longitude"))
-    return (
-        telemetry.join(loader_sites(loaders), "site_guid", "left")
-        .withColumn("bad_position", ~ok & F.coalesce("has_loaders", F.lit(False)))
-        .drop("has_loaders")
-    )
+    bad = ~ok & F.coalesce("has_loaders", F.lit(False))
+    return rows.withColumn("bad_position", bad).drop("has_loaders")
 
 
 def coordinate_audit(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:

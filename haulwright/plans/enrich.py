@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, CycleConfig
-from haulwright.operators import places
-from haulwright.operators.quality import resolve_site, truck_telemetry, with_position_check
+from haulwright.operators import places, quality
 from haulwright.sources.derived import DerivedInputs
 from haulwright.sources.regions import asset_latest_site, region_shapes, site_regions
 
@@ -35,33 +34,80 @@ class Dimensions:
         )
 
 
-def trucks_only(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig) -> DataFrame:
-    resolved = resolve_site(telemetry, dims.latest_site, dims.assets)
-    return truck_telemetry(resolved, dims.assets, cfg)
+@dataclass
+class PlaceIndex:
+    """The dimensions arranged for lookup by telemetry rows: one row per key.
+
+    The tables are persisted, as every batch of telemetry meets them again; lost
+    blocks are worked out anew. Call `release` when done.
+    """
+
+    fallback: DataFrame
+    trucks: DataFrame
+    loader_cells: DataFrame
+    dump_cells: DataFrame
+    dump_steps: tuple[str, ...]
+
+    @staticmethod
+    def build(
+        dims: Dimensions, cfg: CycleConfig = DEFAULT, until: DataFrame | None = None
+    ) -> "PlaceIndex":
+        """`until` (last telemetry time per site) is needed to reprocess."""
+        if cfg.service == "realtime":
+            loaders = places.loaders_current(dims.process_info, cfg)
+            cells = places.loader_cells(loaders, cfg)
+        else:
+            loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg)
+            cells = places.loader_cells_asof(loaders, until, cfg)
+        cells = places.with_load_regions(cells, region_shapes(dims.regions, "load"))
+        dump_cells = places.region_cells(region_shapes(dims.regions, "dump")).persist()
+        sizes = dump_cells.agg(
+            F.coalesce(F.max("fine"), F.lit(False)), F.coalesce(F.min("fine"), F.lit(True))
+        ).first()
+        some_fine, all_fine = sizes
+        return PlaceIndex(
+            fallback=quality.fallback_sites(dims.latest_site, dims.assets).persist(),
+            trucks=quality.trucks(dims.assets, cfg)
+            .join(quality.loader_sites(loaders), "site_guid", "left")
+            .persist(),
+            loader_cells=cells.persist(),
+            dump_cells=dump_cells,
+            dump_steps=("fine",) if all_fine else ("fine", "coarse") if some_fine else ("coarse",),
+        )
+
+    def release(self) -> None:
+        for table in (self.fallback, self.trucks, self.loader_cells, self.dump_cells):
+            table.unpersist()
+
 
+def last_seen(telemetry: DataFrame, fallback: DataFrame) -> DataFrame:
+    """Last telemetry time of each site."""
+    return (
+        quality.resolve_site(telemetry, fallback)
+        .groupBy("site_guid")
+        .agg(F.max("timestamp").alias("last_seen"))
+    )
 
-def near_loader(rows: DataFrame, dims: Dimensions, cfg: CycleConfig) -> tuple[DataFrame, DataFrame]:
-    """Rows with their nearest loader, and the cells used to find it."""
+
+def index_for(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig = DEFAULT) -> PlaceIndex:
     if cfg.service == "realtime":
-        loaders = places.loaders_current(dims.process_info, cfg)
-        cells = places.loader_cells(loaders, cfg)
-        return places.with_nearest_loader(with_position_check(rows, loaders), cells, cfg), cells
-    validity = places.loader_validity(dims.loader_idle, dims.assets, cfg)
-    until = rows.groupBy("site_guid").agg(F.max("timestamp").alias("last_seen"))
-    cells = places.loader_cells_asof(validity, until, cfg)
-    checked = with_position_check(rows, validity)
-    return places.with_nearest_loader_asof(checked, cells, cfg), cells
+        return PlaceIndex.build(dims, cfg)
+    fallback = quality.fallback_sites(dims.latest_site, dims.assets)
+    return PlaceIndex.build(dims, cfg, last_seen(telemetry, fallback))
 
 
-def placed(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig = DEFAULT) -> DataFrame:
+def placed(telemetry: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
     """Truck telemetry with loader, load region, dump region and colocation."""
-    rows, cells = near_loader(trucks_only(telemetry, dims, cfg), dims, cfg)
-    load_shapes = region_shapes(dims.regions, "load")
-    dump_shapes = region_shapes(dims.regions, "dump")
-    rows = places.with_load_region(rows, places.load_region_cells(cells, load_shapes, cfg), cfg)
-    rows = places.with_dump_region(rows, places.region_cells(dump_shapes))
+    resolved = quality.resolve_site(telemetry, index.fallback)
+    rows = quality.checked(resolved.join(index.trucks, ["asset_guid", "site_guid"]))
+    if cfg.service == "realtime":
+        rows = places.with_nearest_loader(rows, index.loader_cells, cfg)
+    else:
+        rows = places.with_nearest_loader_asof(rows, index.loader_cells, cfg)
+    rows = places.with_load_region(rows, cfg)
+    rows = places.with_dump_region(rows, index.dump_cells, steps=index.dump_steps)
     return places.with_colocation(rows)
 
 
-def moments(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig = DEFAULT) -> DataFrame:
-    return places.as_moments(placed(telemetry, dims, cfg))
+def moments(telemetry: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
+    return places.as_moments(placed(telemetry, index, cfg))

@@ -13,6 +13,7 @@ def local_session(cores: int | str = "*", **conf) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("haulwright")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")

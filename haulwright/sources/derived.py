@@ -126,6 +126,11 @@ class DerivedInputs:
             latitude.alias("latitude"),
         )
 
+    def rows_per_asset(self) -> DataFrame:
+        """At least the number of telemetry rows of each asset."""
+        asset = F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("asset_guid")
+        return self.table("events").groupBy(asset).agg(F.count(F.lit(1)).alias("n"))
+
     def telemetry_raw(self) -> DataFrame:
         """Telemetry as JSON payloads, some of them broken in each known way."""
         t = self.telemetry()

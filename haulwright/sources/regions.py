@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulwright.functions.geo import ring_box, ring_edges, ring_error, ring_points
+from haulwright.functions.geo import BOX, ring_edges, with_ring
 
 _REGION_JSON = "region_guid string, region_name string, region_type string, points string"
 
@@ -30,21 +30,12 @@ def site_regions(store: DataFrame) -> DataFrame:
 def region_audit(regions: DataFrame) -> DataFrame:
     """Why each region's points form no ring, and its box if they do."""
     ok = F.col("parse_error").isNull()
-    return (
-        regions.withColumn("parse_error", ring_error(F.col("points")))
-        .withColumn("ring", F.when(ok, ring_points(F.col("points"))))
-        .withColumn("box", F.when(ok, ring_box(F.col("ring"))))
-        .select(
-            "site_guid",
-            "region_guid",
-            "region_type",
-            "parse_error",
-            F.when(ok, F.size("ring")).alias("n_points"),
-            "box.min_lon",
-            "box.max_lon",
-            "box.min_lat",
-            "box.max_lat",
-        )
+    return with_ring(regions).select(
+        "site_guid",
+        "region_guid",
+        "region_type",
+        "parse_error",
+        *(F.when(ok, F.col(name)).alias(name) for name in ["n_points", *BOX]),
     )
 
 
@@ -54,18 +45,15 @@ def region_shapes(regions: DataFrame, region_type: str) -> DataFrame:
     Copies of a ring within a site answer every question like the first of
     them, so only the one with the lowest guid is kept.
     """
-    return (
+    distinct = (
         regions.where(F.col("region_type") == region_type)
-        .where(ring_error(F.col("points")).isNull())
         .groupBy("site_guid", "points")
         .agg(F.min("region_guid").alias("region_guid"))
-        .withColumn("ring", ring_points(F.col("points")))
-        .select(
-            "site_guid",
-            "region_guid",
-            ring_edges(F.col("ring")).alias("edges"),
-            ring_box(F.col("ring")).alias("box"),
-        )
+    )
+    return (
+        with_ring(distinct)
+        .where("parse_error IS NULL")
+        .select("site_guid", "region_guid", ring_edges("ring").alias("edges"), *BOX)
     )
 
 
