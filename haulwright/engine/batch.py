@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
 from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
-from haulwright.functions.timing import from_micros
 from haulwright.session import use_checkpoint_dir
 from haulwright.schemas import (
     CHANGE_COLS,
@@ -283,5 +282,11 @@ def cycle_changes(
     changes = _in_order(rows, starts).mapInArrow(
         _fold_changes(cfg, rules, closed_only), CHANGE_WIRE
     )
-    times = {name: from_micros(F.col(name)) for name in CYCLE_TIMES}
-    return changes.withColumns(times).select(*CHANGE_COLS)
+    return changes.selectExpr(
+        *(
+            f"cast(timestamp_micros({name}) AS timestamp_ntz) AS {name}"
+            if name in CYCLE_TIMES
+            else name
+            for name in CHANGE_COLS
+        )
+    )

@@ -1,4 +1,6 @@
-"""Distances, rings and grid cells as column expressions.
+"""Distances, rings and grid cells.
+
+Functions of one row give SQL text for use in expressions, `with_*` add columns.
 
 A ring is kept as its edges, `array<struct<x1,y1,x2,y2>>` with x = longitude and
 y = latitude, closed even if the text left the last edge out.
@@ -9,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import pi
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.config import CycleConfig
@@ -19,20 +21,23 @@ BOX = ["min_lon", "max_lon", "min_lat", "max_lat"]
 _NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius_m: float) -> Column:
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(radius_m) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str, radius_m: float) -> str:
+    half_lat = f"sin(radians({lat2} - {lat1}) / 2)"
+    half_lon = f"sin(radians({lon2} - {lon1}) / 2)"
+    a = (
+        f"({half_lat} * {half_lat}"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * {half_lon} * {half_lon})"
+    )
+    return f"({radius_m!r}D * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
 
 
-def position_ok(lat: Column, lon: Column) -> Column:
-    return F.coalesce(lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0), F.lit(False))
+def position_ok(lat: str, lon: str) -> str:
+    return f"coalesce({lat} BETWEEN -90 AND 90 AND {lon} BETWEEN -180 AND 180, false)"
 
 
-def has_place(lat: Column, lon: Column) -> Column:
+def has_place(lat: str, lon: str) -> str:
     """Region tests skip points without position and points with lat = lon."""
-    return lat.isNotNull() & lon.isNotNull() & (lat != lon)
+    return f"({lat} IS NOT NULL AND {lon} IS NOT NULL AND {lat} <> {lon})"
 
 
 # --- rings --------------------------------------------------------------------
@@ -45,90 +50,82 @@ def with_ring(regions: DataFrame) -> DataFrame:
     gives the reason; blank pairs are passed over.
     """
     columns = regions.columns
-    pair, parts, blank = F.col("pair"), F.col("parts"), F.col("pair") == ""
-    numeric = F.forall("parts", lambda v: v.rlike(_NUMBER))
-    bad = F.when(blank, None).when(F.size(parts) != 2, "malformed").when(~numeric, "non_numeric")
-    pairs = (
-        regions.select(*columns, F.posexplode_outer(F.split("points", ",")).alias("nth", "pair"))
-        .withColumn("pair", F.regexp_replace(pair, r"^\s+|\s+$", ""))
-        .withColumn("parts", F.split(pair, " ", -1))
-        .select(
+    gathered = (
+        regions.selectExpr(*columns, "posexplode_outer(split(points, ',')) AS (nth, piece)")
+        .selectExpr(*columns, "nth", r"regexp_replace(piece, r'^\s+|\s+$', '') AS pair")
+        .selectExpr(*columns, "nth", "pair", "split(pair, ' ', -1) AS parts")
+        .selectExpr(
             *columns,
             "nth",
-            blank.alias("blank"),
-            bad.alias("bad"),
-            F.get(parts, F.lit(0)).try_cast("double").alias("lon"),
-            F.get(parts, F.lit(1)).try_cast("double").alias("lat"),
+            "pair = '' AS blank",
+            f"""CASE WHEN pair = '' THEN null WHEN size(parts) <> 2 THEN 'malformed'
+                WHEN NOT forall(parts, v -> v RLIKE r'{_NUMBER}') THEN 'non_numeric' END AS bad""",
+            "try_cast(get(parts, 0) AS double) AS lon",
+            "try_cast(get(parts, 1) AS double) AS lat",
+        )
+        .groupBy(*columns)
+        .agg(
+            F.expr("min_by(bad, nth) FILTER (WHERE bad IS NOT NULL) AS first_bad"),
+            F.expr("count_if(NOT blank) AS n_points"),
+            F.expr(
+                "sort_array(collect_list(struct(nth, lon, lat)) FILTER (WHERE NOT blank)) AS ring"
+            ),
+            F.expr("min(lon) AS min_lon"),
+            F.expr("max(lon) AS max_lon"),
+            F.expr("min(lat) AS min_lat"),
+            F.expr("max(lat) AS max_lat"),
         )
     )
-    vertex = F.struct("nth", "lon", "lat")
-    gathered = pairs.groupBy(*columns).agg(
-        F.min(F.when(F.col("bad").isNotNull(), F.struct("nth", "bad"))).alias("first_bad"),
-        F.count_if(~F.col("blank")).alias("n_points"),
-        F.sort_array(F.collect_list(F.when(~F.col("blank"), vertex))).alias("ring"),
-        F.min("lon").alias("min_lon"),
-        F.max("lon").alias("max_lon"),
-        F.min("lat").alias("min_lat"),
-        F.max("lat").alias("max_lat"),
-    )
-    error = (
-        F.when(F.col("points").isNull() | F.col("points").rlike(r"^\s*$"), "null_or_empty")
-        .when(F.col("first_bad").isNotNull(), F.col("first_bad.bad"))
-        .when(F.col("n_points") == 0, "no_points")
-        .when(F.col("n_points") < 3, "too_few_points")
-    )
-    return gathered.withColumn("parse_error", error).drop("first_bad")
-
-
-def ring_edges(ring: str) -> Column:
+    return gathered.withColumn(
+        "parse_error",
+        F.expr(
+            r"""CASE WHEN points IS NULL OR points RLIKE r'^\s*$' THEN 'null_or_empty'
+                WHEN first_bad IS NOT NULL THEN first_bad
+                WHEN n_points = 0 THEN 'no_points'
+                WHEN n_points < 3 THEN 'too_few_points' END"""
+        ),
+    ).drop("first_bad")
+
+
+def ring_edges(ring: str) -> str:
     """Edges of the ring column, the last one back to the first point."""
-    n = F.size(ring)
-
-    def edge(point: Column, i: Column) -> Column:
-        following = F.get(F.col(ring), F.pmod(i + 1, n))
-        return F.struct(
-            point["lon"].alias("x1"),
-            point["lat"].alias("y1"),
-            following["lon"].alias("x2"),
-            following["lat"].alias("y2"),
-        )
-
-    return F.transform(ring, edge)
+    following = f"get({ring}, pmod(i + 1, size({ring})))"
+    return (
+        f"transform({ring}, (p, i) -> struct(p.lon AS x1, p.lat AS y1,"
+        f" {following}.lon AS x2, {following}.lat AS y2))"
+    )
 
 
-def inside(edges: Column, lon: Column, lat: Column) -> Column:
+def inside(edges: str, lon: str, lat: str) -> str:
     """Point in polygon, the boundary counting as inside."""
-
-    def on_edge(e: Column) -> Column:
-        cross = (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
-        return (
-            (cross == 0)
-            & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    def crossed(e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        at_x = (e["x2"] - e["x1"]) * (lat - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-        return spans & F.coalesce(lon < at_x, F.lit(False))
-
-    odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != crossed(e))
-    return F.exists(edges, on_edge) | odd
+    on_edge = (
+        f"(e.x2 - e.x1) * ({lat} - e.y1) - (e.y2 - e.y1) * ({lon} - e.x1) = 0"
+        f" AND {lon} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)"
+        f" AND {lat} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
+    )
+    crossed = (
+        f"((e.y1 > {lat}) <> (e.y2 > {lat}) AND coalesce("
+        f"{lon} < (e.x2 - e.x1) * ({lat} - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1, false))"
+    )
+    return (
+        f"(exists({edges}, e -> {on_edge})"
+        f" OR aggregate({edges}, false, (odd, e) -> odd <> {crossed}))"
+    )
 
 
-def degrees_to_ring(edges: Column, lon: Column, lat: Column) -> Column:
+def degrees_to_ring(edges: str, lon: str, lat: str) -> str:
     """Planar distance in degrees from a point outside to the ring."""
-
-    def to_edge(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        along = ((lon - e["x1"]) * dx + (lat - e["y1"]) * dy) / F.nullif(
-            dx * dx + dy * dy, F.lit(0.0)
-        )
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-        off_x, off_y = lon - (e["x1"] + t * dx), lat - (e["y1"] + t * dy)
-        return F.sqrt(off_x * off_x + off_y * off_y)
-
-    return F.array_min(F.transform(edges, to_edge))
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    along = (
+        f"(({lon} - e.x1) * {dx} + ({lat} - e.y1) * {dy})"
+        f" / nullif({dx} * {dx} + {dy} * {dy}, 0D)"
+    )
+    t = f"greatest(0D, least(1D, coalesce({along}, 0D)))"
+    off_x, off_y = f"({lon} - (e.x1 + {t} * {dx}))", f"({lat} - (e.y1 + {t} * {dy}))"
+    return (
+        f"array_min(transform({edges}, e -> "
+        f"sqrt({off_x} * {off_x} + {off_y} * {off_y})))"
+    )
 
 
 # --- grids --------------------------------------------------------------------
@@ -157,23 +154,21 @@ class NearGrid:
     def step_deg(self) -> float:
         return self.reach_deg * 1.05
 
-    def _row(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / self.step_deg)
+    def _row(self, lat: str) -> str:
+        return f"floor(({lat} + 90) / {self.step_deg!r}D)"
 
-    def _columns(self, row: Column) -> Column:
-        low = row * F.lit(self.step_deg) - 90.0
-        steepest = F.least(F.greatest(F.abs(low), F.abs(low + self.step_deg)), F.lit(90.0))
-        fitting = F.floor(F.cos(F.radians(steepest)) * (360.0 / self.step_deg))
-        return F.greatest(fitting, F.lit(1))
+    def _columns(self) -> str:
+        low = f"(grid_row * {self.step_deg!r}D - 90)"
+        steepest = f"least(greatest(abs({low}), abs({low} + {self.step_deg!r}D)), 90D)"
+        return f"greatest(floor(cos(radians({steepest})) * {360.0 / self.step_deg!r}D), 1L)"
 
-    def with_cell(self, points: DataFrame, usable: Column) -> DataFrame:
+    def with_cell(self, points: DataFrame, usable: str) -> DataFrame:
         """Add `cell`, the key of the cell around each usable point."""
-        row, n = F.col("grid_row"), F.col("grid_columns")
-        column = F.least(F.floor((F.col("longitude") + 180.0) / 360.0 * n), n - 1)
+        column = "least(floor((longitude + 180) / 360 * grid_columns), grid_columns - 1)"
         return (
-            points.withColumn("grid_row", F.when(usable, self._row(F.col("latitude"))))
-            .withColumn("grid_columns", self._columns(row))
-            .withColumn("cell", row * F.lit(_ROW_KEY) + column)
+            points.selectExpr("*", f"if({usable}, {self._row('latitude')}, null) AS grid_row")
+            .selectExpr("*", f"{self._columns()} AS grid_columns")
+            .selectExpr("*", f"grid_row * {_ROW_KEY}L + {column} AS cell")
             .drop("grid_row", "grid_columns")
         )
 
@@ -183,38 +178,40 @@ class NearGrid:
         Adds `cell` and its centre as `cell_lat`, `cell_lon`, `cell_half` (half
         diagonal in degrees).
         """
-        reach = F.lit(self.reach_deg)
-        lat, lon = F.col("latitude"), F.col("longitude")
-        ratio = F.sin(F.radians(reach)) / F.cos(F.radians(lat))
-        # Near a pole a circle may span all longitudes.
-        half = F.when(ratio < 1, F.degrees(F.asin(ratio)) * (1 + 1e-6) + 1e-9).otherwise(180.0)
-        row, n, width = F.col("grid_row"), F.col("grid_columns"), F.col("grid_width")
-        first = F.floor((lon - F.col("grid_half") + 180.0) / width)
-        last = F.floor((lon + F.col("grid_half") + 180.0) / width)
-        column = F.pmod(F.col("grid_column"), n)
-        diagonal = F.sqrt(width * width + self.step_deg**2) / 2 * (1 + 1e-6) + 1e-9
+        reach = f"{self.reach_deg!r}D"
+        ratio = f"sin(radians({reach})) / cos(radians(latitude))"
+        rows = f"sequence({self._row(f'latitude - {reach}')}, {self._row(f'latitude + {reach}')})"
+        step = f"{self.step_deg!r}D"
         return (
-            points.withColumn("grid_half", half)
-            .withColumn(
-                "grid_row", F.explode(F.sequence(self._row(lat - reach), self._row(lat + reach)))
+            # Near a pole a circle may span all longitudes.
+            points.selectExpr(
+                "*",
+                f"if({ratio} < 1, degrees(asin({ratio})) * 1.000001D + 1e-9D, 180D) AS grid_half",
+                f"explode({rows}) AS grid_row",
             )
-            .withColumn("grid_columns", self._columns(row))
-            .withColumn("grid_width", F.lit(360.0) / n)
-            .withColumn("grid_first", first)
-            .withColumn("grid_last", F.least(last, F.col("grid_first") + n - 1))
-            .withColumn("grid_column", F.explode(F.sequence("grid_first", "grid_last")))
-            .withColumn("grid_column", column)
-            .withColumns(
-                {
-                    "cell": row * F.lit(_ROW_KEY) + F.col("grid_column"),
-                    "cell_lat": (row + 0.5) * F.lit(self.step_deg) - 90.0,
-                    "cell_lon": (F.col("grid_column") + 0.5) * width - 180.0,
-                    "cell_half": diagonal,
-                }
+            .selectExpr("*", f"{self._columns()} AS grid_columns")
+            .selectExpr("*", "360D / grid_columns AS grid_width")
+            .selectExpr(
+                "*",
+                "floor((longitude - grid_half + 180) / grid_width) AS grid_first",
+                "floor((longitude + grid_half + 180) / grid_width) AS grid_last",
+            )
+            .selectExpr(
+                "*",
+                "explode(sequence(grid_first, least(grid_last, grid_first + grid_columns - 1)))"
+                " AS grid_turn",
+            )
+            .selectExpr("*", "pmod(grid_turn, grid_columns) AS grid_column")
+            .selectExpr(
+                "*",
+                f"grid_row * {_ROW_KEY}L + grid_column AS cell",
+                f"(grid_row + 0.5D) * {step} - 90 AS cell_lat",
+                "(grid_column + 0.5D) * grid_width - 180 AS cell_lon",
+                f"sqrt(grid_width * grid_width + {step} * {step}) / 2 * 1.000001D + 1e-9D AS cell_half",
             )
             .drop(
                 "grid_half", "grid_row", "grid_columns", "grid_width",
-                "grid_first", "grid_last", "grid_column",
+                "grid_first", "grid_last", "grid_turn", "grid_column",
             )
         )
 
@@ -231,40 +228,30 @@ class BoxGrid:
     coarse_deg: float = 0.5
     most: int = 4096
 
-    def key(self, lat: Column, lon: Column, step: float) -> Column:
-        return self._key(F.floor((lat + 90.0) / step), F.floor((lon + 180.0) / step))
-
-    @staticmethod
-    def _key(row: Column, column: Column) -> Column:
-        return row * F.lit(_ROW_KEY) + column
+    def key(self, lat: str, lon: str, step: float) -> str:
+        return f"(floor(({lat} + 90) / {step!r}D) * {_ROW_KEY}L + floor(({lon} + 180) / {step!r}D))"
 
     def with_cells(self, boxes: DataFrame) -> DataFrame:
-        """One row per box and cell it meets, as `fine` and `region_cell`."""
+        """One row per box and cell it meets, as `fine` and `region_cell`.
 
-        # Points outside the valid range meet no region, so boxes are cut to it.
-        def first(low: str, limit: float) -> Column:
-            return F.floor((F.greatest(F.col(low), F.lit(-limit)) + limit) / F.col("grid_step"))
-
-        def last(high: str, limit: float) -> Column:
-            return F.floor((F.least(F.col(high), F.lit(limit)) + limit) / F.col("grid_step"))
-
-        tall = F.floor((F.col("max_lat") - F.col("min_lat")) / self.fine_deg) + 2
-        wide = F.floor((F.col("max_lon") - F.col("min_lon")) / self.fine_deg) + 2
+        Points outside the valid range meet no region, so boxes are cut to it.
+        """
+        tall = f"(floor((max_lat - min_lat) / {self.fine_deg!r}D) + 2)"
+        wide = f"(floor((max_lon - min_lon) / {self.fine_deg!r}D) + 2)"
         return (
-            boxes.withColumn("fine", tall * wide <= self.most)
-            .withColumn("grid_step", F.when(F.col("fine"), self.fine_deg).otherwise(self.coarse_deg))
-            .withColumns(
-                {
-                    "grid_south": first("min_lat", 90.0),
-                    "grid_north": last("max_lat", 90.0),
-                    "grid_west": first("min_lon", 180.0),
-                    "grid_east": last("max_lon", 180.0),
-                }
+            boxes.selectExpr("*", f"{tall} * {wide} <= {self.most} AS fine")
+            .selectExpr("*", f"if(fine, {self.fine_deg!r}D, {self.coarse_deg!r}D) AS grid_step")
+            .selectExpr(
+                "*",
+                "floor((greatest(min_lat, -90D) + 90) / grid_step) AS grid_south",
+                "floor((least(max_lat, 90D) + 90) / grid_step) AS grid_north",
+                "floor((greatest(min_lon, -180D) + 180) / grid_step) AS grid_west",
+                "floor((least(max_lon, 180D) + 180) / grid_step) AS grid_east",
             )
             .where("grid_south <= grid_north AND grid_west <= grid_east")
-            .withColumn("grid_row", F.explode(F.sequence("grid_south", "grid_north")))
-            .withColumn("grid_column", F.explode(F.sequence("grid_west", "grid_east")))
-            .withColumn("region_cell", self._key(F.col("grid_row"), F.col("grid_column")))
+            .selectExpr("*", "explode(sequence(grid_south, grid_north)) AS grid_row")
+            .selectExpr("*", "explode(sequence(grid_west, grid_east)) AS grid_column")
+            .selectExpr("*", f"grid_row * {_ROW_KEY}L + grid_column AS region_cell")
             .drop(
                 "grid_step", "grid_south", "grid_north", "grid_west", "grid_east",
                 "grid_row", "grid_column",

@@ -23,7 +23,6 @@ from haulwright.functions.geo import (
     haversine_m,
     inside,
 )
-from haulwright.functions.timing import micros
 from haulwright.operators.timeline import neighbour
 
 _REGIONS_PER_CHUNK = 256
@@ -85,24 +84,14 @@ def loader_validity(
     )
 
 
-def _candidate(lat: Column, lon: Column, cfg: CycleConfig):
-    """Distance first, then guid: the smallest struct is the nearest loader."""
-
-    def build(loader: Column) -> Column:
-        metres = haversine_m(lat, lon, loader["latitude"], loader["longitude"], cfg.earth_radius_m)
-        return F.struct(
-            metres.alias("distance"),
-            loader["asset_guid"].alias("guid"),
-            loader["latitude"].alias("latitude"),
-            loader["longitude"].alias("longitude"),
-        )
-
-    return build
-
-
-def _nearest(loaders: Column, lat: Column, lon: Column, cfg: CycleConfig) -> Column:
-    measured = F.transform(loaders, _candidate(lat, lon, cfg))
-    return F.array_min(F.filter(measured, lambda c: c["distance"] <= cfg.loader_radius_m))
+def _nearest(loaders: str, cfg: CycleConfig) -> Column:
+    """The loader with the smallest (distance, guid) within the radius."""
+    metres = haversine_m("latitude", "longitude", "p.latitude", "p.longitude", cfg.earth_radius_m)
+    measured = (
+        f"transform({loaders}, p -> struct({metres} AS distance, p.asset_guid AS guid,"
+        " p.latitude AS latitude, p.longitude AS longitude))"
+    )
+    return F.expr(f"array_min(filter({measured}, c -> c.distance <= {cfg.loader_radius_m}D))")
 
 
 def loader_cells(loaders: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
@@ -148,33 +137,27 @@ def with_nearest_loader(
     telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig = DEFAULT
 ) -> DataFrame:
     """Add `loader`, the nearest one within the radius, and what else the cell holds."""
-    grid = NearGrid.of(cfg)
-    lat, lon = F.col("latitude"), F.col("longitude")
-    rows = grid.with_cell(telemetry, ~F.col("bad_position"))
+    rows = NearGrid.of(cfg).with_cell(telemetry, "NOT bad_position")
     found = rows.join(cells.drop(*_CENTRE), ["site_guid", "cell"], "left")
-    return found.withColumn("loader", _nearest(F.col("loaders"), lat, lon, cfg)).drop(
-        "loaders", "cell"
-    )
+    return found.withColumn("loader", _nearest("loaders", cfg)).drop("loaders", "cell")
 
 
 def with_nearest_loader_asof(
     telemetry: DataFrame, cells: DataFrame, cfg: CycleConfig = DEFAULT
 ) -> DataFrame:
     """As `with_nearest_loader`, with the positions that held at the row's second."""
-    grid = NearGrid.of(cfg)
-    lat, lon = F.col("latitude"), F.col("longitude")
-    second = F.date_trunc("second", "timestamp").cast("timestamp_ntz")
-    rows = grid.with_cell(telemetry, ~F.col("bad_position")).withColumns(
-        {"day": F.to_date("timestamp"), "second": second}
+    rows = NearGrid.of(cfg).with_cell(telemetry, "NOT bad_position").selectExpr(
+        "*",
+        "to_date(timestamp) AS day",
+        "cast(date_trunc('second', timestamp) AS timestamp_ntz) AS second",
     )
-    holds = F.filter(
-        "loaders",
-        lambda p: (p["valid_from"] <= F.col("second"))
-        & (p["valid_to"].isNull() | (F.col("second") < p["valid_to"])),
+    holds = (
+        "filter(loaders, p -> p.valid_from <= second"
+        " AND (p.valid_to IS NULL OR second < p.valid_to))"
     )
     return (
         rows.join(cells.drop(*_CENTRE), ["site_guid", "cell", "day"], "left")
-        .withColumn("loader", _nearest(holds, lat, lon, cfg))
+        .withColumn("loader", _nearest(holds, cfg))
         .drop("loaders", "cell", "day", "second")
     )
 
@@ -200,59 +183,45 @@ def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("region_guid", "edges")).alias("regions"))
         .drop("chunk")
     )
-    lat, lon, half = F.col("cell_lat"), F.col("cell_lon"), F.col("cell_half")
-    measured = F.transform(
-        "regions",
-        lambda r: F.struct(
-            F.when(inside(r["edges"], lon, lat), F.lit(0.0))
-            .otherwise(degrees_to_ring(r["edges"], lon, lat))
-            .alias("distance"),
-            r["region_guid"].alias("region_guid"),
-            r["edges"].alias("edges"),
-        ),
+    measured = (
+        f"transform(regions, r -> struct(if({inside('r.edges', 'cell_lon', 'cell_lat')}, 0D,"
+        f" {degrees_to_ring('r.edges', 'cell_lon', 'cell_lat')}) AS distance,"
+        " r.region_guid AS region_guid, r.edges AS edges))"
     )
-
-    def close(regions: Column, best: Column) -> Column:
-        return F.filter(regions, lambda r: r["distance"] <= best + half * 2)
+    close = "filter(regions, r -> r.distance <= best + cell_half * 2)"
 
     per_chunk = (
         cells.select("site_guid", *_CELL)
         .distinct()
         .join(chunks, "site_guid")
-        .select("site_guid", "cell", "cell_half", measured.alias("regions"))
-        .withColumn("best", F.array_min(F.transform("regions", lambda r: r["distance"])))
-        .withColumn("regions", close(F.col("regions"), F.col("best")))
+        .selectExpr("site_guid", "cell", "cell_half", f"{measured} AS regions")
+        .selectExpr("*", "array_min(transform(regions, r -> r.distance)) AS best")
+        .withColumn("regions", F.expr(close))
     )
     merged = per_chunk.groupBy("site_guid", "cell", "cell_half").agg(
         F.min("best").alias("best"), F.flatten(F.collect_list("regions")).alias("regions")
     )
-    kept = merged.select(
+    kept = merged.selectExpr(
         "site_guid",
         "cell",
-        F.transform(
-            close(F.col("regions"), F.col("best")),
-            lambda r: F.struct(r["region_guid"], r["edges"]),
-        ).alias("load_regions"),
+        f"transform({close}, r -> struct(r.region_guid, r.edges)) AS load_regions",
     )
     return cells.join(kept, ["site_guid", "cell"], "left")
 
 
 def with_load_region(telemetry: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
     """Add `load_region` for rows near a loader: the one around, else the nearest."""
-    lat, lon = F.col("latitude"), F.col("longitude")
-
-    def measured(r: Column) -> Column:
-        within = inside(r["edges"], lon, lat)
-        metres = F.when(within, F.lit(0.0)).otherwise(
-            degrees_to_ring(r["edges"], lon, lat) * cfg.metres_per_degree
-        )
-        # A region around the point wins over any other, then the distance decides.
-        return F.struct(
-            (~within).alias("outside"), metres.alias("distance"), r["region_guid"].alias("guid")
-        )
-
-    asked = F.col("loader").isNotNull() & has_place(lat, lon)
-    nearest = F.when(asked, F.array_min(F.transform("load_regions", measured)))
+    within = inside("r.edges", "longitude", "latitude")
+    metres = f"{degrees_to_ring('r.edges', 'longitude', 'latitude')} * {cfg.metres_per_degree}D"
+    # A region around the point wins over any other, then the distance decides.
+    measured = (
+        f"transform(transform(load_regions, r -> struct({within} AS within, r AS r)), m ->"
+        f" struct(NOT m.within AS outside,"
+        f" if(m.within, 0D, {metres.replace('r.edges', 'm.r.edges')}) AS distance,"
+        " m.r.region_guid AS guid))"
+    )
+    asked = f"loader IS NOT NULL AND {has_place('latitude', 'longitude')}"
+    nearest = F.expr(f"if({asked}, array_min({measured}), null)")
     return telemetry.withColumn("load_region", nearest).drop("load_regions")
 
 
@@ -278,19 +247,19 @@ def with_dump_region(
 
     `steps` may leave out a cell size known to hold no region.
     """
-    lat, lon = F.col("latitude"), F.col("longitude")
-    placed = has_place(lat, lon)
+    placed = has_place("latitude", "longitude")
+    around = f"filter(regions, r -> {inside('r.edges', 'longitude', 'latitude')})"
     rows, hits = telemetry, []
     for step in steps:
         level = cells.where("fine" if step == "fine" else "NOT fine").select(
             "site_guid", "region_cell", "regions"
         )
         size = grid.fine_deg if step == "fine" else grid.coarse_deg
-        around = F.filter("regions", lambda r: inside(r["edges"], lon, lat))
+        key = grid.key("latitude", "longitude", size)
         rows = (
-            rows.withColumn("region_cell", F.when(placed, grid.key(lat, lon, size)))
+            rows.selectExpr("*", f"if({placed}, {key}, null) AS region_cell")
             .join(level, ["site_guid", "region_cell"], "left")
-            .withColumn(f"{step}_hit", F.get(around, F.lit(0)))
+            .withColumn(f"{step}_hit", F.expr(f"get({around}, 0)"))
             .drop("region_cell", "regions")
         )
         hits.append(f"{step}_hit")
@@ -303,39 +272,37 @@ def with_dump_region(
 
 def with_colocation(telemetry: DataFrame) -> DataFrame:
     """Add `colocated`: the row's loader stands in the row's dump region."""
-    lat, lon = F.col("loader.latitude"), F.col("loader.longitude")
-    within = has_place(lat, lon) & inside(F.col("dump_region.edges"), lon, lat)
-    both = F.col("loader").isNotNull() & F.col("dump_region").isNotNull()
-    return telemetry.withColumn("colocated", F.when(both, within).otherwise(F.lit(False)))
+    lat, lon = "loader.latitude", "loader.longitude"
+    within = f"{has_place(lat, lon)} AND {inside('dump_region.edges', lon, lat)}"
+    both = "loader IS NOT NULL AND dump_region IS NOT NULL"
+    return telemetry.withColumn("colocated", F.expr(f"if({both}, {within}, false)"))
 
 
-def area_static() -> Column:
-    """Area as far as it follows from the place; at a loader in a dump region it
-    also depends on the cycle and is left to the engine."""
-    near, dump = F.col("loader_guid").isNotNull(), F.col("dump_region_guid").isNotNull()
-    return (
-        F.when(near & dump, "OVERLAP").when(near, "LOAD").when(dump, "DUMP").otherwise("TRAVEL")
-    )
+# Area as far as it follows from the place; at a loader in a dump region it also
+# depends on the cycle and is left to the engine.
+AREA_STATIC = """CASE WHEN loader_guid IS NOT NULL AND dump_region_guid IS NOT NULL THEN 'OVERLAP'
+    WHEN loader_guid IS NOT NULL THEN 'LOAD'
+    WHEN dump_region_guid IS NOT NULL THEN 'DUMP' ELSE 'TRAVEL' END"""
 
 
 def as_moments(placed: DataFrame) -> DataFrame:
     """The columns the cycle engine reads."""
-    return placed.select(
+    return placed.selectExpr(
         "seq",
         "asset_guid",
         "site_guid",
-        micros(F.col("timestamp")).alias("at_us"),
+        "unix_micros(cast(timestamp AS timestamp)) AS at_us",
         "work_state_id",
         "longitude",
         "latitude",
-        F.col("loader.guid").alias("loader_guid"),
-        F.col("loader.latitude").alias("loader_latitude"),
-        F.col("loader.longitude").alias("loader_longitude"),
-        F.col("loader.distance").alias("loader_distance"),
-        F.col("load_region.guid").alias("load_region_guid"),
-        F.coalesce(~F.col("load_region.outside"), F.lit(False)).alias("in_load_region"),
-        F.col("load_region.distance").alias("load_region_distance"),
-        F.col("dump_region.region_guid").alias("dump_region_guid"),
+        "loader.guid AS loader_guid",
+        "loader.latitude AS loader_latitude",
+        "loader.longitude AS loader_longitude",
+        "loader.distance AS loader_distance",
+        "load_region.guid AS load_region_guid",
+        "coalesce(NOT load_region.outside, false) AS in_load_region",
+        "load_region.distance AS load_region_distance",
+        "dump_region.region_guid AS dump_region_guid",
         "colocated",
         "bad_position",
     )

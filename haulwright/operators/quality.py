@@ -84,9 +84,8 @@ def with_position_check(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:
 
 
 def checked(rows: DataFrame) -> DataFrame:
-    ok = position_ok(F.col("latitude"), F.col("longitude"))
-    bad = ~ok & F.coalesce("has_loaders", F.lit(False))
-    return rows.withColumn("bad_position", bad).drop("has_loaders")
+    bad = f"NOT {position_ok('latitude', 'longitude')} AND coalesce(has_loaders, false)"
+    return rows.withColumn("bad_position", F.expr(bad)).drop("has_loaders")
 
 
 def coordinate_audit(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:

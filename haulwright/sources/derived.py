@@ -7,7 +7,9 @@ The given tables hold no positions, so each query derives its inputs from them:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, CycleConfig
@@ -16,26 +18,31 @@ from haulwright.operators.timeline import running_totals
 # Seconds from the start of a round to each of its twelve phases.
 PHASE_ENDS = [60, 70, 100, 160, 310, 460, 610, 620, 640, 650, 800, 950]
 ROUND_SECONDS = 950
-EPOCH = "2024-01-01 00:00:00"
+
+# The given tables, so that reading them needs no look at the files first.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
 
 
-def _site(key: Column) -> Column:
-    return F.concat(F.lit("S"), (key % 5).cast("string"))
+def _site(key: str) -> str:
+    return f"concat('S', cast(({key}) % 5 as string))"
 
 
-def _after_epoch(seconds: Column) -> Column:
-    start = F.unix_seconds(F.lit(EPOCH).cast("timestamp"))
-    return F.timestamp_seconds(start + seconds).cast("timestamp_ntz")
+def _after_epoch(seconds: str) -> str:
+    return f"cast(timestamp_seconds(1704067200 + ({seconds})) as timestamp_ntz)"
 
 
-def _degrees_text(millionths: Column) -> Column:
+def _degrees_text(millionths: str) -> str:
     """Fixed-point text of a coordinate given in millionths of a degree."""
-    size = F.abs(millionths)
-    return F.concat(
-        F.when(millionths < 0, "-").otherwise(""),
-        F.floor(size / 1000000).cast("string"),
-        F.lit("."),
-        F.lpad((size % 1000000).cast("string"), 6, "0"),
+    size = f"abs({millionths})"
+    return (
+        f"concat(if(({millionths}) < 0, '-', ''), cast({size} div 1000000 as string), "
+        f"'.', lpad(cast({size} % 1000000 as string), 6, '0'))"
     )
 
 
@@ -46,349 +53,292 @@ class DerivedInputs:
         self.spark = spark
         self.folder = folder
         self.cfg = cfg
+        self.table = cache(self._table)
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- telemetry ------------------------------------------------------------
 
     def _placed_events(self) -> DataFrame:
         """Events with their phase in the haul round, place, state and time."""
-        value, kind, eid = F.col("value"), F.col("event_type"), F.col("event_id")
-        extra = (
-            eid % 5
-            + F.when(value > 110, F.when(eid % 2 == 0, 1300).otherwise(700)).otherwise(0)
-            + F.when(kind == "error", 40).otherwise(0)
+        extra = F.expr(
+            "event_id % 5"
+            " + CASE WHEN value > 110 THEN if(event_id % 2 = 0, 1300, 700) ELSE 0 END"
+            " + if(event_type = 'error', 40, 0)"
         )
-        events = self.table("events").select("event_id", "ts", "user_id", "event_type", "value")
         ordered = running_totals(
-            events,
+            self.table("events").select("event_id", "ts", "user_id", "event_type", "value"),
             ["user_id"],
-            F.to_date("ts"),
+            F.expr("to_date(ts)"),
             ["ts", "event_id"],
             {"nth": F.lit(1), "extra_seconds": extra},
         )
-        step = F.col("nth") - 1 + F.col("user_id") % 12
-        phase = F.col("phase")
-        ends = F.array(*map(F.lit, PHASE_ENDS))
-        place = (
-            F.when((kind == "signup") & (eid % 3 == 0), "road")
-            .when((kind == "error") & (eid % 3 == 0) & (phase == 8), "overlap")
-            .when((kind == "error") & (eid % 3 == 1) & phase.isin(10, 11), "overlap")
-            .when((kind == "error") & (eid % 3 == 2) & (phase == 9), "overlap")
-            .when(phase <= 3, "loader")
-            .when(phase.between(6, 9), "dump")
-            .otherwise("road")
-        )
-        stands = (phase.isin(1, 2, 7, 8) & ~(
-            (kind == "purchase") & (eid % 5 == 0) & phase.isin(2, 8)
-        )) | ((kind == "error") & (eid % 3 == 2) & (phase == 9))
-        seconds = (
-            F.floor(F.col("step") / 12) * ROUND_SECONDS
-            + F.get(ends, phase.cast("int"))
-            + F.col("extra_seconds")
-        )
+        ends = ", ".join(map(str, PHASE_ENDS))
         return (
-            ordered.withColumn("step", step)
-            .withColumn("phase", F.col("step") % 12)
-            .withColumns(
-                {
-                    "place": place,
-                    "work_state_id": F.when(stands, 2).otherwise(3),
-                    "timestamp": _after_epoch(seconds),
-                }
+            ordered.selectExpr("*", "nth - 1 + user_id % 12 AS step")
+            .selectExpr("*", "cast(step % 12 as int) AS phase")
+            .selectExpr(
+                "event_id",
+                "user_id",
+                "event_type",
+                """CASE WHEN event_type = 'signup' AND event_id % 3 = 0 THEN 'road'
+                    WHEN event_type = 'error' AND event_id % 3 = 0 AND phase = 8 THEN 'overlap'
+                    WHEN event_type = 'error' AND event_id % 3 = 1 AND phase IN (10, 11) THEN 'overlap'
+                    WHEN event_type = 'error' AND event_id % 3 = 2 AND phase = 9 THEN 'overlap'
+                    WHEN phase <= 3 THEN 'loader'
+                    WHEN phase BETWEEN 6 AND 9 THEN 'dump'
+                    ELSE 'road' END AS place""",
+                """CASE WHEN event_type = 'purchase' AND event_id % 5 = 0 AND phase IN (2, 8) THEN 3
+                    WHEN event_type = 'error' AND event_id % 3 = 2 AND phase = 9 THEN 2
+                    WHEN phase IN (1, 2, 7, 8) THEN 2
+                    ELSE 3 END AS work_state_id""",
+                _after_epoch(
+                    f"step div 12 * {ROUND_SECONDS} + get(array({ends}), phase) + extra_seconds"
+                )
+                + " AS timestamp",
             )
-            .where(~((kind == "view") & (eid % 4 == 0)))
+            .where("NOT (event_type = 'view' AND event_id % 4 = 0)")
         )
 
     def telemetry(self) -> DataFrame:
         """Decoded telemetry with the payload's site, which may be missing."""
-        user, eid, place = F.col("user_id"), F.col("event_id"), F.col("place")
-        slot = F.floor(user / 5) % 2
-        base = F.lit(-23.0) + (user % 5) * F.lit(0.5)
-        latitude = (
-            F.when((F.col("event_type") == "click") & (eid % 97 == 0), F.lit(95.0))
-            .when(place == "loader", base + F.lit(0.0001))
-            .when(place == "dump", base + F.lit(0.1))
-            .when(place == "overlap", base + F.lit(0.1016))
-            .otherwise(base + F.lit(0.05))
-        )
-        longitude = F.when(place == "overlap", F.lit(133.01)).otherwise(
-            F.lit(133.0) + slot * F.lit(0.01)
-        )
-        return self._placed_events().select(
-            eid.alias("seq"),
-            F.concat(F.lit("A"), user.cast("string")).alias("asset_guid"),
-            F.when(eid % 17 != 0, _site(user)).alias("site_guid"),
+        base = "(-23e0 + (user_id % 5) * 5e-1)"
+        return self._placed_events().selectExpr(
+            "event_id AS seq",
+            "concat('A', cast(user_id as string)) AS asset_guid",
+            f"CASE WHEN event_id % 17 <> 0 THEN {_site('user_id')} END AS site_guid",
             "timestamp",
             "work_state_id",
-            longitude.alias("longitude"),
-            latitude.alias("latitude"),
+            "CASE WHEN place = 'overlap' THEN 13301e-2"
+            " ELSE 133e0 + (user_id div 5 % 2) * 1e-2 END AS longitude",
+            f"""CASE WHEN event_type = 'click' AND event_id % 97 = 0 THEN 95e0
+                WHEN place = 'loader' THEN {base} + 1e-4
+                WHEN place = 'dump' THEN {base} + 1e-1
+                WHEN place = 'overlap' THEN {base} + 1016e-4
+                ELSE {base} + 5e-2 END AS latitude""",
         )
 
     def rows_per_asset(self) -> DataFrame:
         """At least the number of telemetry rows of each asset."""
-        asset = F.concat(F.lit("A"), F.col("user_id").cast("string")).alias("asset_guid")
-        return self.table("events").groupBy(asset).agg(F.count(F.lit(1)).alias("n"))
+        return self.table("events").selectExpr(
+            "concat('A', cast(user_id as string)) AS asset_guid"
+        ).groupBy("asset_guid").agg(F.count(F.lit(1)).alias("n"))
 
     def telemetry_raw(self) -> DataFrame:
         """Telemetry as JSON payloads, some of them broken in each known way."""
-        t = self.telemetry()
-        kind = F.col("seq") % 50
 
-        def payload(asset: bool = True, at: str = "Z", state: Column | None = None) -> Column:
-            head = [F.lit('{"asset_guid": "'), F.col("asset_guid"), F.lit('", ')]
-            site = F.when(F.col("site_guid").isNull(), "null").otherwise(
-                F.concat(F.lit('"'), F.col("site_guid"), F.lit('"'))
-            )
-            when = F.lit(at) if at == "yesterday" else F.concat(
-                F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(at)
-            )
-            return F.concat(
-                *(head if asset else [F.lit("{")]),
-                F.lit('"site_guid": '), site,
-                F.lit(', "timestamp": "'), when,
-                F.lit('", "work_state_id": '),
-                F.col("work_state_id").cast("string") if state is None else state,
-                F.lit(', "longitude": '), F.col("longitude").cast("string"),
-                F.lit(', "latitude": '), F.col("latitude").cast("string"),
-                F.lit("}"),
+        def payload(asset: bool = True, at: str | None = None, state: str | None = None) -> str:
+            when = at or "concat(stamp, 'Z')"
+            return (
+                "concat('{', "
+                + ("'\"asset_guid\": \"', asset_guid, '\", ', " if asset else "")
+                + "'\"site_guid\": ', coalesce(concat('\"', site_guid, '\"'), 'null'), "
+                f"', \"timestamp\": \"', {when}, "
+                f"'\", \"work_state_id\": ', {state or 'cast(work_state_id as string)'}, "
+                "', \"longitude\": ', cast(longitude as string), "
+                "', \"latitude\": ', cast(latitude as string), '}')"
             )
 
-        plain = payload()
-        data = (
-            F.when(kind == 0, "")
-            .when(kind == 1, "null")
-            .when(kind == 2, "{}")
-            .when(kind == 3, "[]")
-            .when(kind == 4, F.concat(F.lit('{"asset_guid": "'), F.col("asset_guid")))
-            .when(kind == 5, F.concat(F.lit("["), plain, F.lit(", "), plain, F.lit("]")))
-            .when(kind == 6, F.concat(F.lit("["), plain, F.lit(", 7, {}]")))
-            .when(kind == 7, "12")
-            .when(kind == 8, payload(state=F.lit('"3.0"')))
-            .when(kind == 9, payload(state=F.lit("3.7")))
-            .when(kind == 10, payload(at="+05:00"))
-            .when(kind == 11, payload(at="yesterday"))
-            .when(kind == 12, payload(asset=False))
-            .when(kind == 13, payload(state=F.lit('" 2 "')))
-            .otherwise(plain)
+        shaped = self.telemetry().selectExpr(
+            "*", "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss\") AS stamp"
         )
-        user = F.substring("asset_guid", 2, 20).cast("bigint")
-        return t.select(
-            F.concat(F.lit("shard-"), (user % 4).cast("string")).alias("shard"),
-            F.floor(F.col("seq") / 2).alias("sequence_number"),
-            (F.col("seq") % 2).alias("sub_sequence_number"),
-            F.col("asset_guid").alias("partition_key"),
-            data.alias("data"),
+        shifted = "concat(stamp, '+05:00')"
+        return shaped.selectExpr(
+            "concat('shard-', cast(cast(substring(asset_guid, 2) as bigint) % 4 as string)) AS shard",
+            "seq div 2 AS sequence_number",
+            "seq % 2 AS sub_sequence_number",
+            "asset_guid AS partition_key",
+            f"""CASE seq % 50
+                WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN '{{}}' WHEN 3 THEN '[]'
+                WHEN 4 THEN concat('{{"asset_guid": "', asset_guid)
+                WHEN 5 THEN concat('[', {payload()}, ', ', {payload()}, ']')
+                WHEN 6 THEN concat('[', {payload()}, ', 7, {{}}]')
+                WHEN 7 THEN '12'
+                WHEN 8 THEN {payload(state="'" + '"3.0"' + "'")}
+                WHEN 9 THEN {payload(state="'3.7'")}
+                WHEN 10 THEN {payload(at=shifted)}
+                WHEN 11 THEN {payload(at="'yesterday'")}
+                WHEN 12 THEN {payload(asset=False)}
+                WHEN 13 THEN {payload(state="'" + '" 2 "' + "'")}
+                ELSE {payload()} END AS data""",
         )
 
     # --- assets and loaders ---------------------------------------------------
 
     def assets(self) -> DataFrame:
-        key = F.col("c_custkey")
-        people = self.table("customer").select(
-            F.concat(F.lit("A"), key.cast("string")).alias("guid"),
-            _site(key).alias("site_guid"),
-            F.concat(F.lit("C"), (key % 3).cast("string")).alias("client_guid"),
-            F.when(key % 10 != 9, self.cfg.truck_type).otherwise("dozer").alias("asset_type_guid"),
+        people = self.table("customer").selectExpr(
+            "concat('A', cast(c_custkey as string)) AS guid",
+            f"{_site('c_custkey')} AS site_guid",
+            "concat('C', cast(c_custkey % 3 as string)) AS client_guid",
+            f"if(c_custkey % 10 <> 9, '{self.cfg.truck_type}', 'dozer') AS asset_type_guid",
         )
-        loaders = self._loader_spots().select(
-            F.col("asset_guid").alias("guid"),
+        loaders = self._loader_spots().selectExpr(
+            "asset_guid AS guid",
             "site_guid",
-            F.lit("C0").alias("client_guid"),
-            F.lit(self.cfg.loader_type).alias("asset_type_guid"),
+            "'C0' AS client_guid",
+            f"'{self.cfg.loader_type}' AS asset_type_guid",
         )
         return people.unionByName(loaders)
 
     def _loader_spots(self) -> DataFrame:
         """Loaders by site and slot, and one per site inside its second dump."""
-        key = F.col("s_suppkey")
-        working = self.table("supplier").select(
-            F.concat(F.lit("L"), key.cast("string")).alias("asset_guid"),
-            _site(key).alias("site_guid"),
-            key.alias("number"),
-            (F.lit(-23.0) + (key % 5) * F.lit(0.5)).alias("latitude"),
-            (F.lit(133.0) + F.floor(key / 5) * F.lit(0.01)).alias("longitude"),
+        working = self.table("supplier").selectExpr(
+            "concat('L', cast(s_suppkey as string)) AS asset_guid",
+            f"{_site('s_suppkey')} AS site_guid",
+            "s_suppkey AS number",
+            "-23e0 + (s_suppkey % 5) * 5e-1 AS latitude",
+            "133e0 + (s_suppkey div 5) * 1e-2 AS longitude",
         )
-        place = F.col("r_regionkey").cast("bigint")
-        parked = self.table("region").select(
-            F.concat(F.lit("P"), place.cast("string")).alias("asset_guid"),
-            _site(place).alias("site_guid"),
-            (place + 1000000).alias("number"),
-            (F.lit(-23.0) + (place % 5) * F.lit(0.5) + F.lit(0.1015)).alias("latitude"),
-            F.lit(133.01).alias("longitude"),
+        parked = self.table("region").selectExpr(
+            "concat('P', cast(r_regionkey as string)) AS asset_guid",
+            f"{_site('r_regionkey')} AS site_guid",
+            "cast(r_regionkey as bigint) + 1000000 AS number",
+            "-23e0 + (r_regionkey % 5) * 5e-1 + 1015e-4 AS latitude",
+            "13301e-2 AS longitude",
         )
         return working.unionByName(parked)
 
     def process_info(self) -> DataFrame:
         """Progress rows of both jobs; the idle job's rows carry loader positions."""
-        number = F.col("number")
-        nowhere = number % 13 == 12
-        loaders = self._loader_spots().select(
-            (number * 10).alias("tx_process_info_id"),
-            F.lit(self.cfg.idle_process).alias("process_name"),
-            _after_epoch(number % 60).alias("process_date"),
+        loaders = self._loader_spots().selectExpr(
+            "number * 10 AS tx_process_info_id",
+            f"'{self.cfg.idle_process}' AS process_name",
+            f"{_after_epoch('number % 60')} AS process_date",
             "asset_guid",
             "site_guid",
-            F.lit(self.cfg.loader_type).alias("asset_type_guid"),
-            F.when(~nowhere, F.col("latitude")).alias("current_latitude"),
-            F.col("longitude").alias("current_longitude"),
+            f"'{self.cfg.loader_type}' AS asset_type_guid",
+            "CASE WHEN number % 13 <> 12 THEN latitude END AS current_latitude",
+            "longitude AS current_longitude",
         )
-        key = F.col("c_custkey")
         trucks = (
             self.table("customer")
             .where("c_custkey % 4 <> 3")
-            .withColumn("version", F.explode(F.sequence(F.lit(0), (key % 2).cast("int"))))
-            .select(
-                (key * 10 + F.col("version") + 100000000).alias("tx_process_info_id"),
-                F.lit(self.cfg.cycle_process).alias("process_name"),
-                _after_epoch((key % 7) * 600 + F.col("version") * 60).alias("process_date"),
-                F.concat(F.lit("A"), key.cast("string")).alias("asset_guid"),
-                _site(key).alias("site_guid"),
-                F.lit(self.cfg.truck_type).alias("asset_type_guid"),
-                F.lit(None).cast("double").alias("current_latitude"),
-                F.lit(None).cast("double").alias("current_longitude"),
+            .selectExpr("c_custkey", "explode(sequence(0, cast(c_custkey % 2 as int))) AS version")
+            .selectExpr(
+                "c_custkey * 10 + version + 100000000 AS tx_process_info_id",
+                f"'{self.cfg.cycle_process}' AS process_name",
+                f"{_after_epoch('c_custkey % 7 * 600 + version * 60')} AS process_date",
+                "concat('A', cast(c_custkey as string)) AS asset_guid",
+                f"{_site('c_custkey')} AS site_guid",
+                f"'{self.cfg.truck_type}' AS asset_type_guid",
+                "cast(null as double) AS current_latitude",
+                "cast(null as double) AS current_longitude",
             )
         )
         return loaders.unionByName(trucks)
 
     def loader_idle(self) -> DataFrame:
         """Three stops per loader, an hour and some metres apart."""
-        nth, number = F.col("nth"), F.col("number")
         return (
             self._loader_spots()
-            .withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(2))))
-            .select(
+            .selectExpr("*", "explode(sequence(0, 2)) AS nth")
+            .selectExpr(
                 "asset_guid",
-                _after_epoch(nth * 3600).alias("start_state_utc"),
-                F.when(nth < 2, _after_epoch(nth * 3600 + 1800)).alias("end_state_utc"),
-                F.when(
-                    ~((number % 11 == 10) & (nth == 1)),
-                    F.col("latitude") + nth * F.lit(0.00005),
-                ).alias("end_location_latitude"),
-                F.col("longitude").alias("end_location_longitude"),
+                f"{_after_epoch('nth * 3600')} AS start_state_utc",
+                f"CASE WHEN nth < 2 THEN {_after_epoch('nth * 3600 + 1800')} END AS end_state_utc",
+                "CASE WHEN NOT (number % 11 = 10 AND nth = 1) THEN latitude + nth * 5e-5 END"
+                " AS end_location_latitude",
+                "longitude AS end_location_longitude",
             )
         )
 
     # --- regions --------------------------------------------------------------
 
     def _region_rings(self) -> DataFrame:
-        key = F.col("n_nationkey").cast("bigint")
-        site = F.col("n_regionkey").cast("bigint")
-        slot = F.floor(key / 10)
-        dump = key % 2 == 0
-        lat = F.lit(-23000000) + site * 500000 + F.when(dump, 100000).otherwise(
-            F.when(slot == 1, 3000).otherwise(0)
-        )
-        lon = F.lit(133000000) + slot * 10000
-
-        def corner(dx: int, dy: int) -> Column:
-            return F.concat(_degrees_text(lon + dx), F.lit(" "), _degrees_text(lat + dy))
-
-        ring = F.concat_ws(
-            ", ",
-            corner(-2000, -2000), corner(2000, -2000), corner(2000, 2000),
-            corner(-2000, 2000), corner(-2000, -2000),
+        corners = [(-2000, -2000), (2000, -2000), (2000, 2000), (-2000, 2000), (-2000, -2000)]
+        ring = ", ".join(
+            f"concat({_degrees_text(f'lon + ({dx})')}, ' ', {_degrees_text(f'lat + ({dy})')})"
+            for dx, dy in corners
         )
-        return self.table("nation").select(
-            key.alias("number"),
-            site.alias("place"),
-            F.concat(F.lit("R"), key.cast("string")).alias("region_guid"),
-            _site(site).alias("site_guid"),
-            F.col("n_name").alias("region_name"),
-            F.when(dump, F.when(key % 3 == 0, "DUMP").otherwise("dump"))
-            .otherwise(F.when(key % 3 == 0, "Load").otherwise("load"))
-            .alias("region_type"),
-            ring.alias("points"),
+        return (
+            self.table("nation")
+            .selectExpr(
+                "cast(n_nationkey as bigint) AS number",
+                "cast(n_regionkey as bigint) AS place",
+                "n_name AS region_name",
+                """cast(-23000000 + n_regionkey * 500000 + CASE WHEN n_nationkey % 2 = 0 THEN 100000
+                    WHEN n_nationkey div 10 = 1 THEN 3000 ELSE 0 END as bigint) AS lat""",
+                "cast(133000000 + n_nationkey div 10 * 10000 as bigint) AS lon",
+            )
+            .selectExpr(
+                "number",
+                "place",
+                "concat('R', cast(number as string)) AS region_guid",
+                f"{_site('place')} AS site_guid",
+                "region_name",
+                """CASE WHEN number % 2 = 0 THEN if(number % 3 = 0, 'DUMP', 'dump')
+                    ELSE if(number % 3 = 0, 'Load', 'load') END AS region_type""",
+                f"concat_ws(', ', {ring}) AS points",
+            )
         )
 
     def region_store(self) -> DataFrame:
         """Regions of each site as JSON values of a key-value store."""
-        good = self._region_rings().select(
+        good = self._region_rings().selectExpr(
             "site_guid",
             "region_guid",
-            F.concat(
-                F.lit('{"region_guid": "'), F.col("region_guid"),
-                F.lit('", "region_name": "'), F.col("region_name"),
-                F.lit('", "region_type": "'), F.col("region_type"),
-                F.lit('", "points": "'), F.col("points"), F.lit('"}'),
-            ).alias("payload"),
-        )
-        number = F.col("r_regionkey").cast("bigint")
-        text = number.cast("string")
-
-        def value(letter: str, kind: str, points: str) -> Column:
-            return F.concat(
-                F.lit(f'{{"region_guid": "{letter}'), text,
-                F.lit(f'", "region_name": "odd", "region_type": "{kind}", "points": {points}}}'),
-            )
-
-        odd = {
-            "B": value("B", "Dump", '"133 -23, x y"'),
-            "T": value("T", "Load", '"133 -23, 134 -23"'),
-            "M": value("M", "dump", '"133  -23, 134 -23, 134 -22"'),
-            "O": value("O", "load", '" , ,"'),
-            "E": value("E", "dump", '""'),
-            "X": value("X", "fuel", '"133 -23, 134 -23, 134 -22"'),
-            "J": F.concat(F.lit('{"region_guid": "J'), text),
-            "N": F.lit("[1]"),
-        }
-        rows = F.array(
-            *(
-                F.struct(F.concat(F.lit(letter), text).alias("region_guid"), payload.alias("payload"))
-                for letter, payload in odd.items()
-            )
+            """concat('{"region_guid": "', region_guid, '", "region_name": "', region_name,
+                '", "region_type": "', region_type, '", "points": "', points, '"}') AS payload""",
         )
+        odd = [
+            ("B", "Dump", "133 -23, x y"),
+            ("T", "Load", "133 -23, 134 -23"),
+            ("M", "dump", "133  -23, 134 -23, 134 -22"),
+            ("O", "load", " , ,"),
+            ("E", "dump", ""),
+            ("X", "fuel", "133 -23, 134 -23, 134 -22"),
+        ]
+        rows = [
+            f"""struct(concat('{letter}', n) AS region_guid, concat('{{"region_guid": "{letter}', n,
+                '", "region_name": "odd", "region_type": "{kind}", "points": "{points}"}}') AS payload)"""
+            for letter, kind, points in odd
+        ]
+        rows.append("""struct(concat('J', n) AS region_guid, concat('{"region_guid": "J', n) AS payload)""")
+        rows.append("struct(concat('N', n) AS region_guid, '[1]' AS payload)")
         broken = (
             self.table("region")
-            .select(_site(number).alias("site_guid"), F.explode(rows).alias("row"))
-            .select("site_guid", "row.*")
+            .selectExpr("cast(r_regionkey as string) AS n", f"{_site('r_regionkey')} AS site_guid")
+            .selectExpr("site_guid", f"inline(array({', '.join(rows)}))")
         )
         return good.unionByName(broken)
 
     def region_sites(self) -> DataFrame:
         """Region attributes used to find the site of an asset."""
-        number = F.col("number")
-        month = F.lpad((number % 12 + 1).cast("string"), 2, "0")
-        return self._region_rings().select(
+        return self._region_rings().selectExpr(
             "region_guid",
-            F.when(number % 11 != 5, F.col("site_guid")).alias("site_guid"),
-            F.when(
-                number % 7 != 0, F.concat(F.lit("2023-"), month, F.lit("-01T00:00:00"))
-            ).alias("created_date"),
+            "CASE WHEN number % 11 <> 5 THEN site_guid END AS site_guid",
+            """CASE WHEN number % 7 <> 0 THEN concat('2023-', lpad(cast(number % 12 + 1 as string), 2, '0'),
+                '-01T00:00:00') END AS created_date""",
         )
 
     def asset_regions(self) -> DataFrame:
         """Which regions an asset belongs to: its own site's, for some also the next's."""
-        key = F.col("c_custkey")
-        places = F.when(key % 6 == 0, F.array(key % 5, (key + 1) % 5)).otherwise(F.array(key % 5))
         members = (
             self.table("customer")
             .where("c_custkey % 3 = 0")
-            .select(
-                F.concat(F.lit("A"), key.cast("string")).alias("asset_guid"),
-                F.explode(places).alias("place"),
+            .selectExpr(
+                "concat('A', cast(c_custkey as string)) AS asset_guid",
+                """explode(if(c_custkey % 6 = 0, array(c_custkey % 5, (c_custkey + 1) % 5),
+                    array(c_custkey % 5))) AS place""",
             )
         )
         return members.join(self._region_rings(), "place").select("asset_guid", "region_guid")
 
     def region_master(self) -> DataFrame:
         """Region definitions in two versions, some deleted or without points."""
-        number, version = F.col("number"), F.col("version")
         return (
             self._region_rings()
-            .withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
-            .select(
-                F.col("region_guid").alias("guid"),
+            .selectExpr("*", "explode(array(0, 1)) AS version")
+            .selectExpr(
+                "region_guid AS guid",
                 "site_guid",
-                F.when(~((number % 8 == 7) & (version == 1)), F.col("points")).alias("points"),
-                (F.lit(1000.0) - number * F.lit(10.5) + version).alias("fence_area"),
-                (number % 9 == 0).alias("is_deleted"),
-                _after_epoch(number * 60 + version * 3600).alias("created_date"),
+                "CASE WHEN NOT (number % 8 = 7 AND version = 1) THEN points END AS points",
+                "1000e0 - number * 105e-1 + version AS fence_area",
+                "number % 9 = 0 AS is_deleted",
+                f"{_after_epoch('number * 60 + version * 3600')} AS created_date",
             )
         )
 
     def ref_site(self) -> DataFrame:
-        return self.table("region").select(
-            _site(F.col("r_regionkey").cast("bigint")).alias("guid")
-        )
+        return self.table("region").selectExpr(f"{_site('r_regionkey')} AS guid")

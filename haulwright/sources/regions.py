@@ -53,7 +53,7 @@ def region_shapes(regions: DataFrame, region_type: str) -> DataFrame:
     return (
         with_ring(distinct)
         .where("parse_error IS NULL")
-        .select("site_guid", "region_guid", ring_edges("ring").alias("edges"), *BOX)
+        .select("site_guid", "region_guid", F.expr(ring_edges("ring")).alias("edges"), *BOX)
     )
 
 
