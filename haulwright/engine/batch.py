@@ -44,7 +44,7 @@ _ARROW_TYPES = {
     "boolean": pa.bool_(),
     "timestamp_ntz": pa.int64(),
 }
-_CHANGE_ARROW = pa.schema(
+CHANGE_ARROW = pa.schema(
     [("seq", pa.int64()), ("action", pa.string()), ("rule", pa.string())]
     + [(name, _ARROW_TYPES[kind]) for name, kind in CYCLE_FIELDS]
 )
@@ -60,7 +60,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(batch.column(name).to_pylist() for name in _WIRE_COLS))
 
 
-def _change_row(at: Sighting, action: str, rule: str, record: dict | None) -> tuple:
+def change_row(at: Sighting, action: str, rule: str, record: dict | None) -> tuple:
     if record is None:
         record = dict.fromkeys(CYCLE_COLS)
         record.update(
@@ -94,12 +94,12 @@ def _fold_changes(cfg: CycleConfig, rules, closed_only: bool):
                     record is None or record["cycle_status"] not in FINAL_STATUSES
                 ):
                     continue
-                out.append(_change_row(at, action, rule, record))
+                out.append(change_row(at, action, rule, record))
             if len(out) >= _FLUSH_ROWS:
-                yield _to_batch(out, _CHANGE_ARROW)
+                yield _to_batch(out, CHANGE_ARROW)
                 out = []
         if out:
-            yield _to_batch(out, _CHANGE_ARROW)
+            yield _to_batch(out, CHANGE_ARROW)
 
     return fold
 
@@ -210,6 +210,18 @@ def _counted(ends: DataFrame) -> DataFrame:
     )
 
 
+def to_changes(wire: DataFrame) -> DataFrame:
+    """Engine output with its microseconds turned into timestamps."""
+    return wire.selectExpr(
+        *(
+            f"cast(timestamp_micros({name}) AS timestamp_ntz) AS {name}"
+            if name in CYCLE_TIMES
+            else name
+            for name in CHANGE_COLS
+        )
+    )
+
+
 def _kept(df: DataFrame) -> DataFrame:
     """Cut the lineage in the checkpoint folder the session names."""
     use_checkpoint_dir(df.sparkSession)
@@ -282,11 +294,4 @@ def cycle_changes(
     changes = _in_order(rows, starts).mapInArrow(
         _fold_changes(cfg, rules, closed_only), CHANGE_WIRE
     )
-    return changes.selectExpr(
-        *(
-            f"cast(timestamp_micros({name}) AS timestamp_ntz) AS {name}"
-            if name in CYCLE_TIMES
-            else name
-            for name in CHANGE_COLS
-        )
-    )
+    return to_changes(changes)

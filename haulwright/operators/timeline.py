@@ -20,20 +20,30 @@ def running_totals(
     bucket: Column,
     order: list[str],
     totals: dict[str, Column],
+    fold=F.sum,
 ) -> DataFrame:
-    """Add running sums, the current row included, ordered within each key."""
+    """Add running sums, the current row included, ordered within each key.
+
+    `fold` may also be `F.max` or `F.min`.
+    """
     parts = {f"part_{name}": value for name, value in totals.items()}
     rows = df.withColumn(_BUCKET, bucket).withColumns(parts)
     spans = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     before = (
         rows.groupBy(*keys, _BUCKET)
-        .agg(*(F.sum(p).alias(p) for p in parts))
+        .agg(*(fold(p).alias(p) for p in parts))
         .select(
             *keys,
             _BUCKET,
-            *(F.coalesce(F.sum(p).over(spans), F.lit(0)).alias(f"before_{p}") for p in parts),
+            *(fold(p).over(spans).alias(f"before_{p}") for p in parts),
         )
     )
+
+    def combine(here: Column, before: str) -> Column:
+        if fold is F.sum:
+            return here + F.coalesce(before, F.lit(0))
+        return F.greatest(here, before) if fold is F.max else F.least(here, before)
+
     local = (
         Window.partitionBy(*keys, _BUCKET)
         .orderBy(*order)
@@ -42,7 +52,7 @@ def running_totals(
     return (
         rows.join(before, [*keys, _BUCKET])
         .withColumns(
-            {name: F.sum(f"part_{name}").over(local) + F.col(f"before_part_{name}") for name in totals}
+            {name: combine(fold(f"part_{name}").over(local), f"before_part_{name}") for name in totals}
         )
         .drop(_BUCKET, *parts, *(f"before_{p}" for p in parts))
     )
