@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
 from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
-from haulwright.session import use_checkpoint_dir
+from haulwright.session import ship_package, use_checkpoint_dir
 from haulwright.schemas import (
     CHANGE_COLS,
     CHANGE_WIRE,
@@ -284,6 +284,7 @@ def cycle_changes(
     `counts` gives rows per asset (asset_guid, n) or an upper bound of them, to
     find the trucks to slice without working out `moments` for it.
     """
+    ship_package(moments.sparkSession)
     if counts is None:
         counts = rows_per_asset(moments)
     rows, cut = _sliced(moments, counts, cfg)

@@ -42,7 +42,7 @@ def next_cycle_number(finished: DataFrame, probes: DataFrame) -> DataFrame:
         fold=F.max,
     )
     return answered.where("kind = 1").select(
-        "asset_guid", "at", (F.col("highest") + 1).alias("next_cycle_number")
+        "asset_guid", F.col("at").alias("asked_at"), (F.col("highest") + 1).alias("next_cycle_number")
     )
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +41,17 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="haulwright-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_haulwright_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="haulwright-")) / "haulwright.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._haulwright_shipped = True

@@ -128,40 +128,39 @@ class DerivedInputs:
     def telemetry_raw(self) -> DataFrame:
         """Telemetry as JSON payloads, some of them broken in each known way."""
 
-        def payload(asset: bool = True, at: str | None = None, state: str | None = None) -> str:
-            when = at or "concat(stamp, 'Z')"
-            return (
-                "concat('{', "
-                + ("'\"asset_guid\": \"', asset_guid, '\", ', " if asset else "")
-                + "'\"site_guid\": ', coalesce(concat('\"', site_guid, '\"'), 'null'), "
-                f"', \"timestamp\": \"', {when}, "
-                f"'\", \"work_state_id\": ', {state or 'cast(work_state_id as string)'}, "
-                "', \"longitude\": ', cast(longitude as string), "
-                "', \"latitude\": ', cast(latitude as string), '}')"
+        return (
+            self.telemetry()
+            .selectExpr(
+                "*",
+                "seq % 50 AS kind",
+                "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss\") AS stamp",
+            )
+            .selectExpr(
+                "*",
+                """CASE kind WHEN 12 THEN '' ELSE concat('"asset_guid": "', asset_guid, '", ') END AS asset_text""",
+                """CASE kind WHEN 10 THEN concat(stamp, '+05:00') WHEN 11 THEN 'yesterday'
+                    ELSE concat(stamp, 'Z') END AS time_text""",
+                """CASE kind WHEN 8 THEN '"3.0"' WHEN 9 THEN '3.7' WHEN 13 THEN '" 2 "'
+                    ELSE cast(work_state_id as string) END AS state_text""",
+                """coalesce(concat('"', site_guid, '"'), 'null') AS site_text""",
+            )
+            .selectExpr(
+                "*",
+                """concat('{', asset_text, '"site_guid": ', site_text, ', "timestamp": "', time_text,
+                    '", "work_state_id": ', state_text, ', "longitude": ', cast(longitude as string),
+                    ', "latitude": ', cast(latitude as string), '}') AS plain""",
+            )
+            .selectExpr(
+                "concat('shard-', cast(cast(substring(asset_guid, 2) as bigint) % 4 as string)) AS shard",
+                "seq div 2 AS sequence_number",
+                "seq % 2 AS sub_sequence_number",
+                "asset_guid AS partition_key",
+                """CASE kind WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN '{}' WHEN 3 THEN '[]'
+                    WHEN 4 THEN concat('{"asset_guid": "', asset_guid)
+                    WHEN 5 THEN concat('[', plain, ', ', plain, ']')
+                    WHEN 6 THEN concat('[', plain, ', 7, {}]')
+                    WHEN 7 THEN '12' ELSE plain END AS data""",
             )
-
-        shaped = self.telemetry().selectExpr(
-            "*", "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss\") AS stamp"
-        )
-        shifted = "concat(stamp, '+05:00')"
-        return shaped.selectExpr(
-            "concat('shard-', cast(cast(substring(asset_guid, 2) as bigint) % 4 as string)) AS shard",
-            "seq div 2 AS sequence_number",
-            "seq % 2 AS sub_sequence_number",
-            "asset_guid AS partition_key",
-            f"""CASE seq % 50
-                WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN '{{}}' WHEN 3 THEN '[]'
-                WHEN 4 THEN concat('{{"asset_guid": "', asset_guid)
-                WHEN 5 THEN concat('[', {payload()}, ', ', {payload()}, ']')
-                WHEN 6 THEN concat('[', {payload()}, ', 7, {{}}]')
-                WHEN 7 THEN '12'
-                WHEN 8 THEN {payload(state="'" + '"3.0"' + "'")}
-                WHEN 9 THEN {payload(state="'3.7'")}
-                WHEN 10 THEN {payload(at=shifted)}
-                WHEN 11 THEN {payload(at="'yesterday'")}
-                WHEN 12 THEN {payload(asset=False)}
-                WHEN 13 THEN {payload(state="'" + '" 2 "' + "'")}
-                ELSE {payload()} END AS data""",
         )
 
     # --- assets and loaders ---------------------------------------------------

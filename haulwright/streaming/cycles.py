@@ -23,6 +23,7 @@ from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
 from haulwright.operators.history import latest_changes
 from haulwright.plans.cycles import progress
+from haulwright.session import ship_package
 from haulwright.schemas import CHANGE_COLS, CHANGE_WIRE, CYCLE_COLS, MOMENT_COLS
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -76,6 +77,7 @@ def cycle_change_stream(moments: DataFrame, cfg: CycleConfig = DEFAULT, rules=No
 
     The session needs the RocksDB state store (`STATE_STORE`).
     """
+    ship_package(moments.sparkSession)
     changed = (
         moments.select(*MOMENT_COLS)
         .groupBy("asset_guid")

@@ -11,7 +11,7 @@ def _site(key: str) -> str:
 
 
 def _at(seconds: str) -> str:
-    return f"make_timestamp(CAST(1704067200000000 + ({seconds}) * 1000000 AS BIGINT))"
+    return f"make_timestamp(1704067200000000 + CAST({seconds} AS BIGINT) * 1000000)"
 
 
 def _deg(millionths: str) -> str:
@@ -84,12 +84,12 @@ CTES: dict[str, tuple[list[str], str]] = {
             CASE WHEN event_type = 'purchase' AND event_id % 5 = 0 AND step % 12 IN (2, 8) THEN 3
                 WHEN event_type = 'error' AND event_id % 3 = 2 AND step % 12 = 9 THEN 2
                 WHEN step % 12 IN (1, 2, 7, 8) THEN 2 ELSE 3 END AS work_state_id,
-            {_at(f'step // 12 * {ROUND_SECONDS} + [{_ENDS}][step % 12 + 1] + extra_seconds')} AS at
+            {_at(f'step // 12 * {ROUND_SECONDS} + [{_ENDS}][step % 12 + 1] + extra_seconds')} AS tick
         FROM steps WHERE NOT (event_type = 'view' AND event_id % 4 = 0)"""),
     "telemetry": (["spots"], f"""
         SELECT event_id AS seq, 'A' || CAST(user_id AS VARCHAR) AS asset_guid,
             CASE WHEN event_id % 17 <> 0 THEN {_site('user_id')} END AS site_guid,
-            at AS "timestamp", work_state_id,
+            tick AS "timestamp", work_state_id,
             CASE WHEN place = 'overlap' THEN 13301e-2 ELSE 133e0 + (user_id // 5 % 2) * 1e-2 END AS longitude,
             CASE WHEN event_type = 'click' AND event_id % 97 = 0 THEN 95e0
                 WHEN place = 'loader' THEN {_BASE} + 1e-4 WHEN place = 'dump' THEN {_BASE} + 1e-1
@@ -178,7 +178,7 @@ CTES: dict[str, tuple[list[str], str]] = {
             AND lower(payload ->> 'region_type') IN ('load', 'dump')
             AND coalesce(payload ->> 'points', '') <> '' AND coalesce(payload ->> 'region_guid', '') <> ''"""),
     "latest_site": (["asset_regions", "region_sites"], """
-        SELECT asset_guid, arg_max(site_guid, coalesce(created_date, '') || '|' || region_guid) AS site_guid
+        SELECT asset_guid, arg_max(site_guid, {'d': coalesce(created_date, ''), 'g': region_guid}) AS site_guid
         FROM asset_regions JOIN region_sites USING (region_guid) WHERE site_guid <> '' GROUP BY asset_guid"""),
     "resolved": (["telemetry", "latest_site", "assets"], """
         SELECT t.* REPLACE (coalesce(t.site_guid, l.site_guid, a.site_guid) AS site_guid)
