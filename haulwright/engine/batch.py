@@ -138,10 +138,9 @@ def _in_order(moments: DataFrame, starts: DataFrame | None) -> DataFrame:
     rows = moments
     if starts is not None:
         rows = rows.unionByName(starts, allowMissingColumns=True)
-    if "carry" not in rows.columns:
-        rows = rows.withColumns(
-            {"carry": F.lit(None).cast("string"), "carry_numbers": F.lit(None).cast("string")}
-        )
+    for name in ("carry", "carry_numbers"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
     return (
         rows.select(*_WIRE_COLS)
         .repartition(*_SLICE)

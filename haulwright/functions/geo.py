@@ -18,7 +18,7 @@ from haulwright.config import CycleConfig
 
 _ROW_KEY = 1 << 26
 BOX = ["min_lon", "max_lon", "min_lat", "max_lat"]
-_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
 def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str, radius_m: float) -> str:
@@ -59,7 +59,7 @@ def with_ring(regions: DataFrame) -> DataFrame:
             "nth",
             "pair = '' AS blank",
             f"""CASE WHEN pair = '' THEN null WHEN size(parts) <> 2 THEN 'malformed'
-                WHEN NOT forall(parts, v -> v RLIKE r'{_NUMBER}') THEN 'non_numeric' END AS bad""",
+                WHEN NOT forall(parts, v -> v RLIKE r'{NUMBER}') THEN 'non_numeric' END AS bad""",
             "try_cast(get(parts, 0) AS double) AS lon",
             "try_cast(get(parts, 1) AS double) AS lat",
         )

@@ -155,11 +155,11 @@ class DerivedInputs:
                 "seq div 2 AS sequence_number",
                 "seq % 2 AS sub_sequence_number",
                 "asset_guid AS partition_key",
-                """CASE kind WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN '{}' WHEN 3 THEN '[]'
-                    WHEN 4 THEN concat('{"asset_guid": "', asset_guid)
-                    WHEN 5 THEN concat('[', plain, ', ', plain, ']')
-                    WHEN 6 THEN concat('[', plain, ', 7, {}]')
-                    WHEN 7 THEN '12' ELSE plain END AS data""",
+                # An array holds the payload and something that is no telemetry.
+                """CASE WHEN kind = 0 THEN '' WHEN kind = 1 THEN 'null' WHEN kind = 2 THEN '{}'
+                    WHEN kind = 3 THEN '[]' WHEN kind = 4 THEN '{"asset_guid": "A' WHEN kind = 7 THEN '12'
+                    ELSE concat(if(kind IN (5, 6), '[', ''), plain,
+                        CASE kind WHEN 5 THEN ', {"note": 1}]' WHEN 6 THEN ', 7, {}]' ELSE '' END) END AS data""",
             )
         )
 

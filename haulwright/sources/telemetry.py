@@ -2,52 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulwright.functions.geo import NUMBER
 from haulwright.functions.timing import iso_to_utc
 
 _ORIGIN = ["shard", "sequence_number", "sub_sequence_number"]
 
 
-def _text(payload: Column) -> Column:
-    return payload.cast("string")
+# The payload and its parsed kind are bound once each, however often the rule names them.
+_REASON = r"""get(transform(array(cast(data as string)), d ->
+    get(transform(array(schema_of_variant(try_parse_json(d))), kind ->
+        CASE WHEN d = '' THEN 'empty'
+            WHEN NOT is_valid_utf8(d) OR kind IS NULL THEN 'broken_json'
+            WHEN kind = 'VOID' THEN 'null'
+            WHEN kind = 'OBJECT<>' THEN 'empty_object'
+            WHEN d RLIKE r'^\s*\[\s*\]\s*$' THEN 'empty_array'
+            WHEN kind NOT LIKE 'OBJECT%' AND kind NOT LIKE 'ARRAY%' THEN 'scalar' END), 0)), 0)"""
+_ELEMENTS = """get(transform(array(try_parse_json(cast(data as string))), v ->
+    coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))), 0)"""
 
 
 def _classified(raw: DataFrame) -> DataFrame:
-    """Payloads parsed once; `reason` says why a payload gives no record."""
-    text = F.col("data")
-    parsed = raw.withColumn("data", _text(F.col("data"))).withColumn(
-        "json", F.try_parse_json(F.col("data"))
-    )
-    kind = F.schema_of_variant("json")
-    return parsed.withColumn(
-        "reason",
-        F.when(text == "", "empty")
-        .when(F.col("json").isNull(), "broken_json")
-        .when(kind == "VOID", "null")
-        .when(text.rlike(r"^\s*\{\s*\}\s*$"), "empty_object")
-        .when(text.rlike(r"^\s*\[\s*\]\s*$"), "empty_array")
-        .when(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"), "scalar"),
-    ).withColumn("is_array", F.coalesce(kind.startswith("ARRAY"), F.lit(False)))
+    """Add `reason`: why a payload gives no record, or null."""
+    return raw.withColumn("reason", F.expr(_REASON))
 
 
 def _items(raw: DataFrame) -> DataFrame:
     """One row per object, or per array element with its position."""
-    items = F.when(
-        F.col("is_array"), F.try_variant_get("json", "$", "array<variant>")
-    ).otherwise(F.array("json"))
     return (
         _classified(raw)
         .where("reason IS NULL")
-        .select(*_ORIGIN, F.posexplode(items).alias("item_no", "item"))
+        .selectExpr(*_ORIGIN, f"posexplode({_ELEMENTS}) AS (item_no, item)")
+        .withColumn("kind", F.expr("schema_of_variant(item)"))
         .withColumn(
-            "is_record",
-            F.coalesce(
-                F.schema_of_variant("item").startswith("OBJECT")
-                & (F.schema_of_variant("item") != "OBJECT<>"),
-                F.lit(False),
-            ),
+            "is_record", F.expr("coalesce(kind LIKE 'OBJECT%' AND kind <> 'OBJECT<>', false)")
         )
     )
 
@@ -64,7 +54,7 @@ def payload_rejects(raw: DataFrame) -> DataFrame:
     """
     errors = ["broken_json", "scalar"]
     whole = _classified(raw).where("reason IS NOT NULL").select("reason")
-    parts = _items(raw).where(~F.col("is_record")).select(F.lit("not_an_object").alias("reason"))
+    parts = _items(raw).where("NOT is_record").select(F.lit("not_an_object").alias("reason"))
     return (
         whole.unionByName(parts)
         .groupBy("reason")
@@ -73,30 +63,29 @@ def payload_rejects(raw: DataFrame) -> DataFrame:
     )
 
 
-def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get("item", f"$.{name}", kind)
+def _field(name: str, kind: str) -> str:
+    return f"try_variant_get(item, '$.{name}', '{kind}')"
 
 
-def _present(name: str) -> Column:
-    return F.variant_get("item", f"$.{name}", "variant").isNotNull()
+def _is_text(name: str) -> str:
+    return f"schema_of_variant(variant_get(item, '$.{name}')) = 'STRING'"
 
 
-def _whole_number(name: str) -> Column:
+def _whole_number(name: str) -> str:
     """A JSON number is cut to its whole part; text must be a plain integer."""
-    kind = F.schema_of_variant(F.variant_get("item", f"$.{name}", "variant"))
-    text = F.regexp_replace(_field(name, "string"), r"^\s+|\s+$", "")
-    return F.when(
-        kind == "STRING", F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int"))
-    ).otherwise(_field(name, "double").try_cast("int"))
+    text = f"trim({_field(name, 'string')})"
+    return (
+        f"CASE WHEN {_is_text(name)} THEN if({text} RLIKE r'^[+-]?\\d+$', try_cast({text} AS int), null)"
+        f" ELSE try_cast({_field(name, 'double')} AS int) END"
+    )
 
 
-def _decimal(name: str) -> Column:
-    kind = F.schema_of_variant(F.variant_get("item", f"$.{name}", "variant"))
-    text = F.regexp_replace(_field(name, "string"), r"^\s+|\s+$", "")
-    return F.when(
-        kind == "STRING",
-        F.when(text.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")),
-    ).otherwise(_field(name, "double"))
+def _decimal(name: str) -> str:
+    text = f"trim({_field(name, 'string')})"
+    return (
+        f"CASE WHEN {_is_text(name)} THEN if({text} RLIKE r'{NUMBER}', try_cast({text} AS double), null)"
+        f" ELSE {_field(name, 'double')} END"
+    )
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -104,24 +93,25 @@ def typed(raw: DataFrame) -> DataFrame:
 
     Only the failing item of an array is rejected, the others stay.
     """
-    complete = (
-        _present("asset_guid") & _present("site_guid")
-    )
     rows = decode(raw).select(
         *_ORIGIN,
         "item_no",
-        _field("asset_guid", "string").alias("asset_guid"),
-        F.nullif(_field("site_guid", "string"), F.lit("")).alias("site_guid"),
-        iso_to_utc(_field("timestamp", "string")).alias("timestamp"),
-        _whole_number("work_state_id").alias("work_state_id"),
-        _decimal("longitude").alias("longitude"),
-        _decimal("latitude").alias("latitude"),
-        complete.alias("complete"),
+        F.expr(_field("asset_guid", "string")).alias("asset_guid"),
+        F.expr(f"nullif({_field('site_guid', 'string')}, '')").alias("site_guid"),
+        iso_to_utc(F.expr(_field("timestamp", "string"))).alias("timestamp"),
+        F.expr(_whole_number("work_state_id")).alias("work_state_id"),
+        F.expr(_decimal("longitude")).alias("longitude"),
+        F.expr(_decimal("latitude")).alias("latitude"),
+        F.expr(
+            "variant_get(item, '$.asset_guid') IS NOT NULL"
+            " AND variant_get(item, '$.site_guid') IS NOT NULL"
+        ).alias("complete"),
+    )
+    lost = (
+        "NOT complete OR timestamp IS NULL OR work_state_id IS NULL"
+        " OR longitude IS NULL OR latitude IS NULL"
     )
-    usable = F.col("complete")
-    for name in ("timestamp", "work_state_id", "longitude", "latitude"):
-        usable = usable & F.col(name).isNotNull()
-    return rows.withColumn("reject", F.when(~usable, "X7")).drop("complete")
+    return rows.withColumn("reject", F.expr(f"if({lost}, 'X7', null)")).drop("complete")
 
 
 def telemetry(raw: DataFrame) -> DataFrame:

@@ -99,8 +99,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT 'shard-' || CAST(CAST(substr(asset_guid, 2) AS BIGINT) % 4 AS VARCHAR) AS shard,
             seq // 2 AS sequence_number, seq % 2 AS sub_sequence_number,
             CASE seq % 50 WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN '{{}}' WHEN 3 THEN '[]'
-                WHEN 4 THEN '{{"asset_guid": "' || asset_guid
-                WHEN 5 THEN '[' || {_payload()} || ', ' || {_payload()} || ']'
+                WHEN 4 THEN '{{"asset_guid": "A'
+                WHEN 5 THEN '[' || {_payload()} || ', {{"note": 1}}]'
                 WHEN 6 THEN '[' || {_payload()} || ', 7, {{}}]'
                 WHEN 7 THEN '12'
                 WHEN 8 THEN {_payload(state="'" + '"3.0"' + "'")}

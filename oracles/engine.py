@@ -86,6 +86,12 @@ UPDATES = {
                note_region="load_region_guid", note_inside="in_load_region",
                note_distance="load_region_distance"),
     "L10": _LOADER_OUT,
+    "L12": dict(
+        current_segment="'EMPTY_TRAVEL'", dump_region_guid="s.idle_in_dump_region_guid",
+        cycle_status="CASE WHEN s.load_seconds + s.load_travel_seconds IS NULL THEN 'INVALID' ELSE 'COMPLETE' END",
+        dump_seconds="900.0", empty_travel_seconds="900.0",
+        total_cycle_seconds="s.load_seconds + s.load_travel_seconds + 900.0 + 900.0",
+        dump_end_utc="s.dump_start_utc + 900000000", cycle_end_utc="s.dump_start_utc + 1800000000", **_CLEAR),
     "L11": dict(current_segment="'EMPTY_TRAVEL'", dump_region_guid="s.idle_in_dump_region_guid",
                 dump_seconds="(tick - s.dump_start_utc) / 1e6", dump_end_utc="tick",
                 idle_in_dump_region_guid="NULL"),
@@ -139,6 +145,7 @@ INSERTS = {
     "S3": dict(cycle_start_utc=PD),
     "L6": _AT_LOADER, "L7": _AT_LOADER, "L8": _AT_LOADER,
     "L10": _OUT_NEXT, "L13": _OUT_NEXT,
+    "L12": dict(cycle_start_utc="s.dump_start_utc + 1800000000", **_BEFORE),
     "L15": {**_AT_LOADER, **_BEFORE, "current_segment": "'LOAD_TRAVEL'",
             "previous_loader_distance": "s.current_loader_distance",
             "load_end_utc": "tick", "load_seconds": "idle"},
@@ -231,7 +238,16 @@ def _by_rule(name: str, table: dict[str, dict], default: str) -> str:
     return f"CASE {whens} ELSE {default} END"
 
 
-def _recursion(placed: str) -> str:
+# What the repaired rules do instead of losing a record.
+_REPAIRS = [
+    ("CASE WHEN overlap THEN 'X1' ELSE 'D1' END", "'D1'"),
+    (_LOST, "false"),
+    ("'X4'", "'L12'"),
+    ("WHEN s.note_guid IS NULL THEN 'X5'", ""),
+]
+
+
+def _recursion(placed: str, repaired: bool = False) -> str:
     """CTE `steps_taken`: after each row the open state, the updated record, the rule."""
     names = [n for n, _ in _FIELDS]
     empty = _struct({n: "NULL" for n in [*names, "changed_at"]})
@@ -241,6 +257,10 @@ def _recursion(placed: str) -> str:
     insert["cycle_number"] = "s.cycle_number + 1"
     for columns in (update, first, insert):
         columns["changed_at"] = "tick"
+    choice = _RULE
+    for lost, handled in _REPAIRS if repaired else []:
+        assert lost in choice
+        choice = choice.replace(lost, handled)
     inserting = ", ".join(repr(r) for r in INSERTS)
     return f"""
 rows_in_order AS MATERIALIZED (
@@ -257,7 +277,7 @@ steps_taken AS (
     FROM (
         SELECT *, CASE WHEN rule IS NULL OR rule[1] = 'X' THEN {empty}
             WHEN rule = 'D1' THEN {_struct(first)} ELSE {_struct(update)} END AS u
-        FROM (SELECT *, {_RULE} AS rule FROM (
+        FROM (SELECT *, {choice} AS rule FROM (
             SELECT *, (tick - s.current_process_date) / 1e6 AS idle,
                 CASE WHEN s.current_work_state_id = 2 THEN 'I' WHEN s.current_work_state_id = 3 THEN 'W' ELSE '?' END
                     || CASE WHEN work_state_id = 2 THEN 'I' WHEN work_state_id = 3 THEN 'W' ELSE '?' END AS pair,
@@ -301,5 +321,5 @@ def columns() -> str:
     return ", ".join(shown)
 
 
-def over_log(body: str, placed: str = "placed", also: list[str] = []) -> str:
-    return with_ctes([placed, *also], body, recursive=_recursion(placed).strip())
+def over_log(body: str, placed: str = "placed", also: list[str] = [], repaired: bool = False) -> str:
+    return with_ctes([placed, *also], body, recursive=_recursion(placed, repaired).strip())

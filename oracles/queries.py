@@ -147,6 +147,7 @@ ORACLES: dict[str, str] = {
     "cycle_change_log": over_log(f"SELECT seq, action, rule, {columns()} FROM log"),
     "cycles_final": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}"),
     "cycles_final_reprocess": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", "placed_asof"),
+    "cycles_final_repaired": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", repaired=True),
     "cycles_current": over_log(f"SELECT {columns()} FROM {_CURRENT}"),
     "cycle_rejects": over_log("SELECT * FROM lost"),
     "process_info": over_log(f"""
