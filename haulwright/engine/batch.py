@@ -15,7 +15,8 @@ point the slices give exactly the rows of one sequential run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -55,9 +56,21 @@ _ENDS_ARROW = pa.schema(
 _FLUSH_ROWS = 8192
 
 
+def _values(column: pa.Array) -> Iterable:
+    """Python values of an Arrow column, None where missing."""
+    if column.null_count == len(column):
+        return repeat(None, len(column))
+    values = column.to_numpy(zero_copy_only=False)
+    if column.null_count and values.dtype != object:
+        missing = column.is_null().to_numpy(zero_copy_only=False)
+        values = values.astype(object)
+        values[missing] = None
+    return values.tolist()
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(batch.column(name).to_pylist() for name in _WIRE_COLS))
+        yield from zip(*(_values(batch.column(name)) for name in _WIRE_COLS))
 
 
 def change_row(at: Sighting, action: str, rule: str, record: dict | None) -> tuple:
