@@ -54,6 +54,7 @@ _ENDS_ARROW = pa.schema(
      ("state", pa.string()), ("numbers", pa.string())]
 )
 _FLUSH_ROWS = 8192
+_BROADCAST_ENTRIES = 200_000
 
 
 def _values(column: pa.Array) -> Iterable:
@@ -161,7 +162,7 @@ def _in_order(moments: DataFrame, starts: DataFrame | None) -> DataFrame:
     )
 
 
-def _cuts(moments: DataFrame, hot: DataFrame, cfg: CycleConfig) -> DataFrame:
+def _cuts(moments: DataFrame, cfg: CycleConfig) -> DataFrame:
     """First time cell of each further slice of the trucks with many rows.
 
     The window runs over one row per truck and time cell, so its size follows
@@ -169,8 +170,7 @@ def _cuts(moments: DataFrame, hot: DataFrame, cfg: CycleConfig) -> DataFrame:
     """
     by_time = Window.partitionBy("asset_guid").orderBy("cell")
     return (
-        moments.join(hot, "asset_guid", "left_semi")
-        .groupBy("asset_guid", _cell(cfg).alias("cell"))
+        moments.groupBy("asset_guid", _cell(cfg).alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("before", F.sum("n").over(by_time) - F.col("n"))
         .withColumn("part", (F.col("before") / cfg.max_rows_per_slice).cast("int"))
@@ -240,23 +240,31 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _lookup(table: DataFrame, n: int) -> DataFrame:
+    """Ask for a broadcast of a table of `n` entries if that is known to be small."""
+    return F.broadcast(table) if n <= _BROADCAST_ENTRIES else table
+
+
 def _settle(sliced: DataFrame, cfg: CycleConfig, rules) -> DataFrame:
     """Carried state of every further slice of the sliced trucks."""
     fold = _fold_ends(cfg, rules)
     ends = _kept(_in_order(sliced, None).mapInArrow(fold, _ENDS_WIRE))
     starts = _kept(_starts(ends))
-    stale = starts
-    while not stale.isEmpty():
-        rows = sliced.join(stale.select(*_SLICE), _SLICE, "left_semi")
-        redone = _in_order(rows, stale).mapInArrow(fold, _ENDS_WIRE)
-        ends = _kept(ends.join(stale, _SLICE, "left_anti").unionByName(redone))
+    stale, n_stale = starts, starts.count()
+    while n_stale:
+        again = _lookup(stale.select(*_SLICE), n_stale)
+        redone = _in_order(sliced.join(again, _SLICE, "left_semi"), stale).mapInArrow(
+            fold, _ENDS_WIRE
+        )
+        ends = _kept(ends.join(again, _SLICE, "left_anti").unionByName(redone))
         settled = starts.withColumnRenamed("carry", "used")
         starts = _kept(_starts(ends))
-        stale = (
+        stale = _kept(
             starts.join(settled, _SLICE, "left")
             .where(~F.col("carry").eqNullSafe(F.col("used")))
             .drop("used")
         )
+        n_stale = stale.count()
     return starts.join(_counted(ends), _SLICE, "left")
 
 
@@ -265,22 +273,29 @@ def rows_per_asset(telemetry: DataFrame) -> DataFrame:
 
 
 def _sliced(
-    moments: DataFrame, counts: DataFrame, cfg: CycleConfig
-) -> tuple[DataFrame, bool]:
-    """Add `slice`: 0 for most trucks, rising with time for those with many rows."""
+    moments: DataFrame, counts: DataFrame, cfg: CycleConfig, rules
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with their `slice`, and the state to start the further slices with.
+
+    Trucks with many rows are set apart and kept in the checkpoint folder, as
+    they are read again in each round; all others pass by untouched.
+    """
     hot = counts.where(F.col("n") > cfg.max_rows_per_slice).select("asset_guid")
     if hot.isEmpty():
-        return moments.withColumn("slice", F.lit(0)), False
-    cuts = _kept(_cuts(moments, hot, cfg))
+        return moments.withColumn("slice", F.lit(0)), None
+    hot = _kept(hot)
+    few = _lookup(hot, hot.count())
+    cuts = _kept(_cuts(moments.join(few, "asset_guid", "left_semi"), cfg))
+    size = cuts.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0]
     later = F.filter("cuts", lambda c: c <= _cell(cfg))
-    return (
-        moments.join(cuts, "asset_guid", "left")
-        .withColumn(
-            "slice", F.when(F.col("cuts").isNull(), 0).otherwise(F.size(later))
-        )
-        .drop("cuts"),
-        True,
+    many = _kept(
+        moments.join(few, "asset_guid", "left_semi")
+        .join(_lookup(cuts, size), "asset_guid", "left")
+        .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(F.size(later)))
+        .drop("cuts")
     )
+    others = moments.join(few, "asset_guid", "left_anti").withColumn("slice", F.lit(0))
+    return others.unionByName(many), _settle(many, cfg, rules)
 
 
 def cycle_changes(
@@ -299,11 +314,7 @@ def cycle_changes(
     ship_package(moments.sparkSession)
     if counts is None:
         counts = rows_per_asset(moments)
-    rows, cut = _sliced(moments, counts, cfg)
-    starts = None
-    if cut:
-        many = rows.where("slice > 0").select("asset_guid").distinct()
-        starts = _settle(rows.join(many, "asset_guid", "left_semi"), cfg, rules)
+    rows, starts = _sliced(moments, counts, cfg, rules)
     changes = _in_order(rows, starts).mapInArrow(
         _fold_changes(cfg, rules, closed_only), CHANGE_WIRE
     )

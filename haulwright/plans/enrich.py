@@ -39,7 +39,8 @@ class PlaceIndex:
     """The dimensions arranged for lookup by telemetry rows: one row per key.
 
     The tables are persisted, as every batch of telemetry meets them again; lost
-    blocks are worked out anew. Call `release` when done.
+    blocks are worked out anew. Call `release` when done. With `keep=False` they
+    are not, so that each micro-batch of a stream reads its dimensions afresh.
     """
 
     fallback: DataFrame
@@ -50,7 +51,10 @@ class PlaceIndex:
 
     @staticmethod
     def build(
-        dims: Dimensions, cfg: CycleConfig = DEFAULT, until: DataFrame | None = None
+        dims: Dimensions,
+        cfg: CycleConfig = DEFAULT,
+        until: DataFrame | None = None,
+        keep: bool = True,
     ) -> "PlaceIndex":
         """`until` (last telemetry time per site) is needed to reprocess."""
         if cfg.service == "realtime":
@@ -60,23 +64,28 @@ class PlaceIndex:
             loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg)
             cells = places.loader_cells_asof(loaders, until, cfg)
         cells = places.with_load_regions(cells, region_shapes(dims.regions, "load"))
-        dump_cells = places.region_cells(region_shapes(dims.regions, "dump")).persist()
-        sizes = dump_cells.agg(
-            F.coalesce(F.max("fine"), F.lit(False)), F.coalesce(F.min("fine"), F.lit(True))
-        ).first()
-        some_fine, all_fine = sizes
-        return PlaceIndex(
-            fallback=quality.fallback_sites(dims.latest_site, dims.assets).persist(),
-            trucks=quality.trucks(dims.assets, cfg)
-            .join(quality.loader_sites(loaders), "site_guid", "left")
-            .persist(),
-            loader_cells=cells.persist(),
-            dump_cells=dump_cells,
-            dump_steps=("fine",) if all_fine else ("fine", "coarse") if some_fine else ("coarse",),
+        index = PlaceIndex(
+            fallback=quality.fallback_sites(dims.latest_site, dims.assets),
+            trucks=quality.trucks(dims.assets, cfg).join(
+                quality.loader_sites(loaders), "site_guid", "left"
+            ),
+            loader_cells=cells,
+            dump_cells=places.region_cells(region_shapes(dims.regions, "dump")),
+            dump_steps=("fine", "coarse"),
         )
+        if keep:
+            for table in index.tables():
+                table.persist()
+            # Regions too wide for fine cells are rare; without any, one lookup is enough.
+            if index.dump_cells.where("NOT fine").isEmpty():
+                index.dump_steps = ("fine",)
+        return index
+
+    def tables(self) -> list[DataFrame]:
+        return [self.fallback, self.trucks, self.loader_cells, self.dump_cells]
 
     def release(self) -> None:
-        for table in (self.fallback, self.trucks, self.loader_cells, self.dump_cells):
+        for table in self.tables():
             table.unpersist()
 
 

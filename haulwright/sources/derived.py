@@ -70,7 +70,7 @@ class DerivedInputs:
         ordered = running_totals(
             self.table("events").select("event_id", "ts", "user_id", "event_type", "value"),
             ["user_id"],
-            F.expr("to_date(ts)"),
+            F.expr("date_trunc('hour', ts)"),
             ["ts", "event_id"],
             {"nth": F.lit(1), "extra_seconds": extra},
         )
