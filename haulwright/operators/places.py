@@ -49,9 +49,12 @@ def loaders_current(process_info: DataFrame, cfg: CycleConfig = DEFAULT) -> Data
 
 
 def loader_validity(
-    idle: DataFrame, assets: DataFrame, cfg: CycleConfig = DEFAULT
+    idle: DataFrame, assets: DataFrame, cfg: CycleConfig = DEFAULT, merge: bool = False
 ) -> DataFrame:
-    """When each loader position holds: from its stop until the next one."""
+    """When each loader position holds: from its stop until the next one.
+
+    With `merge`, further stops at the same spot prolong the first of them.
+    """
     stopped = F.coalesce("end_state_utc", "start_state_utc")
     at = F.struct("start_state_utc", "latitude", "longitude")
     stops = (
@@ -65,10 +68,16 @@ def loader_validity(
     loaders = assets.where(F.col("asset_type_guid") == cfg.loader_type).select(
         F.col("guid").alias("asset_guid"), "site_guid"
     )
+    month = F.date_trunc("month", "valid_from")
+    if merge:
+        spot = ["latitude", "longitude"]
+        stops = neighbour(stops, ["asset_guid"], month, ["valid_from"], spot, "before").where(
+            "NOT struct(latitude, longitude) <=> before"
+        )
     following = neighbour(
         stops,
         ["asset_guid"],
-        F.date_trunc("month", "valid_from"),
+        month,
         ["valid_from"],
         ["valid_from"],
         "following",

@@ -61,7 +61,7 @@ class PlaceIndex:
             loaders = places.loaders_current(dims.process_info, cfg)
             cells = places.loader_cells(loaders, cfg)
         else:
-            loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg)
+            loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg, merge=True)
             cells = places.loader_cells_asof(loaders, until, cfg)
         cells = places.with_load_regions(cells, region_shapes(dims.regions, "load"))
         index = PlaceIndex(

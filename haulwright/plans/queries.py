@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from haulwright.config import DEFAULT, CycleConfig
 from haulwright.functions.timing import elapsed_text
 from haulwright.operators import history, kpis, places, quality, stops
 from haulwright.plans import cycles
-from haulwright.plans.enrich import Dimensions, PlaceIndex, index_for, placed
+from haulwright.plans.enrich import Dimensions, index_for, placed
 from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS
 from haulwright.sources import regions, tables, telemetry
 from haulwright.sources.derived import DerivedInputs
@@ -332,8 +333,19 @@ def cycle_kpis(spark, folder):
     return rows.withColumns({c: F.round(c, 4) for c in averages})
 
 
+def _in_utc(query: Query) -> Query:
+    """Times are UTC throughout, so the session has to be."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: _in_utc(f)
     for f in (
         telemetry_decode, telemetry_rejects, telemetry_typed, shard_high_water, table_read,
         sql_read, site_regions, region_audit, truck_telemetry, fresh_telemetry,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.functions.geo import BOX, ring_edges, with_ring
@@ -73,15 +73,13 @@ def asset_regions_latest(assets: DataFrame, ref_site: DataFrame, regions: DataFr
     The newest version does not depend on the asset, so versions are reduced
     per region first and assets meet one row per region.
     """
-    newest_first = Window.partitionBy("site_guid", "region_guid").orderBy(
-        F.col("created_date").desc()
-    )
     latest = (
         regions.where("points IS NOT NULL AND NOT is_deleted")
-        .withColumnRenamed("guid", "region_guid")
-        .withColumn("rn", F.row_number().over(newest_first))
-        .where("rn = 1")
-        .select("site_guid", "region_guid", F.col("points").alias("region_points"), "fence_area")
+        .groupBy("site_guid", F.col("guid").alias("region_guid"))
+        .agg(F.max_by(F.struct("points", "fence_area"), "created_date").alias("newest"))
+        .selectExpr(
+            "site_guid", "region_guid", "newest.points AS region_points", "newest.fence_area"
+        )
     )
     return (
         assets.withColumnRenamed("guid", "asset_guid")
