@@ -116,15 +116,20 @@ def inside(edges: str, lon: str, lat: str) -> str:
 def degrees_to_ring(edges: str, lon: str, lat: str) -> str:
     """Planar distance in degrees from a point outside to the ring."""
     dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
-    along = (
-        f"(({lon} - e.x1) * {dx} + ({lat} - e.y1) * {dy})"
-        f" / nullif({dx} * {dx} + {dy} * {dy}, 0D)"
+    off_x, off_y = f"({lon} - e.x1)", f"({lat} - e.y1)"
+    length = f"({dx} * {dx} + {dy} * {dy})"
+    along = f"if({length} > 0, ({off_x} * {dx} + {off_y} * {dy}) / {length}, 0D)"
+    t = f"greatest(0D, least(1D, {along}))"
+    return (
+        f"array_min(transform({edges}, e -> hypot({off_x} - {t} * {dx}, {off_y} - {t} * {dy})))"
     )
-    t = f"greatest(0D, least(1D, coalesce({along}, 0D)))"
-    off_x, off_y = f"({lon} - (e.x1 + {t} * {dx}))", f"({lat} - (e.y1 + {t} * {dy}))"
+
+
+def degrees_to_box(box: str, lon: str, lat: str) -> str:
+    """Planar distance in degrees from a point to a box; 0 inside."""
     return (
-        f"array_min(transform({edges}, e -> "
-        f"sqrt({off_x} * {off_x} + {off_y} * {off_y})))"
+        f"hypot(greatest({box}.min_lon - {lon}, {lon} - {box}.max_lon, 0D),"
+        f" greatest({box}.min_lat - {lat}, {lat} - {box}.max_lat, 0D))"
     )
 
 

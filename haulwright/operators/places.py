@@ -18,6 +18,7 @@ from haulwright.config import DEFAULT, CycleConfig
 from haulwright.functions.geo import (
     BoxGrid,
     NearGrid,
+    degrees_to_box,
     degrees_to_ring,
     has_place,
     haversine_m,
@@ -25,7 +26,7 @@ from haulwright.functions.geo import (
 )
 from haulwright.operators.timeline import neighbour
 
-_REGIONS_PER_CHUNK = 256
+_REGION_CHUNKS = 32
 _CENTRE = ["cell_lat", "cell_lon", "cell_half"]
 _CELL = ["cell", *_CENTRE]
 
@@ -177,38 +178,34 @@ def with_nearest_loader_asof(
 def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
     """Add to each loader cell the load regions that can be nearest to a point in it.
 
-    Distances to a ring differ by at most the half diagonal between the centre
-    and any point of the cell, so only regions within twice that of the best one
-    can win. A site's regions are held in chunks of bounded size; each cell
-    meets each chunk of its site once and keeps the few regions near the best.
+    Seen from the centre, a ring is no nearer than its box and no farther than
+    its first corner; from other points of the cell, that shifts by at most the
+    half diagonal. So only regions whose box lies within the nearest corner plus
+    a whole diagonal can win; which does is measured for each row. A site's
+    regions are spread over chunks; each cell meets each chunk of its site once.
     """
-    sizes = shapes.groupBy("site_guid").agg(
-        F.ceil(F.count(F.lit(1)) / _REGIONS_PER_CHUNK).alias("n_chunks")
-    )
+    parts = F.pmod(F.xxhash64("region_guid"), F.lit(_REGION_CHUNKS))
+    box = F.struct("min_lon", "max_lon", "min_lat", "max_lat").alias("box")
     chunks = (
-        shapes.join(sizes, "site_guid")
-        .withColumn("chunk", F.pmod(F.xxhash64("region_guid"), F.col("n_chunks")))
-        .groupBy("site_guid", "chunk")
-        .agg(F.collect_list(F.struct("region_guid", "edges")).alias("regions"))
+        shapes.groupBy("site_guid", parts.alias("chunk"))
+        .agg(F.collect_list(F.struct("region_guid", "edges", box)).alias("regions"))
         .drop("chunk")
     )
+    corner = "hypot(r.edges[0].x1 - cell_lon, r.edges[0].y1 - cell_lat)"
     measured = (
-        f"transform(regions, r -> struct(if({inside('r.edges', 'cell_lon', 'cell_lat')}, 0D,"
-        f" {degrees_to_ring('r.edges', 'cell_lon', 'cell_lat')}) AS distance,"
-        " r.region_guid AS region_guid, r.edges AS edges))"
+        f"transform(regions, r -> struct({degrees_to_box('r.box', 'cell_lon', 'cell_lat')} AS low,"
+        f" {corner} AS high, r.region_guid AS region_guid, r.edges AS edges))"
     )
-    close = "filter(regions, r -> r.distance <= best + cell_half * 2)"
-
-    per_chunk = (
+    close = "filter(regions, r -> r.low <= best + cell_half * 2)"
+    merged = (
         cells.select("site_guid", *_CELL)
         .distinct()
         .join(chunks, "site_guid")
         .selectExpr("site_guid", "cell", "cell_half", f"{measured} AS regions")
-        .selectExpr("*", "array_min(transform(regions, r -> r.distance)) AS best")
+        .selectExpr("*", "array_min(transform(regions, r -> r.high)) AS best")
         .withColumn("regions", F.expr(close))
-    )
-    merged = per_chunk.groupBy("site_guid", "cell", "cell_half").agg(
-        F.min("best").alias("best"), F.flatten(F.collect_list("regions")).alias("regions")
+        .groupBy("site_guid", "cell", "cell_half")
+        .agg(F.min("best").alias("best"), F.flatten(F.collect_list("regions")).alias("regions"))
     )
     kept = merged.selectExpr(
         "site_guid",

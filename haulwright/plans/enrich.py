@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from haulwright.config import DEFAULT, CycleConfig
 from haulwright.operators import places, quality
 from haulwright.sources.derived import DerivedInputs
-from haulwright.sources.regions import asset_latest_site, region_shapes, site_regions
+from haulwright.sources.regions import (
+    asset_latest_site,
+    region_shapes,
+    shapes_of,
+    site_regions,
+)
 
 
 @dataclass
@@ -48,6 +53,7 @@ class PlaceIndex:
     loader_cells: DataFrame
     dump_cells: DataFrame
     dump_steps: tuple[str, ...]
+    made_from: list[DataFrame]
 
     @staticmethod
     def build(
@@ -63,15 +69,17 @@ class PlaceIndex:
         else:
             loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg, merge=True)
             cells = places.loader_cells_asof(loaders, until, cfg)
-        cells = places.with_load_regions(cells, region_shapes(dims.regions, "load"))
+        shapes = region_shapes(dims.regions)
+        made_from = [shapes.persist(), cells.persist()] if keep else []
         index = PlaceIndex(
             fallback=quality.fallback_sites(dims.latest_site, dims.assets),
             trucks=quality.trucks(dims.assets, cfg).join(
                 quality.loader_sites(loaders), "site_guid", "left"
             ),
-            loader_cells=cells,
-            dump_cells=places.region_cells(region_shapes(dims.regions, "dump")),
+            loader_cells=places.with_load_regions(cells, shapes_of(shapes, "load")),
+            dump_cells=places.region_cells(shapes_of(shapes, "dump")),
             dump_steps=("fine", "coarse"),
+            made_from=made_from,
         )
         if keep:
             for table in index.tables():
@@ -85,7 +93,7 @@ class PlaceIndex:
         return [self.fallback, self.trucks, self.loader_cells, self.dump_cells]
 
     def release(self) -> None:
-        for table in self.tables():
+        for table in self.tables() + self.made_from:
             table.unpersist()
 
 

@@ -212,7 +212,8 @@ def nearest_load_region(spark, folder):
 
 def dump_region_hit(spark, folder):
     inputs, dims = _inputs(spark, folder)
-    cells = places.region_cells(regions.region_shapes(dims.regions, "dump"))
+    shapes = regions.shapes_of(regions.region_shapes(dims.regions), "dump")
+    cells = places.region_cells(shapes)
     return places.with_dump_region(_trucks(inputs, dims), cells).selectExpr(
         "seq", "asset_guid", "dump_region.region_guid AS dump_region_guid"
     )

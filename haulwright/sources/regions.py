@@ -39,24 +39,26 @@ def region_audit(regions: DataFrame) -> DataFrame:
     )
 
 
-def region_shapes(regions: DataFrame, region_type: str) -> DataFrame:
-    """Usable rings of one type, parsed once.
+def region_shapes(regions: DataFrame) -> DataFrame:
+    """Usable rings, parsed once.
 
     Copies of a ring within a site answer every question like the first of
-    them, so only the one with the lowest guid is kept.
+    them, so only the one with the lowest guid is kept per type.
     """
-    distinct = (
-        regions.where(F.col("region_type") == region_type)
-        .groupBy("site_guid", "points")
-        .agg(F.min("region_guid").alias("region_guid"))
+    distinct = regions.groupBy("site_guid", "region_type", "points").agg(
+        F.min("region_guid").alias("region_guid")
     )
     return (
         with_ring(distinct)
         .where("parse_error IS NULL")
-        .select("site_guid", "region_guid", F.expr(ring_edges("ring")).alias("edges"), *BOX)
+        .select("site_guid", "region_type", "region_guid", F.expr(ring_edges("ring")).alias("edges"), *BOX)
     )
 
 
+def shapes_of(shapes: DataFrame, region_type: str) -> DataFrame:
+    return shapes.where(F.col("region_type") == region_type).drop("region_type")
+
+
 def asset_latest_site(asset_regions: DataFrame, region_sites: DataFrame) -> DataFrame:
     """Site of an asset's newest region; creation dates compare as text."""
     newest = F.struct(F.coalesce("created_date", F.lit("")), F.col("region_guid"))

@@ -7,7 +7,7 @@ import pytest
 
 from haulwright.config import DEFAULT
 from haulwright.operators import places
-from haulwright.sources.regions import region_audit, region_shapes
+from haulwright.sources.regions import region_audit, region_shapes, shapes_of
 
 
 def metres(lat1, lon1, lat2, lon2):
@@ -132,7 +132,7 @@ def test_dump_region_is_the_first_one_around(spark):
     points.append((1000, "S", corner[1], corner[0], False))
     points.append((1001, "S", -23.0, -23.0, False))
     points.append((1002, "S", -30.0, 145.0, False))
-    shapes = region_shapes(_region_frame(spark, rings, "dump"), "dump")
+    shapes = shapes_of(region_shapes(_region_frame(spark, rings, "dump")), "dump")
     cells = places.region_cells(shapes)
     assert not cells.where("NOT fine").isEmpty()
     found = places.with_dump_region(spark.createDataFrame(points, SCHEMA), cells)
@@ -159,7 +159,7 @@ def test_load_region_is_around_or_nearest(spark):
             loaders, "asset_guid string, site_guid string, latitude double, longitude double"
         )
     )
-    shapes = region_shapes(_region_frame(spark, small, "load"), "load")
+    shapes = shapes_of(region_shapes(_region_frame(spark, small, "load")), "load")
     rows = places.with_nearest_loader(
         spark.createDataFrame(points, SCHEMA), places.with_load_regions(cells, shapes)
     )
