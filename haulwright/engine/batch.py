@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
 from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
-from haulwright.session import ship_package, use_checkpoint_dir
+from haulwright.session import ship_package, spread, use_checkpoint_dir
 from haulwright.schemas import (
     CHANGE_COLS,
     CHANGE_WIRE,
@@ -155,10 +155,8 @@ def _in_order(moments: DataFrame, starts: DataFrame | None) -> DataFrame:
     for name in ("carry", "carry_numbers"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    return (
-        rows.select(*_WIRE_COLS)
-        .repartition(*_SLICE)
-        .sortWithinPartitions(*_SLICE, F.col("at_us").asc_nulls_first(), "seq")
+    return spread(rows.select(*_WIRE_COLS), *_SLICE).sortWithinPartitions(
+        *_SLICE, F.col("at_us").asc_nulls_first(), "seq"
     )
 
 

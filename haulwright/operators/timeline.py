@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulwright.session import spread
+
 _BUCKET = "timeline_bucket"
 
 
@@ -50,7 +52,8 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        rows.join(before, [*keys, _BUCKET])
+        spread(rows, *keys, _BUCKET)
+        .join(before, [*keys, _BUCKET])
         .withColumns(
             {name: combine(fold(f"part_{name}").over(local), f"before_part_{name}") for name in totals}
         )
@@ -77,7 +80,8 @@ def neighbour(
     edges = rows.groupBy(*keys, _BUCKET).agg(edge(value, F.struct(*order)).alias("edge"))
     carried = edges.select(*keys, _BUCKET, step("edge").over(across).alias("carried"))
     return (
-        rows.join(carried, [*keys, _BUCKET])
+        spread(rows, *keys, _BUCKET)
+        .join(carried, [*keys, _BUCKET])
         .withColumn(name, F.coalesce(step(value).over(local), F.col("carried")))
         .drop(_BUCKET, "carried")
     )

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", **conf) -> SparkSession:
@@ -26,6 +26,16 @@ def local_session(cores: int | str = "*", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by keys into exactly `spark.sql.shuffle.partitions` parts.
+
+    For steps that cost far more time than their bytes suggest, which adaptive
+    execution would pack into too few tasks by size.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *keys)
+
+
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoints at the folder named in `spark.checkpoint.dir`.
 
