@@ -62,17 +62,14 @@ def stop_class(stops: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
     return stops.withColumn("stop_class", F.expr(rule))
 
 
-def state_transitions(rows: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
-    """How often each pair of successive work states occurs, by site and area."""
+def state_transitions(rows: DataFrame) -> DataFrame:
+    """How often each pair of successive work states occurs, by site and area.
+
+    `rows` carry `previous_state` (`with_previous_state`) and `area`.
+    """
     return (
-        with_previous_state(rows, cfg)
-        .where("previous_state IS NOT NULL")
-        .groupBy(
-            "site_guid",
-            "area",
-            "previous_state",
-            "work_state_id",
-        )
+        rows.where("previous_state IS NOT NULL")
+        .groupBy("site_guid", "area", "previous_state", "work_state_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -113,18 +113,29 @@ def index_for(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig = DEFAULT
     return PlaceIndex.build(dims, cfg, last_seen(telemetry, fallback))
 
 
-def placed(telemetry: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
-    """Truck telemetry with loader, load region, dump region and colocation."""
+def truck_rows(telemetry: DataFrame, index: PlaceIndex) -> DataFrame:
+    """Telemetry of haul trucks with its site, bad positions marked."""
     resolved = quality.resolve_site(telemetry, index.fallback)
-    rows = quality.checked(resolved.join(index.trucks, ["asset_guid", "site_guid"]))
+    return quality.checked(resolved.join(index.trucks, ["asset_guid", "site_guid"]))
+
+
+def near_loader(rows: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
+    """Truck rows with their nearest loader."""
     if cfg.service == "realtime":
-        rows = places.with_nearest_loader(rows, index.loader_cells, cfg)
-    else:
-        rows = places.with_nearest_loader_asof(rows, index.loader_cells, cfg)
-    rows = places.with_load_region(rows, cfg)
+        return places.with_nearest_loader(rows, index.loader_cells, cfg)
+    return places.with_nearest_loader_asof(rows, index.loader_cells, cfg)
+
+
+def place(rows: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
+    """Truck rows with loader, load region, dump region and colocation."""
+    rows = places.with_load_region(near_loader(rows, index, cfg), cfg)
     rows = places.with_dump_region(rows, index.dump_cells, steps=index.dump_steps)
     return places.with_colocation(rows)
 
 
+def placed(telemetry: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
+    return place(truck_rows(telemetry, index), index, cfg)
+
+
 def moments(telemetry: DataFrame, index: PlaceIndex, cfg: CycleConfig = DEFAULT) -> DataFrame:
     return places.as_moments(placed(telemetry, index, cfg))

@@ -13,7 +13,15 @@ from haulwright.config import DEFAULT, CycleConfig
 from haulwright.functions.timing import elapsed_text
 from haulwright.operators import history, kpis, places, quality, stops
 from haulwright.plans import cycles
-from haulwright.plans.enrich import Dimensions, index_for, placed
+from haulwright.plans.enrich import (
+    Dimensions,
+    PlaceIndex,
+    index_for,
+    near_loader,
+    place,
+    placed,
+    truck_rows,
+)
 from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS
 from haulwright.sources import regions, tables, telemetry
 from haulwright.sources.derived import DerivedInputs
@@ -44,11 +52,21 @@ def _placed(spark: SparkSession, folder: str, cfg: CycleConfig = DEFAULT) -> Dat
     return placed(rows, index_for(rows, dims, cfg), cfg)
 
 
-def _with_area(rows: DataFrame) -> DataFrame:
-    return rows.selectExpr(
-        "seq", "asset_guid", "site_guid", "timestamp", "work_state_id",
-        "loader.guid AS loader_guid", "dump_region.region_guid AS dump_region_guid",
-    ).withColumn("area", F.expr(places.AREA_STATIC))
+def _truck_rows(
+    spark: SparkSession, folder: str, cfg: CycleConfig = DEFAULT
+) -> tuple[DataFrame, PlaceIndex]:
+    inputs, dims = _inputs(spark, folder)
+    rows = inputs.telemetry()
+    index = index_for(rows, dims, cfg)
+    return truck_rows(rows, index), index
+
+
+def _with_area(rows: DataFrame, index: PlaceIndex) -> DataFrame:
+    """Truck rows with their static area; places are looked up once per row."""
+    found = place(rows, index).selectExpr(
+        *rows.columns, "loader.guid AS loader_guid", "dump_region.region_guid AS dump_region_guid"
+    )
+    return found.withColumn("area", F.expr(places.AREA_STATIC)).select(*rows.columns, "area")
 
 
 def _log(
@@ -200,7 +218,8 @@ def nearest_loader(spark, folder):
 
 
 def nearest_loader_asof(spark, folder):
-    return _nearest(_placed(spark, folder, REPROCESS))
+    rows, index = _truck_rows(spark, folder, REPROCESS)
+    return _nearest(near_loader(rows, index, REPROCESS))
 
 
 def nearest_load_region(spark, folder):
@@ -226,7 +245,7 @@ def colocation(spark, folder):
 
 
 def area_static(spark, folder):
-    return _with_area(_placed(spark, folder)).select("seq", "asset_guid", "area")
+    return _with_area(*_truck_rows(spark, folder)).select("seq", "asset_guid", "area")
 
 
 def asset_regions_latest(spark, folder):
@@ -310,12 +329,17 @@ def idle_stops(spark, folder):
 
 
 def stop_class(spark, folder):
-    rows = _with_area(_placed(spark, folder))
-    return stops.stop_class(stops.idle_stops(rows, keep=("area",)))
+    # Stops are found first, so that only their first rows are looked up.
+    rows, index = _truck_rows(spark, folder)
+    found = stops.idle_stops(rows, keep=("longitude", "latitude", "bad_position"))
+    return stops.stop_class(_with_area(found, index)).drop(
+        "longitude", "latitude", "bad_position"
+    )
 
 
 def state_transitions(spark, folder):
-    return stops.state_transitions(_with_area(_placed(spark, folder)))
+    rows, index = _truck_rows(spark, folder)
+    return stops.state_transitions(_with_area(stops.with_previous_state(rows), index))
 
 
 def loader_movement(spark, folder):
