@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from haulwright.session import ship_package, use_checkpoint_dir
@@ -48,7 +49,7 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES
     for batch in batches:
         sizes = batch.column(column)
         lengths = np.asarray(
-            pa.compute.fill_null(pa.compute.binary_length(sizes), 0).to_numpy(zero_copy_only=False), dtype=np.int64
+            pc.fill_null(pc.binary_length(sizes), 0).to_numpy(zero_copy_only=False), dtype=np.int64
         )
         start, held = 0, 0
         for row, size in enumerate(lengths.tolist()):

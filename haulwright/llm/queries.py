@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from haulwright.llm import warc
 from haulwright.llm.counts import op9_token_counts
+from haulwright.llm.langid import op6_language_id
 from haulwright.llm.pieces import op10_sentencepiece
+from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
+    "op6_language_id": op6_language_id,
+    "op8_arc_to_warc": op8_arc_to_warc,
     "op9_token_counts": op9_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_arc_to_warc": warc.ORACLE,
+}
