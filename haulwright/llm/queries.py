@@ -5,10 +5,14 @@ from __future__ import annotations
 from haulwright.llm import warc
 from haulwright.llm.counts import op9_token_counts
 from haulwright.llm.langid import op6_language_id
+from haulwright.llm.packing import op5_best_fit_packing
 from haulwright.llm.pieces import op10_sentencepiece
+from haulwright.llm.pii import op1_personal_data
 from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_token_counts": op9_token_counts,
