@@ -8,10 +8,12 @@ from haulwright.llm.langid import op6_language_id
 from haulwright.llm.packing import op5_best_fit_packing
 from haulwright.llm.pieces import op10_sentencepiece
 from haulwright.llm.pii import op1_personal_data
+from haulwright.llm.quality import op2_divergence
 from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
     "op1_personal_data": op1_personal_data,
+    "op2_divergence": op2_divergence,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_arc_to_warc": op8_arc_to_warc,
