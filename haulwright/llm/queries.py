@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from haulwright.llm import warc
+from haulwright.llm.ann import op3_multi_index_hashing
 from haulwright.llm.counts import op9_token_counts
 from haulwright.llm.langid import op6_language_id
 from haulwright.llm.packing import op5_best_fit_packing
@@ -14,6 +15,7 @@ from haulwright.llm.warc import op8_arc_to_warc
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_divergence": op2_divergence,
+    "op3_multi_index_hashing": op3_multi_index_hashing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_arc_to_warc": op8_arc_to_warc,
