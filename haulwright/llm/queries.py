@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from haulwright.llm import warc
+from haulwright.llm import neardup, warc
 from haulwright.llm.ann import op3_multi_index_hashing
 from haulwright.llm.counts import op9_token_counts
 from haulwright.llm.langid import op6_language_id
+from haulwright.llm.neardup import op4_chosen_path
 from haulwright.llm.packing import op5_best_fit_packing
 from haulwright.llm.pieces import op10_sentencepiece
 from haulwright.llm.pii import op1_personal_data
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_divergence": op2_divergence,
     "op3_multi_index_hashing": op3_multi_index_hashing,
+    "op4_chosen_path": op4_chosen_path,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op8_arc_to_warc": op8_arc_to_warc,
@@ -24,5 +26,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_chosen_path": neardup.ORACLE,
     "op8_arc_to_warc": warc.ORACLE,
 }
