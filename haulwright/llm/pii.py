@@ -239,5 +239,10 @@ def _joined(spans: Column) -> Column:
 def op1_personal_data(spark, folder: str) -> DataFrame:
     found = find_personal_data(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in BASE]
+
+    def count(kind: str) -> Column:
+        own = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
