@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from haulwright.llm.common import partitions, stored, table
+from haulwright.llm.common import mapped, partitions, stored, table
 
 #: Entries that rotation and radius are learned on at most; all are indexed.
 SAMPLE = 20_000
@@ -208,7 +208,7 @@ def _search(index: DataFrame, queries: DataFrame, coder: Coder, radius: int | No
                     ["entry", "ids", "score"],
                 )
 
-    found = rows.mapInArrow(run, "entry long, ids array<long>, score double")
+    found = rows.transform(mapped, run, "entry long, ids array<long>, score double")
     best = Window.partitionBy("entry").orderBy(F.desc("score"), F.col("ids")[0])
     return found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).drop("n")
 

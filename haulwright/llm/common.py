@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +17,15 @@ STEP_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def mapped(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """mapInArrow with this package at hand in the Python workers."""
+    ship_package(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the checkpoint folder, which driver and executors share."""
     use_checkpoint_dir(spark)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from haulwright.llm.bpe import PrefixTable, Recent
-from haulwright.llm.common import steps, table, texts_of
+from haulwright.llm.common import mapped, steps, table, texts_of
 
 # The splitting pattern of the byte-level vocabulary, and its contractions of three characters.
 _SPLIT = regex.compile(
@@ -212,8 +212,8 @@ def token_counts(docs: DataFrame, file: str, limit: int, key: str = "doc_id", te
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"{key} {kind}, n_bytes long, n_tokens long, over_limit boolean, chars_within long"
+    return docs.select(key, text).transform(
+        mapped, run, f"{key} {kind}, n_bytes long, n_tokens long, over_limit boolean, chars_within long"
     )
 
 

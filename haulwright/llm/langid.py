@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import mixed, steps, table, texts_of
+from haulwright.llm.common import mapped, mixed, steps, table, texts_of
 
 BUCKETS = 1 << 16
 #: Languages that a model may have; more are an error, as each holds a vector in memory.
@@ -112,7 +112,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], ["lang", "bucket", "n"])
 
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang))
-    counted = labelled.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = labelled.transform(mapped, count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     names = found.column("lang").to_pylist()
     languages = tuple(sorted(set(names)))
@@ -139,7 +139,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(named, pa.string()), pa.array(scores)], [key, "lang_pred", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
+    return docs.select(key, text).transform(mapped, run, f"{key} {kind}, lang_pred string, score double")
 
 
 def op6_language_id(spark, folder: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import key_groups, mixed, partitions, stored, steps, table, texts_of
+from haulwright.llm.common import key_groups, mapped, mixed, partitions, steps, stored, table, texts_of
 from haulwright.llm.graph import components
 
 
@@ -119,7 +119,7 @@ def describe(docs: DataFrame, how: Join, key: str = "doc_id", text: str = "text"
             )
 
     names = ["doc_id", "n_shingles", "print", "chosen", "bins"]
-    return docs.select(key, text).mapInArrow(run, "doc_id long, n_shingles long, print binary, chosen array<long>, bins binary")
+    return docs.select(key, text).transform(mapped, run, "doc_id long, n_shingles long, print binary, chosen array<long>, bins binary")
 
 
 def _paths(classes: DataFrame, how: Join) -> DataFrame:
@@ -204,7 +204,7 @@ def related(members: DataFrame, how: Join) -> DataFrame:
 
     spark = members.sparkSession
     dealt = members.repartition(4 * partitions(spark), "node").sortWithinPartitions("node")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.transform(mapped, run, "a long, b long")
 
 
 class Sets:
@@ -261,7 +261,7 @@ def confirmed(sets: DataFrame, how: Join) -> DataFrame:
 
     spark = sets.sparkSession
     dealt = sets.select("group", "doc_id", "known", "tokens").repartition(4 * partitions(spark), "group")
-    return dealt.sortWithinPartitions("group").mapInArrow(run, schema)
+    return dealt.sortWithinPartitions("group").transform(mapped, run, schema)
 
 
 def confirmed_outside(sets: DataFrame, how: Join) -> DataFrame:
@@ -293,7 +293,7 @@ def confirmed_outside(sets: DataFrame, how: Join) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array([row["doc_id"]] * len(hits), pa.int64()), pa.array(ids[hits], pa.int64())], names)
 
     dealt = sets.repartition(4 * partitions(sets.sparkSession), "group").sortWithinPartitions("group", "asks")
-    return dealt.mapInArrow(run, schema)
+    return dealt.transform(mapped, run, schema)
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, how: Join, key: str, text: str) -> DataFrame:
@@ -312,7 +312,7 @@ def _sets_of(docs: DataFrame, members: DataFrame, how: Join, key: str, text: str
             )
             yield rows.filter(pa.array(same))
 
-    return rows.mapInArrow(run, "cluster long, doc_id long, blocks long, tokens binary")
+    return rows.transform(mapped, run, "cluster long, doc_id long, blocks long, tokens binary")
 
 
 def near_duplicates(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from haulwright.llm.bpe import Recent
-from haulwright.llm.common import key_groups, stored, steps, table, texts_of
+from haulwright.llm.common import key_groups, mapped, steps, stored, table, texts_of
 
 SEQUENCE = 2048
 #: Pieces in a block, whatever the number of documents.
@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, file: str, most: int = SEQUENCE, closing: int = 0, k
             yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows)), *numbers], names)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(key, text).transform(mapped, run, f"{key} {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, most: int) -> np.ndarray:
@@ -273,7 +273,7 @@ def _packed(rows: DataFrame, most: int, blocks: int, turn: int) -> DataFrame:
             yield from out.combine_chunks().to_batches()
 
     schema = rows.schema.simpleString().removeprefix("struct<").removesuffix(">")
-    return keyed.mapInArrow(run, f"{schema}, sequence_id:long, offset:long, _fill:long")
+    return keyed.transform(mapped, run, f"{schema}, sequence_id:long, offset:long, _fill:long")
 
 
 def pack_documents(docs: DataFrame, file: str, most: int = SEQUENCE) -> DataFrame:

@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from haulwright.llm.bpe import PrefixTable, Recent
-from haulwright.llm.common import steps, table, texts_of
+from haulwright.llm.common import mapped, steps, table, texts_of
 
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -114,7 +114,7 @@ def encode_texts(docs: DataFrame, model_file: str, key: str = "doc_id", text: st
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>, decoded string")
+    return docs.select(key, text).transform(mapped, run, f"{key} {kind}, ids array<int>, decoded string")
 
 
 def piece_digests(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -130,8 +130,8 @@ def piece_digests(docs: DataFrame, model_file: str, key: str = "doc_id", text: s
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select(key, text).transform(
+        mapped, run, f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

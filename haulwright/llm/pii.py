@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import steps, table, texts_of
+from haulwright.llm.common import mapped, steps, table, texts_of
 
 #: Base kinds in the order of the digests, then those only the anchors add.
 KINDS = ("email", "ip", "card", "phone", "address", "account")
@@ -202,7 +202,7 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(rows, pa.list_(element))], [key, "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, spans {SPANS}")
+    return docs.select(key, text).transform(mapped, run, f"{key} {kind}, spans {SPANS}")
 
 
 def redacted(text: str) -> str:
@@ -229,7 +229,7 @@ def redact(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFr
             changed = {text: pa.array(texts, pa.string()), size: pa.array([t if t is None else len(t) for t in texts], pa.int64())}
             yield pa.RecordBatch.from_arrays([changed.get(n, batch.column(n)) for n in batch.schema.names], batch.schema.names)
 
-    return docs.withColumn(size, F.col(size).cast("long")).mapInArrow(run, docs.withColumn(size, F.col(size).cast("long")).schema)
+    return docs.withColumn(size, F.col(size).cast("long")).transform(mapped, run, docs.withColumn(size, F.col(size).cast("long")).schema)
 
 
 def _joined(spans: Column) -> Column:

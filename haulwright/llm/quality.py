@@ -158,13 +158,16 @@ def nearest(bins: str, by_lang: dict[str, list[float]]) -> Column:
     return let(_shares(F.col(bins)), lambda s: F.array_min(F.array(*(_distance(s, r) for r in by_lang.values()))))
 
 
-def judged(docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """All columns but the text, base counts, distances, base_failed and kept.
+def judged(
+    docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang", keep_text: bool = False
+) -> DataFrame:
+    """All columns (the text if asked for), base counts, distances, base_failed and kept.
 
     Base counts and histograms are computed in one pass over the texts and
     written to the shared folder; references and verdicts come from there.
     """
-    measured = stored(measures(docs, text).drop(text), "quality")
+    measured = measures(docs, text)
+    measured = stored(measured if keep_text else measured.drop(text), "quality")
     found = references(measured, limits, lang)
     with_distance = measured.select(
         "*",

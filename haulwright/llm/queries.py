@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from haulwright.llm import neardup, warc
 from haulwright.llm.ann import op3_multi_index_hashing
 from haulwright.llm.counts import op9_token_counts
@@ -11,6 +12,7 @@ from haulwright.llm.packing import op5_best_fit_packing
 from haulwright.llm.pieces import op10_sentencepiece
 from haulwright.llm.pii import op1_personal_data
 from haulwright.llm.quality import op2_divergence
+from haulwright.llm.suffix import op7_repeated_spans
 from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
@@ -20,12 +22,17 @@ QUERIES = {
     "op4_chosen_path": op4_chosen_path,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
+    "op7_repeated_spans": op7_repeated_spans,
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_token_counts": op9_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chosen_path": neardup.ORACLE,
     "op8_arc_to_warc": warc.ORACLE,
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import shared_path, steps, table
+from haulwright.llm.common import mapped, shared_path, steps, table
 
 # The field names of the two ARC versions.
 ARC_FIELDS = {
@@ -116,7 +116,7 @@ def pages_to_arc(pages: DataFrame) -> DataFrame:
             content = arc_bytes(rows, 1 + number % 2, name)
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], ["name", "content"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "name string, content binary")
+    return pages.select("page_id", "url", "html").transform(mapped, run, "name string, content binary")
 
 
 def convert_arc(archives: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def convert_arc(archives: DataFrame) -> DataFrame:
 
     schema = "page_id long, url string, ip string, date string, head string, body string, payload_bytes long, payload_digest string"
     names = [c.split(" ")[0] for c in schema.split(", ")]
-    return archives.select("name", "content").mapInArrow(run, schema)
+    return archives.select("name", "content").transform(mapped, run, schema)
 
 
 def record_id(page: Column, url: Column) -> Column:
@@ -249,7 +249,7 @@ def read_warc(spark, path: str) -> DataFrame:
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     names = [c.split(" ")[0] for c in schema.split(", ")]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, schema)
+    return files.transform(mapped, run, schema)
 
 
 def op8_arc_to_warc(spark, folder: str) -> DataFrame:
