@@ -224,7 +224,7 @@ def nearest_neighbours(
     shards = max(1, math.ceil(count / shard))
     index = index.withColumn("shard", F.pmod(F.xxhash64("entry"), F.lit(shards)))
     drawn = index.select("vector").sample(min(1.0, 1.2 * sample / max(1, count)), seed=7).limit(sample).toArrow()
-    learned = drawn.column("vector").combine_chunks().flatten().to_numpy().reshape(drawn.num_rows, -1)
+    learned = np.array(drawn.column("vector").to_pylist(), float)
     names = ("query_id", "rank", "vec_id", "score")
     if len(learned) < 2:  # too few to learn from: everything is compared
         coder, radius = Coder(np.zeros(1), np.zeros((1, 1)), (1,)), None

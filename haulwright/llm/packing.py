@@ -142,7 +142,7 @@ class Search:
     def _move(self, member: int, source: int) -> bool:
         length = self.size[member]
         room = self.most - self.fill
-        fits = (room >= length) & (self.fill > 0)
+        fits = (room >= length) & (self.fill > 0) & (self.fill + length > self.fill[source])
         fits[source] = False
         if not fits.any():
             return False

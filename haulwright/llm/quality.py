@@ -10,6 +10,8 @@ Null and empty texts have no words and fail the base rules. Without any
 reference (an empty table, no label) only the base rules hold. Repeated rows
 count as often as they occur.
 
+A column with the name of a result is replaced by it.
+
 Three-word windows are compared by 64-bit hashes within one document.
 """
 
@@ -50,6 +52,12 @@ class Limits:
     both_common_distance: float = 0.16
 
 
+RESULTS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_bins", "common_bins",
+    "base_failed", "char_distance", "common_distance", "kept",
+)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value computed once."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -106,7 +114,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             bins.alias("common_bins"),
         )
 
-    counted = docs.select(
+    counted = docs.drop(*RESULTS).select(
         "*",
         let(words, of_words).alias("_w"),
         symbols.cast("long").alias("n_symbols"),

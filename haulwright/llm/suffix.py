@@ -18,7 +18,8 @@ its windows are aggregated one by one before the shuffle.
 
 Null and empty texts have no bytes. Rows with the same id don't cover each other;
 rows that repeat id and text share one result. A row without id is neither
-covered nor covers. Removed bytes may cut a character in two.
+covered nor covers. Removed bytes may cut a character in two. A column `repeats`
+is replaced.
 """
 
 from __future__ import annotations
@@ -371,7 +372,7 @@ def _stretches_of_hot(rows: DataFrame, burning: np.ndarray, parts: int, span: in
 def remove_repeats(docs: DataFrame, span: int = SPAN, hot: int = HOT, share: int = SHARE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of the rows but the text, with n_bytes, n_removed, n_spans and kept (the remaining bytes) in a struct `repeats`."""
     spark = docs.sparkSession
-    keyed = docs.select(F.struct("*").alias("doc_row"), F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keyed = docs.drop("repeats").select(F.struct("*").alias("doc_row"), F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = keyed.withColumn("row", F.xxhash64("doc", "text"))
     usable = keyed.where(F.col("doc").isNotNull() & (F.octet_length("text") >= span)).select("doc", "row", "text")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
