@@ -116,7 +116,7 @@ def _same_substrings(text: np.ndarray, leftmost: np.ndarray, order: np.ndarray)
 
 def _by_doubling(text: np.ndarray) -> np.ndarray:
     """The suffix array of a text with a large alphabet; its last symbol is the only smallest."""
-    rank, width, n = text.astype(np.int64), 1, len(text)
+    rank, width, n = np.unique(text, return_inverse=True)[1], 1, len(text)
     while True:
         second = np.zeros(n, np.int64)
         second[: n - width] = rank[width:] + 1

@@ -35,13 +35,14 @@ ARC_FIELDS = {
 CAPTURED = "20000101000000"
 
 
-def _url_text(url: str | None, page: object) -> str:
-    """A URL without white space, as header lines separate their fields by it."""
-    return "".join(f"%{b:02X}" if b <= 32 or b == 127 else chr(b) for b in (url or "").strip().encode("ascii", "xmlcharrefreplace")) or f"urn:page:{page}"
+def clean_url(url: Column, page: Column) -> Column:
+    """A URL without white space or control characters, which end fields of header lines."""
+    shown = F.regexp_replace(F.btrim(url, F.lit(" \t\r\n")), "[\\x00-\\x20\\x7F]+", "%20")
+    return F.coalesce(F.nullif(shown, F.lit("")), F.concat(F.lit("urn:page:"), F.coalesce(page.cast("string"), F.lit("none"))))
 
 
-def arc_bytes(rows: list[tuple[object, str | None, str | None]], version: int, name: str) -> bytes:
-    """One ARC file of captured pages (page, url, html), each a whole HTTP response."""
+def arc_bytes(rows: list[tuple[object, str, str | None]], version: int, name: str) -> bytes:
+    """One ARC file of captured pages (page, url without spaces, html), each a whole HTTP response."""
     about = f"{version} 0 pages\n{ARC_FIELDS[version]}\n"
     fields = f"filedesc://{name} 0.0.0.0 {CAPTURED} text/plain"
     fields += "" if version == 1 else f" 200 - - 0 {name}"
@@ -51,7 +52,7 @@ def arc_bytes(rows: list[tuple[object, str | None, str | None]], version: int, n
         body = (html or "").encode()
         known = "" if page is None else f"X-Page-Id: {page}\r\n"
         head = f"HTTP/1.0 200 OK\r\n{known}Content-Type: text/html; charset=utf-8\r\n\r\n".encode()
-        line = f"{_url_text(url, page)} 0.0.0.0 {CAPTURED} text/html"
+        line = f"{url} 0.0.0.0 {CAPTURED} text/html"
         line += "" if version == 1 else f" 200 {hashlib.md5(body).hexdigest()} - {at} {name}"
         record = b"%s %d\n%s%s\n" % (line.encode(), len(head) + len(body), head, body)
         out.append(record)
@@ -116,7 +117,8 @@ def pages_to_arc(pages: DataFrame) -> DataFrame:
             content = arc_bytes(rows, 1 + number % 2, name)
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content], pa.binary())], ["name", "content"])
 
-    return pages.select("page_id", "url", "html").transform(mapped, run, "name string, content binary")
+    url = clean_url(F.col("url"), F.col("page_id")).alias("url")
+    return pages.select("page_id", url, "html").transform(mapped, run, "name string, content binary")
 
 
 def convert_arc(archives: DataFrame) -> DataFrame:
@@ -259,7 +261,7 @@ def op8_arc_to_warc(spark, folder: str) -> DataFrame:
     copies = largest_copies(
         pages.select(
             "page_id",
-            F.coalesce(F.col("url"), F.lit("")).alias("url"),
+            clean_url(F.col("url"), F.col("page_id")).alias("url"),
             F.octet_length(payload).cast("long").alias("payload_bytes"),
             F.sha1(payload.cast("binary")).alias("payload_digest"),
         ),
