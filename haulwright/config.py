@@ -27,8 +27,8 @@ class CycleConfig:
     # Names that differ between installations.
     truck_type: str = "haul-truck"
     loader_type: str = "loader"
-    cycle_process: str = "asset_cycle_vlx"
-    idle_process: str = "asset_idle_vlx"
+    cycle_process: str = "cycles"
+    idle_process: str = "idle-states"
 
     # "realtime" drops late records and keeps progress; "reprocess" does neither.
     service: str = "realtime"

@@ -28,11 +28,11 @@ from haulwright.engine.state import Sighting
 from haulwright.session import ship_package, spread, use_checkpoint_dir
 from haulwright.schemas import (
     CHANGE_COLS,
-    CHANGE_WIRE,
     CYCLE_COLS,
     CYCLE_FIELDS,
     CYCLE_TIMES,
     MOMENT_COLS,
+    change_wire,
 )
 
 _SLICE = ["asset_guid", "slice"]
@@ -45,22 +45,28 @@ _ARROW_TYPES = {
     "boolean": pa.bool_(),
     "timestamp_ntz": pa.int64(),
 }
-CHANGE_ARROW = pa.schema(
-    [("seq", pa.int64()), ("action", pa.string()), ("rule", pa.string())]
-    + [(name, _ARROW_TYPES[kind]) for name, kind in CYCLE_FIELDS]
-)
+CHANGE_FIELDS = [("action", "string"), ("rule", "string"), *CYCLE_FIELDS]
+
+
+def change_arrow(seq: str) -> pa.Schema:
+    """Arrow columns of a change, for sequence numbers of a type (bigint or string)."""
+    kind = pa.string() if seq == "string" else pa.int64()
+    return pa.schema([("seq", kind), *((name, _ARROW_TYPES[k]) for name, k in CHANGE_FIELDS)])
+
+
 _ENDS_ARROW = pa.schema(
     [("asset_guid", pa.string()), ("slice", pa.int32()),
      ("state", pa.string()), ("numbers", pa.string())]
 )
 _FLUSH_ROWS = 8192
-_BROADCAST_ENTRIES = 200_000
 
 
 def _values(column: pa.Array) -> Iterable:
     """Python values of an Arrow column, None where missing."""
     if column.null_count == len(column):
         return repeat(None, len(column))
+    if column.null_count and pa.types.is_integer(column.type):
+        return column.to_pylist()  # NumPy would turn whole numbers into floats
     values = column.to_numpy(zero_copy_only=False)
     if column.null_count and values.dtype != object:
         missing = column.is_null().to_numpy(zero_copy_only=False)
@@ -88,8 +94,9 @@ def _to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def _fold_changes(cfg: CycleConfig, rules, closed_only: bool):
+def _fold_changes(cfg: CycleConfig, rules, closed_only: bool, seq: str):
     """Task body: sorted telemetry in, cycle changes out."""
+    schema = change_arrow(seq)
 
     def fold(batches):
         machine, current, out = CycleMachine(cfg, rules), None, []
@@ -110,10 +117,10 @@ def _fold_changes(cfg: CycleConfig, rules, closed_only: bool):
                     continue
                 out.append(change_row(at, action, rule, record))
             if len(out) >= _FLUSH_ROWS:
-                yield _to_batch(out, CHANGE_ARROW)
+                yield _to_batch(out, schema)
                 out = []
         if out:
-            yield _to_batch(out, CHANGE_ARROW)
+            yield _to_batch(out, schema)
 
     return fold
 
@@ -238,19 +245,17 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _lookup(table: DataFrame, n: int) -> DataFrame:
-    """Ask for a broadcast of a table of `n` entries if that is known to be small."""
-    return F.broadcast(table) if n <= _BROADCAST_ENTRIES else table
-
+def _settle(sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None) -> DataFrame:
+    """Carried state of every further slice of the sliced trucks.
 
-def _settle(sliced: DataFrame, cfg: CycleConfig, rules) -> DataFrame:
-    """Carried state of every further slice of the sliced trucks."""
+    `first` holds what their first slices start from, if something is stored.
+    """
     fold = _fold_ends(cfg, rules)
-    ends = _kept(_in_order(sliced, None).mapInArrow(fold, _ENDS_WIRE))
+    ends = _kept(_in_order(sliced, first).mapInArrow(fold, _ENDS_WIRE))
     starts = _kept(_starts(ends))
     stale, n_stale = starts, starts.count()
     while n_stale:
-        again = _lookup(stale.select(*_SLICE), n_stale)
+        again = stale.select(*_SLICE)
         redone = _in_order(sliced.join(again, _SLICE, "left_semi"), stale).mapInArrow(
             fold, _ENDS_WIRE
         )
@@ -271,7 +276,7 @@ def rows_per_asset(telemetry: DataFrame) -> DataFrame:
 
 
 def _sliced(
-    moments: DataFrame, counts: DataFrame, cfg: CycleConfig, rules
+    moments: DataFrame, counts: DataFrame, cfg: CycleConfig, rules, seeds: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows with their `slice`, and the state to start the further slices with.
 
@@ -279,21 +284,24 @@ def _sliced(
     they are read again in each round; all others pass by untouched.
     """
     hot = counts.where(F.col("n") > cfg.max_rows_per_slice).select("asset_guid")
+    first = None if seeds is None else seeds.withColumn("slice", F.lit(0))
     if hot.isEmpty():
-        return moments.withColumn("slice", F.lit(0)), None
-    hot = _kept(hot)
-    few = _lookup(hot, hot.count())
+        return moments.withColumn("slice", F.lit(0)), first
+    few = _kept(hot)
     cuts = _kept(_cuts(moments.join(few, "asset_guid", "left_semi"), cfg))
-    size = cuts.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0]
     later = F.filter("cuts", lambda c: c <= _cell(cfg))
     many = _kept(
         moments.join(few, "asset_guid", "left_semi")
-        .join(_lookup(cuts, size), "asset_guid", "left")
+        .join(cuts, "asset_guid", "left")
         .withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(F.size(later)))
         .drop("cuts")
     )
     others = moments.join(few, "asset_guid", "left_anti").withColumn("slice", F.lit(0))
-    return others.unionByName(many), _settle(many, cfg, rules)
+    few_first = None if first is None else first.join(few, "asset_guid", "left_semi")
+    starts = _settle(many, cfg, rules, few_first)
+    if first is not None:
+        starts = starts.unionByName(first, allowMissingColumns=True)
+    return others.unionByName(many), starts
 
 
 def cycle_changes(
@@ -302,18 +310,21 @@ def cycle_changes(
     rules=None,
     closed_only: bool = False,
     counts: DataFrame | None = None,
+    seeds: DataFrame | None = None,
 ) -> DataFrame:
     """Every cycle change caused by the enriched telemetry, and the lost records.
 
     `closed_only` leaves the rows that do not finish a cycle inside the task.
     `counts` gives rows per asset (asset_guid, n) or an upper bound of them, to
     find the trucks to slice without working out `moments` for it.
+    `seeds` (asset_guid, carry) are the states that trucks start from.
     """
     ship_package(moments.sparkSession)
     if counts is None:
         counts = rows_per_asset(moments)
-    rows, starts = _sliced(moments, counts, cfg, rules)
+    rows, starts = _sliced(moments, counts, cfg, rules, seeds)
+    seq = moments.schema["seq"].dataType.simpleString()
     changes = _in_order(rows, starts).mapInArrow(
-        _fold_changes(cfg, rules, closed_only), CHANGE_WIRE
+        _fold_changes(cfg, rules, closed_only, seq), change_wire(seq)
     )
     return to_changes(changes)

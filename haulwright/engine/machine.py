@@ -57,6 +57,8 @@ class CycleMachine:
         return state, json.dumps(numbers, sort_keys=True)
 
     def feed(self, at: Sighting) -> list[tuple]:
+        if at.at_us is None:
+            return [("reject", "X7", None)]
         if self.drops_late and self.changed_at is not None and at.at_us <= self.changed_at:
             return []
         if at.bad_position:

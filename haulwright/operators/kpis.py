@@ -15,12 +15,16 @@ _DURATIONS = [
 ]
 
 
-def cycle_kpis(finished: DataFrame) -> DataFrame:
-    """Count, mean and median of each duration by status, site, loader, dump region."""
+def cycle_kpis(finished: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Count, mean and median of each duration by status, site, loader, dump region.
+
+    Medians are approximate: their rank is off by at most a share of 1 / accuracy,
+    so they are exact in groups of fewer cycles than that.
+    """
     figures = [F.count(F.lit(1)).alias("n_cycles")]
     for name in _DURATIONS:
         figures.append(F.avg(name).alias(f"avg_{name}"))
-        figures.append(F.percentile_approx(name, 0.5, 10000).alias(f"median_{name}"))
+        figures.append(F.percentile_approx(name, 0.5, accuracy).alias(f"median_{name}"))
     return finished.groupBy(
         "cycle_status", "site_guid", "loader_asset_guid", "dump_region_guid"
     ).agg(*figures)

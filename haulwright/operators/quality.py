@@ -75,7 +75,12 @@ def fresh_telemetry(telemetry: DataFrame, process_info: DataFrame, cfg: CycleCon
 
 
 def loader_sites(loaders: DataFrame) -> DataFrame:
-    return loaders.select("site_guid").distinct().withColumn("has_loaders", F.lit(True))
+    """Sites with loaders, and since when if the loaders' places have a beginning."""
+    if "valid_from" not in loaders.columns:
+        return loaders.select("site_guid").distinct().withColumn(
+            "loaders_since", F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+        )
+    return loaders.groupBy("site_guid").agg(F.min("valid_from").alias("loaders_since"))
 
 
 def with_position_check(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:
@@ -84,8 +89,9 @@ def with_position_check(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:
 
 
 def checked(rows: DataFrame) -> DataFrame:
-    bad = f"NOT {position_ok('latitude', 'longitude')} AND coalesce(has_loaders, false)"
-    return rows.withColumn("bad_position", F.expr(bad)).drop("has_loaders")
+    seen = "coalesce(date_trunc('second', timestamp) >= loaders_since, false)"
+    bad = f"NOT {position_ok('latitude', 'longitude')} AND {seen}"
+    return rows.withColumn("bad_position", F.expr(bad)).drop("loaders_since")
 
 
 def coordinate_audit(telemetry: DataFrame, loaders: DataFrame) -> DataFrame:

@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
 from haulwright.engine.batch import cycle_changes
-from haulwright.operators.history import latest_changes
+from haulwright.operators.history import latest_changes, open_cycle
+from haulwright.operators.quality import latest_process_info
 from haulwright.plans.enrich import Dimensions, index_for, moments
-from haulwright.schemas import CYCLE_COLS, CYCLE_KEY, CYCLE_TABLE_COLS, PROCESS_INFO_COLS
+from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS, CYCLE_KEY, CYCLE_TABLE_COLS, CYCLE_TIMES, PROCESS_INFO_COLS
+
+# Spark types of the stored cycle table.
+CYCLE_TABLE = ", ".join(
+    ["asset_cycle_vlx_id bigint"]
+    + [f"{name} {kind}" for name, kind in CYCLE_FIELDS]
+    + ["created_date timestamp_ntz", "updated_date timestamp_ntz"]
+)
 
 
 def changes(
@@ -18,12 +26,60 @@ def changes(
     cfg: CycleConfig = DEFAULT,
     closed_only: bool = False,
     counts: DataFrame | None = None,
+    stored_cycles: DataFrame | None = None,
+    stored_progress: DataFrame | None = None,
 ) -> DataFrame:
-    """Cycle changes of a batch of telemetry, from the first record on."""
+    """Cycle changes of a batch of telemetry.
+
+    Trucks go on from the open cycles of `stored_cycles` (the current table) and,
+    in realtime, drop records not later than their `stored_progress`. Without
+    these tables every truck starts at its first record.
+    """
     rows = moments(telemetry, index_for(telemetry, dims, cfg), cfg)
     if counts is None:
         counts = telemetry.groupBy("asset_guid").agg(F.count(F.lit(1)).alias("n"))
-    return cycle_changes(rows, cfg, closed_only=closed_only, counts=counts)
+    seeds = start_states(stored_cycles, stored_progress, cfg)
+    return cycle_changes(rows, cfg, closed_only=closed_only, counts=counts, seeds=seeds)
+
+
+def start_states(
+    cycles: DataFrame | None, progress_table: DataFrame | None, cfg: CycleConfig = DEFAULT
+) -> DataFrame | None:
+    """asset_guid and carry: the engine's state text of each truck with something stored."""
+    parts = []
+    if cycles is not None:
+        record = F.struct(
+            *(
+                F.unix_micros(F.col(name).cast("timestamp")).alias(name)
+                if name in CYCLE_TIMES
+                else F.col(name)
+                for name in CYCLE_COLS
+            )
+        )
+        # One entry for each site a truck has worked at.
+        entry = F.struct("site_guid", record.alias("record"))
+        parts.append(
+            open_cycle(cycles.select(*CYCLE_COLS))
+            .groupBy("asset_guid")
+            .agg(F.map_from_entries(F.collect_list(entry)).alias("open"))
+        )
+    if progress_table is not None and cfg.service == "realtime":
+        newest = latest_process_info(progress_table, cfg.cycle_process)
+        date = F.unix_micros(F.col("process_date").cast("timestamp")).alias("changed_at")
+        parts.append(newest.select("asset_guid", date))
+    if not parts:
+        return None
+    states = parts[0] if len(parts) == 1 else parts[0].join(parts[1], "asset_guid", "full")
+    none = {"open": F.create_map(), "changed_at": F.lit(None).cast("bigint")}
+    held = F.struct(
+        *(
+            (F.coalesce(F.col(c), F.from_json(F.lit("{}"), states.schema[c].dataType)) if c == "open" else F.col(c)).alias(c)
+            if c in states.columns
+            else none[c].alias(c)
+            for c in ("changed_at", "open")
+        )
+    )
+    return states.select("asset_guid", F.to_json(held, {"ignoreNullFields": "false"}).alias("carry"))
 
 
 def final_cycles(log: DataFrame) -> DataFrame:
@@ -84,7 +140,7 @@ def merge_progress(
             "tx_process_info_id"
         ),
         "process_name",
-        F.coalesce("new_date", "process_date").alias("process_date"),
+        F.greatest("new_date", "process_date").alias("process_date"),
         F.coalesce("created_date", moment).alias("created_date"),
         F.when(known & changed, moment).otherwise(F.col("updated_date")).alias("updated_date"),
         "asset_guid",

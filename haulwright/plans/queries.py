@@ -23,6 +23,7 @@ from haulwright.plans.enrich import (
     truck_rows,
 )
 from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS
+from haulwright.session import use_checkpoint_dir
 from haulwright.sources import regions, tables, telemetry
 from haulwright.sources.derived import DerivedInputs
 
@@ -30,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REPROCESS = replace(DEFAULT, service="reprocess")
 REPAIRED = replace(DEFAULT, mode="repaired")
+#: Where the derived telemetry is cut into two runs.
+HALFWAY = "2024-01-01 12:00:00"
 
 
 def _inputs(spark: SparkSession, folder: str) -> tuple[DerivedInputs, Dimensions]:
@@ -74,7 +77,8 @@ def _log(
 ) -> DataFrame:
     inputs, dims = _inputs(spark, folder)
     return cycles.changes(
-        inputs.telemetry(), dims, cfg, closed_only=closed_only, counts=inputs.rows_per_asset()
+        inputs.telemetry(), dims, cfg, closed_only=closed_only, counts=inputs.rows_per_asset(),
+        stored_progress=dims.process_info,
     )
 
 
@@ -132,7 +136,7 @@ def table_read(spark, folder):
     return tables.table_read(
         DerivedInputs(spark, folder).process_info(),
         columns=["tx_process_info_id", "asset_guid", "process_date"],
-        where="process_name = 'asset_cycle_vlx' AND site_guid = 'S1'",
+        where=f"process_name = '{DEFAULT.cycle_process}' AND site_guid = 'S1'",
         order_by=[F.col("process_date").desc(), "tx_process_info_id"],
         limit=20,
     )
@@ -275,6 +279,46 @@ def cycles_current(spark, folder):
     return _shown(cycles.current_cycles(_log(spark, folder)))
 
 
+def cycles_current_merged(spark, folder):
+    """The current table after two runs, the second of which goes on from the first's tables."""
+    inputs, dims = _inputs(spark, folder)
+    rows, now = inputs.telemetry(), "2024-06-01 00:00:00"
+    early = F.col("timestamp") < F.lit(HALFWAY).cast("timestamp_ntz")
+    first = cycles.changes(
+        rows.where(early), dims, counts=inputs.rows_per_asset(), stored_progress=dims.process_info
+    )
+    empty = spark.createDataFrame([], cycles.CYCLE_TABLE)
+    table = _stored(cycles.merge_cycles(empty, first, now))
+    progress = _stored(cycles.merge_progress(_progress_table(inputs), first, now))
+    second = cycles.changes(
+        rows.where(~early), dims, counts=inputs.rows_per_asset(),
+        stored_cycles=table, stored_progress=progress,
+    )
+    return _shown(cycles.merge_cycles(table, second, now).select(*CYCLE_COLS))
+
+
+def cycles_from_payloads(spark, folder):
+    """Finished cycles from raw payloads on."""
+    inputs, dims = _inputs(spark, folder)
+    log = cycles.changes(
+        telemetry.telemetry(inputs.telemetry_raw()), dims, closed_only=True,
+        counts=inputs.rows_per_asset(), stored_progress=dims.process_info,
+    )
+    return _shown(cycles.final_cycles(log))
+
+
+def rule_coverage(spark, folder):
+    """How often each rule of the engine applied, by service and mode."""
+    runs = {"realtime": DEFAULT, "reprocess": REPROCESS, "repaired": REPAIRED}
+    logs = [_log(spark, folder, cfg).select(F.lit(name).alias("run"), "rule", "action") for name, cfg in runs.items()]
+    every = logs[0].unionByName(logs[1]).unionByName(logs[2])
+    return every.groupBy("run", "rule", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cycle_rejects_reprocess(spark, folder):
+    return cycles.rejects(_log(spark, folder, REPROCESS))
+
+
 def cycles_final_reprocess(spark, folder):
     return _shown(_finished(spark, folder, REPROCESS))
 
@@ -288,16 +332,24 @@ def cycle_rejects(spark, folder):
 
 
 def process_info(spark, folder):
-    inputs, dims = _inputs(spark, folder)
-    log = cycles.changes(inputs.telemetry(), dims, counts=inputs.rows_per_asset())
-    moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    stored = quality.latest_process_info(inputs.process_info(), DEFAULT.cycle_process).withColumns(
-        {"created_date": moment, "updated_date": F.lit(None).cast("timestamp_ntz")}
-    )
-    merged = cycles.merge_progress(stored, log, "2024-06-01 00:00:00")
+    inputs = DerivedInputs(spark, folder)
+    log = _log(spark, folder)
+    merged = cycles.merge_progress(_progress_table(inputs), log, "2024-06-01 00:00:00")
     return merged.drop("tx_process_info_id")
 
 
+def _progress_table(inputs: DerivedInputs) -> DataFrame:
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    latest = quality.latest_process_info(inputs.process_info(), DEFAULT.cycle_process)
+    return latest.withColumns({"created_date": moment, "updated_date": F.lit(None).cast("timestamp_ntz")})
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    """A table between two runs, in the checkpoint folder."""
+    use_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint(eager=True)
+
+
 def open_cycle(spark, folder):
     rows = history.open_cycle(cycles.current_cycles(_log(spark, folder)))
     return rows.select(
@@ -377,7 +429,8 @@ QUERIES: dict[str, Query] = {
         coordinate_audit, resolved_site, asset_latest_site, loaders_current, loaders_asof,
         nearest_loader, nearest_loader_asof, nearest_load_region, dump_region_hit, colocation,
         area_static, asset_regions_latest, latest_process_info, cycle_change_log, cycles_final,
-        cycles_current, cycles_final_reprocess, cycles_final_repaired, cycle_rejects,
+        cycles_current, cycles_current_merged, cycles_from_payloads, rule_coverage,
+        cycle_rejects_reprocess, cycles_final_reprocess, cycles_final_repaired, cycle_rejects,
         process_info, open_cycle, next_cycle_number, duration_report, idle_stops, stop_class,
         state_transitions, loader_movement, cycle_status_check, cycle_kpis,
     )

@@ -54,10 +54,11 @@ CYCLE_FIELDS = [
 CYCLE_COLS = [name for name, _ in CYCLE_FIELDS]
 CYCLE_TIMES = [name for name, kind in CYCLE_FIELDS if kind == "timestamp_ntz"]
 
-# The stored cycle table adds a surrogate key and two audit times.
+# The stored cycle table adds a surrogate key and two audit times.
 CYCLE_TABLE_COLS = ["asset_cycle_vlx_id", *CYCLE_COLS, "created_date", "updated_date"]
 CYCLE_KEY = ["site_guid", "asset_guid", "cycle_number"]
 
+# Columns of the progress table.
 PROCESS_INFO_COLS = [
     "tx_process_info_id",
     "process_name",
@@ -70,7 +71,7 @@ PROCESS_INFO_COLS = [
 
 TELEMETRY_RAW = T.StructType([
     T.StructField("shard", T.StringType()),
-    T.StructField("sequence_number", T.LongType()),
+    T.StructField("sequence_number", T.StringType()),  # decimal digits, as many as a shard has
     T.StructField("sub_sequence_number", T.LongType()),
     T.StructField("partition_key", T.StringType()),
     T.StructField("data", T.StringType()),
@@ -109,7 +110,11 @@ MOMENT_COLS = [
 
 # What the cycle engine writes: one row per changed or lost record.
 CHANGE_COLS = ["seq", "action", "rule", *CYCLE_COLS]
-CHANGE_WIRE = "seq bigint, action string, rule string, " + ", ".join(
-    f"{name} {'bigint' if kind == 'timestamp_ntz' else kind}"
-    for name, kind in CYCLE_FIELDS
-)
+
+
+def change_wire(seq: str) -> str:
+    """Those columns for sequence numbers of a type, times in microseconds."""
+    return f"seq {seq}, action string, rule string, " + ", ".join(
+        f"{name} {'bigint' if kind == 'timestamp_ntz' else kind}"
+        for name, kind in CYCLE_FIELDS
+    )

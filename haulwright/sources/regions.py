@@ -69,8 +69,12 @@ def asset_latest_site(asset_regions: DataFrame, region_sites: DataFrame) -> Data
     )
 
 
-def asset_regions_latest(assets: DataFrame, ref_site: DataFrame, regions: DataFrame) -> DataFrame:
-    """Newest usable definition of each region of an asset's site.
+def asset_regions_latest(
+    assets: DataFrame, ref_site: DataFrame, regions: DataFrame, asset_guid: str | None = None
+) -> DataFrame:
+    """Newest usable definition of each region of an asset's site, smallest fence area first.
+
+    Usually asked for one asset (`asset_guid`); without it, for all of them.
 
     The newest version does not depend on the asset, so versions are reduced
     per region first and assets meet one row per region.
@@ -83,9 +87,12 @@ def asset_regions_latest(assets: DataFrame, ref_site: DataFrame, regions: DataFr
             "site_guid", "region_guid", "newest.points AS region_points", "newest.fence_area"
         )
     )
+    if asset_guid is not None:
+        assets = assets.where(F.col("guid") == asset_guid)
     return (
         assets.withColumnRenamed("guid", "asset_guid")
         .join(ref_site.withColumnRenamed("guid", "site_guid"), "site_guid", "left_semi")
         .join(latest, "site_guid")
         .select("asset_guid", "client_guid", "site_guid", "region_guid", "region_points", "fence_area")
+        .orderBy("fence_area", "asset_guid", "region_guid")
     )

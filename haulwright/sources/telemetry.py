@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.functions.geo import NUMBER
@@ -115,10 +115,16 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def telemetry(raw: DataFrame) -> DataFrame:
-    """Typed telemetry, ordered by `seq` where times are equal."""
-    seq = F.col("sequence_number") * F.lit(1 << 20) + F.col("sub_sequence_number") * 1024
+    """Typed telemetry, ordered by `seq` where times are equal.
+
+    `seq` is text that sorts like (sequence, sub-sequence, item): sequence numbers
+    have no bound, so nothing is packed into a number.
+    """
+    seq = F.concat_ws(
+        ".", _padded("sequence_number", 64), _padded("sub_sequence_number", 20), _padded("item_no", 10)
+    )
     return typed(raw).where("reject IS NULL").select(
-        (seq + F.col("item_no")).alias("seq"),
+        seq.alias("seq"),
         "asset_guid",
         "site_guid",
         "timestamp",
@@ -128,9 +134,18 @@ def telemetry(raw: DataFrame) -> DataFrame:
     )
 
 
+def _padded(number: str, width: int) -> Column:
+    """Digits of a number (text or numeric, not negative) that sort as text; longer ones sort last."""
+    digits = F.regexp_replace(F.col(number).cast("string"), "^0+(?=[0-9])", "")
+    return F.when(F.length(digits) <= width, F.lpad(digits, width, "0")).otherwise(
+        F.concat(F.lit("9" * width), F.lpad(F.length(digits).cast("string"), 6, "0"), digits)
+    )
+
+
 def shard_high_water(raw: DataFrame) -> DataFrame:
     """Highest (sequence, sub-sequence) of each shard among the payloads read."""
-    best = F.max(F.struct("sequence_number", "sub_sequence_number"))
+    both = F.struct("sequence_number", "sub_sequence_number")
+    best = F.max_by(both, F.struct(_padded("sequence_number", 64), _padded("sub_sequence_number", 20)))
     # Skipped and failed payloads do not move the mark.
     return (
         _classified(raw)

@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from haulwright.config import DEFAULT, FINAL_STATUSES, CycleConfig
-from haulwright.engine.batch import CHANGE_ARROW, change_row, to_changes
+from haulwright.engine.batch import change_arrow, change_row, to_changes
 from haulwright.engine.machine import CycleMachine
 from haulwright.engine.state import Sighting
 from haulwright.operators.history import latest_changes
 from haulwright.plans.cycles import progress
 from haulwright.session import ship_package
-from haulwright.schemas import CHANGE_COLS, CHANGE_WIRE, CYCLE_COLS, MOMENT_COLS
+from haulwright.schemas import CHANGE_COLS, CYCLE_COLS, MOMENT_COLS, change_wire
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE = T.StructType([T.StructField("machine", T.StringType())])
@@ -38,9 +38,10 @@ def _plain(value):
 
 
 class CycleProcessor(StatefulProcessor):
-    def __init__(self, cfg: CycleConfig, rules=None) -> None:
+    def __init__(self, cfg: CycleConfig, rules=None, seq: str = "bigint") -> None:
         self.cfg = cfg
         self.rules = rules
+        self.schema = change_arrow(seq)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("cycles", _STATE)
@@ -60,7 +61,7 @@ class CycleProcessor(StatefulProcessor):
             yield pd.DataFrame(
                 {
                     f.name: pd.Series(columns[f.name], dtype=_PANDAS.get(str(f.type), object))
-                    for f in CHANGE_ARROW
+                    for f in self.schema
                 }
             )
 
@@ -78,12 +79,13 @@ def cycle_change_stream(moments: DataFrame, cfg: CycleConfig = DEFAULT, rules=No
     The session needs the RocksDB state store (`STATE_STORE`).
     """
     ship_package(moments.sparkSession)
+    seq = moments.schema["seq"].dataType.simpleString()
     changed = (
         moments.select(*MOMENT_COLS)
         .groupBy("asset_guid")
         .transformWithStateInPandas(
-            statefulProcessor=CycleProcessor(cfg, rules),
-            outputStructType=CHANGE_WIRE,
+            statefulProcessor=CycleProcessor(cfg, rules, seq),
+            outputStructType=change_wire(seq),
             outputMode="Append",
             timeMode="None",
         )

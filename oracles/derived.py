@@ -204,7 +204,8 @@ CTES: dict[str, tuple[list[str], str]] = {
             AND site_guid IN (SELECT site_guid FROM loaders) AS bad_position FROM trucks t"""),
     "checked_asof": (["trucks", "validity"], """
         SELECT t.*, NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180)
-            AND site_guid IN (SELECT site_guid FROM validity) AS bad_position FROM trucks t"""),
+            AND EXISTS (SELECT 1 FROM validity v WHERE v.site_guid = t.site_guid
+                AND v.valid_from <= date_trunc('second', t."timestamp")) AS bad_position FROM trucks t"""),
     "pieces": (["regions"], r"""
         SELECT site_guid, region_guid, region_type, nth, pair, string_split(pair, ' ') AS parts
         FROM (SELECT site_guid, region_guid, region_type,
@@ -328,20 +329,29 @@ CTES["located_asof"] = (["near_asof", "edges"], _located("near_asof"))
 CTES["placed_asof"] = (["located_asof", "edges"], _placed("located_asof"))
 
 
-def with_ctes(needs: list[str], body: str, recursive: str = "") -> str:
-    """The statement with every table it reads, directly or not, in front."""
+def with_ctes(needs: list[str], body: str, recursive: str = "", telemetry: str | None = None) -> str:
+    """The statement with every table it reads, directly or not, in front.
+
+    With `telemetry`, that text over the raw payloads stands for the telemetry
+    table, and the derived one, from which payloads are made, is called `sent`.
+    """
+    ctes = dict(CTES)
+    if telemetry is not None:
+        ctes["sent"] = CTES["telemetry"]
+        ctes["raw"] = (["sent"], CTES["raw"][1].replace("FROM telemetry", "FROM sent"))
+        ctes["telemetry"] = (["raw"], telemetry)
     done: list[str] = []
 
     def add(name: str) -> None:
         if name in done:
             return
-        for other in CTES[name][0]:
+        for other in ctes[name][0]:
             add(other)
         done.append(name)
 
     for name in needs:
         add(name)
-    texts = [f"{name} AS MATERIALIZED ({CTES[name][1].strip()})" for name in done]
+    texts = [f"{name} AS MATERIALIZED ({ctes[name][1].strip()})" for name in done]
     if recursive:
         texts.append(recursive)
     head = "WITH RECURSIVE " if recursive else "WITH "

@@ -6,6 +6,9 @@ columns it sets. Written from the rule tables, apart from the Spark engine.
 
 from __future__ import annotations
 
+import re
+
+from haulwright.config import DEFAULT
 from haulwright.schemas import CYCLE_FIELDS, CYCLE_TIMES
 from oracles.derived import metres, with_ctes
 
@@ -247,8 +250,14 @@ _REPAIRS = [
 ]
 
 
-def _recursion(placed: str, repaired: bool = False) -> str:
+# Realtime drops what is not later than the newest stored progress of the truck.
+_FRESH = f"""NOT EXISTS (SELECT 1 FROM progress p WHERE p.asset_guid = t.asset_guid
+        AND p.process_name = '{DEFAULT.cycle_process}' AND t."timestamp" <= p.process_date)"""
+
+
+def _recursion(placed: str, repaired: bool = False, also: str = "true") -> str:
     """CTE `steps_taken`: after each row the open state, the updated record, the rule."""
+    fresh = also if placed.endswith("asof") else f"{_FRESH} AND {also}"
     names = [n for n, _ in _FIELDS]
     empty = _struct({n: "NULL" for n in [*names, "changed_at"]})
     update = {n: _by_rule(n, UPDATES, _KEEP.get(n, f"s.{n}")) for n in names}
@@ -265,7 +274,8 @@ def _recursion(placed: str, repaired: bool = False) -> str:
     return f"""
 rows_in_order AS MATERIALIZED (
     SELECT *, epoch_us("timestamp") AS tick,
-        row_number() OVER (PARTITION BY asset_guid ORDER BY "timestamp", seq) AS rn FROM {placed}),
+        row_number() OVER (PARTITION BY asset_guid ORDER BY "timestamp", seq) AS rn FROM {placed} t
+    WHERE {fresh}),
 steps_taken AS (
     SELECT asset_guid, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS site_guid,
         CAST(NULL AS BIGINT) AS tick, CAST(NULL AS VARCHAR) AS rule, {empty} AS s, {empty} AS u
@@ -321,5 +331,19 @@ def columns() -> str:
     return ", ".join(shown)
 
 
-def over_log(body: str, placed: str = "placed", also: list[str] = [], repaired: bool = False) -> str:
-    return with_ctes([placed, *also], body, recursive=_recursion(placed, repaired).strip())
+def over_log(
+    body: str, placed: str = "placed", also: list[str] = [], repaired: bool = False, telemetry: str | None = None
+) -> str:
+    """Over the log of one run; `telemetry` takes the place of the derived one (`sent`)."""
+    return with_ctes(
+        [placed, "progress", *also], body, recursive=_recursion(placed, repaired).strip(), telemetry=telemetry
+    )
+
+
+def over_logs(body: str, runs: dict[str, tuple[str, bool]]) -> str:
+    """Over several logs, `log_<run>` and `lost_<run>` of each run (placed rows, repaired)."""
+    steps = []
+    for run, (placed, repaired) in runs.items():
+        text = _recursion(placed, repaired).strip()
+        steps.append(re.sub(r"\b(rows_in_order|steps_taken|log|lost)\b", rf"\1_{run}", text))
+    return with_ctes([*{p for p, _ in runs.values()}, "progress"], body, recursive=",\n".join(steps))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from haulwright.config import DEFAULT
 from oracles.derived import metres, with_ctes
-from oracles.engine import columns, over_log
+from oracles.engine import columns, over_log, over_logs
 
 _FINAL = "cycle_status IN ('COMPLETE', 'INVALID', 'OUTLIER')"
 
@@ -71,6 +71,8 @@ _SHOWN_NEAR = "SELECT seq, asset_guid, loader_guid, round(loader_distance, 3) AS
 _CURRENT = """(SELECT * FROM log QUALIFY row_number() OVER (
     PARTITION BY site_guid, asset_guid, cycle_number ORDER BY current_process_date DESC, seq DESC) = 1)"""
 
+_RUNS = {"realtime": ("placed", False), "reprocess": ("placed_asof", False), "repaired": ("placed", True)}
+
 ORACLES: dict[str, str] = {
     "telemetry_decode": with_ctes(["raw"], f"""
         SELECT shard, sequence_number, sub_sequence_number, item_no, item ->> 'asset_guid' AS asset_guid,
@@ -93,9 +95,9 @@ ORACLES: dict[str, str] = {
             SELECT shard, max({'a': sequence_number, 'b': sub_sequence_number}) AS best FROM raw
             WHERE data <> '' AND json_valid(data) AND ((json_type(data) = 'OBJECT' AND len(json_keys(data)) > 0)
                 OR (json_type(data) = 'ARRAY' AND json_array_length(data) > 0)) GROUP BY shard)"""),
-    "table_read": with_ctes(["progress"], """
+    "table_read": with_ctes(["progress"], f"""
         SELECT tx_process_info_id, asset_guid, process_date FROM progress
-        WHERE process_name = 'asset_cycle_vlx' AND site_guid = 'S1'
+        WHERE process_name = '{DEFAULT.cycle_process}' AND site_guid = 'S1'
         ORDER BY process_date DESC, tx_process_info_id LIMIT 20"""),
     "sql_read": with_ctes(["progress"], f"""
         SELECT site_guid, count(*) AS n_assets, max(process_date) AS last_date FROM progress
@@ -149,10 +151,20 @@ ORACLES: dict[str, str] = {
     "cycles_final_reprocess": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", "placed_asof"),
     "cycles_final_repaired": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", repaired=True),
     "cycles_current": over_log(f"SELECT {columns()} FROM {_CURRENT}"),
+    "cycles_current_merged": over_log(f"SELECT {columns()} FROM {_CURRENT}"),
+    "cycles_from_payloads": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", telemetry=f"""
+        SELECT sequence_number * 1048576 + sub_sequence_number * 1024 + item_no AS seq, asset_guid, site_guid,
+            "timestamp", work_state_id, longitude, latitude FROM ({_TYPED})
+        WHERE complete AND "timestamp" IS NOT NULL AND work_state_id IS NOT NULL
+            AND longitude IS NOT NULL AND latitude IS NOT NULL"""),
+    "rule_coverage": over_logs(" UNION ALL ".join(
+        f"SELECT '{run}' AS run, rule, action, count(*) AS n FROM (SELECT rule, action FROM log_{run}"
+        f" UNION ALL SELECT reject, 'reject' FROM lost_{run}) GROUP BY ALL" for run in _RUNS), _RUNS),
     "cycle_rejects": over_log("SELECT * FROM lost"),
+    "cycle_rejects_reprocess": over_log("SELECT * FROM lost", "placed_asof"),
     "process_info": over_log(f"""
         SELECT coalesce(p.process_name, '{DEFAULT.cycle_process}') AS process_name,
-            coalesce(c.process_date, p.process_date) AS process_date,
+            greatest(c.process_date, p.process_date) AS process_date,
             TIMESTAMP '2024-01-01 00:00:00' + CASE WHEN p.asset_guid IS NULL THEN INTERVAL 152 DAY ELSE INTERVAL 0 DAY END AS created_date,
             CASE WHEN p.asset_guid IS NOT NULL AND c.asset_guid IS NOT NULL THEN TIMESTAMP '2024-06-01 00:00:00' END AS updated_date,
             coalesce(p.asset_guid, c.asset_guid) AS asset_guid, coalesce(p.site_guid, c.site_guid) AS site_guid

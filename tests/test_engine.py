@@ -37,6 +37,40 @@ def test_slices_give_the_sequential_run(rows, mode, most, cell):
     assert sorted_rows(cycle_changes(rows, cut)) == sorted_rows(cycle_changes(rows, cfg))
 
 
+@pytest.mark.parametrize("seq", ["cast(seq + (1L << 61) as bigint)", "concat(repeat('7', 40), lpad(seq, 20, '0'))"])
+def test_slices_keep_large_numbers_whole(rows, seq):
+    large = rows.selectExpr(f"{seq} AS seq", *[c for c in rows.columns if c != "seq"])
+    large = large.withColumn("at_us", F.col("at_us") + F.lit(1 << 61))
+    cut = replace(DEFAULT, max_rows_per_slice=10)
+    names = ["seq", "action", "rule", "asset_guid", "cycle_number", "current_segment"]
+    wire = lambda cfg: sorted(map(repr, cycle_changes(large, cfg).select(*names).collect()))
+    got = wire(cut)
+    assert got == wire(DEFAULT) and got
+    seqs = {r[0] for r in large.select("seq").collect()}
+    assert {r[0] for r in cycle_changes(large, cut).select("seq").collect()} <= seqs
+
+
+@pytest.mark.parametrize("most", [DEFAULT.max_rows_per_slice, 10])
+def test_two_runs_are_one_run(spark, folder, most):
+    cfg = replace(DEFAULT, max_rows_per_slice=most)
+    inputs = DerivedInputs(spark, folder)
+    dims, telemetry = Dimensions.derived(inputs), inputs.telemetry().persist()
+    stored = dims.process_info
+    whole = cycles.changes(telemetry, dims, cfg, stored_progress=stored)
+    cut = telemetry.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.4)).first()[0]
+    early = F.unix_micros(F.col("timestamp").cast("timestamp")) < cut
+    now = "2024-06-01 00:00:00"
+    first = cycles.changes(telemetry.where(early), dims, cfg, stored_progress=stored).persist()
+    table = cycles.merge_cycles(spark.createDataFrame([], cycles.CYCLE_TABLE), first, now).persist()
+    base = stored.withColumns({c: F.lit(None).cast("timestamp_ntz") for c in ("created_date", "updated_date")})
+    progress = cycles.merge_progress(base.where(f"process_name = '{DEFAULT.cycle_process}'"), first, now).persist()
+    second = cycles.changes(telemetry.where(~early), dims, cfg, stored_cycles=table, stored_progress=progress)
+    assert first.count() and second.count()
+    assert sorted_rows(first.unionByName(second)) == sorted_rows(whole)
+    late = cycles.changes(telemetry, dims, cfg, stored_cycles=table, stored_progress=progress)
+    assert sorted_rows(late) == sorted_rows(second)
+
+
 def test_every_status_appears(log):
     statuses = {r[0] for r in log.select("cycle_status").distinct().collect()}
     assert {"INPROGRESS", "COMPLETE", "INVALID", "OUTLIER"} <= statuses

@@ -260,3 +260,98 @@ def test_thresholds_are_checked(field):
         CycleConfig(**{field: -1.0})
     with pytest.raises(TypeError):
         CycleConfig(**{field: "near"})
+
+
+# Rules that no trace above reaches.
+
+
+def feed(machine, t, place, state, **changes):
+    changed = machine.feed(sight(t, place, state, **changes))
+    return (changed[0][1] if changed else None), (changed[-1][2] if changed else None)
+
+
+def test_short_stop_before_any_segment():
+    rules, cycles, _ = run([(0, "loader", I), (10, "loader", W)])
+    assert rules == ["D1", "L20"]
+    want(cycles[1], current_segment=None, current_process_date=10, load_start_utc=None)
+
+
+def test_short_stop_on_a_loaded_trip():
+    rules, cycles, _ = run(upto(100) + [(200, "loader", I), (210, "loader", W)])
+    assert rules[-2:] == ["L9", "L22"]
+    want(cycles[1], current_segment="LOAD_TRAVEL", load_end_utc=100, current_process_date=210)
+
+
+def test_loading_that_becomes_an_outlier():
+    rules, cycles, _ = run(upto(40) + [(1241, "loader", I), (2600, "loader", I)])
+    assert rules[-2:] == ["L3", None]
+    want(cycles[1], is_outlier=True, outlier_type_id=3, outlier_seconds=1201.0, outlier_date_utc=40,
+         outlier_loader_guid="P", cycle_status="INPROGRESS")
+
+
+def test_dump_seen_when_back_at_the_loader():
+    rules, cycles, _ = run(upto(700) + [(760, "loader", W)])
+    assert rules[-2:] == ["U7", "L16"]
+    want(cycles[1], current_segment="EMPTY_TRAVEL", dump_start_utc=700, dump_end_utc=760, dump_seconds=60.0,
+         load_travel_seconds=600.0, dump_region_guid="D", idle_in_dump_region_guid=None)
+
+
+@pytest.mark.parametrize("place", ["loader", "dump", "road"])
+def test_other_work_states_change_nothing(place):
+    rules, _, machine = run([(0, place, W), (10, place, 5), (20, place, 7)])
+    assert rules == ["D1", None, None]
+    assert machine.changed_at == 0
+    assert run([(0, place, 5), (10, place, I), (99, place, W)])[0] == ["D1", None, None]
+
+
+def test_second_dump_in_another_region():
+    rules, _, machine = run(upto(730))
+    assert rules[-1] == "U13"
+    assert feed(machine, 800, "dump", I, dump_region_guid="E")[0] == "U7"
+    rule, record = feed(machine, 840, "dump", W, dump_region_guid="E")
+    assert rule == "U11"
+    want(record, dump_region_guid="E", dump_start_utc=700, dump_end_utc=840, dump_seconds=70.0)
+
+
+def test_next_cycle_without_load_region_is_lost():
+    rules, _, machine = run(upto(1300))
+    assert feed(machine, 1330, "loader", I, load_region_guid=None)[0] == "X3"
+    repaired = CycleMachine(CycleConfig(mode="repaired"))
+    for row in upto(1300):
+        repaired.feed(sight(*row))
+    rule, record = feed(repaired, 1330, "loader", I, load_region_guid=None)
+    assert rule == "L7"
+    want(record, load_region_guid=None, is_within_load_region=False, cycle_number=2)
+
+
+def test_loading_seen_from_travel_without_a_note_is_lost():
+    for mode, rule in (("reference", "X5"), ("repaired", "T6")):
+        _, _, machine = run(upto(1300), mode=mode)
+        machine.open["S"]["tmp_idle_near_loader"] = None
+        got, record = feed(machine, 1400, "road", W)
+        assert got == rule
+        if rule == "T6":
+            want(record, current_segment="LOAD_TRAVEL", loader_asset_guid=None, load_seconds=100.0)
+
+
+def test_idle_travel_ends_a_cycle_or_not():
+    rules, cycles, _ = run(upto(730) + [(900, "road", I), (1000, "road", W)])
+    assert rules[-2:] == ["T4", "T7"]
+    want(cycles[1], cycle_status="COMPLETE", empty_travel_seconds=170.0, cycle_end_utc=900)
+    want(cycles[2], current_segment=None, cycle_start_utc=900)
+    rules, cycles, _ = run(upto(730) + [(900, "road", I), (930, "road", W)])
+    assert rules[-1] == "T8"
+    want(cycles[1], cycle_status="INPROGRESS", current_segment="EMPTY_TRAVEL", current_process_date=930)
+
+
+def test_a_record_without_time_is_rejected():
+    machine = CycleMachine(CycleConfig())
+    assert machine.feed(sight(0, "road", W)._replace(at_us=None)) == [("reject", "X7", None)]
+
+
+def test_two_sites_have_cycles_of_their_own():
+    _, _, machine = run(upto(100))
+    assert feed(machine, 150, "road", W, site_guid="S2")[0] == "D1"
+    assert feed(machine, 140, "road", I)[0] is None  # late for the truck, whatever the site
+    assert feed(machine, 160, "road", I)[0] == "T4"
+    assert {site: r["cycle_number"] for site, r in machine.open.items()} == {"S": 1, "S2": 1}
