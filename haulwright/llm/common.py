@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haulwright.session import ship_package, use_checkpoint_dir
 
@@ -40,6 +41,33 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+class Filter:
+    """A bit field over hashes of keys, of bounded size, to leave rows out before a shuffle.
+
+    Rows with one of the keys always pass, others seldom while 16 bits are there for
+    each key. The field never exceeds `most` bits (8 MB, as rows of 64 bits
+    16 MB), so it may be broadcast; beyond that size more rows pass, none is lost.
+    """
+
+    def __init__(self, keys: DataFrame, most: int = 1 << 26):
+        """keys: a stored table with the column key (long)."""
+        self.bits = min(most, 1 << max(6, (16 * keys.count()).bit_length()))
+        words = keys.select(*self._place(F.col("key"))).groupBy("_word").agg(F.bit_or("_bit").alias("_held"))
+        self.words = F.broadcast(words.withColumnRenamed("_word", "_at"))
+
+    def _place(self, key: Column) -> list[Column]:
+        place = F.pmod(F.xxhash64(key), F.lit(self.bits).cast("long"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+        return [F.shiftright(place, 6).alias("_word"), bit.alias("_bit")]
+
+    def split(self, rows: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+        """Rows that may have one of the keys, and those that have none."""
+        word, bit = self._place(key)
+        placed = rows.withColumns({"_word": word, "_bit": bit})
+        same = (F.col("_word") == F.col("_at")) & (F.col("_bit").bitwiseAND(F.col("_held")) != 0)
+        return tuple(placed.join(self.words, same, how).drop("_word", "_bit") for how in ("left_semi", "left_anti"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

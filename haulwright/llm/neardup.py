@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import key_groups, mapped, mixed, partitions, steps, stored, table, texts_of
+from haulwright.llm.common import Filter, key_groups, mapped, mixed, partitions, steps, stored, table, texts_of
 from haulwright.llm.graph import components
 
 
@@ -297,35 +297,40 @@ def confirmed_outside(sets: DataFrame, how: Join) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, how: Join, key: str, text: str) -> DataFrame:
-    """cluster, doc_id, blocks and tokens of the members, whose texts are read again."""
-    wanted = members.select(F.col("doc_id").alias(key), "cluster", "blocks", "print")
-    rows = docs.select(F.col(key).cast("long").alias(key), text).join(wanted, key)
+    """cluster, doc_id, blocks and tokens of the members, whose texts are read again.
+
+    Only texts that may be members' come along: their sets are shuffled, no text is.
+    """
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, _ = Filter(members.select(F.col("doc_id").alias("key"))).split(rows, F.col("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
-            sets = [s.tobytes() for s in shingle_sets(texts_of(batch.column(text)), how.words)]
-            prints = batch.column("print").to_pylist()
-            same = [hashlib.blake2b(s, digest_size=16).digest() == p for s, p in zip(sets, prints, strict=True)]
-            rows = pa.RecordBatch.from_arrays(
-                [batch.column("cluster"), batch.column(key), batch.column("blocks"), pa.array(sets, pa.binary())],
-                ["cluster", "doc_id", "blocks", "tokens"],
+        for batch in steps(batches, "text"):
+            sets = [s.tobytes() for s in shingle_sets(texts_of(batch.column("text")), how.words)]
+            prints = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
+                ["doc_id", "print", "tokens"],
             )
-            yield rows.filter(pa.array(same))
 
-    return rows.transform(mapped, run, "cluster long, doc_id long, blocks long, tokens binary")
+    sets = rows.transform(mapped, run, "doc_id long, print binary, tokens binary")
+    # No broadcast: the members grow with the documents.
+    wanted = members.select("doc_id", "cluster", "blocks", "print").hint("merge")
+    found = sets.join(wanted, ["doc_id", "print"])
+    return found.select("cluster", "doc_id", "blocks", "tokens")
 
 
 def near_duplicates(docs: DataFrame, how: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row."""
     described = stored(describe(docs, how, key, text), "described")
     filled = described.where(F.col("doc_id").isNotNull() & F.col("print").isNotNull())
-    firsts = filled.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    firsts = stored(firsts, "classes")
-    classes = stored(filled.join(firsts.select("print", "doc_id"), ["print", "doc_id"]).dropDuplicates(["print"]), "firsts")
+    first = F.min_by(F.struct("doc_id", "n_shingles", "chosen", "bins"), "doc_id").alias("first")
+    classes = filled.groupBy("print").agg(first, F.count("*").alias("copies")).select("print", "copies", "first.*")
+    classes = stored(classes, "classes")
 
     members, whole = nodes_of(classes, how)
     shapes = classes.select("doc_id", "n_shingles", "bins")
-    pairs = related(members.distinct().join(shapes, "doc_id"), how)
+    pairs = related(members.join(shapes, "doc_id"), how)
     clusters = components(pairs if whole is None else pairs.unionByName(whole))
     roots = clusters.select(F.col("root").alias("doc_id"), F.col("root").alias("cluster")).distinct()
     clustered = clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).unionByName(roots)
@@ -336,7 +341,7 @@ def near_duplicates(docs: DataFrame, how: Join = Join(), key: str = "doc_id", te
     links = _links(stored(sets, "sets"), how)
     found = components(links)
 
-    copies = firsts.where("copies > 1").select("print", F.col("doc_id").alias("first"))
+    copies = classes.where("copies > 1").select("print", F.col("doc_id").alias("first"))
     out = described.select("doc_id", "n_shingles", "print").join(copies, "print", "left")
     out = out.withColumn("first", F.coalesce("first", "doc_id"))
     out = out.join(found.select(F.col("node").alias("first"), "root"), "first", "left")
