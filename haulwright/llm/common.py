@@ -51,7 +51,8 @@ class Filter:
 
     def __init__(self, keys: DataFrame, most: int = 1 << 26):
         """keys: a stored table with the column key (long)."""
-        self.bits = min(most, 1 << max(6, (16 * keys.count()).bit_length()))
+        count = keys.agg(F.approx_count_distinct("key")).first()[0]
+        self.bits = min(most, 1 << max(6, (16 * count).bit_length()))
         words = keys.select(*self._place(F.col("key"))).groupBy("_word").agg(F.bit_or("_bit").alias("_held"))
         self.words = F.broadcast(words.withColumnRenamed("_word", "_at"))
 

@@ -29,10 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import mapped, mixed, partitions, steps, stored, table, texts_of
+from haulwright.llm.common import Filter, mapped, mixed, partitions, steps, stored, table, texts_of
 from haulwright.llm.sais import common_prefixes, suffix_array
 
 SPAN = 50
@@ -42,6 +44,8 @@ SHORT = 16
 HOT = 200_000
 #: Bytes of text for each shard, on average.
 SHARE = 16 << 20
+#: Bytes of text that one step of numpy work, or one suffix array, takes at a time.
+STEP = 1 << 20
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LONGS = pa.list_(pa.int64())
@@ -102,6 +106,19 @@ def _marks(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return mixed(hashes ^ mixed(rows.view(np.uint64)))
 
 
+_SIX = np.uint64((1 << 48) - 1)
+
+
+def _six_bytes(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _parts(values: np.ndarray, count: int) -> np.ndarray:
     return np.mod(values.view(np.int64), count)
 
@@ -151,59 +168,65 @@ def _joined(held: list[pa.RecordBatch], column: str, kind=np.int64) -> np.ndarra
 
 
 def _shared_hashes(rows: DataFrame, parts: int, span: int, hot: int) -> DataFrame:
-    """part (of the row), marks of hashes that several documents have; with part -1 the hot hashes."""
-    sent = pa.schema([("part", pa.int64()), ("known", pa.bool_()), ("hash", _LONGS), ("doc", _LONGS), ("row", _LONGS), ("docs", _LONGS)])
+    """part (of the row), marks of hashes that several rows have, and these rows; with part -1 the hot hashes.
+
+    Hashes travel as six bytes: two that meet by chance only make a candidate more.
+    """
+    sent = pa.schema([("part", pa.int64()), ("known", pa.bool_()), ("hash", pa.binary()), ("row", _LONGS), ("rows", _LONGS)])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             runs = Runs(texts_of(batch.column("text")), span)
-            doc = batch.column("doc").to_numpy()[runs.row]
             row = batch.column("row").to_numpy()[runs.row]
-            order = np.lexsort((row, doc, runs.hash))
-            value, doc, row = runs.hash[order], doc[order], row[order]
-            first = np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])][: len(value)]
-            value, doc, row = value[first], doc[first], row[first]
+            order = np.lexsort((row, runs.hash))
+            value, row = runs.hash[order] & _SIX, row[order]
+            first = np.r_[True, (value[1:] != value[:-1]) | (row[1:] != row[:-1])][: len(value)]
+            value, row = value[first], row[first]
             if not len(value):
                 continue
             cuts = _cuts(value)
-            size = np.diff(cuts)
-            several = doc[cuts[1:] - 1] != doc[cuts[:-1]]  # documents of one value are in order
+            size = np.repeat(np.diff(cuts), np.diff(cuts))
             lead = np.zeros(len(value), bool)
-            lead[cuts[:-1]] = True
-            ask = lead | ~np.repeat(several, size)
-            weight = np.where(lead, np.repeat(np.where(several, size, 1), size), 1)
-            out = [[p, False, h, d, r, n] for p, h, d, r, n in _dealt(_parts(value[ask], parts), [value[ask], doc[ask], row[ask], weight[ask]])]
-            know = np.repeat(several, size)
+            lead[cuts[:-1]] = True  # one row asks for all rows of a value here
+            by_row = np.argsort(row[lead], kind="stable")  # rows in order take few bytes
+            asked = [c[lead][by_row] for c in (value, row, size)]
+            out = [[p, False, _six_bytes(h), r, n] for p, h, r, n in _dealt(_parts(asked[0], parts), asked)]
+            know = size > 1
             none = np.zeros(0, np.int64)
-            marks = _marks(value[know], row[know])
-            out += [[p, True, m, none, none, none] for p, m in _dealt(_parts(row[know], parts), [marks])]
+            known = [_marks(value[know], row[know]), row[know]]
+            out += [[p, True, m.tobytes(), r, none] for p, m, r in _dealt(_parts(row[know], parts), known)]
             yield _batch(out, sent)
 
-    found = pa.schema([("part", pa.int64()), ("marks", _LONGS)])
+    found = pa.schema([("part", pa.int64()), ("marks", _LONGS), ("rows", _LONGS)])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in _part_groups(batches):
-            known = [b.filter(b.column("known")) for b in group]
-            asked = [b.filter(pa.array(~b.column("known").to_numpy(zero_copy_only=False))) for b in group]
-            out = [[int(b.column("part")[0].as_py()), m.values.to_numpy()] for b in known for m in b.column("marks_or_hash")]
-            value, doc, row, weight = _joined(asked, "marks_or_hash", np.uint64), *(_joined(asked, c) for c in ("doc", "row", "docs"))
+            out, asked = [], []
+            for b in group:
+                known = b.column("known").to_numpy(zero_copy_only=False)
+                asked.append(b.filter(pa.array(~known)))
+                for own, m, r in zip(known, b.column("hash"), b.column("row"), strict=True):
+                    if own:
+                        out.append([int(b.column("part")[0].as_py()), np.frombuffer(m.as_py(), np.int64), np.unique(r.values.to_numpy())])
+            value = _from_six(b"".join(h for b in asked for h in b.column("hash").to_pylist()))
+            row, weight = (_joined(asked, c) for c in ("row", "rows"))
             order = np.argsort(value, kind="stable")
-            value, doc, row, weight = value[order], doc[order], row[order], weight[order]
+            value, row, weight = value[order], row[order], weight[order]
             if len(value):
                 cuts = _cuts(value)
-                low, high = np.minimum.reduceat(doc, cuts[:-1]), np.maximum.reduceat(doc, cuts[:-1])
                 many = np.add.reduceat(weight, cuts[:-1])
-                shared = np.repeat((low != high) | (many > 1), np.diff(cuts))
+                shared = np.repeat(many > 1, np.diff(cuts))
                 burning = value[cuts[:-1]][many > hot]
-                out += [[p, m] for p, m in _dealt(_parts(row[shared], parts), [_marks(value[shared], row[shared])])]
+                marked = [_marks(value[shared], row[shared]), row[shared]]
+                out += [[p, m, np.unique(r)] for p, m, r in _dealt(_parts(row[shared], parts), marked)]
                 if len(burning):
-                    out.append([-1, burning.view(np.int64)])
+                    out.append([-1, burning.view(np.int64), np.zeros(0, np.int64)])
             if out:
                 yield _batch(out, found)
 
-    dealt = rows.select("doc", "row", "text").transform(mapped, find, "part long, known boolean, hash array<long>, doc array<long>, row array<long>, docs array<long>")
-    dealt = dealt.withColumnRenamed("hash", "marks_or_hash").repartition(min(parts, 4096), "part").sortWithinPartitions("part")
-    return dealt.transform(mapped, settle, "part long, marks array<long>")
+    dealt = rows.select("row", "text").transform(mapped, find, "part long, known boolean, hash binary, row array<long>, rows array<long>")
+    dealt = dealt.repartition(min(parts, 4096), "part").sortWithinPartitions("part")
+    return dealt.transform(mapped, settle, "part long, marks array<long>, rows array<long>")
 
 
 def _part_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -222,8 +245,12 @@ def _part_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[
 
 
 def _runs_of_shared(rows: DataFrame, marks: DataFrame, burning: np.ndarray, parts: int, span: int) -> DataFrame:
-    """Runs of shared hashes with their bytes, dealt to shards."""
-    sent = pa.schema([("part", pa.int64()), *((c, _LONGS) for c in ("hash", "doc", "row", "at", "count")), ("text", pa.binary())])
+    """Runs of shared hashes with their bytes, dealt to shards.
+
+    Of equal runs in a step only those of the smallest document are sent; the
+    others are covered, which goes straight to their rows' parts.
+    """
+    sent = _RUNS_SENT
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(np.sort(burning))
 
@@ -234,23 +261,50 @@ def _runs_of_shared(rows: DataFrame, marks: DataFrame, burning: np.ndarray, part
                 built, known = held, np.sort(_joined(held, "marks", np.uint64))
             if streamed is None or not len(known):
                 continue
-            for batch in steps([streamed], "text"):
+            for batch in steps([streamed], "text", STEP):
                 runs = Runs(texts_of(batch.column("text")), span)
                 doc, row = (batch.column(c).to_numpy()[runs.row] for c in ("doc", "row"))
-                use = _within(_marks(runs.hash, row), known) & ~_within(runs.hash, shared.value)
-                at = np.flatnonzero(use)
+                value = runs.hash & _SIX
+                at = np.flatnonzero(_within(_marks(value, row), known) & ~_within(value, shared.value))
                 if not len(at):
                     continue
+                number: dict[bytes, int] = {}
+                texts = [runs.text(k) for k in at.tolist()]
+                same = np.array([number.setdefault(t, len(number)) for t in texts])
+                least = np.full(len(number), np.iinfo(np.int64).max)
+                np.minimum.at(least, same, doc[at])
                 place = runs.at[at] - runs.starts[runs.row[at]]
-                columns = [runs.hash[at], doc[at], row[at], place, runs.count[at], at]
-                out = [[*values[:-1], b"".join(map(runs.text, values[-1].tolist()))] for values in _dealt(_parts(runs.hash[at], parts), columns)]
+                open_ = doc[at] == least[same]
+                go, done = np.flatnonzero(open_), np.flatnonzero(~open_)
+                columns = [value[at[go]], doc[at[go]], row[at[go]], place[go], runs.count[at[go]], go]
+                out = [
+                    [p, _six_bytes(h.view(np.uint64)), d, r, a, n, _pack(b"".join(texts[k] for k in own.tolist()))]
+                    for p, h, d, r, a, n, own in _dealt(_parts(columns[0], parts), columns)
+                ]
+                covered = [row[at[done]], place[done], runs.count[at[done]]]
+                none = np.zeros(0, np.int64)
+                out += [[p, None, none, r, a, n, None] for p, r, a, n in _dealt(_parts(covered[0], parts), covered)]
                 yield _batch(out, sent)
 
     none = F.lit(None)
     held = marks.where("part >= 0").select("part", F.lit(0).cast("long").alias("streams"), "marks", none.cast("long").alias("doc"), none.cast("long").alias("row"), none.cast("string").alias("text"))
     texts = rows.select(_part_of(F.col("row"), parts).alias("part"), F.lit(1).cast("long").alias("streams"), none.cast("array<long>").alias("marks"), "doc", "row", "text")
     both = held.unionByName(texts).repartition(min(parts, 4096), "part").sortWithinPartitions("part", "streams")
-    return both.transform(mapped, run, "part long, hash array<long>, doc array<long>, row array<long>, at array<long>, count array<long>, text binary")
+    return both.transform(mapped, run, "part long, hash binary, doc array<long>, row array<long>, at array<int>, count array<int>, text binary")
+
+
+_INTS = pa.list_(pa.int32())
+_RUNS_SENT = pa.schema(
+    [("part", pa.int64()), ("hash", pa.binary()), ("doc", _LONGS), ("row", _LONGS), ("at", _INTS), ("count", _INTS), ("text", pa.binary())]
+)
+
+
+def _pack(text: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(text)
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
 
 
 def _part_of(row: Column, parts: int) -> Column:
@@ -290,10 +344,27 @@ def _stretches(starts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[cuts], starts[np.r_[cuts[1:] - 1, len(starts) - 1]] + span
 
 
+def _chunks(runs: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs in the order of their hashes, cut between hashes into pieces of about a step's bytes."""
+    cuts = _cuts(value[runs])
+    held, start = 0, 0
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        size = int(sizes[runs[a:b]].sum())
+        if held and held + size > STEP:
+            yield runs[start:a]
+            held, start = 0, int(a)
+        held += size
+    if held:
+        yield runs[start:]
+
+
 def _shard(held: list[pa.RecordBatch], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, starts and ends of the covered stretches of a shard."""
-    value, doc, row, at, count = (_joined(held, c, np.uint64 if c == "hash" else np.int64) for c in ("hash", "doc", "row", "at", "count"))
-    blob = b"".join(t for b in held for t in b.column("text").to_pylist())
+    settled = [b.filter(pc.is_null(b.column("hash"))) for b in held]
+    held = [b.filter(pc.is_valid(b.column("hash"))) for b in held]
+    value = _from_six(b"".join(h for b in held for h in b.column("hash").to_pylist()))
+    doc, row, at, count = (_joined(held, c, t).astype(np.int64) for c, t in (("doc", np.int64), ("row", np.int64), ("at", np.int32), ("count", np.int32)))
+    blob = b"".join(_unpack(t) for b in held for t in b.column("text").to_pylist())
     number: dict[bytes, int] = {}
     own = np.empty(len(value), np.int64)
     place = 0
@@ -306,19 +377,22 @@ def _shard(held: list[pa.RecordBatch], span: int) -> tuple[np.ndarray, np.ndarra
     of_run[own] = value
     full = doc > owners[own]
     rows, starts, ends = [row[full]], [at[full]], [at[full] + count[full] + span - 1]
+    for b in settled:
+        start, size = _joined([b], "at", np.int32).astype(np.int64), _joined([b], "count", np.int32)
+        rows, starts, ends = [*rows, _joined([b], "row")], [*starts, start], [*ends, start + size + span - 1]
     order = np.argsort(of_run, kind="stable")
     size = np.diff(_cuts(of_run[order]))
-    unclear = np.sort(order[np.repeat(size > 1, size)])  # runs that share their hash with another
-    if len(unclear):
-        texts = list(number)
-        windows = covered_windows([texts[u] for u in unclear.tolist()], owners[unclear], span)
-        rest = np.flatnonzero(~full)
-        rest = rest[np.argsort(own[rest], kind="stable")]
-        bounds = np.searchsorted(own[rest], np.r_[unclear, unclear[-1] + 1])
-        for k, found in enumerate(windows):
-            if len(found):
-                low, high = _stretches(found, span)
-                for j in rest[bounds[k] : np.searchsorted(own[rest], unclear[k], side="right")]:
+    texts = list(number)
+    rest = np.flatnonzero(~full)
+    rest = rest[np.argsort(own[rest], kind="stable")]
+    owned = own[rest]
+    # different runs of one hash, as many hashes at a time as a step may hold
+    for chunk in _chunks(order[np.repeat(size > 1, size)], of_run, np.fromiter(map(len, texts), np.int64, len(texts))):
+        found = covered_windows([texts[u] for u in chunk.tolist()], owners[chunk], span)
+        for u, places in zip(chunk.tolist(), found, strict=True):
+            if len(places):
+                low, high = _stretches(places, span)
+                for j in rest[np.searchsorted(owned, u) : np.searchsorted(owned, u, side="right")]:
                     rows.append(np.full(len(low), row[j]))
                     starts.append(at[j] + low)
                     ends.append(at[j] + high)
@@ -345,11 +419,11 @@ def _stretches_of_hot(rows: DataFrame, burning: np.ndarray, parts: int, span: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             runs = Runs(texts_of(batch.column("text")), span)
             doc, row = (batch.column(c).to_numpy()[runs.row] for c in ("doc", "row"))
             names, docs, own, at = [], [], [], []
-            for k in np.flatnonzero(_within(runs.hash, shared.value)).tolist():
+            for k in np.flatnonzero(_within(runs.hash & _SIX, shared.value)).tolist():
                 start = int(runs.at[k] - runs.starts[runs.row[k]])
                 text = runs.text(k)
                 for w in range(int(runs.count[k])):
@@ -380,10 +454,22 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, hot: int = HOT, share: int
     marks = stored(_shared_hashes(usable, parts, span, hot), "marks")
     burning = [r["marks"] for r in marks.where("part = -1").select("marks").collect()]
     burning = np.concatenate([np.array(b, np.int64) for b in burning]).view(np.uint64) if burning else np.zeros(0, np.uint64)
-    stretches = _stretches_of_shards(_runs_of_shared(usable, marks, burning, parts, span), parts, span)
+    marked = Filter(marks.select(F.explode("rows").alias("key")))
+    concerned, _ = marked.split(usable, F.col("row"))
+    stretches = _stretches_of_shards(_runs_of_shared(concerned, marks, burning, parts, span), parts, span)
     if len(burning):
         stretches = stretches.unionByName(_stretches_of_hot(usable, burning, parts, span))
-    return _cleaned(keyed.select("doc_row", "row"), stretches, parts, text)
+    stretches = stored(stretches, "stretches")
+    covered = Filter(stretches.select(F.explode("rows").alias("key")))
+    some, none = covered.split(keyed.select("doc_row", "row"), F.col("row"))
+    cleaned = _cleaned(some, stretches, parts, text)
+    data = F.coalesce(F.col(f"doc_row.{text}"), F.lit("")).cast("binary")
+    whole = F.struct(
+        F.octet_length(data).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), data.alias("kept"),
+    )
+    left = [F.col(f"doc_row.{c}").alias(c) for c in docs.columns if c not in (text, "repeats")]
+    return cleaned.unionByName(none.select(*left, whole.alias("repeats")))
 
 
 def _cleaned(rows: DataFrame, stretches: DataFrame, parts: int, text: str) -> DataFrame:
