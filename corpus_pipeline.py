@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import stored, table
+from haulwright.llm.common import Filter, stored, table
 from haulwright.llm.neardup import Join, near_duplicates
 from haulwright.llm.packing import pack_documents
 from haulwright.llm.pii import redact
@@ -32,9 +32,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without doc_id stay; of rows that repeat a doc_id one stays.
     """
-    found = near_duplicates(docs, Join(words=5, percent=80)).where("kept and doc_id is not null").select("doc_id")
-    named = docs.join(found.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    found = stored(near_duplicates(docs, Join(words=5, percent=80)).select("doc_id", "kept"), "near")
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count("*").alias("n"))
+    odd = stored(ids.where("not stays or n > 1"), "odd")
+    # Rows that surely stay aren't shuffled; no broadcast, as these ids grow with the documents.
+    some, rest = Filter(odd.select(F.col("doc_id").alias("key"))).split(docs.select(*COLUMNS), F.col("doc_id"))
+    some = some.join(odd.hint("merge"), "doc_id", "left").where(F.coalesce("stays", F.lit(True)))
+    out = rest.unionByName(some.where("n is null or n = 1").select(*COLUMNS))
+    if not odd.where("n > 1").isEmpty():
+        out = out.unionByName(some.where("n > 1").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    return out
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
