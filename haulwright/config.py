@@ -38,6 +38,8 @@ class CycleConfig:
 
     # An asset with more rows than this is folded in several time slices.
     max_rows_per_slice: int = 2_000_000
+    # Rounds after which trucks whose slices haven't settled are folded as a whole.
+    settle_rounds: int = 4
     # Width of the time cells used to cut ordered work on one asset.
     time_cell: str = "hour"
 

@@ -10,7 +10,8 @@ in parallel: every slice first runs from a guessed start, then again from the
 end state of the slice before it, until no start changes any more. Opening a
 cycle overwrites almost the whole state, so the guesses settle after about two
 rounds; each round reruns only the slices whose start has changed. At the fixed
-point the slices give exactly the rows of one sequential run.
+point the slices give exactly the rows of one sequential run. Trucks that don't
+reach it in a few rounds are run sequentially.
 """
 
 from __future__ import annotations
@@ -245,16 +246,22 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _settle(sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None) -> DataFrame:
-    """Carried state of every further slice of the sliced trucks.
+def _settle(
+    sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Carried state of every further slice of the sliced trucks, and trucks that don't settle.
 
     `first` holds what their first slices start from, if something is stored.
+    A truck whose starts still change after a few rounds is folded as a whole
+    instead, row after row in one task, which takes time but no memory.
     """
     fold = _fold_ends(cfg, rules)
     ends = _kept(_in_order(sliced, first).mapInArrow(fold, _ENDS_WIRE))
     starts = _kept(_starts(ends))
     stale, n_stale = starts, starts.count()
-    while n_stale:
+    for _ in range(cfg.settle_rounds):
+        if not n_stale:
+            break
         again = stale.select(*_SLICE)
         redone = _in_order(sliced.join(again, _SLICE, "left_semi"), stale).mapInArrow(
             fold, _ENDS_WIRE
@@ -268,7 +275,9 @@ def _settle(sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None)
             .drop("used")
         )
         n_stale = stale.count()
-    return starts.join(_counted(ends), _SLICE, "left")
+    restless = _kept(stale.select("asset_guid").distinct())
+    settled = starts.join(_counted(ends), _SLICE, "left").join(restless, "asset_guid", "left_anti")
+    return settled, restless
 
 
 def rows_per_asset(telemetry: DataFrame) -> DataFrame:
@@ -298,7 +307,9 @@ def _sliced(
     )
     others = moments.join(few, "asset_guid", "left_anti").withColumn("slice", F.lit(0))
     few_first = None if first is None else first.join(few, "asset_guid", "left_semi")
-    starts = _settle(many, cfg, rules, few_first)
+    starts, restless = _settle(many, cfg, rules, few_first)
+    whole = restless.withColumn("whole", F.lit(0))
+    many = many.join(whole, "asset_guid", "left").withColumn("slice", F.coalesce("whole", "slice")).drop("whole")
     if first is not None:
         starts = starts.unionByName(first, allowMissingColumns=True)
     return others.unionByName(many), starts

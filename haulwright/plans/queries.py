@@ -23,7 +23,7 @@ from haulwright.plans.enrich import (
     truck_rows,
 )
 from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS
-from haulwright.session import use_checkpoint_dir
+from haulwright.session import LAST_KEY_COUNTS, use_checkpoint_dir
 from haulwright.sources import regions, tables, telemetry
 from haulwright.sources.derived import DerivedInputs
 
@@ -411,11 +411,12 @@ def cycle_kpis(spark, folder):
 
 
 def _in_utc(query: Query) -> Query:
-    """Times are UTC throughout, so the session has to be."""
+    """Times are UTC throughout, so the session has to be; JSON keys may occur twice."""
 
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(*LAST_KEY_COUNTS)
         return query(spark, folder)
 
     return run

@@ -9,6 +9,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Of a JSON key that occurs twice the last value counts; a cluster's session needs this setting, too.
+LAST_KEY_COUNTS = ("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def local_session(cores: int | str = "*", **conf) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     builder = (
@@ -20,6 +24,7 @@ def local_session(cores: int | str = "*", **conf) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config(*LAST_KEY_COUNTS)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

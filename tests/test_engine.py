@@ -71,6 +71,12 @@ def test_two_runs_are_one_run(spark, folder, most):
     assert sorted_rows(late) == sorted_rows(second)
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_trucks_that_do_not_settle_are_run_as_a_whole(rows, rounds):
+    cut = replace(DEFAULT, max_rows_per_slice=10, settle_rounds=rounds)
+    assert sorted_rows(cycle_changes(rows, cut)) == sorted_rows(cycle_changes(rows))
+
+
 def test_every_status_appears(log):
     statuses = {r[0] for r in log.select("cycle_status").distinct().collect()}
     assert {"INPROGRESS", "COMPLETE", "INVALID", "OUTLIER"} <= statuses

@@ -33,6 +33,21 @@ def test_payload_kinds(spark):
     assert telemetry.decode(given).count() == 3
 
 
+def test_of_a_repeated_key_the_last_value_counts(spark):
+    text = record().replace('"work_state_id": 2', '"work_state_id": 2, "work_state_id": 3')
+    assert [r.work_state_id for r in telemetry.typed(raw(spark, text)).collect()] == [3]
+
+
+def test_sequence_numbers_have_no_bound(spark):
+    items = "[" + ", ".join([record()] * 2000) + "]"
+    rows = [("s", "9" * 40, 2000, "k", items), ("s", "1" + "0" * 40, 0, "k", record()), ("s", "7" * 40, 1, "k", record())]
+    given = spark.createDataFrame(rows, TELEMETRY_RAW)
+    best = telemetry.shard_high_water(given).first()
+    assert (best.sequence_number, best.sub_sequence_number) == ("1" + "0" * 40, 0)
+    seqs = [r.seq for r in telemetry.telemetry(given).orderBy("seq").collect()]
+    assert len(set(seqs)) == 2002 and seqs[0].lstrip("0").startswith("7") and seqs[-1].lstrip("0").startswith("10")
+
+
 def test_bytes_that_are_no_text(spark):
     rows = spark.createDataFrame([("s", 1, 0, "k", b"\xff\xfe{"), ("s", 2, 0, "k", record().encode())],
                                  "shard string, sequence_number bigint, sub_sequence_number bigint, "
