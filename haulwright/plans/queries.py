@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPROCESS = replace(DEFAULT, service="reprocess")
 REPAIRED = replace(DEFAULT, mode="repaired")
 #: Where the derived telemetry is cut into two runs.
-HALFWAY = "2024-01-01 12:00:00"
+HALFWAY = "2024-01-01 01:50:00"
 
 
 def _inputs(spark: SparkSession, folder: str) -> tuple[DerivedInputs, Dimensions]:
