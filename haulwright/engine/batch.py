@@ -155,7 +155,7 @@ def _fold_ends(cfg: CycleConfig, rules):
     return fold
 
 
-def _in_order(moments: DataFrame, starts: DataFrame | None) -> DataFrame:
+def _in_order(moments: DataFrame, starts: DataFrame | None, count: int) -> DataFrame:
     """Rows of each slice together and by time, the carried state in front."""
     rows = moments
     if starts is not None:
@@ -163,7 +163,7 @@ def _in_order(moments: DataFrame, starts: DataFrame | None) -> DataFrame:
     for name in ("carry", "carry_numbers"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    return spread(rows.select(*_WIRE_COLS), *_SLICE).sortWithinPartitions(
+    return spread(rows.select(*_WIRE_COLS), *_SLICE, count=count).sortWithinPartitions(
         *_SLICE, F.col("at_us").asc_nulls_first(), "seq"
     )
 
@@ -247,7 +247,7 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def _settle(
-    sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None
+    sliced: DataFrame, cfg: CycleConfig, rules, first: DataFrame | None, count: int
 ) -> tuple[DataFrame, DataFrame]:
     """Carried state of every further slice of the sliced trucks, and trucks that don't settle.
 
@@ -256,16 +256,16 @@ def _settle(
     instead, row after row in one task, which takes time but no memory.
     """
     fold = _fold_ends(cfg, rules)
-    ends = _kept(_in_order(sliced, first).mapInArrow(fold, _ENDS_WIRE))
+    ends = _kept(_in_order(sliced, first, count).mapInArrow(fold, _ENDS_WIRE))
     starts = _kept(_starts(ends))
     stale, n_stale = starts, starts.count()
     for _ in range(cfg.settle_rounds):
         if not n_stale:
             break
         again = stale.select(*_SLICE)
-        redone = _in_order(sliced.join(again, _SLICE, "left_semi"), stale).mapInArrow(
-            fold, _ENDS_WIRE
-        )
+        redone = _in_order(
+            sliced.join(again, _SLICE, "left_semi"), stale, count
+        ).mapInArrow(fold, _ENDS_WIRE)
         ends = _kept(ends.join(again, _SLICE, "left_anti").unionByName(redone))
         settled = starts.withColumnRenamed("carry", "used")
         starts = _kept(_starts(ends))
@@ -286,17 +286,18 @@ def rows_per_asset(telemetry: DataFrame) -> DataFrame:
 
 def _sliced(
     moments: DataFrame, counts: DataFrame, cfg: CycleConfig, rules, seeds: DataFrame | None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with their `slice`, and the state to start the further slices with.
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows with their `slice`, the state to start slices with, and the number of rows.
 
     Trucks with many rows are set apart and kept in the checkpoint folder, as
     they are read again in each round; all others pass by untouched.
     """
-    hot = counts.where(F.col("n") > cfg.max_rows_per_slice).select("asset_guid")
+    most, count = counts.agg(F.max("n"), F.sum("n")).first()
+    count = count or 0
     first = None if seeds is None else seeds.withColumn("slice", F.lit(0))
-    if hot.isEmpty():
-        return moments.withColumn("slice", F.lit(0)), first
-    few = _kept(hot)
+    if (most or 0) <= cfg.max_rows_per_slice:
+        return moments.withColumn("slice", F.lit(0)), first, count
+    few = _kept(counts.where(F.col("n") > cfg.max_rows_per_slice).select("asset_guid"))
     cuts = _kept(_cuts(moments.join(few, "asset_guid", "left_semi"), cfg))
     later = F.filter("cuts", lambda c: c <= _cell(cfg))
     many = _kept(
@@ -307,12 +308,12 @@ def _sliced(
     )
     others = moments.join(few, "asset_guid", "left_anti").withColumn("slice", F.lit(0))
     few_first = None if first is None else first.join(few, "asset_guid", "left_semi")
-    starts, restless = _settle(many, cfg, rules, few_first)
+    starts, restless = _settle(many, cfg, rules, few_first, count)
     whole = restless.withColumn("whole", F.lit(0))
     many = many.join(whole, "asset_guid", "left").withColumn("slice", F.coalesce("whole", "slice")).drop("whole")
     if first is not None:
         starts = starts.unionByName(first, allowMissingColumns=True)
-    return others.unionByName(many), starts
+    return others.unionByName(many), starts, count
 
 
 def cycle_changes(
@@ -333,9 +334,9 @@ def cycle_changes(
     ship_package(moments.sparkSession)
     if counts is None:
         counts = rows_per_asset(moments)
-    rows, starts = _sliced(moments, counts, cfg, rules, seeds)
+    rows, starts, count = _sliced(moments, counts, cfg, rules, seeds)
     seq = moments.schema["seq"].dataType.simpleString()
-    changes = _in_order(rows, starts).mapInArrow(
+    changes = _in_order(rows, starts, count).mapInArrow(
         _fold_changes(cfg, rules, closed_only, seq), change_wire(seq)
     )
     return to_changes(changes)

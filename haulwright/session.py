@@ -31,14 +31,18 @@ def local_session(cores: int | str = "*", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by keys into exactly `spark.sql.shuffle.partitions` parts.
+#: Rows that a task of a costly step takes at most on average.
+ROWS_PER_PART = 500_000
+
+
+def spread(rows: DataFrame, *keys: str, count: int = 0) -> DataFrame:
+    """Hash-partition by keys into `spark.sql.shuffle.partitions` parts, more for many rows.
 
     For steps that cost far more time than their bytes suggest, which adaptive
-    execution would pack into too few tasks by size.
+    execution would pack into too few tasks by size. `count` is the number of rows.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, *keys)
+    return rows.repartition(max(parts, -(-count // ROWS_PER_PART)), *keys)
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
