@@ -98,7 +98,6 @@ class DerivedInputs:
                 )
                 + " AS timestamp",
             )
-            .where("NOT (event_type = 'view' AND event_id % 4 = 0)")
         )
 
     def telemetry(self) -> DataFrame:

@@ -91,6 +91,13 @@ def test_raw_and_direct_telemetry_agree(spark, folder):
     assert decoded.exceptAll(direct).isEmpty() and direct.exceptAll(decoded).isEmpty()
 
 
+def test_every_event_becomes_telemetry(spark, folder):
+    inputs = DerivedInputs(spark, folder)
+    want = sorted(r.event_id for r in inputs.table("events").select("event_id").collect())
+    assert sorted(r.seq for r in inputs.telemetry().select("seq").collect()) == want
+    assert inputs.telemetry_raw().count() == len(want)
+
+
 def test_decoding_a_stream(spark, tmp_path):
     raw(spark, record(), "[]", f"[{record()}, {record()}]").write.parquet(f"{tmp_path}/in")
     stream = telemetry.telemetry(spark.readStream.schema(TELEMETRY_RAW).parquet(f"{tmp_path}/in"))
