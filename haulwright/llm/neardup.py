@@ -4,7 +4,9 @@ Documents are sets of word shingles. Equal sets are one class. In each of some
 independent trees a class chooses minwise tokens of its set: two at the first
 level, one at each level below, and goes to the nodes that these paths name.
 Nodes of bounded size are compared exhaustively by sketches of minima; larger ones
-branch on, and those still large at the last level are taken whole. Whatever a
+branch on, and those still large at the last level are taken whole. There are so
+many trees that a link at the threshold is met in one of them with a stated
+probability even if its nodes get small at the last level only. Whatever a
 node relates falls into one cluster, with a wide margin below the threshold, and
 within clusters links are confirmed on the full sets. Only links between
 documents not yet connected are looked for, so copies never become all pairs.
@@ -22,6 +24,7 @@ without doc_id is kept and linked with nothing. Sets hold 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,13 +44,20 @@ class Join:
 
     words: int = 5
     percent: int = 80
-    trees: int = 5
+    missed: float = 0.001  # largest probability that a link at the threshold meets in no node compared or taken whole
     depth: int = 4
     node: int = 400  # members that are compared exhaustively
     margin: float = 0.2  # sketches may underestimate by so much
     block_tokens: int = 4_000_000  # hashes that a task holds while confirming
     bins: int = 128
 
+    @property
+    def trees(self) -> int:
+        """Trees for that recall where nodes get small at the last level: the pair agrees on the path with at least `met`."""
+        alike = self.percent / 100
+        met = alike * (2 - alike) * alike ** (self.depth - 1)  # two tokens at the first level, one at each below
+        return math.ceil(math.log(self.missed) / math.log1p(-met)) if met < 1 else 1
+
 
 _WORD_SEED, _TREE_SEED, _BIN_SEED = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 

@@ -142,6 +142,21 @@ def test_near_duplicates(spark, how):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+@pytest.mark.parametrize("how", [neardup.Join(words=3, percent=85), neardup.Join()])
+def test_recall_where_nodes_get_small_at_the_last_level(how):
+    r = np.random.default_rng(12)
+    pairs, missed = 3000, 0
+    for _ in range(pairs):
+        size = 200
+        common = round(2 * size * how.percent / (100 + how.percent)) + 1
+        tokens = r.integers(0, 2**63, 2 * size - common, dtype=np.uint64)
+        a, b = (neardup.chosen_tokens(np.sort(t), how) for t in (tokens[:size], tokens[size - common :]))
+        below = (a[:, 2:] == b[:, 2:]).all(axis=1)
+        first = (a[:, :2, None] == b[:, None, :2]).any(axis=(1, 2))
+        missed += not (below & first).any()
+    assert missed <= 2 * pairs / 1000
+
+
 def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     found = neardup.near_duplicates(odd_docs).collect()
     assert len(found) == odd_docs.count() and all(r["kept"] for r in found if r["doc_id"] is None)
