@@ -3,11 +3,14 @@
 A document's histograms of character classes and of common words are compared
 with references of each language by the Jensen-Shannon distance (base 2,
 0 to 1); the nearest language counts, so a wrong or missing label does no harm.
-References are means over all documents that pass the base rules. Short texts
-are not judged by a distance: each histogram has a minimum number of words.
+The rule on both histograms takes both distances to one language, that with the
+least sum. Common words are learned by label from all documents that are long
+enough; references are means over all documents that pass the base rules, for
+labels with a minimum number of these. Short texts are not judged by a distance:
+each histogram has a minimum number of words.
 
 Null and empty texts have no words and fail the base rules. Without any
-reference (an empty table, no label) only the base rules hold. Repeated rows
+reference (an empty table, no label with enough documents) only the base rules hold. Repeated rows
 count as often as they occur.
 
 A column with the name of a result is replaced by it.
@@ -20,21 +23,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulwright.llm.common import stored, table
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
-# Frequent words by language, as histogram bins.
-COMMON = {
-    "de": ("der", "die", "und", "den", "das", "nicht"),
-    "en": ("the", "of", "and", "to", "that", "is"),
-    "es": ("el", "que", "los", "en", "por", "una"),
-    "fr": ("le", "les", "et", "des", "est", "pour"),
-}
-WORDS = tuple(w for words in COMMON.values() for w in words)
+#: Most common words of each language that are bins of the histogram.
+COMMON_WORDS = 4
 #: Labels that references are kept for; more are an error, as they are literals of the plan.
 MOST_LANGUAGES = 100
 
@@ -44,6 +41,7 @@ class Limits:
     """Thresholds: minimum words and largest distances, of characters alone and of both histograms together."""
 
     least_words: int = 50
+    least_documents: int = 10  # of a label, to be a reference
     repeat_percent: int = 50
     char_words: int = 50
     char_distance: float = 0.24
@@ -89,21 +87,43 @@ def _repeated(words: Column) -> Column:
     return let(windows, counted)
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+def _words(plain: Column) -> Column:
+    return F.filter(F.split(plain, SPACE), lambda w: w != "")
+
+
+def common_words(docs: DataFrame, limits: Limits, text: str = "text", lang: str = "lang") -> tuple[str, ...]:
+    """The most common words of each label with enough documents, by their mean share of a document's words."""
+    labels = docs.where(F.col(lang).isNotNull()).groupBy(lang).count().where(F.col("count") >= limits.least_documents)
+    labels = [r[0] for r in labels.select(lang).limit(MOST_LANGUAGES + 1).collect()]
+    if len(labels) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not labels:
+        return ()
+    rows = docs.where(F.col(lang).isin(labels)).select(F.col(lang).alias("lang"), _words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
+    rows = rows.where(F.size("words") >= limits.least_words)
+    # Whole numbers, so that the order of adding up makes no difference.
+    rows = rows.select("lang", F.explode("words").alias("word"), F.expr("1000000000 div size(words)").alias("share"))
+    shares = rows.groupBy("lang", "word").agg(F.sum("share").alias("share")).where("word rlike '\\\\p{L}'")
+    order = Window.partitionBy("lang").orderBy(F.desc("share"), "word")
+    top = shares.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= COMMON_WORDS)
+    return tuple(sorted({r[0] for r in top.select("word").collect()}))
+
+
+def measures(docs: DataFrame, text: str = "text", common: tuple[str, ...] = ()) -> DataFrame:
     """All columns of the rows, base counts, and the two histograms (char_bins, common_bins)."""
     plain = F.coalesce(F.col(text), F.lit(""))
     less = lambda pattern: F.length(plain) - F.length(F.regexp_replace(plain, pattern, ""))
     symbols = sum((F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(c), F.lit(""))) for c in SYMBOLS), F.lit(0))
     lines = F.filter(F.split(plain, "\n"), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     doubled = let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls)))
-    words = F.filter(F.split(plain, SPACE), lambda w: w != "")
+    words = _words(plain)
 
     def of_words(ws: Column) -> Column:
-        hits = F.filter(ws, lambda w: w.isin(*WORDS))
+        hits = F.filter(ws, lambda w: w.isin(*common))
         bins = let(
             hits,
             lambda hs: F.concat(
-                F.transform(F.array(*map(F.lit, WORDS)), lambda c: F.size(F.filter(hs, lambda w: w == c)).cast("long")),
+                F.transform(F.array(*map(F.lit, common)).cast("array<string>"), lambda c: F.size(F.filter(hs, lambda w: w == c)).cast("long")),
                 F.array((F.size(ws) - F.size(hs)).cast("long")),
             ),
         )
@@ -139,13 +159,14 @@ def _shares(bins: Column) -> Column:
     return let(F.aggregate(bins, F.lit(0.0), lambda a, b: a + b), lambda t: F.transform(bins, lambda b: b / F.greatest(t, F.lit(1.0))))
 
 
-def references(measured: DataFrame, limits: Limits, lang: str = "lang") -> dict[str, dict[str, list[float]]]:
-    """Mean shares of each histogram by label, over all rows that pass the base rules."""
-    sizes = {"char_bins": 6, "common_bins": len(WORDS) + 1}
+def references(measured: DataFrame, limits: Limits, common: tuple[str, ...], lang: str = "lang") -> dict[str, dict[str, list[float]]]:
+    """Mean shares of each histogram by label, over all rows that pass the base rules, of labels with enough of them."""
+    sizes = {"char_bins": 6, "common_bins": len(common) + 1}
     good = measured.where(F.col(lang).isNotNull() & ~base_failed(limits))
     shares = good.select(lang, *(_shares(F.col(b)).alias(b) for b in sizes))
     means = [F.avg(F.col(b)[k]).alias(f"{b}_{k}") for b, n in sizes.items() for k in range(n)]
-    rows = shares.groupBy(lang).agg(*means).limit(MOST_LANGUAGES + 1).collect()
+    means_of = shares.groupBy(lang).agg(F.count(F.lit(1)).alias("n"), *means).where(F.col("n") >= limits.least_documents)
+    rows = means_of.drop("n").limit(MOST_LANGUAGES + 1).collect()
     if len(rows) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     return {b: {r[0]: [r[f"{b}_{k}"] for k in range(n)] for r in sorted(rows)} for b, n in sizes.items()}
@@ -166,28 +187,45 @@ def nearest(bins: str, by_lang: dict[str, list[float]]) -> Column:
     return let(_shares(F.col(bins)), lambda s: F.array_min(F.array(*(_distance(s, r) for r in by_lang.values()))))
 
 
+def far_from_one(limits: Limits, found: dict[str, dict[str, list[float]]]) -> Column:
+    """Whether both histograms are far from those of one language, that with the least sum of distances."""
+    if not found["char_bins"]:
+        return F.lit(False)
+
+    def of_both(s: Column) -> Column:
+        pairs = []
+        for lang, reference in found["char_bins"].items():
+            char, common = _distance(s["c"], reference), _distance(s["w"], found["common_bins"][lang])
+            pairs.append(let(F.struct(char.alias("c"), common.alias("w")), lambda d: F.struct((d["c"] + d["w"]).alias("sum"), d["c"].alias("c"), d["w"].alias("w"))))
+        far = lambda d: (d["c"] > limits.both_char_distance) & (d["w"] > limits.both_common_distance)
+        return let(F.array_min(F.array(*pairs)), far)
+
+    return let(F.struct(_shares(F.col("char_bins")).alias("c"), _shares(F.col("common_bins")).alias("w")), of_both)
+
+
 def judged(
     docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang", keep_text: bool = False
 ) -> DataFrame:
     """All columns (the text if asked for), base counts, distances, base_failed and kept.
 
-    Base counts and histograms are computed in one pass over the texts and
-    written to the shared folder; references and verdicts come from there.
+    Common words are learned in a first pass over the texts. Base counts and
+    histograms are computed in a second one and written to the shared folder; references and verdicts come from there.
     """
-    measured = measures(docs, text)
+    common = common_words(docs, limits, text, lang)
+    measured = measures(docs, text, common)
     measured = stored(measured if keep_text else measured.drop(text), "quality")
-    found = references(measured, limits, lang)
+    found = references(measured, limits, common, lang)
     with_distance = measured.select(
         "*",
         base_failed(limits).alias("base_failed"),
         nearest("char_bins", found["char_bins"]).alias("char_distance"),
         nearest("common_bins", found["common_bins"]).alias("common_distance"),
+        far_from_one(limits, found).alias("_both"),
     )
     far = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
     far_alone = (F.col("n_words") >= limits.char_words) & far("char_distance", limits.char_distance)
-    both = far("char_distance", limits.both_char_distance) & far("common_distance", limits.both_common_distance)
-    off = far_alone | ((F.col("n_words") >= limits.both_words) & both)
-    return with_distance.withColumn("kept", ~F.col("base_failed") & ~off)
+    off = far_alone | ((F.col("n_words") >= limits.both_words) & F.col("_both"))
+    return with_distance.withColumn("kept", ~F.col("base_failed") & ~off).drop("_both")
 
 
 def op2_divergence(spark, folder: str) -> DataFrame:

@@ -136,6 +136,21 @@ def test_quality_verdicts_follow_the_divergence(spark, folder):
     assert all(clean)
 
 
+def test_quality_with_a_further_label_and_a_label_of_junk(spark, folder):
+    r = random.Random(5)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    before = {x["doc_id"]: x["kept"] for x in quality.judged(docs).collect()}
+    stems = [a + b + c for a in "bdgkmprstw" for b in "aeiou" for c in ("sk", "rz", "ny", "lo", "wi", "ch")]
+    polish = [" ".join(r.choice(["w", "i", "na", "z", "do", "nie"]) if r.random() < 0.3 else r.choice(stems) for _ in range(150)) for _ in range(40)]
+    junk = " ".join(f"#{r.randrange(10**6)}|X{r.randrange(10**6)}" for _ in range(150))
+    mild = " ".join(r.choice("AEIOUBDG") + r.choice("KLMN") + r.choice(stems) + r.choice(stems) for _ in range(150))
+    rows = [(10**6 + i, t, "pl") for i, t in enumerate(polish)] + [(2 * 10**6, junk, "zz"), (2 * 10**6 + 1, mild, "de")]
+    found = {x["doc_id"]: x["kept"] for x in quality.judged(docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()}
+    assert all(found[10**6 + i] for i in range(40))
+    assert not found[2 * 10**6] and not found[2 * 10**6 + 1]
+    assert {d: k for d, k in found.items() if d < 10**6} == before
+
+
 def test_quality_of_odd_rows(odd_docs, no_docs):
     rows = quality.judged(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r["base_failed"] for r in rows if r["n_words"] == 0)
