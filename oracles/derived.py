@@ -85,7 +85,7 @@ CTES: dict[str, tuple[list[str], str]] = {
                 WHEN event_type = 'error' AND event_id % 3 = 2 AND step % 12 = 9 THEN 2
                 WHEN step % 12 IN (1, 2, 7, 8) THEN 2 ELSE 3 END AS work_state_id,
             {_at(f'step // 12 * {ROUND_SECONDS} + [{_ENDS}][step % 12 + 1] + extra_seconds')} AS tick
-        FROM steps WHERE NOT (event_type = 'view' AND event_id % 4 = 0)"""),
+        FROM steps"""),
     "telemetry": (["spots"], f"""
         SELECT event_id AS seq, 'A' || CAST(user_id AS VARCHAR) AS asset_guid,
             CASE WHEN event_id % 17 <> 0 THEN {_site('user_id')} END AS site_guid,
