@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from haulwright.llm import neardup, warc
+from haulwright.llm import neardup, phrases, warc
 from haulwright.llm.ann import op3_multi_index_hashing
 from haulwright.llm.counts import op9_token_counts
 from haulwright.llm.langid import op6_language_id
 from haulwright.llm.neardup import op4_chosen_path
 from haulwright.llm.packing import op5_best_fit_packing
 from haulwright.llm.pieces import op10_sentencepiece
+from haulwright.llm.phrases import op12_phrase_collocations
 from haulwright.llm.pii import op1_personal_data
 from haulwright.llm.quality import op2_divergence
 from haulwright.llm.suffix import op7_repeated_spans
@@ -26,12 +27,14 @@ QUERIES = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_token_counts": op9_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chosen_path": neardup.ORACLE,
     "op8_arc_to_warc": warc.ORACLE,
+    "op12_phrase_collocations": phrases.ORACLE,
 }
 
 if corpus_pipeline.ORACLE_SQL is not None:
