@@ -14,6 +14,7 @@ from haulwright.llm.phrases import op12_phrase_collocations
 from haulwright.llm.pii import op1_personal_data
 from haulwright.llm.quality import op2_divergence
 from haulwright.llm.suffix import op7_repeated_spans
+from haulwright.llm.toxicity import op11_nearest_examples
 from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_arc_to_warc": op8_arc_to_warc,
     "op9_token_counts": op9_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_nearest_examples": op11_nearest_examples,
     "op12_phrase_collocations": op12_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
@@ -34,6 +36,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_chosen_path": neardup.ORACLE,
     "op8_arc_to_warc": warc.ORACLE,
+    "op11_nearest_examples": op11_nearest_examples,
     "op12_phrase_collocations": phrases.ORACLE,
 }
 
