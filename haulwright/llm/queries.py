@@ -15,6 +15,7 @@ from haulwright.llm.pii import op1_personal_data
 from haulwright.llm.quality import op2_divergence
 from haulwright.llm.suffix import op7_repeated_spans
 from haulwright.llm.toxicity import op11_nearest_examples
+from haulwright.llm.turns import op13_conversation_repair
 from haulwright.llm.warc import op8_arc_to_warc
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_nearest_examples": op11_nearest_examples,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
