@@ -99,7 +99,7 @@ def chosen_terms(labelled: DataFrame, cfg: Settings, text: str) -> list[str]:
         return []
     a, b = F.col("ones").cast("double"), F.col("zeros").cast("double")
     gap = a * (n0 - b) - b * (n1 - a)
-    chi2 = (n0 + n1) * gap * gap / (n0 * n1 * (a + b) * (n0 + n1 - a - b))
+    chi2 = F.try_divide((n0 + n1) * gap * gap, n0 * n1 * (a + b) * (n0 + n1 - a - b))
     best = sums.where((F.col("term") != "") & (a + b >= cfg.least_rows) & (a + b < n0 + n1)).withColumn("chi2", chi2)
     best = best.where(F.col("chi2") >= cfg.least_chi2).orderBy(F.desc("chi2"), "term").limit(cfg.most_terms)
     return sorted(r.term for r in best.select("term").collect())
