@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from haulwright.llm.bpe import PrefixTable, Recent
-from haulwright.llm.common import mapped, steps, table, texts_of
+from haulwright.llm.common import byte_symbols, mapped, steps, table, texts_of
 
 # The splitting pattern of the byte-level vocabulary, and its contractions of three characters.
 _SPLIT = regex.compile(
@@ -33,15 +33,6 @@ _LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 
 
-def _byte_symbols() -> list[str]:
-    """The printable symbol that byte-level vocabularies write for each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    symbols = {b: chr(b) for b in plain}
-    for b in range(256):
-        symbols.setdefault(b, chr(256 + len(symbols) - len(plain)))
-    return [symbols[b] for b in range(256)]
-
-
 class PrefixCounter:
     """Counts the tokens of prefixes with one vocabulary file."""
 
@@ -63,7 +54,7 @@ class PrefixCounter:
             ranks[vocab[left], vocab[right]] = (rank, vocab[left + right])
         self.table = PrefixTable(tokens, lambda a, b: ranks.get((a, b)), lambda c: [])
         self.library = Tokenizer.from_file(file)
-        self.symbols = dict(enumerate(_byte_symbols()))
+        self.symbols = dict(enumerate(byte_symbols()))
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.recent = Recent(self._total)
 

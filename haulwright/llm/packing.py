@@ -14,7 +14,9 @@ packed as often as they occur.
 from __future__ import annotations
 
 import math
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,43 +28,99 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from haulwright.llm.bpe import Recent
-from haulwright.llm.common import key_groups, mapped, steps, stored, table, texts_of
+from haulwright.llm.common import byte_symbols, key_groups, mapped, steps, stored, table
 
 SEQUENCE = 2048
 #: Pieces in a block, whatever the number of documents.
 BLOCK = 20_000
 
-_TAILED = re.compile(r"([^\W\d_]+)([.,]+)")
-_NO_SPACE = re.compile(r"[\x1c-\x1f]")  # space to str.split, not to the vocabulary
+# Kinds of bytes: 0 white space, 1 letter, 2 digit (a unit by itself), 3 mark; a word with a byte of kind 4, which may
+# be part of a larger character, a contraction or a special token, is one unit, and so is a text with one of kind 5,
+# which is white space to some and not to others.
+_SPACE, _LETTER, _DIGIT, _MARK, _WORD, _TEXT = range(6)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[[*range(9, 14), 32]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[*range(128, 256), *b"'<"]] = _WORD
+_KIND[28:32] = _TEXT
+# Letters of two bytes that have one form only and a lower case 32 behind: U+00C0 to U+00FF but the two signs among them.
+_LATIN, _LATIN_SIGNS = 0xC3, (0x97, 0xB7)
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:;=-@[-`{-\x7f\x00-\x08\x0e-\x1b]+")
 
 
 class WordIds:
-    """Ids of texts for a vocabulary that drops white space, so that words are encoded by themselves."""
+    """Ids of texts for a vocabulary that drops white space and case and sets letters, digits and marks apart.
+
+    All texts of a step are cut into units at once, and only distinct units are encoded.
+    """
 
     def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks run side by side already
         self.library = Tokenizer.from_file(file)
-        # words that hold part of a special token are not cut further
-        probe = "Aé1 b,\nC.\t<x> d"
-        joined = [i for w in probe.split() for i in self._ids(w)]
-        if self.library.encode(probe, add_special_tokens=False).ids != joined:
-            raise ValueError("the vocabulary encodes words together")
-        self.stems = Recent(lambda w: np.array(self._ids(w), "<u4").tobytes(), most=600_000)
-        self.words = Recent(self._word, most=200_000)
-
-    def _ids(self, word: str) -> list[int]:
-        return self.library.encode(word, add_special_tokens=False).ids
-
-    def _word(self, word: str) -> bytes:
-        tailed = _TAILED.fullmatch(word)
-        if tailed and word.isascii():  # case doesn't count, letters and marks are apart
-            return self.stems[tailed[1].lower()] + self.stems[tailed[2]]
-        return self.stems[word.lower() if word.isascii() and word.isalpha() else word]
+        self.model, self.symbols = self.library.model, dict(enumerate(byte_symbols()))
+        self.recent = Recent(self._ids, most=600_000)
+        for probe in ("Aé1 b,\nC.\t<x> d", "Ab12c..,;d -- E'F x's \x00y", "ÀÉß×÷ÿ, Straße!! öl&&& 日本 ¿q?"):
+            if self.library.encode(probe, add_special_tokens=False).ids != np.frombuffer(self.encode(probe), "<u4").tolist():
+                raise ValueError("the vocabulary encodes words together")
+
+    def _ids(self, unit: bytes) -> bytes:
+        if _PLAIN.fullmatch(unit):  # nothing to normalise or to split
+            text = unit.decode() if unit.isascii() and unit.isalnum() else unit.decode("latin-1").translate(self.symbols)
+            ids = [t.id for t in self.model.tokenize(text)]
+        else:
+            ids = self.library.encode(unit.decode(errors="replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _units(self, raw: bytes, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Units of texts with a line end behind each (`first`: where they start), and each text's first unit."""
+        data = np.frombuffer(raw, np.uint8)
+        kind = _KIND[data]
+        ends = np.append(first[1:], len(data)) - 1
+        if (kind == _TEXT).any():
+            for row in np.unique(np.searchsorted(first, np.flatnonzero(kind == _TEXT), "right") - 1).tolist():
+                kind[first[row] : ends[row]] = _TEXT
+        latin = np.flatnonzero((data == _LATIN) & (kind == _WORD))
+        behind = data[latin + 1]
+        known = (behind >= 0x80) & (behind != _LATIN_SIGNS[0]) & (behind != _LATIN_SIGNS[1])
+        latin, behind = latin[known], behind[known]
+        kind[latin] = kind[latin + 1] = _LETTER
+        odd = np.flatnonzero(kind == _WORD)
+        if len(odd):
+            spaces = np.flatnonzero(kind == _SPACE)
+            word = np.unique(np.searchsorted(spaces, odd))
+            inside = np.zeros(len(data) + 1, np.int8)
+            inside[np.where(word > 0, spaces[word - 1] + 1, 0)] = 1
+            inside[spaces[word]] = -1
+            kind[(np.cumsum(inside[:-1], dtype=np.int8) == 1)] = _WORD
+        used = kind != _SPACE
+        begins = used & ((kind != np.append(_SPACE, kind[:-1])) | (kind == _DIGIT))
+        lower = np.where((kind == _LETTER) & (data < 91), data + np.uint8(32), data)
+        upper = latin[(behind < 0x9F) & (kind[latin] == _LETTER)] + 1
+        lower[upper] += 32
+        lower = lower[used]
+        at = np.flatnonzero(begins)
+        offsets = np.append(np.cumsum(used)[at] - 1, len(lower)).astype(np.int64)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(lower)])
+        return units, np.searchsorted(at, np.append(first, len(data)))
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and where each text's ids start (and the last one's end)."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        units, rows = self._units(b"\n".join(texts) + b"\n", np.cumsum(sizes) - sizes)
+        coded = units.dictionary_encode()
+        known = list(map(self.recent.__getitem__, coded.dictionary.to_pylist()))
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(lengths) - lengths
+        place = coded.indices.to_numpy()
+        own = lengths[place]
+        before = np.append(0, np.cumsum(own))
+        found = ids[np.arange(before[-1]) + np.repeat(starts[place] - before[:-1], own)]
+        return found, before[rows]
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit numbers, little end first."""
-        if _NO_SPACE.search(text):
-            return np.array(self._ids(text), "<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return self.encode_all([text.encode(errors="replace")])[0].tobytes()
 
 
 _encoders: dict[str, WordIds] = {}
@@ -83,12 +141,16 @@ def pieces(docs: DataFrame, file: str, most: int = SEQUENCE, closing: int = 0, k
         own, end = encoder(file), closing.to_bytes(4, "little")
         for batch in steps(batches, text):
             rows, columns = [], ([], [], [], [])
-            for row, t in enumerate(texts_of(batch.column(text))):
-                ids = own.encode(t) + end
-                for number, start in enumerate(range(0, len(ids), 4 * most)):
-                    part = ids[start : start + 4 * most]
+            ids, starts = own.encode_all([t or b"" for t in batch.column(text).cast(pa.large_binary()).to_pylist()])
+            coded, starts = memoryview(ids.astype("<u4", copy=False)).cast("B"), starts.tolist()
+            for row, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+                for number, start in enumerate(range(0, b - a + 1, most)):
+                    length = min(most, b - a + 1 - start)
+                    crc = zlib.crc32(coded[4 * (a + start) : 4 * min(a + start + length, b)])
+                    if start + length > b - a:  # the closing id is the last one
+                        crc = zlib.crc32(end, crc)
                     rows.append(row)
-                    for c, v in zip(columns, (number, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                    for c, v in zip(columns, (number, start, length, crc), strict=True):
                         c.append(v)
             numbers = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows)), *numbers], names)
