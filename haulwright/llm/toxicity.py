@@ -36,6 +36,8 @@ _WORD = re.compile(r"\w+")
 #: Distinct words that one task counts before it hands them on.
 _HELD = 300_000
 _LONGEST_WORD = 100
+#: Results that one task remembers by the counts of terms.
+_REMEMBERED = 10_000
 
 
 @dataclass(frozen=True)
@@ -150,31 +152,49 @@ class BlockMax:
         self.first = np.searchsorted(term[self.starts], np.arange(terms + 1))
 
     def nearest(self, at: np.ndarray, values: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-        """Examples with the k largest cosines above 0, those cosines, and how many blocks were visited."""
-        runs = [np.arange(self.first[t], self.first[t + 1]) for t in at.tolist()]
-        lists = np.concatenate(runs) if runs else np.zeros(0, np.int64)
-        factor = np.repeat(values, [len(r) for r in runs])
-        bound = np.bincount(self.of_block[lists], factor * self.largest[lists], self.blocks)
+        """Examples with the k largest cosines above 0, those cosines, and how many blocks were visited.
+
+        The blocks with the largest bounds are visited first, then all others whose bounds reach
+        the k-th best cosine found in them.
+        """
+        lists, owner = _ranges(self.first[at], self.first[at + 1])
+        factor, of_block = values[owner], self.of_block[lists]
+        bound = np.bincount(of_block, factor * self.largest[lists], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        by_block = np.argsort(self.of_block[lists], kind="stable")
-        edges = np.searchsorted(self.of_block[lists][by_block], np.arange(self.blocks + 1))
-        scores, best, least, seen = np.zeros(self.block), [], 0.0, 0
-        for b in order.tolist():
-            if len(best) >= k and bound[b] < least * (1 - 1e-12):
-                break
-            seen += 1
-            scores[:] = 0
-            for i in by_block[edges[b] : edges[b + 1]].tolist():
-                s, e = self.starts[lists[i]], self.ends[lists[i]]
-                scores[self.example[s:e] - b * self.block] += factor[i] * self.weight[s:e]
-            hits = np.flatnonzero(scores)
-            best += [(-s, n) for s, n in zip(scores[hits].tolist(), (hits + b * self.block).tolist(), strict=True) if n != leave]
-            if len(best) > k:
-                best = sorted(best)[:k]
-            least = -max(best)[0] if len(best) >= k else 0.0
-        best.sort()
-        return np.array([n for _, n in best], np.int64), np.array([-s for s, _ in best]), seen
+        order = order[: np.count_nonzero(bound)]
+        leading = max(1, 2 * k // self.block)
+        visited = np.zeros(self.blocks + 1, bool)
+        visited[order[:leading]] = True
+        names, cosines = self._visit(lists, factor, visited[of_block], leave)
+        seen = min(leading, len(order))
+        if len(order) > leading:
+            least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+            rest = order[leading:]
+            rest = rest[bound[rest] >= least * (1 - 1e-12)]
+            if len(rest):
+                visited[:] = False
+                visited[rest] = True
+                more = self._visit(lists, factor, visited[of_block], leave)
+                names, cosines = np.concatenate((names, more[0])), np.concatenate((cosines, more[1]))
+                seen += len(rest)
+        best = np.lexsort((names, -cosines))[:k]
+        return names[best], cosines[best], seen
+
+    def _visit(self, lists: np.ndarray, factor: np.ndarray, use: np.ndarray, leave: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines above 0 of the examples in the lists to use."""
+        some = lists[use]
+        at, owner = _ranges(self.starts[some], self.ends[some])
+        names, place = np.unique(self.example[at], return_inverse=True)
+        cosines = np.bincount(place, factor[use][owner] * self.weight[at], len(names))
+        kept = (cosines > 0) & (names != leave)
+        return names[kept], cosines[kept]
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one behind the other, and the range that each one is of."""
+    sizes = ends - starts
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(owner)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), owner
 
 
 class Model:
@@ -254,8 +274,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, cfg: Settings = Settings(), key
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        known: dict[tuple, tuple] = {}  # rows with few terms are often alike
         for batch in batches:
-            found = [model.score(t, c) for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            found = []
+            for pair in zip(map(tuple, batch.column("terms").to_pylist()), map(tuple, batch.column("counts").to_pylist()), strict=True):
+                if pair not in known:
+                    if len(known) >= _REMEMBERED:
+                        known.clear()
+                    known[pair] = model.score(*pair)
+                found.append(known[pair])
             shown = [[{"example": model.keys[e], "cosine": c} for e, c in zip(f[1].tolist(), f[2].tolist(), strict=True)] for f in found]
             scores = [f[0] for f in found]
             kind = pa.list_(pa.struct([("example", batch.schema.field(key).type), ("cosine", pa.float64())]))
