@@ -46,73 +46,76 @@ def has_place(lat: str, lon: str) -> str:
 def with_ring(regions: DataFrame) -> DataFrame:
     """Parse `points`: add `parse_error` (null if usable), `n_points`, `ring`, its box.
 
-    Pairs become rows and are gathered again per region. The first bad pair
-    gives the reason; blank pairs are passed over.
+    The first bad pair gives the reason; blank pairs are passed over. A region stays one row.
     """
     columns = regions.columns
-    gathered = (
-        regions.selectExpr(*columns, "posexplode_outer(split(points, ',')) AS (nth, piece)")
-        .selectExpr(*columns, "nth", r"regexp_replace(piece, r'^\s+|\s+$', '') AS pair")
-        .selectExpr(*columns, "nth", "pair", "split(pair, ' ', -1) AS parts")
+    parsed = f"""transform(pieces, parts -> struct(
+        CASE WHEN size(parts) <> 2 THEN 'malformed'
+            WHEN NOT forall(parts, v -> v RLIKE r'{NUMBER}') THEN 'non_numeric' END AS bad,
+        try_cast(get(parts, 0) AS double) AS lon, try_cast(get(parts, 1) AS double) AS lat))"""
+    return (
+        regions.selectExpr("*", r"transform(split(points, ','), p -> regexp_replace(p, r'^\s+|\s+$', '')) AS pairs")
+        .selectExpr(*columns, "transform(filter(pairs, p -> p <> ''), p -> split(p, ' ', -1)) AS pieces")
+        .selectExpr(*columns, f"{parsed} AS parsed")
         .selectExpr(
             *columns,
-            "nth",
-            "pair = '' AS blank",
-            f"""CASE WHEN pair = '' THEN null WHEN size(parts) <> 2 THEN 'malformed'
-                WHEN NOT forall(parts, v -> v RLIKE r'{NUMBER}') THEN 'non_numeric' END AS bad""",
-            "try_cast(get(parts, 0) AS double) AS lon",
-            "try_cast(get(parts, 1) AS double) AS lat",
-        )
-        .groupBy(*columns)
-        .agg(
-            F.expr("min_by(bad, nth) FILTER (WHERE bad IS NOT NULL) AS first_bad"),
-            F.expr("count_if(NOT blank) AS n_points"),
-            F.expr(
-                "sort_array(collect_list(struct(nth, lon, lat)) FILTER (WHERE NOT blank)) AS ring"
-            ),
-            F.expr("min(lon) AS min_lon"),
-            F.expr("max(lon) AS max_lon"),
-            F.expr("min(lat) AS min_lat"),
-            F.expr("max(lat) AS max_lat"),
+            r"""CASE WHEN points IS NULL OR points RLIKE r'^\s*$' THEN 'null_or_empty'
+                WHEN exists(parsed, p -> p.bad IS NOT NULL) THEN get(filter(parsed, p -> p.bad IS NOT NULL), 0).bad
+                WHEN size(parsed) = 0 THEN 'no_points'
+                WHEN size(parsed) < 3 THEN 'too_few_points' END AS parse_error""",
+            "coalesce(size(parsed), 0) AS n_points",
+            "transform(parsed, (p, nth) -> struct(nth, p.lon, p.lat)) AS ring",
+            *(f"array_{side}(transform(parsed, p -> p.{v})) AS {side}_{v}" for v in ("lon", "lat") for side in ("min", "max")),
         )
     )
-    return gathered.withColumn(
-        "parse_error",
-        F.expr(
-            r"""CASE WHEN points IS NULL OR points RLIKE r'^\s*$' THEN 'null_or_empty'
-                WHEN first_bad IS NOT NULL THEN first_bad
-                WHEN n_points = 0 THEN 'no_points'
-                WHEN n_points < 3 THEN 'too_few_points' END"""
-        ),
-    ).drop("first_bad")
 
 
 def ring_edges(ring: str) -> str:
     """Edges of the ring column, the last one back to the first point."""
-    following = f"get({ring}, pmod(i + 1, size({ring})))"
+    following = "get(g, pmod(i + 1, size(g)))"
+    # As a variable, the ring is worked out once and not for each of its points.
     return (
-        f"transform({ring}, (p, i) -> struct(p.lon AS x1, p.lat AS y1,"
-        f" {following}.lon AS x2, {following}.lat AS y2))"
+        f"element_at(transform(array({ring}), g -> transform(g, (p, i) -> struct(p.lon AS x1, p.lat AS y1,"
+        f" {following}.lon AS x2, {following}.lat AS y2))), 1)"
     )
 
 
-def inside(edges: str, lon: str, lat: str) -> str:
-    """Point in polygon, the boundary counting as inside."""
-    on_edge = (
+def _on_edge(lon: str, lat: str) -> str:
+    return (
         f"(e.x2 - e.x1) * ({lat} - e.y1) - (e.y2 - e.y1) * ({lon} - e.x1) = 0"
         f" AND {lon} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)"
         f" AND {lat} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
     )
-    crossed = (
+
+
+def _crossed(lon: str, lat: str) -> str:
+    return (
         f"((e.y1 > {lat}) <> (e.y2 > {lat}) AND coalesce("
         f"{lon} < (e.x2 - e.x1) * ({lat} - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1, false))"
     )
+
+
+def inside(edges: str, lon: str, lat: str) -> str:
+    """Point in polygon, the boundary counting as inside."""
+    return (
+        f"(exists({edges}, e -> {_on_edge(lon, lat)})"
+        f" OR aggregate({edges}, false, (odd, e) -> odd <> {_crossed(lon, lat)}))"
+    )
+
+
+def inside_clipped(region: str, lon: str, lat: str) -> str:
+    """The same for a point of a cell and a ring clipped to it (`BoxGrid.clipped`)."""
     return (
-        f"(exists({edges}, e -> {on_edge})"
-        f" OR aggregate({edges}, false, (odd, e) -> odd <> {crossed}))"
+        f"(exists({region}.near, e -> {_on_edge(lon, lat)})"
+        f" OR aggregate({region}.near, {region}.odd <> {_odd(f'filter({region}.ys, y -> y <= {lat})')},"
+        f" (odd, e) -> odd <> {_crossed(lon, lat)}))"
     )
 
 
+def _odd(array: str) -> str:
+    return f"(size({array}) % 2 = 1)"
+
+
 def degrees_to_ring(edges: str, lon: str, lat: str) -> str:
     """Planar distance in degrees from a point outside to the ring."""
     dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
@@ -221,44 +224,133 @@ class NearGrid:
         )
 
 
+#: Degrees by which cells are widened when edges are dealt to them, far more than doubles are off.
+_SLACK = "1e-7D"
+_PART = ["site_guid", "region_guid", "part"]
+
+
 @dataclass(frozen=True)
 class BoxGrid:
-    """Square cells in degrees for looking up the boxes of regions.
+    """Square cells in degrees for looking up regions, `ratio` x `ratio` fine ones in a coarse one.
 
-    A box that would cover more than `most` fine cells is filed under coarse
-    cells; those number at most 361 x 721, so no box makes more rows than that.
+    A region whose box would cover more than `most` fine cells is filed under coarse cells, which
+    number at most 361 x 721; where more than `most_edges` of its edges meet one of these, that
+    one is cut into fine cells. A cell lists the edges that meet it and nothing else of a ring.
     """
 
-    fine_deg: float = 0.005
     coarse_deg: float = 0.5
+    ratio: int = 100
     most: int = 4096
+    most_edges: int = 64
 
-    def key(self, lat: str, lon: str, step: float) -> str:
-        return f"(floor(({lat} + 90) / {step!r}D) * {_ROW_KEY}L + floor(({lon} + 180) / {step!r}D))"
+    @property
+    def fine_deg(self) -> float:
+        return self.coarse_deg / self.ratio
+
+    def _index(self, value: str, fine: bool) -> str:
+        """Row or column of a latitude + 90 or longitude + 180; a fine one lies in its coarse one."""
+        coarse = f"floor(({value}) / {self.coarse_deg!r}D)"
+        if not fine:
+            return coarse
+        within = f"floor((({value}) - {coarse} * {self.coarse_deg!r}D) / {self.fine_deg!r}D)"
+        return f"({coarse} * {self.ratio}L + least(greatest({within}, 0L), {self.ratio - 1}L))"
+
+    def key(self, lat: str, lon: str, fine: bool) -> str:
+        return f"({self._index(f'{lat} + 90', fine)} * {_ROW_KEY}L + {self._index(f'{lon} + 180', fine)})"
+
+    def _clip(self, parts: DataFrame, fine: bool) -> DataFrame:
+        """Parts of rings (edges, ys, odd; rows and columns from south, west to north, east) by cell.
+
+        What a ray from a point to the east crosses is, edge by edge: those that meet the cell
+        (`near`) have to be tested. Those that don't, in the cell's rows, lie wholly to the west
+        or to the east. Eastern ones are crossed as their ends lie above and below the point,
+        which is known at the cell's southern side (`odd`) and changes only at ends of eastern
+        edges within its rows; an end of two such edges changes nothing (`ys` holds the others).
+        """
+        step = repr(self.fine_deg if fine else self.coarse_deg) + "D"
+        low_y, high_y = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
+        south, north = f"(grid_row * {step} - 90 - {_SLACK})", f"((grid_row + 1) * {step} - 90 + {_SLACK})"
+        slope = "(e.x2 - e.x1) / (e.y2 - e.y1)"
+
+        def at(y: str, otherwise: str) -> str:
+            """Longitude of an edge at a latitude; edges that are nearly level count as a whole."""
+            steep = f"least(greatest(e.x1 + ({y} - e.y1) * {slope}, least(e.x1, e.x2)), greatest(e.x1, e.x2))"
+            return f"if({high_y} - {low_y} < 1e-4D, {otherwise}, {steep})"
+
+        column = lambda x: f"floor(({x} + 180) / {step})"
+        met = (
+            parts.selectExpr(*_PART, "south", "north", "explode(edges) AS e")
+            .selectExpr(
+                *_PART, "e",
+                f"greatest(floor(({low_y} - 2e-7D + 90) / {step}), south) AS first_row",
+                f"least(floor(({high_y} + 2e-7D + 90) / {step}), north) AS last_row",
+            )
+            .where("first_row <= last_row")
+            .selectExpr(*_PART, "e", "explode(sequence(first_row, last_row)) AS grid_row")
+            .where(f"{high_y} >= {south} AND {low_y} <= {north}")
+            .selectExpr(
+                *_PART, "grid_row", "e",
+                f"{at(f'greatest({low_y}, {south})', 'e.x1')} AS xa", f"{at(f'least({high_y}, {north})', 'e.x2')} AS xb",
+            )
+            .selectExpr(
+                *_PART, "grid_row",
+                f"struct(e.x1, e.y1, e.x2, e.y2, {column(f'least(xa, xb) - {_SLACK}')} AS first,"
+                f" {column(f'greatest(xa, xb) + {_SLACK}')} AS last, (e.y1 > {south}) <> (e.y2 > {south}) AS crosses) AS edge",
+            )
+        )
+        marks = parts.selectExpr(*_PART, "explode(sequence(south, north)) AS grid_row", "ys", "odd", "west", "east")
+        rows = met.unionByName(marks, allowMissingColumns=True).groupBy(*_PART, "grid_row").agg(
+            F.collect_list("edge").alias("edges"),
+            *(F.max(c).alias(c) for c in ("ys", "odd", "west", "east")),
+        )
+        cells = rows.selectExpr("*", "explode(sequence(west, east)) AS grid_column").selectExpr(
+            *_PART, "ys", "odd", f"{south} AS low", f"{north} AS high",
+            f"grid_row * {_ROW_KEY}L + grid_column AS region_cell", "grid_row", "grid_column",
+            "filter(edges, e -> e.first <= grid_column AND grid_column <= e.last) AS met",
+            "filter(edges, e -> e.first > grid_column) AS eastern",
+        )
+        ends = "flatten(transform(eastern, e -> filter(array(e.y1, e.y2), y -> y > low AND y <= high)))"
+        # Of equal values in order, pairs go.
+        single = (
+            f"aggregate(sort_array(concat(filter(ys, y -> y > low AND y <= high), {ends})), cast(array() AS array<double>),"
+            " (a, y) -> if(get(a, size(a) - 1) = y, slice(a, 1, size(a) - 1), concat(a, array(y))))"
+        )
+        below = _odd("filter(ys, y -> y <= low)")
+        crossed = _odd("filter(eastern, e -> e.crosses)")
+        return cells.selectExpr(
+            "site_guid", "region_guid", "region_cell", "grid_row", "grid_column",
+            "transform(met, e -> struct(e.x1, e.y1, e.x2, e.y2)) AS near", f"{single} AS ys",
+            f"odd <> {below} <> {crossed} AS odd",
+        ).where("size(near) > 0 OR size(ys) > 0 OR odd")
 
-    def with_cells(self, boxes: DataFrame) -> DataFrame:
-        """One row per box and cell it meets, as `fine` and `region_cell`.
+    def clipped(self, shapes: DataFrame) -> DataFrame:
+        """site_guid, region_guid, fine, region_cell, near, ys and odd of all cells that a ring meets or holds.
 
         Points outside the valid range meet no region, so boxes are cut to it.
         """
         tall = f"(floor((max_lat - min_lat) / {self.fine_deg!r}D) + 2)"
         wide = f"(floor((max_lon - min_lon) / {self.fine_deg!r}D) + 2)"
-        return (
-            boxes.selectExpr("*", f"{tall} * {wide} <= {self.most} AS fine")
-            .selectExpr("*", f"if(fine, {self.fine_deg!r}D, {self.coarse_deg!r}D) AS grid_step")
-            .selectExpr(
-                "*",
-                "floor((greatest(min_lat, -90D) + 90) / grid_step) AS grid_south",
-                "floor((least(max_lat, 90D) + 90) / grid_step) AS grid_north",
-                "floor((greatest(min_lon, -180D) + 180) / grid_step) AS grid_west",
-                "floor((least(max_lon, 180D) + 180) / grid_step) AS grid_east",
-            )
-            .where("grid_south <= grid_north AND grid_west <= grid_east")
-            .selectExpr("*", "explode(sequence(grid_south, grid_north)) AS grid_row")
-            .selectExpr("*", "explode(sequence(grid_west, grid_east)) AS grid_column")
-            .selectExpr("*", f"grid_row * {_ROW_KEY}L + grid_column AS region_cell")
-            .drop(
-                "grid_step", "grid_south", "grid_north", "grid_west", "grid_east",
-                "grid_row", "grid_column",
+        sized = shapes.selectExpr(
+            "*", f"{tall} * {wide} <= {self.most} AS fine",
+            "greatest(min_lat, -90D) + 90 AS b", "least(max_lat, 90D) + 90 AS t",
+            "greatest(min_lon, -180D) + 180 AS l", "least(max_lon, 180D) + 180 AS r",
+        ).where("b <= t AND l <= r")
+
+        def parts(fine: bool) -> DataFrame:
+            bounds = {"south": "b", "north": "t", "west": "l", "east": "r"}
+            return sized.where("fine" if fine else "NOT fine").selectExpr(
+                "site_guid", "region_guid", "0L AS part", "edges", "cast(array() AS array<double>) AS ys", "false AS odd",
+                *(f"{self._index(c, fine)} AS {name}" for name, c in bounds.items()),
             )
+
+        coarse = self._clip(parts(False), fine=False)
+        many = f"size(near) > {self.most_edges}"
+        last = self.ratio - 1
+        cut = coarse.where(many).selectExpr(
+            "site_guid", "region_guid", "region_cell AS part", "near AS edges", "ys", "odd",
+            f"grid_row * {self.ratio}L AS south", f"grid_row * {self.ratio}L + {last} AS north",
+            f"grid_column * {self.ratio}L AS west", f"grid_column * {self.ratio}L + {last} AS east",
         )
+        fine = self._clip(parts(True).unionByName(cut), fine=True)
+        both = fine.withColumn("fine", F.lit(True)).unionByName(coarse.where(f"NOT {many}").withColumn("fine", F.lit(False)))
+        return both.select("site_guid", "region_guid", "fine", "region_cell", "near", "ys", "odd")

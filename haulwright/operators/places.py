@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, CycleConfig
 from haulwright.functions.geo import (
+    BOX,
     BoxGrid,
     NearGrid,
     degrees_to_box,
@@ -23,10 +24,10 @@ from haulwright.functions.geo import (
     has_place,
     haversine_m,
     inside,
+    inside_clipped,
 )
 from haulwright.operators.timeline import neighbour
 
-_REGION_CHUNKS = 32
 _CENTRE = ["cell_lat", "cell_lon", "cell_half"]
 _CELL = ["cell", *_CENTRE]
 
@@ -99,47 +100,96 @@ def _nearest(loaders: str, cfg: CycleConfig) -> Column:
     metres = haversine_m("latitude", "longitude", "p.latitude", "p.longitude", cfg.earth_radius_m)
     measured = (
         f"transform({loaders}, p -> struct({metres} AS distance, p.asset_guid AS guid,"
-        " p.latitude AS latitude, p.longitude AS longitude))"
+        " p.latitude AS latitude, p.longitude AS longitude, p.dumps AS dumps))"
     )
     return F.expr(f"array_min(filter({measured}, c -> c.distance <= {cfg.loader_radius_m}D))")
 
 
-def loader_cells(loaders: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
+def _spots(loaders: DataFrame, dump_cells: DataFrame | None) -> DataFrame:
+    """Loaders with `dumps`, the dump regions around them."""
+    if dump_cells is None:
+        return loaders.withColumn("dumps", F.expr("cast(array() AS array<string>)"))
+    return with_dumps(loaders, dump_cells)
+
+
+def loader_cells(
+    loaders: DataFrame, cfg: CycleConfig = DEFAULT, dump_cells: DataFrame | None = None
+) -> DataFrame:
     """Loaders by (site, cell): all that can be in reach of a point in the cell.
 
     Of loaders at exactly one spot only the first guid can be the nearest, so
     the list of a cell holds distinct spots within some 60 m of each other.
+    With `dump_cells` a loader knows the dump regions it stands in.
     """
     grid = NearGrid.of(cfg)
     spots = loaders.groupBy("site_guid", "latitude", "longitude").agg(
         F.min("asset_guid").alias("asset_guid")
     )
     return (
-        grid.with_cells_in_reach(spots)
+        grid.with_cells_in_reach(_spots(spots, dump_cells))
         .groupBy("site_guid", *_CELL)
-        .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude")).alias("loaders"))
+        .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude", "dumps")).alias("loaders"))
+    )
+
+
+#: Lengths of the spans that validity is cut into: 1, 2, 4 ... days.
+_LEVELS = 16
+
+
+def _day(moment: str) -> str:
+    return f"datediff(to_date({moment}), date'1970-01-01')"
+
+
+def validity_spans(validity: DataFrame) -> DataFrame:
+    """Rows with valid_from and valid_to by aligned spans of 2^level days that cover their days.
+
+    A row gets at most two spans of each length but the longest, so some tens for many years.
+    An open validity ends with the calendar.
+    """
+    first, last = _day("valid_from"), _day("coalesce(valid_to, timestamp_ntz'9999-12-31 00:00:00')")
+    # In units of 2^level days: what is left to cover begins at the first whole unit and ends with the last.
+    begin, end = "-shiftright(-first_day, level)", "shiftright(last_day + 1, level)"
+    spans = (
+        f"if(level = {_LEVELS}, if(begin < end, sequence(begin, end - 1), cast(array() AS array<int>)),"
+        " filter(array(if(begin < end AND begin % 2 <> 0, begin, null),"
+        " if(begin + abs(begin % 2) < end AND end % 2 <> 0, end - 1, null)), s -> s IS NOT NULL))"
+    )
+    return (
+        validity.selectExpr("*", f"{first} AS first_day", f"{last} AS last_day")
+        .selectExpr("*", f"explode(sequence(0, {_LEVELS})) AS level")
+        .selectExpr("*", f"{begin} AS begin", f"{end} AS end")
+        .selectExpr("*", f"explode({spans}) AS span")
+        .drop("first_day", "last_day", "begin", "end")
     )
 
 
+def asked_days(rows: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
+    """Each site, cell and day that rows with a usable position lie in."""
+    placed = NearGrid.of(cfg).with_cell(rows, "NOT bad_position").where("cell IS NOT NULL AND timestamp IS NOT NULL")
+    return placed.selectExpr("site_guid", "cell", "to_date(timestamp) AS day").distinct()
+
+
 def loader_cells_asof(
-    validity: DataFrame, until: DataFrame, cfg: CycleConfig = DEFAULT
+    validity: DataFrame, asked: DataFrame, cfg: CycleConfig = DEFAULT, dump_cells: DataFrame | None = None
 ) -> DataFrame:
-    """As `loader_cells`, by day: the positions that hold at some time of the day.
+    """As `loader_cells`, for the days `asked` (site_guid, cell, day): the positions that hold at some time of them.
 
-    `until` gives the last telemetry time of each site, where open validity ends.
+    A position is filed under the few spans of days that make up its validity, and a day asks
+    for the one span of each length around it, so neither years nor rows of a day are multiplied.
     """
     grid = NearGrid.of(cfg)
-    spans = validity.join(until, "site_guid").where("valid_from <= last_seen")
-    last = F.least(F.coalesce("valid_to", "last_seen"), "last_seen")
-    days = F.sequence(F.to_date("valid_from"), F.to_date(last))
+    held = (
+        validity_spans(grid.with_cells_in_reach(_spots(validity, dump_cells)))
+        .groupBy("site_guid", *_CELL, "level", "span")
+        .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude", "dumps", "valid_from", "valid_to")).alias("loaders"))
+    )
+    days = asked.selectExpr("*", f"explode(sequence(0, {_LEVELS})) AS level").selectExpr(
+        "*", f"shiftright({_day('day')}, level) AS span"
+    )
     return (
-        grid.with_cells_in_reach(spans.withColumn("day", F.explode(days)))
+        days.join(held, ["site_guid", "cell", "level", "span"])
         .groupBy("site_guid", *_CELL, "day")
-        .agg(
-            F.collect_list(
-                F.struct("asset_guid", "latitude", "longitude", "valid_from", "valid_to")
-            ).alias("loaders")
-        )
+        .agg(F.flatten(F.collect_list("loaders")).alias("loaders"))
     )
 
 
@@ -175,42 +225,73 @@ def with_nearest_loader_asof(
 # --- load regions ---------------------------------------------------------------
 
 
-def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
-    """Add to each loader cell the load regions that can be nearest to a point in it.
+#: Sides in degrees of the nested cells, 16 x 16 in the one before, that load regions are filed under.
+_NESTED = tuple(360.0 / 256 / 16**level for level in range(3))
+_PATH = [f"k{level}" for level in range(len(_NESTED))]
+
 
-    Seen from the centre, a ring is no nearer than its box and no farther than
-    its first corner; from other points of the cell, that shifts by at most the
-    half diagonal. So only regions whose box lies within the nearest corner plus
-    a whole diagonal can win; which does is measured for each row. A site's
-    regions are spread over chunks; each cell meets each chunk of its site once.
+def region_tree(shapes: DataFrame) -> list[DataFrame]:
+    """Nodes of each level by site and path: their children with the box around all that is in them and a corner.
+
+    A region is filed once, by its first corner; boxes of cells hold whole regions and may
+    overlap. The last level's children are the regions themselves.
     """
-    parts = F.pmod(F.xxhash64("region_guid"), F.lit(_REGION_CHUNKS))
-    box = F.struct("min_lon", "max_lon", "min_lat", "max_lat").alias("box")
-    chunks = (
-        shapes.groupBy("site_guid", parts.alias("chunk"))
-        .agg(F.collect_list(F.struct("region_guid", "edges", box)).alias("regions"))
-        .drop("chunk")
+    step = lambda v, size: f"floor(({v}) / {size!r}D)"
+    filed = shapes.selectExpr("site_guid", "region_guid", *BOX, "edges[0].x1 AS x", "edges[0].y1 AS y").selectExpr(
+        "*", *(f"{step('y + 90', s)} * {1 << 26}L + {step('x + 180', s)} AS {k}" for k, s in zip(_PATH, _NESTED))
     )
-    corner = "hypot(r.edges[0].x1 - cell_lon, r.edges[0].y1 - cell_lat)"
+    low, high = [c for c in BOX if c.startswith("min")], [c for c in BOX if c.startswith("max")]
+    levels = []
+    for depth in range(len(_PATH) + 1):
+        above, own = _PATH[:depth], (_PATH + ["region_guid"])[depth]
+        nodes = filed.groupBy("site_guid", *above, own).agg(
+            *(F.min(c).alias(c) for c in low), *(F.max(c).alias(c) for c in high), F.min(F.struct("x", "y")).alias("corner")
+        )
+        child = F.struct(F.col(own).alias("own"), F.struct(*BOX).alias("box"), "corner")
+        levels.append(nodes.groupBy("site_guid", *above).agg(F.collect_list(child).alias("children")))
+    return levels
+
+
+def regions_in_reach(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+    """site_guid, cell, load_regions (guids that can be nearest to a point of the cell) and n_touched, regions measured for it.
+
+    Seen from the centre, what a box holds is no nearer than the box, and the region of a known
+    corner no farther than that; from other points of the cell, that shifts by at most the half
+    diagonal. So level by level only children whose box lies within the nearest corner plus a
+    whole diagonal are followed, and of the regions found so only such can win.
+    """
+    corner = "hypot(c.corner.x - cell_lon, c.corner.y - cell_lat)"
     measured = (
-        f"transform(regions, r -> struct({degrees_to_box('r.box', 'cell_lon', 'cell_lat')} AS low,"
-        f" {corner} AS high, r.region_guid AS region_guid, r.edges AS edges))"
+        f"transform(children, c -> struct({degrees_to_box('c.box', 'cell_lon', 'cell_lat')} AS low,"
+        f" {corner} AS high, c.own AS own))"
     )
-    close = "filter(regions, r -> r.low <= best + cell_half * 2)"
-    merged = (
-        cells.select("site_guid", *_CELL)
-        .distinct()
-        .join(chunks, "site_guid")
-        .selectExpr("site_guid", "cell", "cell_half", f"{measured} AS regions")
-        .selectExpr("*", "array_min(transform(regions, r -> r.high)) AS best")
-        .withColumn("regions", F.expr(close))
-        .groupBy("site_guid", "cell", "cell_half")
-        .agg(F.min("best").alias("best"), F.flatten(F.collect_list("regions")).alias("regions"))
-    )
-    kept = merged.selectExpr(
-        "site_guid",
-        "cell",
-        f"transform({close}, r -> struct(r.region_guid, r.edges)) AS load_regions",
+    rows = cells.select("site_guid", *_CELL).distinct().withColumn("best", F.lit(float("inf")))
+    for depth, level in enumerate(region_tree(shapes)):
+        above = _PATH[:depth]
+        met = rows.join(level, ["site_guid", *above]).selectExpr("site_guid", *_CELL, *above, "best", f"{measured} AS children")
+        found = met.groupBy("site_guid", *_CELL).agg(
+            F.min(F.least("best", F.expr("array_min(transform(children, c -> c.high))"))).alias("best"),
+            F.flatten(
+                F.collect_list(F.transform("children", lambda c: F.struct(c["low"], F.struct(*above, c["own"].alias("own")).alias("at"))))
+            ).alias("children"),
+        ).withColumn("near", F.expr("filter(children, c -> c.low <= best + cell_half * 2)"))
+        if depth < len(_PATH):
+            rows = found.selectExpr("site_guid", *_CELL, "best", "explode(near.at) AS at").select(
+                "site_guid", *_CELL, "best", *(F.col(f"at.{k}") for k in above), F.col("at.own").alias(_PATH[depth])
+            )
+    return found.selectExpr("site_guid", "cell", "near.at.own AS load_regions", "size(children) AS n_touched")
+
+
+def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Add to each loader cell the load regions that can be nearest to a point in it, with their edges.
+
+    Which of them is nearest is measured for each row.
+    """
+    held = regions_in_reach(cells, shapes).select("site_guid", "cell", F.explode("load_regions").alias("region_guid"))
+    kept = (
+        held.join(shapes.select("site_guid", "region_guid", "edges"), ["site_guid", "region_guid"])
+        .groupBy("site_guid", "cell")
+        .agg(F.collect_list(F.struct("region_guid", "edges")).alias("load_regions"))
     )
     return cells.join(kept, ["site_guid", "cell"], "left")
 
@@ -235,53 +316,67 @@ def with_load_region(telemetry: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFr
 
 
 def region_cells(shapes: DataFrame, grid: BoxGrid = BoxGrid()) -> DataFrame:
-    """Regions by (site, step, cell): all whose box meets the cell, in guid order."""
+    """Regions by (site, step, cell): all that meet the cell, clipped to it, in guid order."""
     return (
-        grid.with_cells(shapes)
+        grid.clipped(shapes)
         .groupBy("site_guid", "fine", "region_cell")
-        .agg(F.sort_array(F.collect_list(F.struct("region_guid", "edges"))).alias("regions"))
+        .agg(F.sort_array(F.collect_list(F.struct("region_guid", "near", "ys", "odd"))).alias("regions"))
     )
 
 
+def _around(points: DataFrame, cells: DataFrame, grid: BoxGrid, steps: tuple[str, ...]) -> DataFrame:
+    """Add `<step>_hits`, the guids of the regions around each point, by their cells of each size."""
+    placed = has_place("latitude", "longitude")
+    around = f"filter(regions, r -> {inside_clipped('r', 'longitude', 'latitude')})"
+    rows = points
+    for step in steps:
+        fine = step == "fine"
+        level = cells.where("fine" if fine else "NOT fine").select("site_guid", "region_cell", "regions")
+        rows = (
+            rows.selectExpr("*", f"if({placed}, {grid.key('latitude', 'longitude', fine)}, null) AS region_cell")
+            .join(level, ["site_guid", "region_cell"], "left")
+            .withColumn(f"{step}_hits", F.expr(f"transform({around}, r -> r.region_guid)"))
+            .drop("region_cell", "regions")
+        )
+    return rows
+
+
+_STEPS = ("fine", "coarse")
+
+
 def with_dump_region(
     telemetry: DataFrame,
     cells: DataFrame,
     grid: BoxGrid = BoxGrid(),
-    steps: tuple[str, ...] = ("fine", "coarse"),
+    steps: tuple[str, ...] = _STEPS,
 ) -> DataFrame:
-    """Add `dump_region`, the first region around the row, with its edges.
+    """Add `dump_region`, the first region around the row.
 
     `steps` may leave out a cell size known to hold no region.
     """
-    placed = has_place("latitude", "longitude")
-    around = f"filter(regions, r -> {inside('r.edges', 'longitude', 'latitude')})"
-    rows, hits = telemetry, []
-    for step in steps:
-        level = cells.where("fine" if step == "fine" else "NOT fine").select(
-            "site_guid", "region_cell", "regions"
-        )
-        size = grid.fine_deg if step == "fine" else grid.coarse_deg
-        key = grid.key("latitude", "longitude", size)
-        rows = (
-            rows.selectExpr("*", f"if({placed}, {key}, null) AS region_cell")
-            .join(level, ["site_guid", "region_cell"], "left")
-            .withColumn(f"{step}_hit", F.expr(f"get({around}, 0)"))
-            .drop("region_cell", "regions")
-        )
-        hits.append(f"{step}_hit")
-    first = F.least(*hits) if len(hits) > 1 else F.col(hits[0])
-    return rows.withColumn("dump_region", first).drop(*hits)
+    hits = [f"get({step}_hits, 0)" for step in steps]
+    first = F.expr(f"least({', '.join(hits)})" if len(hits) > 1 else hits[0])
+    found = _around(telemetry, cells, grid, steps).withColumn("dump_region", F.struct(first.alias("region_guid")))
+    named = F.when(F.col("dump_region.region_guid").isNotNull(), F.col("dump_region"))
+    return found.withColumn("dump_region", named).drop(*(f"{step}_hits" for step in steps))
+
+
+def with_dumps(spots: DataFrame, cells: DataFrame, grid: BoxGrid = BoxGrid(), steps: tuple[str, ...] = _STEPS) -> DataFrame:
+    """Add `dumps`, the guids of all dump regions around a loader's spot."""
+    lists = ", ".join(f"coalesce({step}_hits, array())" for step in steps)
+    found = _around(spots, cells, grid, steps).withColumn("dumps", F.expr(f"array_distinct(concat({lists}))"))
+    return found.drop(*(f"{step}_hits" for step in steps))
 
 
 # --- area ------------------------------------------------------------------------
 
 
 def with_colocation(telemetry: DataFrame) -> DataFrame:
-    """Add `colocated`: the row's loader stands in the row's dump region."""
-    lat, lon = "loader.latitude", "loader.longitude"
-    within = f"{has_place(lat, lon)} AND {inside('dump_region.edges', lon, lat)}"
+    """Add `colocated`: the row's loader stands in the row's dump region (one of its `dumps`)."""
     both = "loader IS NOT NULL AND dump_region IS NOT NULL"
-    return telemetry.withColumn("colocated", F.expr(f"if({both}, {within}, false)"))
+    return telemetry.withColumn(
+        "colocated", F.expr(f"if({both}, array_contains(loader.dumps, dump_region.region_guid), false)")
+    )
 
 
 # Area as far as it follows from the place; at a loader in a dump region it also

@@ -17,6 +17,9 @@ from haulwright.sources.regions import (
     site_regions,
 )
 
+# What decides where a row of telemetry is looked up.
+_PLACED = ("asset_guid", "site_guid", "timestamp", "latitude", "longitude")
+
 
 @dataclass
 class Dimensions:
@@ -59,25 +62,33 @@ class PlaceIndex:
     def build(
         dims: Dimensions,
         cfg: CycleConfig = DEFAULT,
-        until: DataFrame | None = None,
+        telemetry: DataFrame | None = None,
         keep: bool = True,
     ) -> "PlaceIndex":
-        """`until` (last telemetry time per site) is needed to reprocess."""
-        if cfg.service == "realtime":
+        """`telemetry` is needed to reprocess: loaders are looked up for the cells and days it has."""
+        realtime = cfg.service == "realtime"
+        shapes = region_shapes(dims.regions)
+        dump_cells = places.region_cells(shapes_of(shapes, "dump"))
+        fallback = quality.fallback_sites(dims.latest_site, dims.assets)
+        if realtime:
             loaders = places.loaders_current(dims.process_info, cfg)
-            cells = places.loader_cells(loaders, cfg)
         else:
             loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg, merge=True)
-            cells = places.loader_cells_asof(loaders, until, cfg)
-        shapes = region_shapes(dims.regions)
-        made_from = [shapes.persist(), cells.persist()] if keep else []
+        trucks = quality.trucks(dims.assets, cfg).join(quality.loader_sites(loaders), "site_guid", "left")
+        if keep:
+            shapes.persist(), dump_cells.persist()
+        if realtime:
+            cells = places.loader_cells(loaders, cfg, dump_cells)
+        else:
+            resolved = quality.resolve_site(telemetry.select(*_PLACED), fallback)
+            rows = quality.checked(resolved.join(trucks, ["asset_guid", "site_guid"]))
+            cells = places.loader_cells_asof(loaders, places.asked_days(rows, cfg), cfg, dump_cells)
+        made_from = [shapes, cells.persist()] if keep else []
         index = PlaceIndex(
-            fallback=quality.fallback_sites(dims.latest_site, dims.assets),
-            trucks=quality.trucks(dims.assets, cfg).join(
-                quality.loader_sites(loaders), "site_guid", "left"
-            ),
+            fallback=fallback,
+            trucks=trucks,
             loader_cells=places.with_load_regions(cells, shapes_of(shapes, "load")),
-            dump_cells=places.region_cells(shapes_of(shapes, "dump")),
+            dump_cells=dump_cells,
             dump_steps=("fine", "coarse"),
             made_from=made_from,
         )
@@ -97,20 +108,8 @@ class PlaceIndex:
             table.unpersist()
 
 
-def last_seen(telemetry: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Last telemetry time of each site."""
-    return (
-        quality.resolve_site(telemetry, fallback)
-        .groupBy("site_guid")
-        .agg(F.max("timestamp").alias("last_seen"))
-    )
-
-
 def index_for(telemetry: DataFrame, dims: Dimensions, cfg: CycleConfig = DEFAULT) -> PlaceIndex:
-    if cfg.service == "realtime":
-        return PlaceIndex.build(dims, cfg)
-    fallback = quality.fallback_sites(dims.latest_site, dims.assets)
-    return PlaceIndex.build(dims, cfg, last_seen(telemetry, fallback))
+    return PlaceIndex.build(dims, cfg, telemetry)
 
 
 def truck_rows(telemetry: DataFrame, index: PlaceIndex) -> DataFrame:
