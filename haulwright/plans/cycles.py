@@ -10,6 +10,7 @@ from haulwright.engine.batch import cycle_changes
 from haulwright.operators.history import latest_changes, open_cycle
 from haulwright.operators.quality import latest_process_info
 from haulwright.plans.enrich import Dimensions, index_for, moments
+from haulwright.sources.telemetry import rejected
 from haulwright.schemas import CYCLE_COLS, CYCLE_FIELDS, CYCLE_KEY, CYCLE_TABLE_COLS, CYCLE_TIMES, PROCESS_INFO_COLS
 
 # Spark types of the stored cycle table.
@@ -92,15 +93,16 @@ def current_cycles(log: DataFrame) -> DataFrame:
     return latest_changes(log).select(*CYCLE_COLS)
 
 
-def rejects(log: DataFrame) -> DataFrame:
-    """Records the rules lost, with their code."""
-    return log.where("action = 'reject'").select(
+def rejects(log: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Records the rules lost, with their code; with the raw payloads also those lost before (X7)."""
+    lost = log.where("action = 'reject'").select(
         "seq",
         "asset_guid",
         "site_guid",
         F.col("current_process_date").alias("timestamp"),
         F.col("rule").alias("reject"),
     )
+    return lost if raw is None else lost.unionByName(rejected(raw))
 
 
 def progress(log: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:

@@ -307,6 +307,16 @@ def cycles_from_payloads(spark, folder):
     return _shown(cycles.final_cycles(log))
 
 
+def cycle_rejects_from_payloads(spark, folder):
+    """Every record lost on the way from raw payloads: those that fail on a field, and those that rules lose."""
+    inputs, dims = _inputs(spark, folder)
+    raw = inputs.telemetry_raw()
+    log = cycles.changes(
+        telemetry.telemetry(raw), dims, counts=inputs.rows_per_asset(), stored_progress=dims.process_info
+    )
+    return cycles.rejects(log, raw).drop("seq")
+
+
 def rule_coverage(spark, folder):
     """How often each rule of the engine applied, by service and mode."""
     runs = {"realtime": DEFAULT, "reprocess": REPROCESS, "repaired": REPAIRED}
@@ -430,7 +440,7 @@ QUERIES: dict[str, Query] = {
         coordinate_audit, resolved_site, asset_latest_site, loaders_current, loaders_asof,
         nearest_loader, nearest_loader_asof, nearest_load_region, dump_region_hit, colocation,
         area_static, asset_regions_latest, latest_process_info, cycle_change_log, cycles_final,
-        cycles_current, cycles_current_merged, cycles_from_payloads, rule_coverage,
+        cycles_current, cycles_current_merged, cycles_from_payloads, cycle_rejects_from_payloads, rule_coverage,
         cycle_rejects_reprocess, cycles_final_reprocess, cycles_final_repaired, cycle_rejects,
         process_info, open_cycle, next_cycle_number, duration_report, idle_stops, stop_class,
         state_transitions, loader_movement, cycle_status_check, cycle_kpis,

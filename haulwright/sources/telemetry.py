@@ -48,15 +48,18 @@ def decode(raw: DataFrame) -> DataFrame:
 
 
 def payload_rejects(raw: DataFrame) -> DataFrame:
-    """Payloads and array items that give no record, counted by reason.
+    """Payloads and array items that give no typed record, counted by reason.
 
-    `skipped` are the harmless ones, `error` those that could not be read.
+    `skipped` are the harmless ones, `error` those that could not be read; X7 counts records
+    that fail on a field.
     """
-    errors = ["broken_json", "scalar"]
+    errors = ["broken_json", "scalar", "X7"]
     whole = _classified(raw).where("reason IS NOT NULL").select("reason")
     parts = _items(raw).where("NOT is_record").select(F.lit("not_an_object").alias("reason"))
+    failed = typed(raw).where("reject IS NOT NULL").select(F.col("reject").alias("reason"))
     return (
         whole.unionByName(parts)
+        .unionByName(failed)
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("outcome", F.when(F.col("reason").isin(errors), "error").otherwise("skipped"))
@@ -114,17 +117,17 @@ def typed(raw: DataFrame) -> DataFrame:
     return rows.withColumn("reject", F.expr(f"if({lost}, 'X7', null)")).drop("complete")
 
 
-def telemetry(raw: DataFrame) -> DataFrame:
-    """Typed telemetry, ordered by `seq` where times are equal.
-
-    `seq` is text that sorts like (sequence, sub-sequence, item): sequence numbers
-    have no bound, so nothing is packed into a number.
-    """
-    seq = F.concat_ws(
+def _sequence() -> Column:
+    """Text that sorts like (sequence, sub-sequence, item): sequence numbers have no bound, so nothing is packed into a number."""
+    return F.concat_ws(
         ".", _padded("sequence_number", 64), _padded("sub_sequence_number", 20), _padded("item_no", 10)
-    )
+    ).alias("seq")
+
+
+def telemetry(raw: DataFrame) -> DataFrame:
+    """Typed telemetry, ordered by `seq` where times are equal; the rest is in `rejected`."""
     return typed(raw).where("reject IS NULL").select(
-        seq.alias("seq"),
+        _sequence(),
         "asset_guid",
         "site_guid",
         "timestamp",
@@ -134,6 +137,13 @@ def telemetry(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected(raw: DataFrame) -> DataFrame:
+    """Records that fail on a field (X7), with what is known of them, as `plans.cycles.rejects` lists them."""
+    return typed(raw).where("reject IS NOT NULL").select(
+        _sequence(), "asset_guid", "site_guid", "timestamp", "reject"
+    )
+
+
 def _padded(number: str, width: int) -> Column:
     """Digits of a number (text or numeric, not negative) that sort as text; longer ones sort last."""
     digits = F.regexp_replace(F.col(number).cast("string"), "^0+(?=[0-9])", "")

@@ -41,6 +41,12 @@ _TYPED = f"""
         json_exists(item, '$.asset_guid') AND json_exists(item, '$.site_guid') AS complete
     FROM {_RECORDS}"""
 
+_LOST_FIELD = ('NOT complete OR "timestamp" IS NULL OR work_state_id IS NULL'
+               " OR longitude IS NULL OR latitude IS NULL")
+_FROM_PAYLOADS = f"""
+        SELECT sequence_number * 1048576 + sub_sequence_number * 1024 + item_no AS seq, asset_guid, site_guid,
+            "timestamp", work_state_id, longitude, latitude FROM ({_TYPED}) WHERE NOT ({_LOST_FIELD})"""
+
 _STOPS = """
     SELECT asset_guid, site_guid, "timestamp" AS stop_start, stop_end,
         (epoch_us(stop_end) - epoch_us("timestamp")) / 1e6 AS idle_seconds {extra}
@@ -78,18 +84,18 @@ ORACLES: dict[str, str] = {
         SELECT shard, sequence_number, sub_sequence_number, item_no, item ->> 'asset_guid' AS asset_guid,
             item ->> 'timestamp' AS timestamp_text, item ->> 'site_guid' AS site_guid FROM {_RECORDS}"""),
     "telemetry_rejects": with_ctes(["raw"], f"""
-        SELECT reason, count(*) AS n, CASE WHEN reason IN ('broken_json', 'scalar') THEN 'error' ELSE 'skipped' END AS outcome
+        SELECT reason, count(*) AS n, CASE WHEN reason IN ('broken_json', 'scalar', 'X7') THEN 'error' ELSE 'skipped' END AS outcome
         FROM (SELECT CASE WHEN data = '' THEN 'empty' WHEN NOT json_valid(data) THEN 'broken_json'
                 WHEN json_type(data) = 'NULL' THEN 'null'
                 WHEN json_type(data) = 'OBJECT' AND len(json_keys(data)) = 0 THEN 'empty_object'
                 WHEN json_type(data) = 'ARRAY' AND json_array_length(data) = 0 THEN 'empty_array'
                 WHEN json_type(data) NOT IN ('OBJECT', 'ARRAY') THEN 'scalar' END AS reason FROM raw
             UNION ALL SELECT 'not_an_object' FROM {_ITEMS}
-                WHERE (json_type(item) <> 'OBJECT' OR len(json_keys(item)) = 0) AND item_no > 0)
+                WHERE (json_type(item) <> 'OBJECT' OR len(json_keys(item)) = 0) AND item_no > 0
+            UNION ALL SELECT 'X7' FROM ({_TYPED}) WHERE {_LOST_FIELD})
         WHERE reason IS NOT NULL GROUP BY reason"""),
     "telemetry_typed": with_ctes(["raw"], f"""
-        SELECT * EXCLUDE (complete), CASE WHEN NOT complete OR "timestamp" IS NULL OR work_state_id IS NULL
-            OR longitude IS NULL OR latitude IS NULL THEN 'X7' END AS reject FROM ({_TYPED})"""),
+        SELECT * EXCLUDE (complete), CASE WHEN {_LOST_FIELD} THEN 'X7' END AS reject FROM ({_TYPED})"""),
     "shard_high_water": with_ctes(["raw"], """
         SELECT shard, best.a AS sequence_number, best.b AS sub_sequence_number FROM (
             SELECT shard, max({'a': sequence_number, 'b': sub_sequence_number}) AS best FROM raw
@@ -152,11 +158,11 @@ ORACLES: dict[str, str] = {
     "cycles_final_repaired": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", repaired=True),
     "cycles_current": over_log(f"SELECT {columns()} FROM {_CURRENT}"),
     "cycles_current_merged": over_log(f"SELECT {columns()} FROM {_CURRENT}"),
-    "cycles_from_payloads": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", telemetry=f"""
-        SELECT sequence_number * 1048576 + sub_sequence_number * 1024 + item_no AS seq, asset_guid, site_guid,
-            "timestamp", work_state_id, longitude, latitude FROM ({_TYPED})
-        WHERE complete AND "timestamp" IS NOT NULL AND work_state_id IS NOT NULL
-            AND longitude IS NOT NULL AND latitude IS NOT NULL"""),
+    "cycles_from_payloads": over_log(f"SELECT {columns()} FROM log WHERE {_FINAL}", telemetry=_FROM_PAYLOADS),
+    "cycle_rejects_from_payloads": over_log(f"""
+        SELECT asset_guid, site_guid, "timestamp", reject FROM lost
+        UNION ALL SELECT asset_guid, site_guid, "timestamp", 'X7' FROM ({_TYPED}) WHERE {_LOST_FIELD}""",
+        also=["raw"], telemetry=_FROM_PAYLOADS),
     "rule_coverage": over_logs(" UNION ALL ".join(
         f"SELECT '{run}' AS run, rule, action, count(*) AS n FROM (SELECT rule, action FROM log_{run}"
         f" UNION ALL SELECT reject, 'reject' FROM lost_{run}) GROUP BY ALL" for run in _RUNS), _RUNS),

@@ -33,6 +33,15 @@ def test_payload_kinds(spark):
     assert telemetry.decode(given).count() == 3
 
 
+def test_records_that_fail_on_a_field_are_accounted_for(spark):
+    given = raw(spark, record(), record(timestamp="yesterday"), f"[{record()}, {record(work_state_id='x', asset_guid='B')}]", "{bad")
+    counts = {r.reason: (r.n, r.outcome) for r in telemetry.payload_rejects(given).collect()}
+    assert counts == {"broken_json": (1, "error"), "X7": (2, "error")}
+    lost = {(r.asset_guid, r.reject, r.timestamp is None) for r in telemetry.rejected(given).collect()}
+    assert lost == {("A", "X7", True), ("B", "X7", False)}
+    assert telemetry.telemetry(given).count() + 2 == telemetry.decode(given).count()
+
+
 def test_of_a_repeated_key_the_last_value_counts(spark):
     text = record().replace('"work_state_id": 2', '"work_state_id": 2, "work_state_id": 3')
     assert [r.work_state_id for r in telemetry.typed(raw(spark, text)).collect()] == [3]
