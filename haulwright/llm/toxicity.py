@@ -48,7 +48,8 @@ class Settings:
     most_examples: int = 8_192  # of these, rows with terms that are searched
     most_terms: int = 4_096
     least_rows: int = 4  # sampled rows that hold a term
-    least_chi2: float = 30.0
+    least_chi2: float = 10.0  # not by chance
+    least_share: float = 0.01  # chi-square by the number of rows: how much of the label a word tells, at any size
     neighbours: int = 25
     block: int = 32
     prior_weight: float = 0.25  # cosine that the share of label 1 votes with
@@ -103,7 +104,8 @@ def chosen_terms(labelled: DataFrame, cfg: Settings, text: str) -> list[str]:
     gap = a * (n0 - b) - b * (n1 - a)
     chi2 = F.try_divide((n0 + n1) * gap * gap, n0 * n1 * (a + b) * (n0 + n1 - a - b))
     best = sums.where((F.col("term") != "") & (a + b >= cfg.least_rows) & (a + b < n0 + n1)).withColumn("chi2", chi2)
-    best = best.where(F.col("chi2") >= cfg.least_chi2).orderBy(F.desc("chi2"), "term").limit(cfg.most_terms)
+    least = max(cfg.least_chi2, cfg.least_share * (n0 + n1))
+    best = best.where(F.col("chi2") >= least).orderBy(F.desc("chi2"), "term").limit(cfg.most_terms)
     return sorted(r.term for r in best.select("term").collect())
 
 

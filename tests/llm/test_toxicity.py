@@ -69,7 +69,7 @@ def test_odd_rows(spark):
 
 def test_bounds_hold_and_nothing_learned(spark):
     docs, labels = small(spark)
-    few = tox.Settings(most_labels=40, most_examples=5, most_terms=2, least_chi2=0.0)
+    few = tox.Settings(most_labels=40, most_examples=5, most_terms=2, least_chi2=0.0, least_share=0.0)
     found = tox.toxicity(docs, labels, few).collect()
     assert len(found) == docs.count() and len({e.example for r in found for e in r.evidence}) <= 5
     none = tox.toxicity(docs, labels.limit(0)).collect()
