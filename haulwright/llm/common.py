@@ -69,6 +69,15 @@ class Filter:
         return tuple(placed.join(self.words, same, how).drop("_word", "_bit") for how in ("left_semi", "left_anti"))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that isn't taken, whatever its case."""
+    taken = {c.lower() for c in columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

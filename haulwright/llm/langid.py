@@ -9,6 +9,7 @@ N-grams are of 1 to 4 characters of the lower-cased text, letters only inside,
 with a space for whatever isn't a letter at their ends. A text that is null or
 has no letter is `und` with score 0, as is every text if nothing was learned.
 Ties go to the first language in order. The score is the posterior probability.
+Of more than 500 languages those with the most rows are learned (`MOST_LANGUAGES`).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from haulwright.llm.common import mapped, mixed, steps, table, texts_of
 
 BUCKETS = 1 << 16
-#: Languages that a model may have; more are an error, as each holds a vector in memory.
+#: Languages that a model has at most, as each holds a vector in memory: those with the most rows (ties by name).
 MOST_LANGUAGES = 500
 _letters: list[np.ndarray] = []
 
@@ -99,8 +100,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
             for name in known:
                 if name not in held:
                     held[name] = np.zeros(BUCKETS + 1, np.int64)
-                    if len(held) > MOST_LANGUAGES:
-                        raise ValueError(f"more than {MOST_LANGUAGES} languages")
                 held[name][BUCKETS] += names.count(name)
             number = np.array([known.index(n) for n in names])
             for buckets, owner in grams(texts):
@@ -112,6 +111,9 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], ["lang", "bucket", "n"])
 
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text), F.col(lang))
+    sizes = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES + 1)
+    if len(learned := [r[0] for r in sizes.select(lang).collect()]) > MOST_LANGUAGES:
+        labelled = labelled.where(F.col(lang).isin(learned[:MOST_LANGUAGES]))
     counted = labelled.transform(mapped, count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     names = found.column("lang").to_pylist()

@@ -25,10 +25,11 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from haulwright.llm.bpe import Recent
-from haulwright.llm.common import byte_symbols, key_groups, mapped, steps, stored, table
+from haulwright.llm.common import byte_symbols, key_groups, mapped, steps, stored, table, unused
 
 SEQUENCE = 2048
 #: Pieces in a block, whatever the number of documents.
@@ -291,18 +292,20 @@ def pack(items: DataFrame, most: int = SEQUENCE, block: int = BLOCK) -> DataFram
     go to the next round, which ends with one block or when a round frees less
     than a tenth of its rows.
     """
-    rest = items.withColumn("_row", F.monotonically_increasing_id())
+    names = [unused(name, items.columns) for name in ("row", "block", "fill")]
+    number, _, fill = names
+    rest = items.drop("sequence_id", "offset").withColumn(number, F.monotonically_increasing_id())
     done: list[DataFrame] = []
     count, turn = rest.count(), 0
-    kept = [f.name for f in items.schema]
+    kept = [f.name for f in items.schema if f.name not in ("sequence_id", "offset")]
     while True:
         blocks = max(1, math.ceil(count / block))
-        packed = stored(_packed(rest, most, blocks, turn), "packed")
+        packed = stored(_packed(rest, most, blocks, turn, names), "packed")
         if blocks == 1:
             done.append(packed)
             break
-        good = F.col("_fill") >= F.lit(0.99 * most)
-        rest = packed.where(~good).drop("sequence_id", "offset", "_fill")
+        good = F.col(fill) >= F.lit(0.99 * most)
+        rest = packed.where(~good).drop("sequence_id", "offset", fill)
         left = rest.count()
         if left > 0.9 * count or not left:
             done.append(packed)
@@ -315,13 +318,14 @@ def pack(items: DataFrame, most: int = SEQUENCE, block: int = BLOCK) -> DataFram
     return out.select(*kept, "sequence_id", "offset")
 
 
-def _packed(rows: DataFrame, most: int, blocks: int, turn: int) -> DataFrame:
-    keyed = rows.withColumn("_block", F.pmod(F.xxhash64(F.col("_row"), F.lit(turn)), F.lit(blocks)).cast("long"))
-    keyed = keyed.repartition(min(blocks, 4096), "_block").sortWithinPartitions("_block", "_row")
+def _packed(rows: DataFrame, most: int, blocks: int, turn: int, names: list[str]) -> DataFrame:
+    row, block, fill_name = names
+    keyed = rows.withColumn(block, F.pmod(F.xxhash64(F.col(row), F.lit(turn)), F.lit(blocks)).cast("long"))
+    keyed = keyed.repartition(min(blocks, 4096), block).sortWithinPartitions(block, row)
     base = turn << 56
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, group in key_groups(batches, "_block"):
+        for number, group in key_groups(batches, block):
             lengths = group.column("length").to_numpy().astype(np.int64)
             bins = pack_block(lengths, most)
             order = np.argsort(bins, kind="stable")
@@ -329,13 +333,13 @@ def _packed(rows: DataFrame, most: int, blocks: int, turn: int) -> DataFrame:
             first = np.r_[True, np.diff(bins[order]) != 0]
             starts = np.maximum.accumulate(np.where(first, before, 0))
             fill = np.bincount(bins, lengths)[bins[order]].astype(np.int64)
-            out = group.take(pa.array(order)).drop_columns(["_block"])
+            out = group.take(pa.array(order)).drop_columns([block])
             out = out.append_column("sequence_id", pa.array(base + (int(number) << 24) + bins[order]))
-            out = out.append_column("offset", pa.array(before - starts)).append_column("_fill", pa.array(fill))
+            out = out.append_column("offset", pa.array(before - starts)).append_column(fill_name, pa.array(fill))
             yield from out.combine_chunks().to_batches()
 
-    schema = rows.schema.simpleString().removeprefix("struct<").removesuffix(">")
-    return keyed.transform(mapped, run, f"{schema}, sequence_id:long, offset:long, _fill:long")
+    added = [T.StructField(name, T.LongType()) for name in ("sequence_id", "offset", fill_name)]
+    return keyed.transform(mapped, run, T.StructType([*rows.schema, *added]))
 
 
 def pack_documents(docs: DataFrame, file: str, most: int = SEQUENCE) -> DataFrame:

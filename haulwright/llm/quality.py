@@ -10,8 +10,9 @@ labels with a minimum number of these. Short texts are not judged by a distance:
 each histogram has a minimum number of words.
 
 Null and empty texts have no words and fail the base rules. Without any
-reference (an empty table, no label with enough documents) only the base rules hold. Repeated rows
-count as often as they occur.
+reference (an empty table, no label with enough documents) only the base rules hold. Of more than
+100 labels those with the most documents are references (`MOST_LANGUAGES`); texts in a
+language of another label are measured against these. Repeated rows count as often as they occur.
 
 A column with the name of a result is replaced by it.
 
@@ -26,13 +27,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulwright.llm.common import stored, table
+from haulwright.llm.common import stored, table, unused
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Most common words of each language that are bins of the histogram.
 COMMON_WORDS = 4
-#: Labels that references are kept for; more are an error, as they are literals of the plan.
+#: Labels that references are kept for at most, as they are literals of the plan: those with the most documents.
 MOST_LANGUAGES = 100
 
 
@@ -94,9 +95,8 @@ def _words(plain: Column) -> Column:
 def common_words(docs: DataFrame, limits: Limits, text: str = "text", lang: str = "lang") -> tuple[str, ...]:
     """The most common words of each label with enough documents, by their mean share of a document's words."""
     labels = docs.where(F.col(lang).isNotNull()).groupBy(lang).count().where(F.col("count") >= limits.least_documents)
-    labels = [r[0] for r in labels.select(lang).limit(MOST_LANGUAGES + 1).collect()]
-    if len(labels) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    labels = labels.orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES)
+    labels = [r[0] for r in labels.select(lang).collect()]
     if not labels:
         return ()
     rows = docs.where(F.col(lang).isin(labels)).select(F.col(lang).alias("lang"), _words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
@@ -134,20 +134,21 @@ def measures(docs: DataFrame, text: str = "text", common: tuple[str, ...] = ())
             bins.alias("common_bins"),
         )
 
+    helpers = {name: unused(name, docs.columns) for name in ("w", "chars", "upper", "digit", "mark")}
     counted = docs.drop(*RESULTS).select(
         "*",
-        let(words, of_words).alias("_w"),
+        let(words, of_words).alias(helpers["w"]),
         symbols.cast("long").alias("n_symbols"),
         doubled.cast("long").alias("n_dup_lines"),
-        F.length(plain).cast("long").alias("_chars"),
-        less("\\p{Lu}+").cast("long").alias("_upper"),
-        less("[0-9]+").cast("long").alias("_digit"),
-        less("[.,;:!?'\"()-]+").cast("long").alias("_mark"),
-    ).select("*", "_w.*")
-    space = F.col("_chars") - F.col("word_chars")
-    rest = F.col("word_chars") - F.col("_upper") - F.col("_digit") - F.col("_mark") - F.col("n_symbols")
-    bins = F.array(F.col("_upper"), F.col("_digit"), F.col("_mark"), F.col("n_symbols"), space, rest)
-    return counted.withColumn("char_bins", bins).drop("_w", "_chars", "_upper", "_digit", "_mark")
+        F.length(plain).cast("long").alias(helpers["chars"]),
+        less("\\p{Lu}+").cast("long").alias(helpers["upper"]),
+        less("[0-9]+").cast("long").alias(helpers["digit"]),
+        less("[.,;:!?'\"()-]+").cast("long").alias(helpers["mark"]),
+    ).select("*", f"{helpers['w']}.*")
+    space = F.col(helpers["chars"]) - F.col("word_chars")
+    rest = F.col("word_chars") - F.col(helpers["upper"]) - F.col(helpers["digit"]) - F.col(helpers["mark"]) - F.col("n_symbols")
+    bins = F.array(F.col(helpers["upper"]), F.col(helpers["digit"]), F.col(helpers["mark"]), F.col("n_symbols"), space, rest)
+    return counted.withColumn("char_bins", bins).drop(*helpers.values())
 
 
 def base_failed(limits: Limits) -> Column:
@@ -166,9 +167,7 @@ def references(measured: DataFrame, limits: Limits, common: tuple[str, ...], lan
     shares = good.select(lang, *(_shares(F.col(b)).alias(b) for b in sizes))
     means = [F.avg(F.col(b)[k]).alias(f"{b}_{k}") for b, n in sizes.items() for k in range(n)]
     means_of = shares.groupBy(lang).agg(F.count(F.lit(1)).alias("n"), *means).where(F.col("n") >= limits.least_documents)
-    rows = means_of.drop("n").limit(MOST_LANGUAGES + 1).collect()
-    if len(rows) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    rows = means_of.orderBy(F.desc("n"), lang).limit(MOST_LANGUAGES).drop("n").collect()
     return {b: {r[0]: [r[f"{b}_{k}"] for k in range(n)] for r in sorted(rows)} for b, n in sizes.items()}
 
 
@@ -215,17 +214,18 @@ def judged(
     measured = measures(docs, text, common)
     measured = stored(measured if keep_text else measured.drop(text), "quality")
     found = references(measured, limits, common, lang)
+    both = unused("both", measured.columns)
     with_distance = measured.select(
         "*",
         base_failed(limits).alias("base_failed"),
         nearest("char_bins", found["char_bins"]).alias("char_distance"),
         nearest("common_bins", found["common_bins"]).alias("common_distance"),
-        far_from_one(limits, found).alias("_both"),
+        far_from_one(limits, found).alias(both),
     )
     far = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
     far_alone = (F.col("n_words") >= limits.char_words) & far("char_distance", limits.char_distance)
-    off = far_alone | ((F.col("n_words") >= limits.both_words) & F.col("_both"))
-    return with_distance.withColumn("kept", ~F.col("base_failed") & ~off).drop("_both")
+    off = far_alone | ((F.col("n_words") >= limits.both_words) & F.col(both))
+    return with_distance.withColumn("kept", ~F.col("base_failed") & ~off).drop(both)
 
 
 def op2_divergence(spark, folder: str) -> DataFrame:
