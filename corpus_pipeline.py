@@ -19,6 +19,7 @@ from haulwright.llm.pii import redact
 from haulwright.llm.quality import judged
 from haulwright.llm.suffix import remove_repeats
 
+_REPLACEMENT, _MARK = "\ufffd", "\ufdd0"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -30,7 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest doc_id (op 4).
 
-    Rows without doc_id stay; of rows that repeat a doc_id one stays.
+    Rows without doc_id stay; of rows that repeat a doc_id and its text one stays. Different texts
+    under one doc_id are told apart by nothing but their text, so they stay or go together.
     """
     found = stored(near_duplicates(docs, Join(words=5, percent=80)).select("doc_id", "kept"), "near")
     ids = found.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("stays"), F.count("*").alias("n"))
@@ -40,19 +42,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     some = some.join(odd.hint("merge"), "doc_id", "left").where(F.coalesce("stays", F.lit(True)))
     out = rest.unionByName(some.where("n is null or n = 1").select(*COLUMNS))
     if not odd.where("n > 1").isEmpty():
-        out = out.unionByName(some.where("n > 1").dropDuplicates(["doc_id"]).select(*COLUMNS))
+        out = out.unionByName(some.where("n > 1").dropDuplicates(["doc_id", "text"]).select(*COLUMNS))
     return out
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that documents with smaller ids hold, too (op 7).
 
-    Characters that a removed passage cuts in two are dropped. Rows whose whole
-    text is gone are dropped as well; a text that was null or empty before stays.
+    Halves of characters that a removed passage cuts in two are dropped, a replacement character
+    that the text held before stays. Rows whose whole text is gone are dropped as well; a text
+    that was null or empty before stays.
     """
     found = remove_repeats(docs.select(*COLUMNS))
-    kept = F.replace(F.make_valid_utf8(F.col("repeats.kept").cast("string")), F.lit("�"), F.lit(""))
-    text = F.when(F.col("repeats.n_removed") == 0, F.col("repeats.kept").cast("string")).otherwise(kept)
+    whole = F.col("repeats.kept").cast("string")
+    # The text's own replacement characters are written otherwise while those of halves are dropped.
+    kept = F.replace(F.replace(whole, F.lit(_MARK), F.lit(f"{_MARK}a")), F.lit(_REPLACEMENT), F.lit(f"{_MARK}b"))
+    kept = F.replace(F.make_valid_utf8(kept), F.lit(_REPLACEMENT), F.lit(""))
+    kept = F.replace(F.replace(kept, F.lit(f"{_MARK}b"), F.lit(_REPLACEMENT)), F.lit(f"{_MARK}a"), F.lit(_MARK))
+    text = F.when(F.col("repeats.n_removed") == 0, whole).otherwise(kept)
     rows = found.where("repeats.n_removed < repeats.n_bytes or repeats.n_bytes = 0").withColumn("text", text)
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
