@@ -19,6 +19,25 @@ from haulwright.operators.timeline import running_totals
 PHASE_ENDS = [60, 70, 100, 160, 310, 460, 610, 620, 640, 650, 800, 950]
 ROUND_SECONDS = 950
 
+# Courses of some trucks as (second, place, work state), for what rounds seldom or never show.
+_LOADED = [(0, "loader", 3), (10, "loader", 2), (40, "loader", 2), (100, "loader", 3)]
+_TO_DUMP = [*_LOADED, (400, "road", 3), (700, "dump", 2)]
+_DUMPED = [*_TO_DUMP, (720, "dump", 2), (730, "dump", 3)]
+COURSES = [
+    [*_TO_DUMP, (720, "dump", 2), (2600, "loader", 3), (2700, "loader", 2)],  # dumped, then unseen until working at a loader
+    [*_LOADED, (110, "loader", 2), (140, "loader", 3)],  # topped up
+    [*_LOADED, (110, "other loader", 2), (160, "other loader", 3)],  # stopped at another loader
+    [*_DUMPED, (740, "dump", 2), (770, "dump", 3)],  # dumped on
+    [*_LOADED[:3], (1241, "loader", 2), (2600, "loader", 2)],  # loading for very long
+    [*_TO_DUMP, (760, "loader", 3)],  # dumped unseen
+    [(0, "loader", 2), (10, "loader", 3)],  # short stop before any loading
+    [*_LOADED, (200, "loader", 2), (210, "loader", 3)],  # short stop when loaded
+    [*_LOADED, (300, "road", 2), (950, "road", 2), (1600, "road", 2), (1700, "road", 3)],  # very long stop on the road
+    [*_DUMPED, (800, "other dump", 2), (840, "other dump", 3)],  # a second dump
+    [(0, "loader", 3), (10, "loader", 5), (20, "dump", 7), (30, "road", 5), (40, "road", 2), (30, "loader", 2)],  # other states, late
+    [(0, "overlap", 3), (20, "road", 3), (30, "overlap", 2), (80, "overlap", 2), (200, "road", 3)],  # begins at a loader in a dump
+]
+
 # The given tables, so that reading them needs no look at the files first.
 _SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
@@ -100,29 +119,47 @@ class DerivedInputs:
             )
         )
 
+    def _courses(self) -> DataFrame:
+        """Rows of the trucks that follow a course."""
+        lists = ", ".join(
+            f"array({', '.join(f'struct({at} AS second, {place!r} AS place, {state} AS work_state_id)' for at, place, state in course)})"
+            for course in COURSES
+        )
+        return (
+            self.table("customer")
+            .where("c_custkey % 20 = 3")
+            .selectExpr("c_custkey AS user_id", f"posexplode(get(array({lists}), cast(c_custkey div 20 % {len(COURSES)} as int))) AS (nth, step)")
+            .selectExpr(
+                "2000000014 + user_id * 100 + nth AS event_id", "user_id", "'' AS event_type", "step.place", "step.work_state_id",
+                _after_epoch("user_id % 3 * 600 + step.second") + " AS timestamp",
+            )
+        )
+
     def telemetry(self) -> DataFrame:
         """Decoded telemetry with the payload's site, which may be missing."""
         base = "(-23e0 + (user_id % 5) * 5e-1)"
-        return self._placed_events().selectExpr(
+        return self._placed_events().unionByName(self._courses()).selectExpr(
             "event_id AS seq",
             "concat('A', cast(user_id as string)) AS asset_guid",
             f"CASE WHEN event_id % 17 <> 0 THEN {_site('user_id')} END AS site_guid",
             "timestamp",
             "work_state_id",
             "CASE WHEN place = 'overlap' THEN 13301e-2"
-            " ELSE 133e0 + (user_id div 5 % 2) * 1e-2 END AS longitude",
+            " ELSE 133e0 + ((user_id div 5 + if(place like 'other%', 1, 0)) % 2) * 1e-2 END AS longitude",
             f"""CASE WHEN event_type = 'click' AND event_id % 97 = 0 THEN 95e0
-                WHEN place = 'loader' THEN {base} + 1e-4
-                WHEN place = 'dump' THEN {base} + 1e-1
+                WHEN place like '%loader' THEN {base} + 1e-4
+                WHEN place like '%dump' THEN {base} + 1e-1
                 WHEN place = 'overlap' THEN {base} + 1016e-4
                 ELSE {base} + 5e-2 END AS latitude""",
         )
 
     def rows_per_asset(self) -> DataFrame:
         """At least the number of telemetry rows of each asset."""
-        return self.table("events").selectExpr(
-            "concat('A', cast(user_id as string)) AS asset_guid"
-        ).groupBy("asset_guid").agg(F.count(F.lit(1)).alias("n"))
+        asset = "concat('A', cast({} as string)) AS asset_guid"
+        counted = self.table("events").selectExpr(asset.format("user_id"), "1 AS n")
+        most = max(map(len, COURSES))
+        courses = self.table("customer").where("c_custkey % 20 = 3").selectExpr(asset.format("c_custkey"), f"{most} AS n")
+        return counted.unionByName(courses).groupBy("asset_guid").agg(F.sum("n").alias("n"))
 
     def telemetry_raw(self) -> DataFrame:
         """Telemetry as JSON payloads, some of them broken in each known way."""

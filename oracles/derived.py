@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from haulwright.config import DEFAULT
-from haulwright.sources.derived import PHASE_ENDS, ROUND_SECONDS
+from haulwright.sources.derived import COURSES, PHASE_ENDS, ROUND_SECONDS
 
 
 def _site(key: str) -> str:
@@ -62,6 +62,9 @@ def _odd() -> str:
 
 
 _ENDS = ", ".join(map(str, PHASE_ENDS))
+_COURSES = ", ".join(
+    f"({k}, {nth}, {second}, {place!r}, {state})" for k, course in enumerate(COURSES) for nth, (second, place, state) in enumerate(course)
+)
 _BASE = "(-23e0 + (user_id % 5) * 5e-1)"
 
 # name -> (names it reads, text)
@@ -86,15 +89,23 @@ CTES: dict[str, tuple[list[str], str]] = {
                 WHEN step % 12 IN (1, 2, 7, 8) THEN 2 ELSE 3 END AS work_state_id,
             {_at(f'step // 12 * {ROUND_SECONDS} + [{_ENDS}][step % 12 + 1] + extra_seconds')} AS tick
         FROM steps"""),
-    "telemetry": (["spots"], f"""
+    "on_course": ([], f"""
+        SELECT CAST(2000000014 + c_custkey * 100 + nth AS BIGINT) AS event_id, c_custkey AS user_id, '' AS event_type,
+            place, work_state_id, {_at('c_custkey % 3 * 600 + second')} AS tick
+        FROM customer JOIN (VALUES {_COURSES}) v(course, nth, second, place, work_state_id)
+            ON course = c_custkey // 20 % {len(COURSES)}
+        WHERE c_custkey % 20 = 3"""),
+    "telemetry": (["spots", "on_course"], f"""
         SELECT event_id AS seq, 'A' || CAST(user_id AS VARCHAR) AS asset_guid,
             CASE WHEN event_id % 17 <> 0 THEN {_site('user_id')} END AS site_guid,
             tick AS "timestamp", work_state_id,
-            CASE WHEN place = 'overlap' THEN 13301e-2 ELSE 133e0 + (user_id // 5 % 2) * 1e-2 END AS longitude,
+            CASE WHEN place = 'overlap' THEN 13301e-2
+                ELSE 133e0 + ((user_id // 5 + CASE WHEN place LIKE 'other%' THEN 1 ELSE 0 END) % 2) * 1e-2 END AS longitude,
             CASE WHEN event_type = 'click' AND event_id % 97 = 0 THEN 95e0
-                WHEN place = 'loader' THEN {_BASE} + 1e-4 WHEN place = 'dump' THEN {_BASE} + 1e-1
+                WHEN place LIKE '%loader' THEN {_BASE} + 1e-4 WHEN place LIKE '%dump' THEN {_BASE} + 1e-1
                 WHEN place = 'overlap' THEN {_BASE} + 1016e-4 ELSE {_BASE} + 5e-2 END AS latitude
-        FROM spots"""),
+        FROM (SELECT event_id, user_id, event_type, place, work_state_id, tick FROM spots
+            UNION ALL SELECT event_id, user_id, event_type, place, work_state_id, tick FROM on_course)"""),
     "raw": (["telemetry"], f"""
         SELECT 'shard-' || CAST(CAST(substr(asset_guid, 2) AS BIGINT) % 4 AS VARCHAR) AS shard,
             seq // 2 AS sequence_number, seq % 2 AS sub_sequence_number,
