@@ -323,34 +323,60 @@ class BoxGrid:
             f"odd <> {below} <> {crossed} AS odd",
         ).where("size(near) > 0 OR size(ys) > 0 OR odd")
 
-    def clipped(self, shapes: DataFrame) -> DataFrame:
-        """site_guid, region_guid, fine, region_cell, near, ys and odd of all cells that a ring meets or holds.
+    def sized(self, shapes: DataFrame) -> DataFrame:
+        """Regions with their size: `fine` (filed under fine cells) and `dense` (coarse cells may have to be cut).
 
         Points outside the valid range meet no region, so boxes are cut to it.
         """
         tall = f"(floor((max_lat - min_lat) / {self.fine_deg!r}D) + 2)"
         wide = f"(floor((max_lon - min_lon) / {self.fine_deg!r}D) + 2)"
-        sized = shapes.selectExpr(
+        return shapes.selectExpr(
             "*", f"{tall} * {wide} <= {self.most} AS fine",
             "greatest(min_lat, -90D) + 90 AS b", "least(max_lat, 90D) + 90 AS t",
             "greatest(min_lon, -180D) + 180 AS l", "least(max_lon, 180D) + 180 AS r",
-        ).where("b <= t AND l <= r")
+        ).where("b <= t AND l <= r").selectExpr("*", f"NOT fine AND size(edges) > {self.most_edges} AS dense")
+
+    def kinds(self, shapes: DataFrame) -> tuple[str, ...]:
+        """Which of fine, coarse and dense there are, found in one pass over the regions."""
+        seen = self.sized(shapes).agg(
+            F.bool_or("fine").alias("fine"), F.bool_or(~F.col("fine")).alias("coarse"), F.bool_or("dense").alias("dense")
+        ).first()
+        return tuple(k for k in ("fine", "coarse", "dense") if seen[k])
+
+    def clipped(self, shapes: DataFrame, kinds: tuple[str, ...] = ("fine", "coarse", "dense")) -> DataFrame:
+        """site_guid, region_guid, fine, region_cell, near, ys and odd of all cells that a ring meets or holds.
 
-        def parts(fine: bool) -> DataFrame:
+        `kinds` may leave out what the regions are known not to be.
+        """
+        sized = self.sized(shapes)
+
+        def parts(fine: bool, which: str) -> DataFrame:
             bounds = {"south": "b", "north": "t", "west": "l", "east": "r"}
-            return sized.where("fine" if fine else "NOT fine").selectExpr(
+            return sized.where(which).selectExpr(
                 "site_guid", "region_guid", "0L AS part", "edges", "cast(array() AS array<double>) AS ys", "false AS odd",
                 *(f"{self._index(c, fine)} AS {name}" for name, c in bounds.items()),
             )
 
-        coarse = self._clip(parts(False), fine=False)
-        many = f"size(near) > {self.most_edges}"
-        last = self.ratio - 1
-        cut = coarse.where(many).selectExpr(
-            "site_guid", "region_guid", "region_cell AS part", "near AS edges", "ys", "odd",
-            f"grid_row * {self.ratio}L AS south", f"grid_row * {self.ratio}L + {last} AS north",
-            f"grid_column * {self.ratio}L AS west", f"grid_column * {self.ratio}L + {last} AS east",
-        )
-        fine = self._clip(parts(True).unionByName(cut), fine=True)
-        both = fine.withColumn("fine", F.lit(True)).unionByName(coarse.where(f"NOT {many}").withColumn("fine", F.lit(False)))
-        return both.select("site_guid", "region_guid", "fine", "region_cell", "near", "ys", "odd")
+        fine, found = [], []
+        if "fine" in kinds:
+            fine.append(parts(True, "fine"))
+        if "coarse" in kinds:
+            found.append(self._clip(parts(False, "NOT fine AND NOT dense"), fine=False).withColumn("fine", F.lit(False)))
+        if "dense" in kinds:
+            coarse = self._clip(parts(False, "dense"), fine=False)
+            many, last = f"size(near) > {self.most_edges}", self.ratio - 1
+            found.append(coarse.where(f"NOT {many}").withColumn("fine", F.lit(False)))
+            fine.append(
+                coarse.where(many).selectExpr(
+                    "site_guid", "region_guid", "region_cell AS part", "near AS edges", "ys", "odd",
+                    f"grid_row * {self.ratio}L AS south", f"grid_row * {self.ratio}L + {last} AS north",
+                    f"grid_column * {self.ratio}L AS west", f"grid_column * {self.ratio}L + {last} AS east",
+                )
+            )
+        if fine or not found:
+            every = fine[0].unionByName(fine[1]) if len(fine) > 1 else fine[0] if fine else parts(True, "false")
+            found.append(self._clip(every, fine=True).withColumn("fine", F.lit(True)))
+        out = found[0]
+        for more in found[1:]:
+            out = out.unionByName(more)
+        return out.select("site_guid", "region_guid", "fine", "region_cell", "near", "ys", "odd")

@@ -105,15 +105,15 @@ def _nearest(loaders: str, cfg: CycleConfig) -> Column:
     return F.expr(f"array_min(filter({measured}, c -> c.distance <= {cfg.loader_radius_m}D))")
 
 
-def _spots(loaders: DataFrame, dump_cells: DataFrame | None) -> DataFrame:
+def _spots(loaders: DataFrame, dump_cells: DataFrame | None, steps: tuple[str, ...]) -> DataFrame:
     """Loaders with `dumps`, the dump regions around them."""
     if dump_cells is None:
         return loaders.withColumn("dumps", F.expr("cast(array() AS array<string>)"))
-    return with_dumps(loaders, dump_cells)
+    return with_dumps(loaders, dump_cells, steps=steps)
 
 
 def loader_cells(
-    loaders: DataFrame, cfg: CycleConfig = DEFAULT, dump_cells: DataFrame | None = None
+    loaders: DataFrame, cfg: CycleConfig = DEFAULT, dump_cells: DataFrame | None = None, steps: tuple[str, ...] = ("fine", "coarse")
 ) -> DataFrame:
     """Loaders by (site, cell): all that can be in reach of a point in the cell.
 
@@ -126,7 +126,7 @@ def loader_cells(
         F.min("asset_guid").alias("asset_guid")
     )
     return (
-        grid.with_cells_in_reach(_spots(spots, dump_cells))
+        grid.with_cells_in_reach(_spots(spots, dump_cells, steps))
         .groupBy("site_guid", *_CELL)
         .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude", "dumps")).alias("loaders"))
     )
@@ -170,7 +170,11 @@ def asked_days(rows: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFrame:
 
 
 def loader_cells_asof(
-    validity: DataFrame, asked: DataFrame, cfg: CycleConfig = DEFAULT, dump_cells: DataFrame | None = None
+    validity: DataFrame,
+    asked: DataFrame,
+    cfg: CycleConfig = DEFAULT,
+    dump_cells: DataFrame | None = None,
+    steps: tuple[str, ...] = ("fine", "coarse"),
 ) -> DataFrame:
     """As `loader_cells`, for the days `asked` (site_guid, cell, day): the positions that hold at some time of them.
 
@@ -179,7 +183,7 @@ def loader_cells_asof(
     """
     grid = NearGrid.of(cfg)
     held = (
-        validity_spans(grid.with_cells_in_reach(_spots(validity, dump_cells)))
+        validity_spans(grid.with_cells_in_reach(_spots(validity, dump_cells, steps)))
         .groupBy("site_guid", *_CELL, "level", "span")
         .agg(F.collect_list(F.struct("asset_guid", "latitude", "longitude", "dumps", "valid_from", "valid_to")).alias("loaders"))
     )
@@ -230,20 +234,31 @@ _NESTED = tuple(360.0 / 256 / 16**level for level in range(3))
 _PATH = [f"k{level}" for level in range(len(_NESTED))]
 
 
-def region_tree(shapes: DataFrame) -> list[DataFrame]:
+#: Regions of a site up to which its cells are measured against all of them, without a tree.
+FEW_REGIONS = 64
+
+
+def tree_depth(shapes: DataFrame) -> int:
+    """Levels of nested cells that are worth while for the site with the most regions."""
+    most = shapes.groupBy("site_guid").count().agg(F.max("count")).first()[0] or 0
+    return 0 if most <= FEW_REGIONS else len(_PATH)
+
+
+def region_tree(shapes: DataFrame, depth: int = len(_PATH)) -> list[DataFrame]:
     """Nodes of each level by site and path: their children with the box around all that is in them and a corner.
 
     A region is filed once, by its first corner; boxes of cells hold whole regions and may
     overlap. The last level's children are the regions themselves.
     """
+    path = _PATH[:depth]
     step = lambda v, size: f"floor(({v}) / {size!r}D)"
-    filed = shapes.selectExpr("site_guid", "region_guid", *BOX, "edges[0].x1 AS x", "edges[0].y1 AS y").selectExpr(
+    filed = shapes.selectExpr("site_guid", "region_guid", *BOX, "get(edges, 0).x1 AS x", "get(edges, 0).y1 AS y").selectExpr(
         "*", *(f"{step('y + 90', s)} * {1 << 26}L + {step('x + 180', s)} AS {k}" for k, s in zip(_PATH, _NESTED))
     )
     low, high = [c for c in BOX if c.startswith("min")], [c for c in BOX if c.startswith("max")]
     levels = []
-    for depth in range(len(_PATH) + 1):
-        above, own = _PATH[:depth], (_PATH + ["region_guid"])[depth]
+    for level in range(depth + 1):
+        above, own = path[:level], [*path, "region_guid"][level]
         nodes = filed.groupBy("site_guid", *above, own).agg(
             *(F.min(c).alias(c) for c in low), *(F.max(c).alias(c) for c in high), F.min(F.struct("x", "y")).alias("corner")
         )
@@ -252,7 +267,7 @@ def region_tree(shapes: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def regions_in_reach(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+def regions_in_reach(cells: DataFrame, shapes: DataFrame, depth: int = len(_PATH)) -> DataFrame:
     """site_guid, cell, load_regions (guids that can be nearest to a point of the cell) and n_touched, regions measured for it.
 
     Seen from the centre, what a box holds is no nearer than the box, and the region of a known
@@ -266,8 +281,8 @@ def regions_in_reach(cells: DataFrame, shapes: DataFrame) -> DataFrame:
         f" {corner} AS high, c.own AS own))"
     )
     rows = cells.select("site_guid", *_CELL).distinct().withColumn("best", F.lit(float("inf")))
-    for depth, level in enumerate(region_tree(shapes)):
-        above = _PATH[:depth]
+    for at, level in enumerate(region_tree(shapes, depth)):
+        above = _PATH[:at]
         met = rows.join(level, ["site_guid", *above]).selectExpr("site_guid", *_CELL, *above, "best", f"{measured} AS children")
         found = met.groupBy("site_guid", *_CELL).agg(
             F.min(F.least("best", F.expr("array_min(transform(children, c -> c.high))"))).alias("best"),
@@ -275,19 +290,19 @@ def regions_in_reach(cells: DataFrame, shapes: DataFrame) -> DataFrame:
                 F.collect_list(F.transform("children", lambda c: F.struct(c["low"], F.struct(*above, c["own"].alias("own")).alias("at"))))
             ).alias("children"),
         ).withColumn("near", F.expr("filter(children, c -> c.low <= best + cell_half * 2)"))
-        if depth < len(_PATH):
+        if at < depth:
             rows = found.selectExpr("site_guid", *_CELL, "best", "explode(near.at) AS at").select(
-                "site_guid", *_CELL, "best", *(F.col(f"at.{k}") for k in above), F.col("at.own").alias(_PATH[depth])
+                "site_guid", *_CELL, "best", *(F.col(f"at.{k}") for k in above), F.col("at.own").alias(_PATH[at])
             )
     return found.selectExpr("site_guid", "cell", "near.at.own AS load_regions", "size(children) AS n_touched")
 
 
-def with_load_regions(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+def with_load_regions(cells: DataFrame, shapes: DataFrame, depth: int = len(_PATH)) -> DataFrame:
     """Add to each loader cell the load regions that can be nearest to a point in it, with their edges.
 
     Which of them is nearest is measured for each row.
     """
-    held = regions_in_reach(cells, shapes).select("site_guid", "cell", F.explode("load_regions").alias("region_guid"))
+    held = regions_in_reach(cells, shapes, depth).select("site_guid", "cell", F.explode("load_regions").alias("region_guid"))
     kept = (
         held.join(shapes.select("site_guid", "region_guid", "edges"), ["site_guid", "region_guid"])
         .groupBy("site_guid", "cell")
@@ -315,10 +330,19 @@ def with_load_region(telemetry: DataFrame, cfg: CycleConfig = DEFAULT) -> DataFr
 # --- dump regions ---------------------------------------------------------------
 
 
-def region_cells(shapes: DataFrame, grid: BoxGrid = BoxGrid()) -> DataFrame:
+_KINDS = ("fine", "coarse", "dense")
+
+
+def cell_steps(kinds: tuple[str, ...]) -> tuple[str, ...]:
+    """Sizes of cells that hold regions of such kinds (`BoxGrid.kinds`); regions cut small are in both."""
+    fine = "fine" in kinds or "dense" in kinds or not kinds
+    return ("fine",) * fine + ("coarse",) * ("coarse" in kinds or "dense" in kinds)
+
+
+def region_cells(shapes: DataFrame, grid: BoxGrid = BoxGrid(), kinds: tuple[str, ...] = _KINDS) -> DataFrame:
     """Regions by (site, step, cell): all that meet the cell, clipped to it, in guid order."""
     return (
-        grid.clipped(shapes)
+        grid.clipped(shapes, kinds)
         .groupBy("site_guid", "fine", "region_cell")
         .agg(F.sort_array(F.collect_list(F.struct("region_guid", "near", "ys", "odd"))).alias("regions"))
     )

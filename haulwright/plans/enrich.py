@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, CycleConfig
+from haulwright.functions.geo import BoxGrid
 from haulwright.operators import places, quality
 from haulwright.sources.derived import DerivedInputs
 from haulwright.sources.regions import (
@@ -68,7 +69,13 @@ class PlaceIndex:
         """`telemetry` is needed to reprocess: loaders are looked up for the cells and days it has."""
         realtime = cfg.service == "realtime"
         shapes = region_shapes(dims.regions)
-        dump_cells = places.region_cells(shapes_of(shapes, "dump"))
+        if keep:
+            shapes.persist()
+        dumps, loads = shapes_of(shapes, "dump"), shapes_of(shapes, "load")
+        # Two looks at the regions, which are few, spare what only wide or many of them need.
+        kinds, depth = BoxGrid().kinds(dumps), places.tree_depth(loads)
+        steps = places.cell_steps(kinds)
+        dump_cells = places.region_cells(dumps, kinds=kinds)
         fallback = quality.fallback_sites(dims.latest_site, dims.assets)
         if realtime:
             loaders = places.loaders_current(dims.process_info, cfg)
@@ -76,28 +83,25 @@ class PlaceIndex:
             loaders = places.loader_validity(dims.loader_idle, dims.assets, cfg, merge=True)
         trucks = quality.trucks(dims.assets, cfg).join(quality.loader_sites(loaders), "site_guid", "left")
         if keep:
-            shapes.persist(), dump_cells.persist()
+            dump_cells.persist()
         if realtime:
-            cells = places.loader_cells(loaders, cfg, dump_cells)
+            cells = places.loader_cells(loaders, cfg, dump_cells, steps)
         else:
             resolved = quality.resolve_site(telemetry.select(*_PLACED), fallback)
             rows = quality.checked(resolved.join(trucks, ["asset_guid", "site_guid"]))
-            cells = places.loader_cells_asof(loaders, places.asked_days(rows, cfg), cfg, dump_cells)
+            cells = places.loader_cells_asof(loaders, places.asked_days(rows, cfg), cfg, dump_cells, steps)
         made_from = [shapes, cells.persist()] if keep else []
         index = PlaceIndex(
             fallback=fallback,
             trucks=trucks,
-            loader_cells=places.with_load_regions(cells, shapes_of(shapes, "load")),
+            loader_cells=places.with_load_regions(cells, loads, depth),
             dump_cells=dump_cells,
-            dump_steps=("fine", "coarse"),
+            dump_steps=steps,
             made_from=made_from,
         )
         if keep:
             for table in index.tables():
                 table.persist()
-            # Regions too wide for fine cells are rare; without any, one lookup is enough.
-            if index.dump_cells.where("NOT fine").isEmpty():
-                index.dump_steps = ("fine",)
         return index
 
     def tables(self) -> list[DataFrame]:

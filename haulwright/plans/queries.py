@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from haulwright.config import DEFAULT, CycleConfig
 from haulwright.functions.timing import elapsed_text
+from haulwright.functions.geo import BoxGrid
 from haulwright.operators import history, kpis, places, quality, stops
 from haulwright.plans import cycles
 from haulwright.plans.enrich import (
@@ -236,8 +237,9 @@ def nearest_load_region(spark, folder):
 def dump_region_hit(spark, folder):
     inputs, dims = _inputs(spark, folder)
     shapes = regions.shapes_of(regions.region_shapes(dims.regions), "dump")
-    cells = places.region_cells(shapes)
-    return places.with_dump_region(_trucks(inputs, dims), cells).selectExpr(
+    kinds = BoxGrid().kinds(shapes)
+    cells = places.region_cells(shapes, kinds=kinds)
+    return places.with_dump_region(_trucks(inputs, dims), cells, steps=places.cell_steps(kinds)).selectExpr(
         "seq", "asset_guid", "dump_region.region_guid AS dump_region_guid"
     )
 

@@ -51,9 +51,11 @@ def test_clipped_rings_hold_what_whole_ones_do(spark, grid):
         rings = {g: ring for g, ring in rings.items() if max(x for x, _ in ring) - min(x for x, _ in ring) < 3}
     points = hard_points(rings, 4)
     shapes = shapes_of(region_shapes(_region_frame(spark, rings, "dump")), "dump")
-    cells = places.region_cells(shapes, grid).persist()
+    kinds = grid.kinds(shapes)
+    assert ("dense" in kinds) == (grid.most < 10**6) and "fine" in kinds
+    cells, steps = places.region_cells(shapes, grid, kinds).persist(), places.cell_steps(kinds)
     spots = spark.createDataFrame(points, SCHEMA)
-    found = places.with_dump_region(places.with_dumps(spots, cells, grid), cells, grid)
+    found = places.with_dump_region(places.with_dumps(spots, cells, grid, steps), cells, grid, steps)
     copies = {g: min(h for h in rings if rings[h] == rings[g]) for g in rings}
     got = {r.seq: (r.first, set(r.dumps)) for r in found.selectExpr("seq", "dump_region.region_guid AS first", "dumps").collect()}
     hits = 0
@@ -102,6 +104,10 @@ def test_regions_touched_do_not_grow_with_the_site(spark):
     near = found.join(cells.where("abs(cell_lon) < 131.3 AND cell_lon > 130 AND cell_lat > -25 AND cell_lat < -23.8"), ["site_guid", "cell"], "left_semi")
     assert near.agg(F.max("n_touched")).first()[0] < 40 and near.count() > 300
     assert found.count() == cells.count()
+    assert places.tree_depth(shapes) > 0 and places.tree_depth(shapes.limit(50)) == 0
+    some = shapes.where("hash(region_guid) % 3000 = 0").persist()
+    shown = lambda f: {(x.cell, tuple(sorted(x.load_regions))) for x in f.collect()}
+    assert shown(places.regions_in_reach(cells, some, 0)) == shown(places.regions_in_reach(cells, some))
     # The nearest region of each cell's centre is among its candidates.
     boxes = {row.region_guid: (row.min_lon, row.min_lat) for row in shapes.select("region_guid", "min_lon", "min_lat").collect()}
     centres = {row.cell: (row.cell_lon, row.cell_lat) for row in cells.select("cell", "cell_lon", "cell_lat").collect()}
