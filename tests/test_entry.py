@@ -32,3 +32,11 @@ def test_agrees_with_duckdb(spark, folder, name):
 
 def test_flagship_has_rows(spark):
     assert not entry.entry(spark).isEmpty()
+
+
+def test_courses_reach_the_rules_that_rounds_seldom_show():
+    db = duckdb.connect()
+    for table in ("events", "region", "nation", "supplier", "customer"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.01/{table}.parquet'")
+    reached = {row[1] for row in db.execute(ORACLES["rule_coverage"]).fetchall()}
+    assert {"L3", "L12", "L16", "L17", "L18", "L20", "L22", "U10", "U11", "T3", "X1", "X4", "X6"} <= reached
