@@ -35,8 +35,7 @@ def rows(inputs):
 
 @pytest.fixture(scope="module")
 def index(inputs):
-    # Not persisted, as a long-running stream would read its dimensions afresh.
-    return PlaceIndex.build(Dimensions.derived(inputs), keep=False)
+    return PlaceIndex.build(Dimensions.derived(inputs))
 
 
 @pytest.fixture(scope="module")
