@@ -60,7 +60,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks run side by side already
         self.library = Tokenizer.from_file(file)
         self.model, self.symbols = self.library.model, dict(enumerate(byte_symbols()))
-        self.recent = Recent(self._ids, most=600_000)
+        self.recent = Recent(self._ids, most=200_000)
         for probe in ("Aé1 b,\nC.\t<x> d", "Ab12c..,;d -- E'F x's \x00y", "ÀÉß×÷ÿ, Straße!! öl&&& 日本 ¿q?"):
             if self.library.encode(probe, add_special_tokens=False).ids != np.frombuffer(self.encode(probe), "<u4").tolist():
                 raise ValueError("the vocabulary encodes words together")
