@@ -174,6 +174,19 @@ def test_loader_asof_is_the_brute_force_one(spark):
     assert hits > 100
 
 
+def test_only_asked_cells_and_days_are_filed_asof(spark, monkeypatch):
+    start = dt.datetime(2024, 1, 1)
+    held = [(f"L{n}", "S", start, None, -23.0, 133.0 + n * 1e-2) for n in range(200)]
+    validity = spark.createDataFrame(held, "asset_guid string, site_guid string, valid_from timestamp_ntz, valid_to timestamp_ntz, latitude double, longitude double")
+    rows = spark.createDataFrame([(0, "S", -23.0, 133.0, False, start), (1, "S", -23.0, 133.01, False, start + dt.timedelta(days=1))], SCHEMA + ", timestamp timestamp_ntz")
+    filed, spans = [], places.validity_spans
+    monkeypatch.setattr(places, "validity_spans", lambda v: filed.append(spans(v)) or filed[-1])
+    cells = places.loader_cells_asof(validity, places.asked_days(rows))
+    got = places.with_nearest_loader_asof(rows, cells).selectExpr("seq", "loader.guid AS guid").collect()
+    assert {x.seq: x.guid for x in got} == {0: "L0", 1: "L1"}
+    assert filed[0].count() <= 4  # two loaders, one day each; all cells of all loaders to the calendar's end before
+
+
 def test_colocation_is_the_loader_in_the_row_s_region(spark):
     rings = {g: ring for g, ring in _rings(9).items() if g != "R99"}
     r = random.Random(10)
