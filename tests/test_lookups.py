@@ -174,6 +174,22 @@ def test_loader_asof_is_the_brute_force_one(spark):
     assert hits > 100
 
 
+def test_few_regions_are_picked_without_a_shuffle_of_cells(spark):
+    rings = dict(list(_rings(3).items())[:40])
+    shapes = shapes_of(region_shapes(_region_frame(spark, rings, "load")), "load").persist()
+    assert places.tree_depth(shapes) == 0
+    r = random.Random(4)
+    loaders = [(f"L{k:02d}", site, -23.0 + r.uniform(-0.3, 0.3), 133.0 + r.uniform(-0.3, 0.3)) for k in range(60) for site in ("S", "none")]
+    cells = places.loader_cells(spark.createDataFrame(loaders, "asset_guid string, site_guid string, latitude double, longitude double")).persist()
+    cells.count()
+    picked = places.with_load_regions(cells, shapes, 0)
+    shown = lambda rows: {(x.site_guid, x.cell): sorted(v.region_guid for v in x.load_regions or []) for x in rows.collect()}
+    few = shown(picked)
+    assert few == shown(places.with_load_regions(cells, shapes)) and any(few.values())
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Generate" not in plan.split("InMemoryRelation")[0]  # cells were multiplied by regions and grouped again before
+
+
 def test_only_asked_cells_and_days_are_filed_asof(spark, monkeypatch):
     start = dt.datetime(2024, 1, 1)
     held = [(f"L{n}", "S", start, None, -23.0, 133.0 + n * 1e-2) for n in range(200)]
