@@ -23,6 +23,13 @@ _REASON = r"""get(transform(array(cast(data as string)), d ->
 _ELEMENTS = """get(transform(array(try_parse_json(cast(data as string))), v ->
     coalesce(try_variant_get(v, '$', 'array<variant>'), array(v))), 0)"""
 
+_IS_RECORD = """get(transform(array(schema_of_variant(item)), kind ->
+    coalesce(kind LIKE 'OBJECT%' AND kind <> 'OBJECT<>', false)), 0)"""
+_LOST = (
+    "NOT complete OR timestamp IS NULL OR work_state_id IS NULL"
+    " OR longitude IS NULL OR latitude IS NULL"
+)
+
 
 def _classified(raw: DataFrame) -> DataFrame:
     """Add `reason`: why a payload gives no record, or null."""
@@ -35,10 +42,7 @@ def _items(raw: DataFrame) -> DataFrame:
         _classified(raw)
         .where("reason IS NULL")
         .selectExpr(*_ORIGIN, f"posexplode({_ELEMENTS}) AS (item_no, item)")
-        .withColumn("kind", F.expr("schema_of_variant(item)"))
-        .withColumn(
-            "is_record", F.expr("coalesce(kind LIKE 'OBJECT%' AND kind <> 'OBJECT<>', false)")
-        )
+        .withColumn("is_record", F.expr(_IS_RECORD))
     )
 
 
@@ -54,12 +58,17 @@ def payload_rejects(raw: DataFrame) -> DataFrame:
     that fail on a field.
     """
     errors = ["broken_json", "scalar", "X7"]
-    whole = _classified(raw).where("reason IS NOT NULL").select("reason")
-    parts = _items(raw).where("NOT is_record").select(F.lit("not_an_object").alias("reason"))
-    failed = typed(raw).where("reject IS NOT NULL").select(F.col("reject").alias("reason"))
+    # Payloads are read once: whole ones that fail stay a row without an item.
+    items = _classified(raw).selectExpr("reason", f"posexplode_outer(if(reason IS NULL, {_ELEMENTS}, null)) AS (item_no, item)")
+    rows = items.selectExpr("reason", "item_no", f"{_IS_RECORD} AS is_record", "item").selectExpr(
+        "reason", "item_no", "is_record", "if(is_record, item, null) AS item"
+    )
+    why = f"""CASE WHEN reason IS NOT NULL OR item_no IS NULL THEN reason
+        WHEN NOT is_record THEN 'not_an_object' WHEN {_LOST} THEN 'X7' END AS reason"""
     return (
-        whole.unionByName(parts)
-        .unionByName(failed)
+        rows.select("reason", "item_no", "is_record", *_fields())
+        .selectExpr(why)
+        .where("reason IS NOT NULL")
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("outcome", F.when(F.col("reason").isin(errors), "error").otherwise("skipped"))
@@ -91,14 +100,9 @@ def _decimal(name: str) -> str:
     )
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    """Decoded records with their columns; `reject` is X7 for those that fail.
-
-    Only the failing item of an array is rejected, the others stay.
-    """
-    rows = decode(raw).select(
-        *_ORIGIN,
-        "item_no",
+def _fields() -> list[Column]:
+    """The columns of a record, and whether its keys are `complete`."""
+    return [
         F.expr(_field("asset_guid", "string")).alias("asset_guid"),
         F.expr(f"nullif({_field('site_guid', 'string')}, '')").alias("site_guid"),
         iso_to_utc(F.expr(_field("timestamp", "string"))).alias("timestamp"),
@@ -109,12 +113,16 @@ def typed(raw: DataFrame) -> DataFrame:
             "variant_get(item, '$.asset_guid') IS NOT NULL"
             " AND variant_get(item, '$.site_guid') IS NOT NULL"
         ).alias("complete"),
-    )
-    lost = (
-        "NOT complete OR timestamp IS NULL OR work_state_id IS NULL"
-        " OR longitude IS NULL OR latitude IS NULL"
-    )
-    return rows.withColumn("reject", F.expr(f"if({lost}, 'X7', null)")).drop("complete")
+    ]
+
+
+def typed(raw: DataFrame) -> DataFrame:
+    """Decoded records with their columns; `reject` is X7 for those that fail.
+
+    Only the failing item of an array is rejected, the others stay.
+    """
+    rows = decode(raw).select(*_ORIGIN, "item_no", *_fields())
+    return rows.withColumn("reject", F.expr(f"if({_LOST}, 'X7', null)")).drop("complete")
 
 
 def _sequence() -> Column:

@@ -142,3 +142,16 @@ def test_timeline_equals_one_window(spark, width):
     got = neighbour(got, ["k"], bucket, order, ["v"], "after", ahead=True)
     got = got.selectExpr("seq", "k", "t", "v", "total", "before.v AS b", "after.v AS a")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_rejects_read_the_payloads_once(spark):
+    texts = ["", "null", "{}", "[]", "[ ]", "12", "{", "[7, {}, {\"note\": 1}]", "[[1], null]", "{\"asset_guid\": \"A\"}"]
+    raw = spark.createDataFrame(
+        [("s", n, 0, t.encode()) for n, t in enumerate(texts)],
+        "shard string, sequence_number bigint, sub_sequence_number bigint, data binary",
+    )
+    found = telemetry.payload_rejects(raw)
+    assert {x.reason: x.n for x in found.collect()} == {
+        "empty": 1, "null": 1, "empty_object": 1, "empty_array": 2, "scalar": 1, "broken_json": 1, "not_an_object": 4, "X7": 2,
+    }
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
