@@ -40,3 +40,13 @@ def test_courses_reach_the_rules_that_rounds_seldom_show():
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.01/{table}.parquet'")
     reached = {row[1] for row in db.execute(ORACLES["rule_coverage"]).fetchall()}
     assert {"L3", "L12", "L16", "L17", "L18", "L20", "L22", "U10", "U11", "T3", "X1", "X4", "X6"} <= reached
+
+
+def test_two_runs_share_one_index(spark, folder, monkeypatch):
+    from haulwright.plans import enrich
+    from haulwright.plans.queries import QUERIES
+
+    built, build = [], enrich.PlaceIndex.build
+    monkeypatch.setattr(enrich.PlaceIndex, "build", staticmethod(lambda *a, **k: built.append(1) or build(*a, **k)))
+    assert QUERIES["cycles_current_merged"](spark, folder).columns
+    assert len(built) == 1
