@@ -121,7 +121,7 @@ def _by_doubling(text: np.ndarray) -> np.ndarray:
         second = np.zeros(n, np.int64)
         second[: n - width] = rank[width:] + 1
         key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys may stand in any order
         changed = np.r_[0, (np.diff(key[order]) != 0).astype(np.int64)].cumsum()
         rank = np.empty(n, np.int64)
         rank[order] = changed
@@ -137,14 +137,15 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(1, np.int64)
     if size > BUCKETS:
         return _by_doubling(text)
+    text = text.astype(np.uint16)  # numpy sorts short integers by counting
     smaller = _kinds(text)
     leftmost = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     scan = _Scan(text, smaller, size)
-    sorted_by_substring = scan.run(leftmost)
-    place = np.full(n, -1, np.int64)
+    place = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     place[leftmost] = np.arange(len(leftmost))
-    order = place[sorted_by_substring]
+    order = place[scan.run(leftmost)]
     order = order[order >= 0]
+    del place  # memory for what follows
     names_in_order = np.cumsum(~_same_substrings(text, leftmost, order)) - 1
     names = np.empty(len(order), np.int64)
     names[order] = names_in_order
@@ -156,9 +157,9 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
 def common_prefixes(data: np.ndarray, array: np.ndarray, most: int) -> np.ndarray:
     """For each text place the length of the prefix its suffix shares with the one before it in the array, up to most.
 
-    data: the text's bytes with at least `most` + 8 more behind them.
+    data: the text's bytes with at least `most` + 8 more behind them. array: all suffixes in order, or some.
     """
-    n = len(array)
+    n = int(array.max()) + 1
     before = np.full(n, -1, np.int64)
     before[array[1:]] = array[:-1]
     shared = np.zeros(n, np.int64)

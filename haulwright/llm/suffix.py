@@ -5,8 +5,9 @@ document with a smaller id. Shards: each window of `span` bytes belongs
 to the smallest hash of the short strings in it, so equal windows meet in one
 shard wherever they are. Neighbouring windows with the same hash form a run.
 
-1. The hashes of every document's runs are dealt by value; those of one document
-   only are out of the question.
+1. Texts that a smaller document has as a whole are covered as a whole. The hashes of
+   the other documents' runs are dealt by value; those of one document only are out
+   of the question.
 2. Runs of shared hashes go to their shards with their bytes. Equal runs
    are settled by the smallest id. Over the different runs of a hash a suffix
    array is built by induced sorting (`sais`), and permuted common prefixes of at
@@ -14,7 +15,8 @@ shard wherever they are. Neighbouring windows with the same hash form a run.
 3. Covered stretches return to their documents, where they are joined.
 
 A hash that occurs in more than `hot` documents isn't gathered in a shard:
-its windows are aggregated one by one before the shuffle.
+its windows are aggregated one by one before the shuffle, with all places that
+a step has of one.
 
 Null and empty texts have no bytes. Rows with the same id don't cover each other;
 rows that repeat id and text share one result. A row without id is neither
@@ -38,14 +40,17 @@ from haulwright.llm.common import Filter, mapped, mixed, partitions, steps, stor
 from haulwright.llm.sais import common_prefixes, suffix_array
 
 SPAN = 50
-#: Bytes of the short strings whose smallest hash names a window's shard.
-SHORT = 16
+#: Bytes of the short strings whose smallest hash names a window's shard. Strings of 16 bytes meet by chance
+#: in more and more documents as the input grows, longer ones make more runs.
+SHORT = 24
 #: Documents of one hash that a shard gathers at most.
 HOT = 200_000
 #: Bytes of text for each shard, on average.
 SHARE = 16 << 20
 #: Bytes of text that one step of numpy work, or one suffix array, takes at a time.
 STEP = 1 << 20
+#: Windows that are hashed at a time, so that their hashes stay in a core's cache.
+BLOCK = 1 << 15
 
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LONGS = pa.list_(pa.int64())
@@ -60,7 +65,8 @@ class Runs:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.span = span
-        self.data = np.frombuffer(b"".join(encoded) + bytes(span + 16), np.uint8)
+        self.raw = b"".join(encoded) + bytes(span + 16)
+        self.data = np.frombuffer(self.raw, np.uint8)
         total = int(sizes.sum())
         windows = total - span + 1
         empty = np.zeros(0, np.int64)
@@ -71,7 +77,7 @@ class Runs:
         long = sizes >= span
         np.add.at(edge, self.starts[long], 1)
         np.add.at(edge, self.ends[long] - span + 1, -1)
-        inside = np.cumsum(edge[:windows]) > 0
+        inside = np.cumsum(edge[:windows], dtype=np.int8) > 0
         least = self._least(windows)
         change = np.r_[True, (least[1:] != least[:-1]) | ~inside[:-1]]
         self.at = np.flatnonzero(inside & change)
@@ -84,21 +90,31 @@ class Runs:
         """The smallest hash of the short strings in each window."""
         words = np.ndarray((windows + self.span - 8,), "<u8", self.data, strides=(1,))
         short = min(SHORT, self.span)
-        values = (words[short - 8 :] * _C1) ^ words[: len(words) - short + 8]
-        values *= _C2
-        values ^= values >> np.uint64(31)
-        values *= _C3
-        values ^= values >> np.uint64(29)
-        width, have = self.span - short + 1, 1
-        while 2 * have <= width:
-            values = np.minimum(values[:-have], values[have:])
-            have *= 2
-        if have < width:
-            values = np.minimum(values[: have - width], values[width - have :])
-        return values[:windows]
-
-    def text(self, k: int) -> bytes:
-        return self.data[self.at[k] : self.at[k] + self.count[k] + self.span - 1].tobytes()
+        width = self.span - short + 1
+        offsets = [*range(8, short - 8, 8), short - 8]
+        out = np.empty(windows, np.uint64)
+        for start in range(0, windows, BLOCK):
+            size = min(BLOCK, windows - start) + width - 1
+            values = words[start : start + size] * _C1
+            high = np.empty_like(values)
+            for offset in offsets:
+                values ^= words[start + offset : start + offset + size]
+                values *= _C2
+                values ^= np.right_shift(values, np.uint64(31), out=high)
+            values *= _C3
+            values ^= np.right_shift(values, np.uint64(29), out=high)
+            have = 1
+            while 2 * have <= width:
+                values = np.minimum(values[:-have], values[have:])
+                have *= 2
+            if have < width:
+                values = np.minimum(values[: have - width], values[width - have :])
+            out[start : start + BLOCK] = values
+        return out
+
+    def texts(self, runs: np.ndarray) -> list[bytes]:
+        at, ends = self.at[runs], self.at[runs] + self.count[runs] + self.span - 1
+        return [self.raw[a:b] for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
 
 
 def _marks(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -106,7 +122,7 @@ def _marks(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return mixed(hashes ^ mixed(rows.view(np.uint64)))
 
 
-_SIX = np.uint64((1 << 48) - 1)
+_SIX, _16 = np.uint64((1 << 48) - 1), np.uint64(16)
 
 
 def _six_bytes(hashes: np.ndarray) -> bytes:
@@ -130,13 +146,21 @@ def _cuts(values: np.ndarray) -> np.ndarray:
 
 def _dealt(part: np.ndarray, columns: list[np.ndarray]) -> Iterator[list]:
     """Values by part: [part, values of each column]."""
-    order = np.argsort(part, kind="stable")
+    # numpy sorts short integers by counting
+    order = np.argsort(part.astype(np.uint16) if len(part) and part.max() < 1 << 16 else part, kind="stable")
     part, columns = part[order], [c[order] for c in columns]
     cuts = _cuts(part)
     for start, end in zip(cuts[:-1], cuts[1:], strict=True):
         yield [int(part[start]), *(c[start:end].view(np.int64) for c in columns)]
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows that two bytes can number."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1 << 16):
+            yield batch.slice(start, 1 << 16)
+
+
 def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -175,20 +199,20 @@ def _shared_hashes(rows: DataFrame, parts: int, span: int, hot: int) -> DataFram
     sent = pa.schema([("part", pa.int64()), ("known", pa.bool_()), ("hash", pa.binary()), ("row", _LONGS), ("rows", _LONGS)])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", STEP):
+        for batch in steps(_short(batches), "text", STEP):
             runs = Runs(texts_of(batch.column("text")), span)
-            row = batch.column("row").to_numpy()[runs.row]
-            order = np.lexsort((row, runs.hash))
-            value, row = runs.hash[order] & _SIX, row[order]
-            first = np.r_[True, (value[1:] != value[:-1]) | (row[1:] != row[:-1])][: len(value)]
-            value, row = value[first], row[first]
-            if not len(value):
+            if not len(runs.hash):
                 continue
+            names, number = np.unique(batch.column("row").to_numpy(), return_inverse=True)
+            both = np.sort(runs.hash << _16 | number[runs.row].view(np.uint64))  # six bytes of hash, two of row
+            both = both[np.r_[True, both[1:] != both[:-1]]]
+            value, number = both >> _16, both.astype(np.uint16)
+            row = names[number]
             cuts = _cuts(value)
             size = np.repeat(np.diff(cuts), np.diff(cuts))
             lead = np.zeros(len(value), bool)
             lead[cuts[:-1]] = True  # one row asks for all rows of a value here
-            by_row = np.argsort(row[lead], kind="stable")  # rows in order take few bytes
+            by_row = np.argsort(number[lead], kind="stable")  # rows in order take few bytes
             asked = [c[lead][by_row] for c in (value, row, size)]
             out = [[p, False, _six_bytes(h), r, n] for p, h, r, n in _dealt(_parts(asked[0], parts), asked)]
             know = size > 1
@@ -210,7 +234,7 @@ def _shared_hashes(rows: DataFrame, parts: int, span: int, hot: int) -> DataFram
                         out.append([int(b.column("part")[0].as_py()), np.frombuffer(m.as_py(), np.int64), np.unique(r.values.to_numpy())])
             value = _from_six(b"".join(h for b in asked for h in b.column("hash").to_pylist()))
             row, weight = (_joined(asked, c) for c in ("row", "rows"))
-            order = np.argsort(value, kind="stable")
+            order = np.argsort(value)
             value, row, weight = value[order], row[order], weight[order]
             if len(value):
                 cuts = _cuts(value)
@@ -269,7 +293,7 @@ def _runs_of_shared(rows: DataFrame, marks: DataFrame, burning: np.ndarray, part
                 if not len(at):
                     continue
                 number: dict[bytes, int] = {}
-                texts = [runs.text(k) for k in at.tolist()]
+                texts = runs.texts(at)
                 same = np.array([number.setdefault(t, len(number)) for t in texts])
                 least = np.full(len(number), np.iinfo(np.int64).max)
                 np.minimum.at(least, same, doc[at])
@@ -319,29 +343,41 @@ def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
-def covered_windows(texts: list[bytes], owners: np.ndarray, span: int) -> list[np.ndarray]:
-    """For each text the starts of windows that a text of a smaller owner holds, too."""
+def covered_windows(texts: list[bytes], owners: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that a text of a smaller owner holds, too: the numbers of their texts, in order, and their starts there."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = np.frombuffer(b"\xff".join(texts) + bytes(span + 16), np.uint8)  # no UTF-8 text has the byte 255
     starts = np.r_[0, np.cumsum(sizes[:-1] + 1)]
     total = int(starts[-1] + sizes[-1])
-    array = suffix_array(np.r_[data[:total].astype(np.int64) + 1, 0], 257)
-    shared = common_prefixes(data, array, span)
-    text_of = np.repeat(np.arange(len(texts)), np.r_[sizes[:-1] + 1, sizes[-1] + 1])
-    room = starts[text_of] + sizes[text_of] - np.arange(total + 1) >= span
+    symbols = np.zeros(total + 1, np.uint16)
+    symbols[:total] = data[:total]
+    symbols[:total] += 1
+    array = suffix_array(symbols, 257)
+    edge = np.zeros(total + 2, np.int8)
+    long = sizes >= span
+    edge[starts[long]] = 1
+    edge[(starts + sizes - span + 1)[long]] -= 1
+    room = np.cumsum(edge[: total + 1], dtype=np.int8) > 0
     whole = array[room[array]]
-    owner = owners[text_of[whole]]
-    cuts = np.r_[np.flatnonzero(np.r_[True, shared[whole][1:] < span]), len(whole)]
-    least = np.repeat(np.minimum.reduceat(owner, cuts[:-1]), np.diff(cuts)) if len(whole) else owner
-    places = np.sort(whole[owner > least])
-    bounds = np.searchsorted(places, np.r_[starts, total + 1])
-    return [places[a:b] - s for a, b, s in zip(bounds[:-1], bounds[1:], starts, strict=True)]
-
-
-def _stretches(starts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Joined stretches of bytes of windows at sorted starts."""
-    cuts = np.flatnonzero(np.r_[True, np.diff(starts) > 1])
-    return starts[cuts], starts[np.r_[cuts[1:] - 1, len(starts) - 1]] + span
+    if not len(whole):
+        return whole, whole
+    text = np.searchsorted(starts, whole, side="right") - 1
+    owner = owners[text]
+    shared = common_prefixes(data, whole, span)[whole]
+    cuts = np.r_[np.flatnonzero(np.r_[True, shared[1:] < span]), len(whole)]
+    least = np.repeat(np.minimum.reduceat(owner, cuts[:-1]), np.diff(cuts))
+    covered = owner > least
+    places = np.sort(whole[covered])
+    text = np.searchsorted(starts, places, side="right") - 1
+    return text, places - starts[text]
+
+
+def _stretches(text: np.ndarray, places: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Joined stretches of bytes of windows at sorted places of texts in order: their texts, starts and ends."""
+    cut = np.r_[True, (np.diff(places) > 1) | (text[1:] != text[:-1])][: len(places)]
+    first = np.flatnonzero(cut)
+    last = np.r_[first[1:], len(places)][: len(first)] - 1
+    return text[first], places[first], places[last] + span
 
 
 def _chunks(runs: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -366,11 +402,9 @@ def _shard(held: list[pa.RecordBatch], span: int) -> tuple[np.ndarray, np.ndarra
     doc, row, at, count = (_joined(held, c, t).astype(np.int64) for c, t in (("doc", np.int64), ("row", np.int64), ("at", np.int32), ("count", np.int32)))
     blob = b"".join(_unpack(t) for b in held for t in b.column("text").to_pylist())
     number: dict[bytes, int] = {}
-    own = np.empty(len(value), np.int64)
-    place = 0
-    for k, size in enumerate((count + span - 1).tolist()):
-        own[k] = number.setdefault(blob[place : place + size], len(number))
-        place += size
+    ends = np.cumsum(count + span - 1)
+    places = zip((ends - count - span + 1).tolist(), ends.tolist(), strict=True)
+    own = np.array([number.setdefault(blob[a:b], len(number)) for a, b in places], np.int64)
     owners = np.full(len(number), np.iinfo(np.int64).max)
     np.minimum.at(owners, own, doc)
     of_run = np.zeros(len(number), np.uint64)
@@ -388,14 +422,15 @@ def _shard(held: list[pa.RecordBatch], span: int) -> tuple[np.ndarray, np.ndarra
     owned = own[rest]
     # different runs of one hash, as many hashes at a time as a step may hold
     for chunk in _chunks(order[np.repeat(size > 1, size)], of_run, np.fromiter(map(len, texts), np.int64, len(texts))):
-        found = covered_windows([texts[u] for u in chunk.tolist()], owners[chunk], span)
-        for u, places in zip(chunk.tolist(), found, strict=True):
-            if len(places):
-                low, high = _stretches(places, span)
-                for j in rest[np.searchsorted(owned, u) : np.searchsorted(owned, u, side="right")]:
-                    rows.append(np.full(len(low), row[j]))
-                    starts.append(at[j] + low)
-                    ends.append(at[j] + high)
+        found, low, high = _stretches(*covered_windows([texts[u] for u in chunk.tolist()], owners[chunk], span), span)
+        # all runs with the bytes of a text have its stretches
+        first, last = (np.searchsorted(owned, chunk[found], side=side) for side in ("left", "right"))
+        many = last - first
+        each = np.repeat(np.arange(len(found)), many)
+        j = rest[np.repeat(first - np.cumsum(many) + many, many) + np.arange(len(each))]
+        rows.append(row[j])
+        starts.append(at[j] + low[each])
+        ends.append(at[j] + high[each])
     return np.concatenate(rows), np.concatenate(starts), np.concatenate(ends)
 
 
@@ -415,32 +450,50 @@ def _stretches_of_shards(runs: DataFrame, parts: int, span: int) -> DataFrame:
 def _stretches_of_hot(rows: DataFrame, burning: np.ndarray, parts: int, span: int) -> DataFrame:
     """Covered stretches of hashes too frequent for a shard: windows by their own hashes, aggregated before the shuffle."""
     shared = rows.sparkSession.sparkContext.broadcast(np.sort(burning))
+    named = pa.schema([("window", pa.binary()), ("doc", _LONGS), ("row", _LONGS), ("at", _INTS)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of a step, each with all places it has there."""
         import hashlib
 
         for batch in steps(batches, "text", STEP):
             runs = Runs(texts_of(batch.column("text")), span)
-            doc, row = (batch.column(c).to_numpy()[runs.row] for c in ("doc", "row"))
-            names, docs, own, at = [], [], [], []
-            for k in np.flatnonzero(_within(runs.hash & _SIX, shared.value)).tolist():
-                start = int(runs.at[k] - runs.starts[runs.row[k]])
-                text = runs.text(k)
-                for w in range(int(runs.count[k])):
-                    names.append(hashlib.blake2b(text[w : w + span], digest_size=16).digest())
-                    docs.append(doc[k])
-                    own.append(row[k])
-                    at.append(start + w)
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *(pa.array(c, pa.int64()) for c in (docs, own, at))], ["window", "doc", "row", "at"])
-
-    windows = stored(rows.select("doc", "row", "text").transform(mapped, run, "window binary, doc long, row long, at long"), "windows")
-    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    covered = windows.join(least.drop("most"), "window").where("doc > least")
-    return covered.select(
-        _part_of(F.col("row"), parts).alias("part"),
-        F.array("row").alias("rows"), F.array("at").alias("starts"), F.array(F.col("at") + span).alias("ends"),
-    )
+            hot = np.flatnonzero(_within(runs.hash & _SIX, shared.value))
+            if not len(hot):
+                continue
+            count = runs.count[hot]
+            run = np.repeat(hot, count)
+            at = runs.at[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+            number: dict[bytes, int] = {}
+            own = np.array([number.setdefault(runs.raw[a : a + span], len(number)) for a in at.tolist()])
+            order = np.argsort(own, kind="stable")
+            run, at, offsets = runs.row[run[order]], at[order], pa.array(_cuts(own[order]), pa.int32())
+            doc, row = (batch.column(c).to_numpy()[run] for c in ("doc", "row"))
+            lists = [pa.array(c, f.type.value_type) for c, f in zip((doc, row, at - runs.starts[run]), list(named)[1:], strict=True)]
+            names = pa.array([hashlib.blake2b(w, digest_size=16).digest() for w in number], pa.binary())
+            yield pa.RecordBatch.from_arrays([names, *(pa.ListArray.from_arrays(offsets, c) for c in lists)], schema=named)
+
+    found = pa.schema([("part", pa.int64()), ("rows", _LONGS), ("starts", _LONGS), ("ends", _LONGS)])
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, row, at = (batch.column(c).flatten().to_numpy() for c in ("doc", "row", "at"))
+            covered = doc > np.repeat(batch.column("least").to_numpy(), pc.list_value_length(batch.column("doc")).to_numpy())
+            row, at = row[covered], at[covered].astype(np.int64)
+            if len(row):
+                yield _batch(list(_dealt(_parts(row, parts), [row, at, at + span])), found)
+
+    windows = stored(rows.select("doc", "row", "text").transform(mapped, name, "window binary, doc array<long>, row array<long>, at array<int>"), "windows")
+    least = windows.groupBy("window").agg(F.min(F.array_min("doc")).alias("least"), F.max(F.array_max("doc")).alias("most")).where("least < most")
+    both = windows.join(least.drop("most"), "window").select("doc", "row", "at", "least")
+    return both.transform(mapped, cover, "part long, rows array<long>, starts array<long>, ends array<long>")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """Rows (row, size) whose whole text a smaller document has, too."""
+    first = texts.groupBy("name").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    first = stored(first, "first")  # so that a text with many copies can be split in the join
+    return texts.join(first, "name").where("doc > first").select("row", "size").distinct()
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, hot: int = HOT, share: int = SHARE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -449,9 +502,13 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, hot: int = HOT, share: int
     keyed = docs.drop("repeats").select(F.struct("*").alias("doc_row"), F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keyed = keyed.withColumn("row", F.xxhash64("doc", "text"))
     usable = keyed.where(F.col("doc").isNotNull() & (F.octet_length("text") >= span)).select("doc", "row", "text")
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    parts = max(partitions(spark), math.ceil(total / share))
-    marks = stored(_shared_hashes(usable, parts, span, hot), "marks")
+    texts = stored(usable.select("doc", "row", F.octet_length("text").cast("long").alias("size"), F.unhex(F.sha2("text", 256)).alias("name")), "texts")
+    parts = max(partitions(spark), math.ceil((texts.agg(F.sum("size")).first()[0] or 0) / share))
+    copies = stored(_copies(texts), "copies")
+    # Copies have no windows that the first one lacks; some others pass the filter with them.
+    some, once = Filter(copies.select(F.col("row").alias("key"))).split(usable, F.col("row"))
+    once = once.unionByName(some.join(copies.hint("merge"), "row", "left_anti").select(*once.columns))
+    marks = stored(_shared_hashes(once, parts, span, hot), "marks")
     burning = [r["marks"] for r in marks.where("part = -1").select("marks").collect()]
     burning = np.concatenate([np.array(b, np.int64) for b in burning]).view(np.uint64) if burning else np.zeros(0, np.uint64)
     marked = Filter(marks.select(F.explode("rows").alias("key")))
@@ -459,6 +516,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, hot: int = HOT, share: int
     stretches = _stretches_of_shards(_runs_of_shared(concerned, marks, burning, parts, span), parts, span)
     if len(burning):
         stretches = stretches.unionByName(_stretches_of_hot(usable, burning, parts, span))
+    whole = [F.array(c).alias(name) for c, name in (("row", "rows"), (F.lit(0).cast("long"), "starts"), ("size", "ends"))]
+    stretches = stretches.unionByName(copies.select(_part_of(F.col("row"), parts).alias("part"), *whole))
     stretches = stored(stretches, "stretches")
     covered = Filter(stretches.select(F.explode("rows").alias("key")))
     some, none = covered.split(keyed.select("doc_row", "row"), F.col("row"))

@@ -263,6 +263,57 @@ def test_repeats_of_the_given_documents(spark, folder):
     assert sorted(map(tuple, found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=repr) == want
 
 
+def test_short_strings_that_meet_by_chance_are_left_out(spark):
+    r = random.Random(5)
+    phrases = ["".join(r.choice("abcdefgh") for _ in range(18)) for _ in range(1000)]
+    rows = [(i, " ".join(r.choice(phrases) for _ in range(80))) for i in range(60)]
+    docs = spark.createDataFrame([(d, d, t) for d, t in rows], "doc long, row long, text string")
+    marked = suffix._shared_hashes(docs, 8, 50, 1000).where("part >= 0").select(F.sum(F.size("marks"))).first()[0] or 0
+    runs = len(suffix.Runs([t for _, t in rows], 50).at)
+    assert runs > 5000 and marked < runs / 20
+
+
+def test_whole_copies_stay_out_of_the_search(spark, monkeypatch):
+    r = random.Random(6)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(40, 300))) for _ in range(12)]
+    rows = [(100 - i, texts[i % 12]) for i in range(60)]
+    rows += [(7, texts[0] + texts[1]), (None, texts[2]), (100, texts[0]), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, search = [], suffix._shared_hashes
+    monkeypatch.setattr(suffix, "_shared_hashes", lambda some, *a: seen.extend(x.doc for x in some.select("doc").collect()) or search(some, *a))
+    assert repeats(docs) == plain_repeats(rows, 50)
+    first = {t: min(d for d, other in rows if other == t and d is not None) for t in texts}
+    assert sorted(seen) == sorted([*(first[t] for t in texts if len(t) >= 50), 7])
+
+
+def test_hot_windows_of_a_step_share_a_row(spark, monkeypatch):
+    r = random.Random(7)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(120))
+    rows = [(i, "".join(r.choice("abcdefgh ") for _ in range(60)) + passage + "".join(r.choice("abcdefgh ") for _ in range(60))) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    tables, store = {}, suffix.stored
+    monkeypatch.setattr(suffix, "stored", lambda rows, label: tables.setdefault(label, store(rows, label)))
+    assert repeats(docs, hot=10) == plain_repeats(rows, 50)
+    windows = tables["windows"]
+    assert windows.count() == windows.select("window").distinct().count()
+    places = [len(x.at) for x in windows.select("at").collect()]
+    assert max(places) == 100 and sum(n == 100 for n in places) > 20
+
+
+def test_covered_windows_against_brute_force():
+    r = random.Random(8)
+    for _ in range(60):
+        texts = list({"".join(r.choice("ab") * r.randint(1, 9) for _ in range(r.randint(1, 12))).encode() for _ in range(r.randint(1, 12))})
+        owners = np.array([r.randint(0, 9) for _ in texts])
+        least = {}
+        for t, d in zip(texts, owners.tolist(), strict=True):
+            for i in range(len(t) - 11):
+                least[t[i : i + 12]] = min(d, least.get(t[i : i + 12], d))
+        want = [(k, i) for k, t in enumerate(texts) for i in range(len(t) - 11) if least[t[i : i + 12]] < owners[k]]
+        found = suffix.covered_windows(texts, owners, 12)
+        assert list(zip(*(c.tolist() for c in found), strict=True)) == want
+
+
 def test_repeats_of_odd_rows(odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     found = suffix.remove_repeats(odd_docs.withColumn("repeats", F.lit(1)))
