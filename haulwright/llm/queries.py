@@ -38,7 +38,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_chosen_path": neardup.ORACLE,
     "op8_arc_to_warc": warc.ORACLE,
-    "op11_nearest_examples": op11_nearest_examples,
     "op12_phrase_collocations": phrases.ORACLE,
 }
 
